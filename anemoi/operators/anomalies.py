@@ -70,7 +70,7 @@ def anomaly_pivot(anomalies: DataFrame, ids: list | None = None) -> DataFrame:
         ids = [r[0] for r in distinct_ids(anomalies).collect()]
     counts = anomaly_counts_long(anomalies)
     if not ids:
-        return counts.select(DAY).limit(0)
+        return counts.select(DAY).where(F.lit(False))
     wide = (counts.groupBy(DAY).pivot(DEVICE, ids).agg(F.first("anomaly_count"))
             .na.fill(0, subset=[str(i) for i in ids]))
     return wide.select(F.col(DAY), *[F.col(f"`{i}`").cast("bigint").alias(f"{PIVOT_PREFIX}{i}")

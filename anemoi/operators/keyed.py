@@ -56,10 +56,12 @@ def first_per_key(df: DataFrame, key: Sequence[str], seq: Sequence[str] | None =
 
 
 def insert_ignore(existing: DataFrame, new: DataFrame, key: Sequence[str],
-                  seq: Sequence[str] | None = None) -> DataFrame:
+                  seq: Sequence[str] | None = None, assume_unique: bool = False) -> DataFrame:
     """``INSERT IGNORE``: rows of ``new`` to append. First write wins, both
-    against ``existing`` and inside ``new`` (smallest ``seq``)."""
-    first = first_per_key(new, key, seq)
+    against ``existing`` and inside ``new`` (smallest ``seq``). With
+    ``assume_unique`` (``new`` is already keyed, e.g. read from a keyed table)
+    the per-key pass and its shuffle are skipped."""
+    first = new if assume_unique else first_per_key(new, key, seq)
     return first.join(existing.select(*key), list(key), "left_anti")
 
 
