@@ -32,15 +32,20 @@ def outlier_predicate(lo: Column, hi: Column, cutoff: Column | None = None,
     raise ValueError(f"unknown outlier scope {scope!r}")
 
 
-def flag_outliers(raw: DataFrame, bounds_df: DataFrame, cutoff: Column | None = None,
+def flag_outliers(raw: DataFrame, bounds_df, cutoff: Column | None = None,
                   scope: str = "parity", groups=()) -> DataFrame:
     """Readings of ``raw`` outside the band of ``bounds_df``.
 
-    A global band (one row) is applied through scalar subqueries, which keeps
-    the filter pushed into the scan. Per-group bands are joined on the group
-    columns; the join strategy is left to AQE since their number grows with
-    the groups.
+    ``bounds_df`` is a bounds frame or a ``(lower, upper)`` pair of numbers.
+    Numbers become literals and the range test is pushed into the Parquet scan.
+    A one-row frame is applied lazily through scalar subqueries, which Catalyst
+    merges into one aggregate (no driver round trip). Per-group bands are
+    joined on the group columns; the join strategy is left to AQE since their
+    number grows with the groups.
     """
+    if isinstance(bounds_df, tuple):
+        lo, hi = (F.lit(float(x)) for x in bounds_df)
+        return raw.where(outlier_predicate(lo, hi, cutoff, scope))
     if groups:
         b = bounds_df.select(*groups, "lower_bound", "upper_bound")
         pred = outlier_predicate(F.col("lower_bound"), F.col("upper_bound"), cutoff, scope)

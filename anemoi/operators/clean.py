@@ -16,16 +16,22 @@ def latest_profile(profile: DataFrame, period: str) -> DataFrame:
             .where(F.col("period").isNotNull())
 
 
-def fill_values(profile: DataFrame, period: str, impute_with=IMPUTE_WITH) -> dict:
-    """Scalar subqueries (NULL when the period has no profile row) per measure."""
-    latest = latest_profile(profile, period)
-    return {m: latest.select(f"{m}_{impute_with[m]}").scalar() for m in MEASURES}
+def fill_row(profile: DataFrame, period: str, impute_with=IMPUTE_WITH) -> DataFrame:
+    """Exactly one row: the fallback per measure from the newest profile of
+    ``period`` (NULLs when the period has no profile, so values stay NULL)."""
+    p = profile.where(F.col("period") == F.lit(period))
+    cols = [f"{m}_{impute_with[m]}" for m in MEASURES]
+    w = F.max_by(F.struct(*cols), F.col("calculation_timestamp"))
+    return p.agg(w.alias("w")).select(*[F.col(f"w.{c}").alias(f"__fill_{m}")
+                                        for m, c in zip(MEASURES, cols)])
 
 
-def impute(rows: DataFrame, fill: dict) -> DataFrame:
-    """``COALESCE(measure, fallback)``; fallbacks are one-row scalar subqueries."""
-    return rows.select(*[F.coalesce(F.col(c), fill[c]).alias(c) if c in fill else F.col(c)
-                         for c in rows.columns])
+def impute(rows: DataFrame, fill: DataFrame) -> DataFrame:
+    """``COALESCE(measure, fallback)``. ``fill`` is a global aggregate, so it has
+    exactly one row: a broadcast cross join is bounded and reads the profile once."""
+    j = rows.crossJoin(F.broadcast(fill))
+    return j.select(*[F.coalesce(F.col(c), F.col(f"__fill_{c}")).alias(c) if c in MEASURES
+                      else F.col(c) for c in rows.columns])
 
 
 def clean_rows(raw: DataFrame, anomalies: DataFrame, profile: DataFrame,
@@ -33,4 +39,4 @@ def clean_rows(raw: DataFrame, anomalies: DataFrame, profile: DataFrame,
     """Raw readings that are not anomalies (``NOT EXISTS`` -> left anti join),
     NULL measures filled from the latest profile of ``period``."""
     kept = raw.select(*KEY, *MEASURES).join(anomalies.select(*KEY), list(KEY), "left_anti")
-    return impute(kept, fill_values(profile, period, impute_with))
+    return impute(kept, fill_row(profile, period, impute_with))

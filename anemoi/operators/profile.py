@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,45 @@ def period_starts(anchor: Column, periods=PERIODS) -> list[tuple[str, Column | N
     return [(name, None if lb is None else anchor - F.lit(lb)) for name, lb in periods]
 
 
+# A group whose distinct values are at most this many may be resolved by one
+# task's value->count map (about 40 MB); larger groups go through kth_smallest.
+MAX_DISTINCT_IN_TASK = 1 << 20
+
+
+def tot_of(per: DataFrame, g: list) -> DataFrame:
+    return per.groupBy(*g).agg(
+        F.sum("n").alias("N"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.max("n").alias("top_n"),
+        F.count(F.lit(1)).alias("distinct_values"))
+
+
+def exact_median(counts: DataFrame, groups: list, totals: DataFrame,
+                 max_distinct: int = MAX_DISTINCT_IN_TASK, any_big: bool | None = None) -> DataFrame:
+    """Exact median per group from (groups..., value, n) value counts.
+
+    ``totals`` holds ``N`` (sum of n) and ``distinct_values`` per group. Groups
+    with few distinct values use ``percentile(value, 0.5, n)`` (state bounded
+    by the check); the rest take the middle pair from :func:`kth_smallest`.
+    ``any_big=False`` (checked by the caller) leaves the radix levels out.
+    """
+    small = totals.where(F.col("distinct_values") <= max_distinct).select(*groups)
+    big = totals.where(F.col("distinct_values") > max_distinct)
+    med_small = (counts.join(F.broadcast(small), groups)
+                 .groupBy(*groups).agg(F.percentile(F.col("value"), F.lit(0.5), F.col("n")).alias("median")))
+    if any_big is False:
+        return med_small
+    targets = (big.select(*groups, F.floor((F.col("N") - 1) / 2).cast("long").alias("k"), F.lit(0).alias("hi"))
+               .unionByName(big.select(*groups, F.floor(F.col("N") / 2).cast("long").alias("k"), F.lit(1).alias("hi"))))
+    mid = kth_smallest(counts.join(F.broadcast(big.select(*groups)), groups), groups, "value",
+                       targets.select(*groups, "k"), weight="n")
+    pair = targets.join(mid, groups + ["k"]).groupBy(*groups).agg(
+        F.max(F.when(F.col("hi") == 0, F.col("value"))).alias("lo_v"),
+        F.max(F.when(F.col("hi") == 1, F.col("value"))).alias("hi_v"))
+    med_big = pair.select(*groups, (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * 0.5).alias("median"))
+    return med_small.unionByName(med_big)
+
+
 def _wide(stats: DataFrame) -> DataFrame:
     """(period, measure, mean, median, mode) -> one row per period."""
     cols = [F.max(F.when(F.col("measure") == m, F.col(s))).alias(f"{m}_{s}")
@@ -29,7 +69,9 @@ def _wide(stats: DataFrame) -> DataFrame:
 
 
 def period_profile(raw: DataFrame, anomalies: DataFrame, periods=PERIODS,
-                   method: str = "distributed", anchor: Column | None = None) -> DataFrame:
+                   method: str = "distributed", anchor: Column | None = None,
+                   max_distinct: int = MAX_DISTINCT_IN_TASK,
+                   persisted: list | None = None) -> DataFrame:
     """One row per non-empty period: mean, exact median (middle pair averaged)
     and mode (smallest value among ties) of each measure over the eligible rows
     with ``timestamp >= anchor - look_back``.
@@ -38,6 +80,10 @@ def period_profile(raw: DataFrame, anomalies: DataFrame, periods=PERIODS,
     period in the same row (no per-period copies of the readings), then takes
     mean and mode from those counts and the median from :func:`kth_smallest`.
     ``builtin`` uses Spark's ``median``/``mode`` aggregates.
+
+    With ``persisted`` (a list), the value counts are persisted (the frame is
+    appended for the caller to unpersist) and one small job checks whether any
+    group exceeds ``max_distinct``; the radix levels enter the plan only then.
     """
     if anchor is None:
         anchor = raw.select(F.max(TS)).scalar()
@@ -60,16 +106,21 @@ def period_profile(raw: DataFrame, anomalies: DataFrame, periods=PERIODS,
         .select(F.col("pn.period").alias("period"), "measure", "value", F.col("pn.n").alias("n")) \
         .where(F.col("n") > 0)
 
-    tot = per.groupBy("period", "measure").agg(
-        F.sum("n").alias("N"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.max(F.struct(F.col("n"), (-F.col("value")).alias("neg"))).alias("top"))
-    targets = (tot.select("period", "measure", F.floor((F.col("N") - 1) / 2).cast("long").alias("k"))
-               .unionByName(tot.select("period", "measure", F.floor(F.col("N") / 2).cast("long").alias("k"))))
-    mid = kth_smallest(per, ["period", "measure"], "value", targets, weight="n")
-    med = mid.groupBy("period", "measure").agg(F.avg("value").alias("median"))
-    stats = (tot.select("period", "measure", "mean", (-F.col("top.neg")).alias("mode"))
-             .join(med, ["period", "measure"]))
+    g = ["period", "measure"]
+    tot = tot_of(per, g)
+    if persisted is not None:
+        per = per.persist(StorageLevel.MEMORY_AND_DISK)
+        persisted.append(per)
+        tot = tot_of(per, g)
+    med = exact_median(per, g, tot, max_distinct,
+                       any_big=None if persisted is None else
+                       not tot.where(F.col("distinct_values") > max_distinct).isEmpty())
+    # mode: smallest value among those with the top count (two hash aggregates;
+    # the top-count table has one row per (period, measure), hence the broadcast)
+    top = tot.select(*g, "top_n")
+    mode = (per.join(F.broadcast(top), g).where(F.col("n") == F.col("top_n"))
+            .groupBy(*g).agg(F.min("value").alias("mode")))
+    stats = tot.select(*g, "mean").join(mode, g).join(med, g)
     return _wide(stats)
 
 

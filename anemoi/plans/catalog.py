@@ -54,7 +54,8 @@ class FirstRun:
         self.raw = telemetry(table(spark, sf_dir, "events"))
         self.bounds = bounds(self.raw)
         self.anomalies = flag_outliers(self.raw, self.bounds)
-        self.profile = period_profile(self.raw, self.anomalies, method=method) \
+        self.cached: list = []
+        self.profile = period_profile(self.raw, self.anomalies, method=method, persisted=self.cached) \
             .withColumn("calculation_timestamp", ts_literal(RUN_TS))
         self.clean = clean_rows(self.raw, self.anomalies, self.profile, "full_dataset")
 

@@ -112,7 +112,7 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
         if b is None:
             return []
         report.band = b.asDict()
-        band_df = spark.createDataFrame([b])
+        band_df = (b["lower_bound"], b["upper_bound"])
     else:
         band_df = band_rows
         if band_df.isEmpty():
@@ -129,9 +129,14 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
         store.overwrite_days("anomalies", merged)
     anomalies = store.read("anomalies")
 
-    prof = period_profile(raw, anomalies, opt.periods, method=opt.profile_method) \
+    cached: list = []
+    prof = period_profile(raw, anomalies, opt.periods, method=opt.profile_method, persisted=cached) \
         .withColumn("calculation_timestamp", run)
-    store.append("profile", prof)
+    try:
+        store.append("profile", prof)
+    finally:
+        for c in cached:
+            c.unpersist()
     profile = store.read("profile")
 
     # Raw rows not yet considered by a clean step carry a later insertion date.

@@ -1,0 +1,92 @@
+import random
+from datetime import datetime, timedelta
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from anemoi.operators.order_stats import kth_smallest
+from anemoi.operators.profile import eligible_rows, period_profile
+
+S = "timestamp timestamp_ntz, turbine_id long, wind_speed double, wind_direction double, power_output double"
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
+                          st.one_of(st.integers(-5, 5).map(float),
+                                    st.floats(allow_nan=False, allow_infinity=False, width=32)),
+                          st.integers(1, 3)), min_size=1, max_size=80))
+def test_kth_smallest_matches_sorting(spark, rows):
+    df = spark.createDataFrame(rows, "g string, v double, w long")
+    groups = {}
+    for g, v, w in rows:
+        groups.setdefault(g, []).extend([v] * w)
+    targets = [(g, k) for g, vs in groups.items() for k in {0, len(vs) // 2, len(vs) - 1, len(vs)}]
+    tdf = spark.createDataFrame(targets, "g string, k long")
+    got = {(r.g, r.k): r.v for r in kth_smallest(df, ["g"], "v", tdf, weight="w").collect()}
+    want = {(g, k): sorted(groups[g])[k] for g, k in targets if k < len(groups[g])}
+    assert got == want
+
+
+def test_kth_smallest_on_bigint_keys(spark):
+    vals = [random.Random(7).randrange(-2 ** 62, 2 ** 62) for _ in range(1)]
+    rnd = random.Random(3)
+    vals = [rnd.randrange(-2 ** 62, 2 ** 62) for _ in range(300)] + [-2 ** 63, 2 ** 63 - 1, 0]
+    df = spark.createDataFrame([("x", v) for v in vals], "g string, v long")
+    tdf = spark.createDataFrame([("x", k) for k in (0, 1, 150, 302)], "g string, k long")
+    got = {r.k: r.v for r in kth_smallest(df, ["g"], "v", tdf).collect()}
+    s = sorted(vals)
+    assert got == {k: s[k] for k in (0, 1, 150, 302)}
+
+
+def _raw(spark, n=200, seed=1):
+    rnd = random.Random(seed)
+    t0 = datetime(2022, 3, 1)
+    rows = []
+    for i in range(n):
+        ts = t0 + timedelta(hours=i)
+        ws = rnd.choice([None, 1.0, 2.0, 2.5, 3.0, 3.5, 4.0])
+        wd = float(rnd.randrange(1, 360))
+        po = rnd.choice([None, 0.5, 1.5, 2.5, 2.5, 3.25, 4.75])
+        rows.append((ts, i % 5, ws, wd, po))
+    return spark.createDataFrame(rows, S)
+
+
+def test_distributed_profile_equals_builtin(spark):
+    raw = _raw(spark)
+    anoms = raw.where(F.col("power_output") > 4)
+    b = {r.period: r for r in period_profile(raw, anoms, method="builtin").collect()}
+    variants = [dict(), dict(max_distinct=0), dict(persisted=[]), dict(persisted=[], max_distinct=3)]
+    for kw in variants:
+        a = {r.period: r for r in period_profile(raw, anoms, method="distributed", **kw).collect()}
+        assert set(a) == set(b) == {"full_dataset", "last_4_weeks", "last_2_weeks", "last_1_week", "last_1_day"}
+        for p in a:
+            for c in a[p].asDict():
+                if c == "period":
+                    continue
+                x, y = a[p][c], b[p][c]
+                assert abs(x - y) < 1e-9, (kw, p, c, x, y)
+
+
+def test_profile_even_median_tied_mode_and_empty_period(spark):
+    t = datetime(2022, 3, 10)
+    rows = [(t - timedelta(days=20), 1, 1.0, 10.0, 2.0), (t - timedelta(days=20), 2, 2.0, 20.0, 4.0),
+            (t - timedelta(days=20), 3, 2.0, 10.0, 4.0), (t - timedelta(days=21), 3, 1.0, 20.0, 2.0),
+            (t, 1, None, 1.0, 1.0)]   # latest row is incomplete: anchors periods, never eligible
+    raw = spark.createDataFrame(rows, S)
+    none = raw.where(F.lit(False))
+    got = {r.period: r for r in period_profile(raw, none).collect()}
+    assert set(got) == {"full_dataset", "last_4_weeks"}       # shorter look-backs are empty
+    full = got["full_dataset"]
+    assert full.wind_speed_median == 1.5 and full.power_output_median == 3.0
+    assert full.wind_speed_mode == 1.0 and full.wind_direction_mode == 10.0   # ties -> smallest
+    assert full.power_output_mean == 3.0
+
+
+def test_eligible_rows_excludes_anomalies_and_incomplete(spark):
+    raw = _raw(spark, n=50)
+    anoms = raw.where(F.col("power_output") == 0.5)
+    e = eligible_rows(raw, anoms).collect()
+    assert all(r.power_output not in (None, 0.5) and r.wind_speed is not None for r in e)
+    plan = eligible_rows(raw, anoms)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan
