@@ -64,19 +64,20 @@ def distinct_ids(anomalies: DataFrame) -> DataFrame:
     return anomalies.select(DEVICE).distinct().orderBy(DEVICE)
 
 
-def anomaly_pivot(anomalies: DataFrame, ids: list | None = None) -> DataFrame:
+def anomaly_pivot(anomalies: DataFrame, ids: list | None = None,
+                  counts: DataFrame | None = None) -> DataFrame:
     """Days x devices, 0 where a device had no anomaly, ordered by day.
 
     The column list is the device dimension; it is read with one distinct
-    query unless given. Counting happens per (day, device) before the pivot,
-    so the wide step only sees pre-aggregated rows.
+    query unless given. ``counts`` (the long form, e.g. as just written) saves
+    re-aggregating the anomalies: the wide step then only spreads
+    (day, device, count) rows, one task per day group.
     """
+    long = counts if counts is not None else anomaly_counts_long(anomalies)
     if ids is None:
-        ids = [r[0] for r in distinct_ids(anomalies).collect()]
-    counts = anomaly_counts_long(anomalies)
+        ids = [r[0] for r in long.select(DEVICE).distinct().orderBy(DEVICE).collect()]
     if not ids:
-        return counts.select(DAY).where(F.lit(False))
-    wide = (counts.groupBy(DAY).pivot(DEVICE, ids).agg(F.first("anomaly_count"))
-            .na.fill(0, subset=[str(i) for i in ids]))
-    return wide.select(F.col(DAY), *[F.col(f"`{i}`").cast("bigint").alias(f"{PIVOT_PREFIX}{i}")
-                                      for i in ids]).orderBy(DAY)
+        return long.select(DAY).where(F.lit(False))
+    names = [f"{PIVOT_PREFIX}{i}" for i in ids]
+    wide = long.groupBy(DAY).pivot(DEVICE, ids).agg(F.sum("anomaly_count")).toDF(DAY, *names)
+    return wide.na.fill(0, subset=names).orderBy(DAY)

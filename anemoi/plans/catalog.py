@@ -9,6 +9,7 @@ Computed doubles are rounded to 6 places for comparison with other engines.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,16 +49,30 @@ def rounded(df: DataFrame, cols=None, digits: int = 6) -> DataFrame:
 
 
 class FirstRun:
-    """Lazy frames of one first daily run over the telemetry adapter."""
+    """Lazy frames of one first daily run over the telemetry adapter; each
+    stage is built on first use, so a query pays only for what it reads."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, method: str = "distributed"):
         self.raw = telemetry(table(spark, sf_dir, "events"))
-        self.bounds = bounds(self.raw)
-        self.anomalies = flag_outliers(self.raw, self.bounds)
+        self.method = method
         self.cached: list = []
-        self.profile = period_profile(self.raw, self.anomalies, method=method, persisted=self.cached) \
+
+    @cached_property
+    def bounds(self) -> DataFrame:
+        return bounds(self.raw)
+
+    @cached_property
+    def anomalies(self) -> DataFrame:
+        return flag_outliers(self.raw, self.bounds)
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return period_profile(self.raw, self.anomalies, method=self.method, persisted=self.cached) \
             .withColumn("calculation_timestamp", ts_literal(RUN_TS))
-        self.clean = clean_rows(self.raw, self.anomalies, self.profile, "full_dataset")
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        return clean_rows(self.raw, self.anomalies, self.profile, "full_dataset")
 
 
 # --- queries -------------------------------------------------------------------

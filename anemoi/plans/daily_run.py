@@ -19,6 +19,8 @@ If the band is undefined (sigma NULL or 0), steps 4-6 are skipped and 7-8 still
 
 from __future__ import annotations
 
+import time
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -48,6 +50,16 @@ class RunReport:
     band: dict | None = None
     cleaning: str = "skipped"
     archived: list = field(default_factory=list)
+    timings: dict = field(default_factory=dict)
+
+
+@contextmanager
+def timed(report: RunReport, step: str):
+    t0 = time.perf_counter()
+    try:
+        yield
+    finally:
+        report.timings[step] = round(time.perf_counter() - t0, 3)
 
 
 def list_feed(spark: SparkSession, feed_dir: str, glob: str) -> list[str]:
@@ -60,36 +72,51 @@ def list_feed(spark: SparkSession, feed_dir: str, glob: str) -> list[str]:
 
 def _days(df: DataFrame) -> list:
     """Distinct days of a frame: bounded by the calendar, safe to collect."""
-    return [r[0] for r in df.select(DAY).distinct().collect()]
+    return sorted(r[0] for r in df.select(DAY).distinct().collect())
+
+
+def merge_batch(store: TableStore, rows: DataFrame, run_ts: datetime, opt: Options,
+                report: RunReport, offsets: DataFrame | None = None) -> list:
+    """Parse a batch of feed rows (text columns, ``file_name``, ``row_no``),
+    upsert the valid ones into raw and append the tracker rows. Returns the
+    days of raw that changed. Re-running the same batch is harmless: keyed."""
+    run = ts_literal(run_ts)
+    parsed = parse_readings(rows, opt.day_first, opt.zero_is_missing)
+    valid, _rejects = split_valid(parsed)
+    with timed(report, "ingest.batch_days"):
+        # one small job: rows, rejects and valid days of the batch (days are bounded)
+        per_day = (parsed.groupBy(F.to_date(TS).alias(DAY))
+                   .agg(F.count(F.lit(1)).alias("n"), F.count("reject_reason").alias("bad"))
+                   .collect())
+    report.new_rows += sum(r["n"] for r in per_day)
+    report.rejected += sum(r["bad"] for r in per_day)
+    days = sorted(r[DAY] for r in per_day if r[DAY] is not None and r["n"] > r["bad"])
+    if days:
+        batch = valid.select(*KEY, *MEASURES, "file_name", "row_no",
+                             run.alias(INSERTED)).withColumn(DAY, day_of(TS))
+        merged = upsert(store.read_days("raw", days), batch, list(KEY),
+                        seq=["file_name", "row_no"], keep_first=[INSERTED])
+        with timed(report, "ingest.raw_upsert"):
+            store.overwrite_days("raw", merged)
+    if per_day:
+        with timed(report, "ingest.tracker"):
+            store.append("tracker", feed_state(parsed, run, prior=offsets))
+    return days
 
 
 def ingest(spark: SparkSession, store: TableStore, feed_dir: str, run_ts: datetime,
            opt: Options, report: RunReport, archive_dir: str | None = None) -> list:
-    """Steps 1: returns the days of raw that changed."""
+    """Step 1 for feeds that re-deliver growing files under the same name:
+    only rows past each file's stored offset are read into raw."""
     files = list_feed(spark, feed_dir, opt.feed_glob)
     report.files = files
     if not files:
         return []
-    run = ts_literal(run_ts)
     offsets = latest_offsets(store.read("tracker"))
     text = scan_feed(spark, files, glob=opt.feed_glob)
     new = tail_rows(text, offsets).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        parsed = parse_readings(new, opt.day_first, opt.zero_is_missing)
-        valid, rejects = split_valid(parsed)
-        counts = parsed.agg(F.count(F.lit(1)).alias("n"),
-                            F.count(F.col("reject_reason")).alias("bad")).first()
-        report.new_rows, report.rejected = int(counts["n"]), int(counts["bad"])
-        days = []
-        if report.new_rows > report.rejected:
-            batch = valid.select(*KEY, *MEASURES, "file_name", "row_no",
-                                 run.alias(INSERTED)).withColumn(DAY, day_of(TS))
-            days = _days(batch)
-            merged = upsert(store.read_days("raw", days), batch, list(KEY),
-                            seq=["file_name", "row_no"], keep_first=[INSERTED])
-            store.overwrite_days("raw", merged)
-        if report.new_rows:
-            store.append("tracker", feed_state(parsed, run, prior=offsets))
+        days = merge_batch(store, new, run_ts, opt, report, offsets)
     finally:
         new.unpersist()
     if opt.archive:
@@ -99,80 +126,94 @@ def ingest(spark: SparkSession, store: TableStore, feed_dir: str, run_ts: dateti
 
 def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Options,
                report: RunReport) -> list:
-    """Steps 2-6: returns the days whose clean rows changed."""
+    """Steps 2-6: returns the days whose clean rows may have changed."""
     run = ts_literal(run_ts)
     raw = store.read("raw")
     clean_prev = store.read("clean")
-    clean_empty = clean_prev.isEmpty()
+    with timed(report, "clean.state"):
+        # previous clean: emptiness, cutoff and high-water insertion date in one job
+        hw = clean_prev.agg(F.max(TS).alias("cutoff"), F.max(INSERTED).alias("hw")).first()
+        anomalies_empty = store.is_empty("anomalies")
+    clean_empty = hw["cutoff"] is None
     report.baseline_source = "raw" if clean_empty else "clean"
     base = raw if clean_empty else clean_prev
     band_rows = bounds(base, opt.k_sigma, groups=opt.bound_groups)
-    if not opt.bound_groups:
-        b = band_rows.first()
-        if b is None:
-            return []
-        report.band = b.asDict()
-        band_df = (b["lower_bound"], b["upper_bound"])
-    else:
-        band_df = band_rows
-        if band_df.isEmpty():
-            return []
-    hw = clean_prev.agg(F.max(TS).alias("cutoff"), F.max(INSERTED).alias("hw")).first()
-    anomalies_prev = store.read("anomalies")
-    cutoff = None if anomalies_prev.isEmpty() else (
+    with timed(report, "clean.bounds"):
+        if not opt.bound_groups:
+            b = band_rows.first()
+            if b is None:
+                return []
+            report.band = b.asDict()
+            band = (b["lower_bound"], b["upper_bound"])
+        else:
+            band = band_rows.persist(StorageLevel.MEMORY_AND_DISK)
+            if band.isEmpty():
+                return []
+    cutoff = None if anomalies_empty else (
         ts_literal(hw["cutoff"]) if hw["cutoff"] is not None else F.lit(None).cast("timestamp_ntz"))
-    flagged = flag_outliers(raw, band_df, cutoff, opt.outlier_scope, groups=opt.bound_groups)
-    flagged = flagged.select(*KEY, *MEASURES, run.alias(INSERTED), DAY)
-    a_days = _days(flagged)
-    if a_days:
-        merged = upsert(store.read_days("anomalies", a_days), flagged, list(KEY))
-        store.overwrite_days("anomalies", merged)
+    flagged = flag_outliers(raw, band, cutoff, opt.outlier_scope, groups=opt.bound_groups) \
+        .select(*KEY, *MEASURES, run.alias(INSERTED), DAY) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with timed(report, "clean.anomalies"):
+            a_days = _days(flagged)
+            if a_days:
+                merged = upsert(store.read_days("anomalies", a_days), flagged, list(KEY))
+                store.overwrite_days("anomalies", merged)
+    finally:
+        flagged.unpersist()
     anomalies = store.read("anomalies")
 
     cached: list = []
     prof = period_profile(raw, anomalies, opt.periods, method=opt.profile_method, persisted=cached) \
         .withColumn("calculation_timestamp", run)
-    try:
-        store.append("profile", prof)
-    finally:
-        for c in cached:
-            c.unpersist()
+    with timed(report, "clean.profile"):
+        try:
+            store.append("profile", prof)
+        finally:
+            for c in cached:
+                c.unpersist()
     profile = store.read("profile")
 
     # Raw rows not yet considered by a clean step carry a later insertion date.
     pending = raw if hw["hw"] is None else raw.where(F.col(INSERTED) > ts_literal(hw["hw"]))
-    days = _days(pending)
-    if opt.retract and a_days:
-        days = sorted(set(days) | set(a_days))
-    if not days:
-        report.cleaning = "done"
-        return []
-    raw_d = raw.where(F.col(DAY).isin(days))
-    cand = clean_rows(raw_d, anomalies.where(F.col(DAY).isin(days)), profile, opt.impute_period)
-    prev_d = store.read_days("clean", days)
-    new = insert_ignore(prev_d, cand, list(KEY), assume_unique=True) \
-        .select(*KEY, *MEASURES, run.alias(INSERTED)).withColumn(DAY, day_of(TS))
-    if opt.retract and a_days:
-        kept = prev_d.join(anomalies.select(*KEY), list(KEY), "left_anti")
-        store.overwrite_days("clean", kept.unionByName(new))
-    else:
-        store.append("clean", new)
+    with timed(report, "clean.insert"):
+        days = _days(pending)
+        if opt.retract and a_days:
+            days = sorted(set(days) | set(a_days))
+        if days:
+            raw_d = raw.where(F.col(DAY).isin(days))
+            cand = clean_rows(raw_d, anomalies.where(F.col(DAY).isin(days)), profile, opt.impute_period)
+            prev_d = store.read_days("clean", days)
+            new = insert_ignore(prev_d, cand, list(KEY), assume_unique=True) \
+                .select(*KEY, *MEASURES, run.alias(INSERTED)).withColumn(DAY, day_of(TS))
+            if opt.retract and a_days:
+                kept = prev_d.join(anomalies.select(*KEY), list(KEY), "left_anti")
+                store.overwrite_days("clean", kept.unionByName(new))
+            else:
+                store.append("clean", new)
     report.cleaning = "done"
     return days
 
 
-def summary_step(spark: SparkSession, store: TableStore, run_ts: datetime, days: list) -> None:
+def summary_step(spark: SparkSession, store: TableStore, run_ts: datetime, days: list,
+                 report: RunReport, opt: Options) -> None:
     """Steps 7-8."""
     run = ts_literal(run_ts)
     if days:
-        clean = store.read_days("clean", days)
-        fresh = daily_summary(clean).withColumn(INSERTED, run)
-        merged = upsert(store.read_days("daily_summary", days), fresh, [DAY, DEVICE],
-                        keep_first=[INSERTED])
-        store.overwrite_days("daily_summary", merged)
+        with timed(report, "summaries.daily"):
+            clean = store.read_days("clean", days)
+            fresh = daily_summary(clean).withColumn(INSERTED, run)
+            merged = upsert(store.read_days("daily_summary", days), fresh, [DAY, DEVICE],
+                            keep_first=[INSERTED])
+            store.overwrite_days("daily_summary", merged)
     anomalies = store.read("anomalies")
-    store.replace("anomaly_counts", anomaly_counts_long(anomalies))
-    store.replace("anomaly_pivot", anomaly_pivot(anomalies))
+    with timed(report, "summaries.anomaly_counts"):
+        store.replace("anomaly_counts", anomaly_counts_long(anomalies))
+    if opt.wide_pivot:
+        with timed(report, "summaries.anomaly_pivot"):
+            counts = spark.read.parquet(store.path("anomaly_counts"))
+            store.replace("anomaly_pivot", anomaly_pivot(anomalies, counts=counts))
 
 
 def run_daily(spark: SparkSession, feed_dir: str, root: str, run_ts: datetime,
@@ -180,7 +221,10 @@ def run_daily(spark: SparkSession, feed_dir: str, root: str, run_ts: datetime,
     opt = options or Options()
     store = TableStore(spark, root)
     report = RunReport(run_ts)
-    ingest(spark, store, feed_dir, run_ts, opt, report, archive_dir)
-    days = clean_step(spark, store, run_ts, opt, report)
-    summary_step(spark, store, run_ts, days)
+    with timed(report, "ingest"):
+        ingest(spark, store, feed_dir, run_ts, opt, report, archive_dir)
+    with timed(report, "clean"):
+        days = clean_step(spark, store, run_ts, opt, report)
+    with timed(report, "summaries"):
+        summary_step(spark, store, run_ts, days, report, opt)
     return report

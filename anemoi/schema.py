@@ -104,5 +104,7 @@ class Options:
     profile_method: str = "distributed"
     feed_glob: str = FEED_PREFIX + "*.csv"
     archive: bool = True
+    # Also write the wide anomaly pivot (one column per device) next to the long counts.
+    wide_pivot: bool = True
     storage_float: bool = False
     periods: tuple = field(default=PERIODS)
