@@ -94,18 +94,29 @@ def period_profile(raw: DataFrame, anomalies: DataFrame, periods=PERIODS,
     if method != "distributed":
         raise ValueError(f"unknown profile method {method!r}")
 
+    return profile_from_counts(period_value_counts(elig, starts), max_distinct, persisted)
+
+
+def period_value_counts(elig: DataFrame, starts) -> DataFrame:
+    """(period, measure, value, n): each (measure, value) counted once, with
+    the period counts side by side, then spread to one row per period."""
     long = elig.select(TS, F.explode(F.array(*[
         F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MEASURES
     ])).alias("mv")).select(TS, "mv.measure", "mv.value")
     inside = [F.lit(True) if s is None else F.col(TS) >= s for _, s in starts]
     vc = long.groupBy("measure", "value").agg(
         *[F.count_if(c).alias(f"n{i}") for i, c in enumerate(inside)])
-    per = vc.select("measure", "value", F.explode(F.array(*[
+    return vc.select("measure", "value", F.explode(F.array(*[
         F.struct(F.lit(name).alias("period"), F.col(f"n{i}").alias("n"))
         for i, (name, _) in enumerate(starts)])).alias("pn")) \
         .select(F.col("pn.period").alias("period"), "measure", "value", F.col("pn.n").alias("n")) \
         .where(F.col("n") > 0)
 
+
+def profile_from_counts(per: DataFrame, max_distinct: int = MAX_DISTINCT_IN_TASK,
+                        persisted: list | None = None) -> DataFrame:
+    """Mean, exact median and mode per (period, measure) from value counts,
+    spread to one row per period."""
     g = ["period", "measure"]
     tot = tot_of(per, g)
     if persisted is not None:

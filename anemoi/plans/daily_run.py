@@ -25,13 +25,17 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anemoi.functions.expressions import day_of, ts_literal
 from anemoi.operators import (
-    anomaly_counts_long, anomaly_pivot, bounds, clean_rows, daily_summary, flag_outliers,
-    insert_ignore, period_profile, upsert,
+    anomaly_counts_long, anomaly_pivot, bounds, clean_rows, daily_summary, eligible_rows,
+    flag_outliers, insert_ignore, upsert,
+)
+from anemoi.operators.profile import profile_from_counts
+from anemoi.plans.day_stats import (
+    bounds_from_stats, clean_stats, counts_by_period, elig_counts, long_values, raw_days,
 )
 from anemoi.plans.store import TableStore
 from anemoi.schema import DAY, DEVICE, INSERTED, KEY, MEASURES, TS, Options
@@ -98,6 +102,9 @@ def merge_batch(store: TableStore, rows: DataFrame, run_ts: datetime, opt: Optio
                         seq=["file_name", "row_no"], keep_first=[INSERTED])
         with timed(report, "ingest.raw_upsert"):
             store.overwrite_days("raw", merged)
+        with timed(report, "ingest.raw_days"):
+            prev = store.read_days("raw_days", days) if store.exists("raw_days") else None
+            store.overwrite_days("raw_days", raw_days(store.read_days("raw", days), run, prev))
     if per_day:
         with timed(report, "ingest.tracker"):
             store.append("tracker", feed_state(parsed, run, prior=offsets))
@@ -124,20 +131,35 @@ def ingest(spark: SparkSession, store: TableStore, feed_dir: str, run_ts: dateti
     return days
 
 
+def _ensure_day_stats(store: TableStore, run: Column) -> None:
+    """Build the per-day tables from the full tables when they are absent."""
+    if store.exists("raw") and not store.exists("raw_days"):
+        store.overwrite_days("raw_days", raw_days(store.read("raw"), run))
+    if store.exists("clean") and not store.exists("clean_stats"):
+        store.overwrite_days("clean_stats", clean_stats(store.read("clean")))
+
+
 def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Options,
                report: RunReport) -> list:
     """Steps 2-6: returns the days whose clean rows may have changed."""
     run = ts_literal(run_ts)
-    raw = store.read("raw")
-    clean_prev = store.read("clean")
     with timed(report, "clean.state"):
-        # previous clean: emptiness, cutoff and high-water insertion date in one job
-        hw = clean_prev.agg(F.max(TS).alias("cutoff"), F.max(INSERTED).alias("hw")).first()
+        _ensure_day_stats(store, run)
+        raw = store.read("raw")
+        rd = store.read("raw_days")
+        cs = store.read("clean_stats")
+        # previous clean: emptiness, cutoff and high-water insertion date, from per-day stats
+        hw = cs.agg(F.max("max_ts").alias("cutoff"), F.max("max_inserted").alias("hw")).first()
+        anchor = rd.agg(F.max("max_ts")).first()[0]
         anomalies_empty = store.is_empty("anomalies")
+    if anchor is None:
+        return []
     clean_empty = hw["cutoff"] is None
     report.baseline_source = "raw" if clean_empty else "clean"
-    base = raw if clean_empty else clean_prev
-    band_rows = bounds(base, opt.k_sigma, groups=opt.bound_groups)
+    if clean_empty:
+        band_rows = bounds(raw, opt.k_sigma, groups=opt.bound_groups)
+    else:
+        band_rows = bounds_from_stats(cs, opt.k_sigma, groups=opt.bound_groups)
     with timed(report, "clean.bounds"):
         if not opt.bound_groups:
             b = band_rows.first()
@@ -157,16 +179,33 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
     try:
         with timed(report, "clean.anomalies"):
             a_days = _days(flagged)
+            new_days = []
             if a_days:
-                merged = upsert(store.read_days("anomalies", a_days), flagged, list(KEY))
-                store.overwrite_days("anomalies", merged)
+                prev = store.read_days("anomalies", a_days)
+                # days that gain anomaly keys: the only days whose eligible set shrinks
+                new_days = _days(flagged.join(prev.select(*KEY), list(KEY), "left_anti"))
+                store.overwrite_days("anomalies", upsert(prev, flagged, list(KEY)))
     finally:
         flagged.unpersist()
     anomalies = store.read("anomalies")
 
+    with timed(report, "clean.value_counts"):
+        stale = rd.where(F.col("counted").isNull() | (F.col("changed") > F.col("counted")))
+        refresh = sorted(set(_days(stale)) | set(new_days))
+        if refresh:
+            store.overwrite_days("elig_counts", elig_counts(
+                raw.where(F.col(DAY).isin(refresh)), anomalies.where(F.col(DAY).isin(refresh)),
+                refresh, run))
+            store.overwrite_days("raw_days", rd.where(F.col(DAY).isin(refresh))
+                                 .withColumn("counted", run))
+    starts = [(name, None if lb is None else anchor - lb) for name, lb in opt.periods]
+    edge = sorted({s.date() for _, s in starts if s is not None})
+    boundary = long_values(eligible_rows(raw.where(F.col(DAY).isin(edge)),
+                                         anomalies.where(F.col(DAY).isin(edge)))
+                           .withColumn(DAY, F.to_date(TS)))
+    per = counts_by_period(store.read("elig_counts"), boundary, starts)
     cached: list = []
-    prof = period_profile(raw, anomalies, opt.periods, method=opt.profile_method, persisted=cached) \
-        .withColumn("calculation_timestamp", run)
+    prof = profile_from_counts(per, persisted=cached).withColumn("calculation_timestamp", run)
     with timed(report, "clean.profile"):
         try:
             store.append("profile", prof)
@@ -175,23 +214,32 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
                 c.unpersist()
     profile = store.read("profile")
 
-    # Raw rows not yet considered by a clean step carry a later insertion date.
-    pending = raw if hw["hw"] is None else raw.where(F.col(INSERTED) > ts_literal(hw["hw"]))
     with timed(report, "clean.insert"):
+        # days holding raw rows that no clean step has considered yet
+        rd = store.read("raw_days")
+        pending = rd if hw["hw"] is None else rd.where(F.col("changed") > ts_literal(hw["hw"]))
         days = _days(pending)
-        if opt.retract and a_days:
-            days = sorted(set(days) | set(a_days))
+        if opt.retract and new_days:
+            days = sorted(set(days) | set(new_days))
         if days:
             raw_d = raw.where(F.col(DAY).isin(days))
             cand = clean_rows(raw_d, anomalies.where(F.col(DAY).isin(days)), profile, opt.impute_period)
             prev_d = store.read_days("clean", days)
             new = insert_ignore(prev_d, cand, list(KEY), assume_unique=True) \
                 .select(*KEY, *MEASURES, run.alias(INSERTED)).withColumn(DAY, day_of(TS))
-            if opt.retract and a_days:
+            if opt.retract and new_days:
                 kept = prev_d.join(anomalies.select(*KEY), list(KEY), "left_anti")
                 store.overwrite_days("clean", kept.unionByName(new))
             else:
                 store.append("clean", new)
+    with timed(report, "clean.stats"):
+        if days:
+            st = clean_stats(store.read_days("clean", days))
+            store.overwrite_days("clean_stats", st)
+            if opt.retract:
+                gone = sorted(set(days) - set(_days(store.read_days("clean_stats", days))))
+                store.drop_days("clean", gone)
+                store.drop_days("clean_stats", gone)
     report.cleaning = "done"
     return days
 

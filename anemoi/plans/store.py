@@ -16,6 +16,13 @@ from pyspark.sql import types as T
 from anemoi.schema import DAY, DAY_PARTITIONED, TABLES
 
 
+def _schema(name: str):
+    if name in TABLES:
+        return TABLES[name]
+    from anemoi.plans.day_stats import SCHEMAS
+    return SCHEMAS.get(name)
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -36,7 +43,7 @@ class TableStore:
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """The table, or an empty frame of its schema when it was never written."""
-        schema = schema or TABLES.get(name)
+        schema = schema or _schema(name)
         if not self.exists(name):
             if schema is None:
                 raise FileNotFoundError(self.path(name))
@@ -55,7 +62,7 @@ class TableStore:
         return (not self.exists(name)) or self.read(name).isEmpty()
 
     def _order(self, name: str, df: DataFrame) -> DataFrame:
-        schema = TABLES.get(name)
+        schema = _schema(name)
         if schema is None:
             return df
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
@@ -68,10 +75,17 @@ class TableStore:
 
     def append(self, name: str, df: DataFrame) -> None:
         w = self._order(name, df).write.mode("append")
-        if name in DAY_PARTITIONED:
+        if name in DAY_PARTITIONED or name in ("raw_days", "clean_stats", "elig_counts"):
             w = w.partitionBy(DAY)
         w.parquet(self.path(name))
 
+    def drop_days(self, name: str, days: list) -> None:
+        """Delete whole day partitions (driver-side file metadata only)."""
+        for d in days:
+            p, fs = self._fs(f"{self.path(name)}/{DAY}={d}")
+            if fs.exists(p):
+                fs.delete(p, True)
+
     def replace(self, name: str, df: DataFrame) -> None:
         """Drop and recreate (the pivot, whose columns follow the data)."""
         df.write.mode("overwrite").parquet(self.path(name))

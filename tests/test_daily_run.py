@@ -5,6 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tests.day_stats_check import assert_day_stats_match
 from anemoi.plans.daily_run import run_daily
 from anemoi.plans.store import TableStore
 
@@ -26,6 +27,8 @@ def _power(day, h, t):
         return "0.01"          # low outlier in the tail
     if (day, h, t) == (1, 7, 3):
         return ""              # missing power: imputed from the mean
+    if (day, h, t) == (1, 9, 2):
+        return "2.6"           # inside run 1's wide band, below run 2's narrower one
     return f"{3 + ((h + t) % 3) * 0.1:.2f}"
 
 
@@ -65,6 +68,7 @@ def test_three_runs(spark, tmpdir_run):
                                          "last_1_week", "last_1_day"}
     summ = st.read("daily_summary").collect()
     assert len(summ) == 3
+    assert_day_stats_match(spark, st)
 
     # Run 2: files re-delivered with one more day appended; one key repeated with new values.
     for g, ts in ((1, [1, 2]), (2, [3])):
@@ -81,8 +85,10 @@ def test_three_runs(spark, tmpdir_run):
     # first load rows keep their first insertion date
     assert raw.where(F.col("day") == F.lit("2022-03-01").cast("date")).select("insertion_date").distinct().count() == 1
     an = {(a.turbine_id, a.power_output) for a in st.read("anomalies").collect()}
-    assert (2, 0.01) in an and (1, 9.5) in an
-    assert st.read("clean").count() + 0 == 144 - len(an)
+    assert an == {(1, 9.5), (2, 2.6), (2, 0.01)}
+    # The day-1 reading flagged in run 2 stays in clean
+    assert st.read("clean").count() == 144 - len(an) + 1
+    assert_day_stats_match(spark, st)
     tracker = st.read("tracker").collect()
     assert sorted(t.last_record_csv_row_number for t in tracker) == [24, 48, 49, 96]
     assert st.read("daily_summary").count() == 6
@@ -93,6 +99,7 @@ def test_three_runs(spark, tmpdir_run):
     assert r3.files == [] and r3.new_rows == 0
     assert r3.cleaning == "done"
     assert st.read("raw").count() == 144
-    assert st.read("clean").count() == 144 - len(an)
+    assert st.read("clean").count() == 144 - len(an) + 1
+    assert_day_stats_match(spark, st)
     piv = st.read("anomaly_pivot")
     assert set(piv.columns) >= {"day", "Turbine_ID_1", "Turbine_ID_2"}
