@@ -53,6 +53,7 @@ class RunReport:
     baseline_source: str | None = None
     band: dict | None = None
     cleaning: str = "skipped"
+    anomaly_days: list = field(default_factory=list)
     archived: list = field(default_factory=list)
     timings: dict = field(default_factory=dict)
 
@@ -184,6 +185,7 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
                 prev = store.read_days("anomalies", a_days)
                 # days that gain anomaly keys: the only days whose eligible set shrinks
                 new_days = _days(flagged.join(prev.select(*KEY), list(KEY), "left_anti"))
+                report.anomaly_days = new_days
                 store.overwrite_days("anomalies", upsert(prev, flagged, list(KEY)))
     finally:
         flagged.unpersist()
@@ -257,10 +259,16 @@ def summary_step(spark: SparkSession, store: TableStore, run_ts: datetime, days:
             store.overwrite_days("daily_summary", merged)
     anomalies = store.read("anomalies")
     with timed(report, "summaries.anomaly_counts"):
-        store.replace("anomaly_counts", anomaly_counts_long(anomalies))
-    if opt.wide_pivot:
+        # counts depend on the anomaly keys only: recount the days that gained keys
+        if not store.exists("anomaly_counts"):
+            if store.exists("anomalies"):
+                store.overwrite_days("anomaly_counts", anomaly_counts_long(anomalies))
+        elif report.anomaly_days:
+            store.overwrite_days("anomaly_counts", anomaly_counts_long(
+                anomalies.where(F.col(DAY).isin(report.anomaly_days))))
+    if opt.wide_pivot and store.exists("anomaly_counts"):
         with timed(report, "summaries.anomaly_pivot"):
-            counts = spark.read.parquet(store.path("anomaly_counts"))
+            counts = store.read("anomaly_counts")
             store.replace("anomaly_pivot", anomaly_pivot(anomalies, counts=counts))
 
 

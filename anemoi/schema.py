@@ -73,6 +73,12 @@ CSV_TEXT = T.StructType(
     + [T.StructField("_corrupt_record", T.StringType(), True)]
 )
 
+ANOMALY_COUNTS = T.StructType([
+    T.StructField(DAY, T.DateType(), False),
+    T.StructField(DEVICE, T.LongType(), False),
+    T.StructField("anomaly_count", T.LongType(), False),
+])
+
 TABLES = {
     "raw": READINGS,
     "clean": READINGS,
@@ -80,8 +86,9 @@ TABLES = {
     "tracker": TRACKER,
     "profile": PROFILE,
     "daily_summary": DAILY_SUMMARY,
+    "anomaly_counts": ANOMALY_COUNTS,
 }
-DAY_PARTITIONED = ("raw", "clean", "anomalies", "daily_summary")
+DAY_PARTITIONED = ("raw", "clean", "anomalies", "daily_summary", "anomaly_counts")
 
 
 @dataclass(frozen=True)

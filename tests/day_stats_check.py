@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from anemoi.functions.expressions import ts_literal
-from anemoi.operators import bounds, period_profile
+from anemoi.operators import anomaly_counts_long, bounds, period_profile
 from anemoi.plans.day_stats import bounds_from_stats, elig_counts
 
 
@@ -26,6 +26,10 @@ def assert_day_stats_match(spark, st):
         for c in ("mean_power", "std_power", "lower_bound", "upper_bound"):
             assert _close(b1[c], b2[c]), c
 
+    if st.exists("anomaly_counts"):
+        assert sorted(map(tuple, anomaly_counts_long(anoms).collect())) == \
+            sorted(map(tuple, st.read("anomaly_counts").select("day", "turbine_id", "anomaly_count").collect()))
+
     prof = st.read("profile")
     last = prof.agg(F.max("calculation_timestamp")).first()[0]
     got = {r.period: r for r in prof.where(F.col("calculation_timestamp") == ts_literal(last)).collect()}
