@@ -171,6 +171,7 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
         else:
             band = band_rows.persist(StorageLevel.MEMORY_AND_DISK)
             if band.isEmpty():
+                band.unpersist()
                 return []
     cutoff = None if anomalies_empty else (
         ts_literal(hw["cutoff"]) if hw["cutoff"] is not None else F.lit(None).cast("timestamp_ntz"))
@@ -186,9 +187,18 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
                 # days that gain anomaly keys: the only days whose eligible set shrinks
                 new_days = _days(flagged.join(prev.select(*KEY), list(KEY), "left_anti"))
                 report.anomaly_days = new_days
-                store.overwrite_days("anomalies", upsert(prev, flagged, list(KEY)))
+                write = flagged
+                if not opt.refresh_reflagged:
+                    touched = _days(rd.where(F.col("changed") == run))
+                    a_days = sorted(set(new_days) | (set(a_days) & set(touched)))
+                    prev = prev.where(F.col(DAY).isin(a_days))
+                    write = flagged.where(F.col(DAY).isin(a_days))
+                if a_days:
+                    store.overwrite_days("anomalies", upsert(prev, write, list(KEY)))
     finally:
         flagged.unpersist()
+        if opt.bound_groups:
+            band.unpersist()
     anomalies = store.read("anomalies")
 
     with timed(report, "clean.value_counts"):

@@ -67,17 +67,23 @@ class TableStore:
             return df
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
+    def _for_write(self, name: str, df: DataFrame) -> DataFrame:
+        """Rebalance on ``day`` before a partitioned write: AQE then sizes the
+        output files and splits a hot day across tasks instead of writing
+        (tasks x days) small files."""
+        return self._order(name, df).hint("rebalance", DAY)
+
     def overwrite_days(self, name: str, df: DataFrame) -> None:
         """Replace the day partitions present in ``df``; leave all others."""
-        (self._order(name, df).write.mode("overwrite")
+        (self._for_write(name, df).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(DAY).parquet(self.path(name)))
 
     def append(self, name: str, df: DataFrame) -> None:
-        w = self._order(name, df).write.mode("append")
         if name in DAY_PARTITIONED or name in ("raw_days", "clean_stats", "elig_counts"):
-            w = w.partitionBy(DAY)
-        w.parquet(self.path(name))
+            self._for_write(name, df).write.mode("append").partitionBy(DAY).parquet(self.path(name))
+        else:
+            self._order(name, df).write.mode("append").parquet(self.path(name))
 
     def drop_days(self, name: str, days: list) -> None:
         """Delete whole day partitions (driver-side file metadata only)."""

@@ -103,6 +103,10 @@ class Options:
     bound_groups: tuple = ()
     # Also drop already-clean rows that are flagged later.
     retract: bool = False
+    # Re-flagged anomalies get a fresh insertion date (reference behaviour), which
+    # rewrites every day holding one. False rewrites only days that gained keys or
+    # took new readings.
+    refresh_reflagged: bool = True
     zero_is_missing: bool = True
     day_first: bool = False
     impute_period: str = "full_dataset"

@@ -40,7 +40,9 @@ def with_row_numbers(df: DataFrame, file_col: str = "file_name", split_col: str
     before = Window.partitionBy(file_col).orderBy(split_col).rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select(file_col, split_col, "_first",
                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"))
-    out = df.join(splits, [file_col, split_col])
+    # One row per split: input bytes / maxPartitionBytes rows (about 8,000 per TB),
+    # so it is broadcast and the rows themselves never shuffle.
+    out = df.join(F.broadcast(splits), [file_col, split_col])
     return out.withColumn("row_no", F.col("_before") + F.col(mono_col) - F.col("_first") + 1) \
               .drop(split_col, mono_col, "_first", "_before")
 

@@ -119,3 +119,23 @@ def test_dynamic_overwrite_keeps_other_days(spark, tmpdir_run):
     assert got == [("2022-03-01", 1.0), ("2022-03-02", 20.0), ("2022-03-03", 3.0)]
     st.drop_days("raw", [datetime(2022, 3, 3).date()])
     assert st.read("raw").count() == 2
+
+
+def test_reflagged_rows_keep_their_date_when_not_refreshed(spark, tmpdir_run):
+    feed, root, arch = _dirs(tmpdir_run)
+
+    def p(d, h, t):
+        if (d, h, t) == (1, 3, 1):
+            return 0.1
+        return 3.0 + ((h + t) % 3) * 0.1
+    _write(os.path.join(feed, "data_group_1.csv"), _day(1, p))
+    opt = Options(refresh_reflagged=False)
+    run_daily(spark, feed, root, datetime(2022, 3, 2), opt, archive_dir=arch)
+    _write(os.path.join(feed, "data_group_1.csv"), _day(1, p) + _day(2, p))
+    run_daily(spark, feed, root, datetime(2022, 3, 3), opt, archive_dir=arch)
+    st = TableStore(spark, root)
+    rows = st.read("anomalies").collect()
+    assert [(str(r.day), str(r.insertion_date)) for r in rows] == [("2022-03-01", "2022-03-02 00:00:00")]
+    run_daily(spark, feed, root, datetime(2022, 3, 4), Options(), archive_dir=arch)
+    rows = st.read("anomalies").collect()
+    assert [str(r.insertion_date) for r in rows] == ["2022-03-04 00:00:00"]     # parity refreshes
