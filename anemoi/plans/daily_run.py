@@ -268,15 +268,19 @@ def summary_step(spark: SparkSession, store: TableStore, run_ts: datetime, days:
                             keep_first=[INSERTED])
             store.overwrite_days("daily_summary", merged)
     anomalies = store.read("anomalies")
+    changed = False
     with timed(report, "summaries.anomaly_counts"):
         # counts depend on the anomaly keys only: recount the days that gained keys
         if not store.exists("anomaly_counts"):
             if store.exists("anomalies"):
                 store.overwrite_days("anomaly_counts", anomaly_counts_long(anomalies))
+                changed = True
         elif report.anomaly_days:
             store.overwrite_days("anomaly_counts", anomaly_counts_long(
                 anomalies.where(F.col(DAY).isin(report.anomaly_days))))
-    if opt.wide_pivot and store.exists("anomaly_counts"):
+            changed = True
+    # the wide table is a function of the counts: rebuilt only when they changed
+    if opt.wide_pivot and store.exists("anomaly_counts") and (changed or not store.exists("anomaly_pivot")):
         with timed(report, "summaries.anomaly_pivot"):
             counts = store.read("anomaly_counts")
             store.replace("anomaly_pivot", anomaly_pivot(anomalies, counts=counts))
