@@ -97,7 +97,11 @@ def merge_batch(store: TableStore, rows: DataFrame, run_ts: datetime, opt: Optio
     report.rejected += sum(r["bad"] for r in per_day)
     days = sorted(r[DAY] for r in per_day if r[DAY] is not None and r["n"] > r["bad"])
     if days:
-        batch = valid.select(*KEY, *MEASURES, "file_name", "row_no",
+        # storage_float: keep only single-precision values (FLOAT columns), still
+        # computed in DOUBLE, so averages match single-precision storage
+        meas = [F.col(m).cast("float").cast("double").alias(m) if opt.storage_float else F.col(m)
+                for m in MEASURES]
+        batch = valid.select(*KEY, *meas, "file_name", "row_no",
                              run.alias(INSERTED)).withColumn(DAY, day_of(TS))
         merged = upsert(store.read_days("raw", days), batch, list(KEY),
                         seq=["file_name", "row_no"], keep_first=[INSERTED])

@@ -117,5 +117,6 @@ class Options:
     archive: bool = True
     # Also write the wide anomaly pivot (one column per device) next to the long counts.
     wide_pivot: bool = True
+    # Store measures at single precision (the values a FLOAT column keeps).
     storage_float: bool = False
     periods: tuple = field(default=PERIODS)

@@ -139,3 +139,12 @@ def test_reflagged_rows_keep_their_date_when_not_refreshed(spark, tmpdir_run):
     run_daily(spark, feed, root, datetime(2022, 3, 4), Options(), archive_dir=arch)
     rows = st.read("anomalies").collect()
     assert [str(r.insertion_date) for r in rows] == ["2022-03-04 00:00:00"]     # parity refreshes
+
+
+def test_storage_float_keeps_single_precision(spark, tmpdir_run):
+    feed, root, arch = _dirs(tmpdir_run)
+    _write(os.path.join(feed, "data_group_1.csv"), _day(1, lambda d, h, t: 3.1 + (h % 2) * 0.1))
+    run_daily(spark, feed, root, datetime(2022, 3, 2), Options(storage_float=True), archive_dir=arch)
+    st = TableStore(spark, root)
+    vals = {r.power_output for r in st.read("raw").collect()}
+    assert vals == {3.0999999046325684, 3.200000047683716}
