@@ -40,6 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def day_text(df: DataFrame, col: str = "day") -> DataFrame:
+    """Present a DATE column as ISO text: the same value in every client library
+    (pandas turns DATE into objects on one side and datetime64 on the other)."""
+    return df.withColumn(col, F.date_format(F.col(col), "yyyy-MM-dd"))
+
+
 def rounded(df: DataFrame, cols=None, digits: int = 6) -> DataFrame:
     """Round double columns (all by default) for cross-engine comparison."""
     dbl = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
@@ -142,15 +148,15 @@ def q_clean(spark, sf_dir):
 
 
 def q_daily_summary(spark, sf_dir):
-    return rounded(daily_summary(FirstRun(spark, sf_dir).clean))
+    return day_text(rounded(daily_summary(FirstRun(spark, sf_dir).clean)))
 
 
 def q_anomaly_counts_long(spark, sf_dir):
-    return anomaly_counts_long(FirstRun(spark, sf_dir).anomalies)
+    return day_text(anomaly_counts_long(FirstRun(spark, sf_dir).anomalies))
 
 
 def q_anomaly_pivot(spark, sf_dir):
-    return anomaly_pivot(FirstRun(spark, sf_dir).anomalies)
+    return day_text(anomaly_pivot(FirstRun(spark, sf_dir).anomalies))
 
 
 def q_distinct_ids(spark, sf_dir):

@@ -134,16 +134,17 @@ SELECT "timestamp", turbine_id, round(wind_speed, 6) AS wind_speed,
        round(wind_direction, 6) AS wind_direction, round(power_output, 6) AS power_output
 FROM clean""",
     "daily_summary": "WITH" + _CLEAN + """
-SELECT CAST("timestamp" AS DATE) AS day, turbine_id,
+SELECT strftime(CAST("timestamp" AS DATE), '%Y-%m-%d') AS day, turbine_id,
        round(min(power_output), 6) AS min_power_output,
        round(max(power_output), 6) AS max_power_output,
        round(avg(power_output), 6) AS avg_power_output
 FROM clean GROUP BY CAST("timestamp" AS DATE), turbine_id""",
     "anomaly_counts_long": "WITH" + _ANOMALIES + """
-SELECT CAST("timestamp" AS DATE) AS day, turbine_id, count(*) AS anomaly_count
+SELECT strftime(CAST("timestamp" AS DATE), '%Y-%m-%d') AS day, turbine_id, count(*) AS anomaly_count
 FROM anomalies GROUP BY CAST("timestamp" AS DATE), turbine_id""",
     "anomaly_pivot": "WITH" + _ANOMALIES + """,
-c AS (SELECT CAST("timestamp" AS DATE) AS day, 'Turbine_ID_' || CAST(turbine_id AS VARCHAR) AS col
+c AS (SELECT strftime(CAST("timestamp" AS DATE), '%Y-%m-%d') AS day,
+             'Turbine_ID_' || CAST(turbine_id AS VARCHAR) AS col
       FROM anomalies)
 SELECT * FROM (PIVOT c ON col USING count(*) GROUP BY day)""",
     "distinct_ids": "WITH" + _ANOMALIES + """
