@@ -67,6 +67,11 @@ def timed(report: RunReport, step: str):
         report.timings[step] = round(time.perf_counter() - t0, 3)
 
 
+def sibling(path: str, name: str) -> str:
+    """``<parent of path>/<name>`` for local paths and URIs alike."""
+    return f"{path.rstrip('/').rsplit('/', 1)[0]}/{name}"
+
+
 def list_feed(spark: SparkSession, feed_dir: str, glob: str) -> list[str]:
     jvm = spark.sparkContext._jvm
     pattern = jvm.org.apache.hadoop.fs.Path(f"{feed_dir.rstrip('/')}/{glob}")
@@ -132,7 +137,7 @@ def ingest(spark: SparkSession, store: TableStore, feed_dir: str, run_ts: dateti
     finally:
         new.unpersist()
     if opt.archive:
-        report.archived = archive_files(spark, files, archive_dir or f"{feed_dir.rstrip('/')}/../archive", run_ts)
+        report.archived = archive_files(spark, files, archive_dir or sibling(feed_dir, "archive"), run_ts)
     return days
 
 

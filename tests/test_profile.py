@@ -90,3 +90,13 @@ def test_eligible_rows_excludes_anomalies_and_incomplete(spark):
     assert all(r.power_output not in (None, 0.5) and r.wind_speed is not None for r in e)
     plan = eligible_rows(raw, anoms)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan
+
+
+def test_eligible_set_is_read_once_for_all_periods(spark):
+    from anemoi.operators.profile import period_starts, period_value_counts
+    raw = _raw(spark)
+    anoms = raw.where(F.col("power_output") > 4)
+    starts = period_starts(F.lit(datetime(2022, 3, 9)).cast("timestamp_ntz"))
+    plan = period_value_counts(eligible_rows(raw, anoms), starts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LeftAnti") == 1          # one anti join, one aggregate, five periods
+    assert plan.count("HashAggregate") == 2     # partial + final
