@@ -35,7 +35,8 @@ from anemoi.operators import (
 )
 from anemoi.operators.profile import profile_from_counts
 from anemoi.plans.day_stats import (
-    bounds_from_stats, clean_stats, counts_by_period, elig_counts, long_values, raw_days,
+    bounds_from_stats, clean_stats, counts_by_period, elig_counts, long_values, outlier_days,
+    raw_days,
 )
 from anemoi.plans.store import TableStore
 from anemoi.schema import DAY, DEVICE, INSERTED, KEY, MEASURES, TS, Options
@@ -54,6 +55,7 @@ class RunReport:
     band: dict | None = None
     cleaning: str = "skipped"
     anomaly_days: list = field(default_factory=list)
+    flag_days: int | None = None
     archived: list = field(default_factory=list)
     timings: dict = field(default_factory=dict)
 
@@ -115,6 +117,11 @@ def merge_batch(store: TableStore, rows: DataFrame, run_ts: datetime, opt: Optio
         with timed(report, "ingest.raw_days"):
             prev = store.read_days("raw_days", days) if store.exists("raw_days") else None
             store.overwrite_days("raw_days", raw_days(store.read_days("raw", days), run, prev))
+    if report.rejected:
+        with timed(report, "ingest.rejects"):
+            store.append("rejects", parsed.where(F.col("reject_reason").isNotNull())
+                         .select(run.alias("run_ts"), "file_name", "row_no", "reject_reason",
+                                 "reject_text"))
     if per_day:
         with timed(report, "ingest.tracker"):
             store.append("tracker", feed_state(parsed, run, prior=offsets))
@@ -184,7 +191,17 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
                 return []
     cutoff = None if anomalies_empty else (
         ts_literal(hw["cutoff"]) if hw["cutoff"] is not None else F.lit(None).cast("timestamp_ntz"))
-    flagged = flag_outliers(raw, band, cutoff, opt.outlier_scope, groups=opt.bound_groups) \
+    scan = raw
+    if not opt.bound_groups:
+        # per-day min/max power: read only days that can hold an outlier
+        cut = None if anomalies_empty else hw["cutoff"]
+        if anomalies_empty or cut is not None:
+            cand = outlier_days(rd, band[0], band[1], cut, opt.outlier_scope)
+        else:
+            cand = outlier_days(rd, band[0], float("inf"))    # NULL cutoff: no high tail (D12)
+        report.flag_days = len(cand)
+        scan = raw.where(F.col(DAY).isin(cand))
+    flagged = flag_outliers(scan, band, cutoff, opt.outlier_scope, groups=opt.bound_groups) \
         .select(*KEY, *MEASURES, run.alias(INSERTED), DAY) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:

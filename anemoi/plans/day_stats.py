@@ -22,6 +22,8 @@ RAW_DAYS = T.StructType([
     T.StructField(DAY, T.DateType(), False),
     T.StructField("rows", T.LongType(), True),
     T.StructField("max_ts", T.TimestampNTZType(), True),
+    T.StructField("min_power", T.DoubleType(), True),
+    T.StructField("max_power", T.DoubleType(), True),
     T.StructField("changed", T.TimestampNTZType(), True),
     T.StructField("counted", T.TimestampNTZType(), True),
 ])
@@ -52,6 +54,7 @@ def raw_days(raw: DataFrame, run: Column, counted: DataFrame | None = None) -> D
     """Rows and latest reading per day, stamped as changed by this run;
     ``counted`` (day, counted) carries over when value counts were last rebuilt."""
     d = raw.groupBy(DAY).agg(F.count(F.lit(1)).alias("rows"), F.max(TS).alias("max_ts"),
+                             F.min(POWER).alias("min_power"), F.max(POWER).alias("max_power"),
                              run.alias("changed"))
     if counted is None:
         return d.withColumn("counted", F.lit(None).cast("timestamp_ntz"))
@@ -133,3 +136,16 @@ def counts_by_period(counts: DataFrame, boundary: DataFrame | None, starts: list
     for p in parts[1:]:
         per = per.unionByName(p)
     return per.groupBy("period", "measure", "value").agg(F.sum("n").alias("n"))
+
+
+def outlier_days(days: DataFrame, lo: float, hi: float, cutoff=None, scope: str = "parity") -> list:
+    """Days that can hold a reading outside (lo, hi) under the flagging rule,
+    from per-day min/max power: the raw scan then reads only those days."""
+    low = F.col("min_power") < F.lit(lo)
+    high = F.col("max_power") > F.lit(hi)
+    if cutoff is not None:
+        after = F.col("max_ts") > F.lit(cutoff)
+        cond = low | (high & after) if scope == "parity" else (low | high) & after
+    else:
+        cond = low | high
+    return sorted(r[0] for r in days.where(cond).select(DAY).collect())

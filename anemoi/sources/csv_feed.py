@@ -62,13 +62,16 @@ def parse_readings(text: DataFrame, day_first: bool = False, zero_is_missing: bo
                .when(ts.isNull(), F.lit("timestamp"))
                .when(dev.isNull(), F.lit(DEVICE)))
     extra = [c for c in text.columns if c not in (TS, DEVICE, *MEASURES, "_corrupt_record")]
+    fields = [c for c in (TS, DEVICE, *MEASURES, "_corrupt_record") if c in text.columns]
     return text.select(
         ts.alias(TS), dev.alias(DEVICE),
         *[missing_as_null(F.trim(F.col(m)).try_cast("double"), zero_is_missing).alias(m) for m in MEASURES],
-        *extra, reason.alias("reject_reason"))
+        *extra, reason.alias("reject_reason"),
+        # the original text, kept for rejected rows only
+        F.when(reason.isNotNull(), F.to_json(F.struct(*fields))).alias("reject_text"))
 
 
 def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    ok = parsed.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    ok = parsed.where(F.col("reject_reason").isNull()).drop("reject_reason", "reject_text")
     bad = parsed.where(F.col("reject_reason").isNotNull())
     return ok, bad

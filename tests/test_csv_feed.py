@@ -45,6 +45,9 @@ def test_rejects_and_normalisation(spark, tmpdir_run):
     assert str(okr[1].timestamp) == "2022-03-01 03:00:00"
     reasons = sorted((r.row_no, r.reject_reason) for r in bad.collect())
     assert reasons == [(2, "timestamp"), (3, "turbine_id"), (4, "field_count")]
+    texts = {r.row_no: r.reject_text for r in bad.collect()}
+    assert '"timestamp":"bad date"' in texts[2]
+    assert all(r.reject_text is None for r in parsed.where("reject_reason IS NULL").collect())
 
 
 def test_tail_and_tracker(spark, tmpdir_run):

@@ -49,6 +49,7 @@ def test_three_runs(spark, tmpdir_run):
 
     r1 = run_daily(spark, feed, root, datetime(2022, 3, 2, 1), archive_dir=arch)
     st = TableStore(spark, root)
+    assert r1.flag_days == 1
     assert r1.new_rows == 72 and r1.rejected == 0
     assert r1.baseline_source == "raw"
     assert st.read("raw").count() == 72
@@ -78,6 +79,7 @@ def test_three_runs(spark, tmpdir_run):
         _write(os.path.join(feed, f"data_group_{g}.csv"), lines)
     r2 = run_daily(spark, feed, root, datetime(2022, 3, 3, 1), archive_dir=arch)
     assert r2.new_rows == 73 and r2.baseline_source == "clean"
+    assert r2.flag_days == 2
     raw = st.read("raw")
     assert raw.count() == 144
     again = raw.where((F.col("turbine_id") == 3) & (F.col("timestamp") == F.lit("2022-03-02 10:00:00").cast("timestamp_ntz"))).first()

@@ -148,3 +148,15 @@ def test_storage_float_keeps_single_precision(spark, tmpdir_run):
     st = TableStore(spark, root)
     vals = {r.power_output for r in st.read("raw").collect()}
     assert vals == {3.0999999046325684, 3.200000047683716}
+
+
+def test_rejects_are_kept_with_their_text(spark, tmpdir_run):
+    feed, root, arch = _dirs(tmpdir_run)
+    rows = _day(1, lambda d, h, t: 3.0 + (h % 2) * 0.1) + ["yesterday,1,5,5,3.0\n", "2022-03-01 05:30:00,x,5,5,3\n"]
+    _write(os.path.join(feed, "data_group_1.csv"), rows)
+    r = run_daily(spark, feed, root, datetime(2022, 3, 2), archive_dir=arch)
+    st = TableStore(spark, root)
+    assert (r.new_rows, r.rejected) == (50, 2)
+    rej = sorted((x.row_no, x.reject_reason) for x in st.read("rejects").collect())
+    assert rej == [(49, "timestamp"), (50, "turbine_id")]
+    assert st.read("tracker").first().last_record_csv_row_number == 50
