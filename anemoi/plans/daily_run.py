@@ -19,6 +19,7 @@ If the band is undefined (sigma NULL or 0), steps 4-6 are skipped and 7-8 still
 
 from __future__ import annotations
 
+import json
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -27,6 +28,7 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from anemoi.functions.expressions import day_of, ts_literal
 from anemoi.operators import (
@@ -323,4 +325,30 @@ def run_daily(spark: SparkSession, feed_dir: str, root: str, run_ts: datetime,
         days = clean_step(spark, store, run_ts, opt, report)
     with timed(report, "summaries"):
         summary_step(spark, store, run_ts, days, report, opt)
+    record_run(spark, store, report)
     return report
+
+
+RUNS = T.StructType([
+    T.StructField("run_ts", T.TimestampNTZType(), False),
+    T.StructField("files", T.LongType(), True),
+    T.StructField("new_rows", T.LongType(), True),
+    T.StructField("rejected", T.LongType(), True),
+    T.StructField("baseline_source", T.StringType(), True),
+    T.StructField("mean_power", T.DoubleType(), True),
+    T.StructField("std_power", T.DoubleType(), True),
+    T.StructField("lower_bound", T.DoubleType(), True),
+    T.StructField("upper_bound", T.DoubleType(), True),
+    T.StructField("cleaning", T.StringType(), True),
+    T.StructField("timings", T.StringType(), True),
+])
+
+
+def record_run(spark: SparkSession, store: TableStore, report: RunReport) -> None:
+    """One row per run: the band actually applied (so a flag can be reproduced
+    exactly later), batch sizes and step timings."""
+    b = report.band or {}
+    row = (report.run_ts, len(report.files), report.new_rows, report.rejected, report.baseline_source,
+           b.get("mean_power"), b.get("std_power"), b.get("lower_bound"), b.get("upper_bound"),
+           report.cleaning, json.dumps(report.timings))
+    store.append("runs", spark.createDataFrame([row], RUNS))

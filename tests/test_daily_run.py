@@ -103,5 +103,8 @@ def test_three_runs(spark, tmpdir_run):
     assert st.read("raw").count() == 144
     assert st.read("clean").count() == 144 - len(an) + 1
     assert_day_stats_match(spark, st)
+    runs = spark.read.parquet(st.path("runs")).orderBy("run_ts").collect()
+    assert [r.baseline_source for r in runs] == ["raw", "clean", "clean"]
+    assert runs[1].lower_bound == r2.band["lower_bound"] and runs[2].files == 0
     piv = st.read("anomaly_pivot")
     assert set(piv.columns) >= {"day", "Turbine_ID_1", "Turbine_ID_2"}
