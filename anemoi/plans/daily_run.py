@@ -38,7 +38,7 @@ from anemoi.operators import (
 from anemoi.operators.profile import profile_from_counts
 from anemoi.plans.day_stats import (
     bounds_from_stats, clean_stats, counts_by_period, elig_counts, long_values, outlier_days,
-    raw_days,
+    raw_days, stale,
 )
 from anemoi.plans.store import TableStore
 from anemoi.schema import DAY, DEVICE, INSERTED, KEY, MEASURES, TS, Options
@@ -158,22 +158,34 @@ def _ensure_day_stats(store: TableStore, run: Column) -> None:
         store.overwrite_days("clean_stats", clean_stats(store.read("clean")))
 
 
+def mark(store: TableStore, days: list, run: Column, *markers: str) -> None:
+    """Stamp ledger markers for ``days``. Written before a derived table for
+    "changed" markers and after it for "done" markers, so a run that dies in
+    between leaves days that the next run redoes (every step is idempotent)."""
+    if not days:
+        return
+    led = store.read_days("raw_days", days)
+    for m in markers:
+        led = led.withColumn(m, run)
+    store.overwrite_days("raw_days", led)
+
+
 def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Options,
                report: RunReport) -> list:
-    """Steps 2-6: returns the days whose clean rows may have changed."""
+    """Steps 2-6: returns the days the clean step processed."""
     run = ts_literal(run_ts)
     with timed(report, "clean.state"):
         _ensure_day_stats(store, run)
         raw = store.read("raw")
-        rd = store.read("raw_days")
+        led = store.read("raw_days")
         cs = store.read("clean_stats")
-        # previous clean: emptiness, cutoff and high-water insertion date, from per-day stats
-        hw = cs.agg(F.max("max_ts").alias("cutoff"), F.max("max_inserted").alias("hw")).first()
-        anchor = rd.agg(F.max("max_ts")).first()[0]
+        # previous clean: emptiness and cutoff from per-day stats; anchor from the ledger
+        cutoff_ts = cs.agg(F.max("max_ts")).first()[0]
+        anchor = led.agg(F.max("max_ts")).first()[0]
         anomalies_empty = store.is_empty("anomalies")
     if anchor is None:
         return []
-    clean_empty = hw["cutoff"] is None
+    clean_empty = cutoff_ts is None
     report.baseline_source = "raw" if clean_empty else "clean"
     if clean_empty:
         band_rows = bounds(raw, opt.k_sigma, groups=opt.bound_groups)
@@ -192,15 +204,15 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
                 band.unpersist()
                 return []
     cutoff = None if anomalies_empty else (
-        ts_literal(hw["cutoff"]) if hw["cutoff"] is not None else F.lit(None).cast("timestamp_ntz"))
+        ts_literal(cutoff_ts) if cutoff_ts is not None else F.lit(None).cast("timestamp_ntz"))
     scan = raw
     if not opt.bound_groups:
         # per-day min/max power: read only days that can hold an outlier
-        cut = None if anomalies_empty else hw["cutoff"]
-        if anomalies_empty or cut is not None:
-            cand = outlier_days(rd, band[0], band[1], cut, opt.outlier_scope)
+        if anomalies_empty or cutoff_ts is not None:
+            cand = outlier_days(led, band[0], band[1], None if anomalies_empty else cutoff_ts,
+                                opt.outlier_scope)
         else:
-            cand = outlier_days(rd, band[0], float("inf"))    # NULL cutoff: no high tail (D12)
+            cand = outlier_days(led, band[0], float("inf"))    # NULL cutoff: no high tail (D12)
         report.flag_days = len(cand)
         scan = raw.where(F.col(DAY).isin(cand))
     flagged = flag_outliers(scan, band, cutoff, opt.outlier_scope, groups=opt.bound_groups) \
@@ -209,15 +221,15 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
     try:
         with timed(report, "clean.anomalies"):
             a_days = _days(flagged)
-            new_days = []
+            touched = _days(led.where(F.col("changed") == run)) if not opt.refresh_reflagged else []
             if a_days:
                 prev = store.read_days("anomalies", a_days)
                 # days that gain anomaly keys: the only days whose eligible set shrinks
                 new_days = _days(flagged.join(prev.select(*KEY), list(KEY), "left_anti"))
                 report.anomaly_days = new_days
+                mark(store, new_days, run, "anom_changed")          # before the write
                 write = flagged
                 if not opt.refresh_reflagged:
-                    touched = _days(rd.where(F.col("changed") == run))
                     a_days = sorted(set(new_days) | (set(a_days) & set(touched)))
                     prev = prev.where(F.col(DAY).isin(a_days))
                     write = flagged.where(F.col(DAY).isin(a_days))
@@ -230,14 +242,12 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
     anomalies = store.read("anomalies")
 
     with timed(report, "clean.value_counts"):
-        stale = rd.where(F.col("counted").isNull() | (F.col("changed") > F.col("counted")))
-        refresh = sorted(set(_days(stale)) | set(new_days))
+        refresh = _days(stale(store.read("raw_days"), "counted", "changed", "anom_changed"))
         if refresh:
             store.overwrite_days("elig_counts", elig_counts(
                 raw.where(F.col(DAY).isin(refresh)), anomalies.where(F.col(DAY).isin(refresh)),
                 refresh, run))
-            store.overwrite_days("raw_days", rd.where(F.col(DAY).isin(refresh))
-                                 .withColumn("counted", run))
+            mark(store, refresh, run, "counted")
     starts = [(name, None if lb is None else anchor - lb) for name, lb in opt.periods]
     edge = sorted({s.date() for _, s in starts if s is not None})
     boundary = long_values(eligible_rows(raw.where(F.col(DAY).isin(edge)),
@@ -255,19 +265,16 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
     profile = store.read("profile")
 
     with timed(report, "clean.insert"):
-        # days holding raw rows that no clean step has considered yet
-        rd = store.read("raw_days")
-        pending = rd if hw["hw"] is None else rd.where(F.col("changed") > ts_literal(hw["hw"]))
-        days = _days(pending)
-        if opt.retract and new_days:
-            days = sorted(set(days) | set(new_days))
+        # days whose raw changed since the clean step last processed them
+        dirty = ("changed", "anom_changed") if opt.retract else ("changed",)
+        days = _days(stale(store.read("raw_days"), "cleaned", *dirty))
         if days:
             raw_d = raw.where(F.col(DAY).isin(days))
             cand = clean_rows(raw_d, anomalies.where(F.col(DAY).isin(days)), profile, opt.impute_period)
             prev_d = store.read_days("clean", days)
             new = insert_ignore(prev_d, cand, list(KEY), assume_unique=True) \
                 .select(*KEY, *MEASURES, run.alias(INSERTED)).withColumn(DAY, day_of(TS))
-            if opt.retract and new_days:
+            if opt.retract:
                 kept = prev_d.join(anomalies.select(*KEY), list(KEY), "left_anti")
                 store.overwrite_days("clean", kept.unionByName(new))
             else:
@@ -280,33 +287,41 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
                 gone = sorted(set(days) - set(_days(store.read_days("clean_stats", days))))
                 store.drop_days("clean", gone)
                 store.drop_days("clean_stats", gone)
+            mark(store, days, run, "cleaned")
     report.cleaning = "done"
     return days
 
 
 def summary_step(spark: SparkSession, store: TableStore, run_ts: datetime, days: list,
                  report: RunReport, opt: Options) -> None:
-    """Steps 7-8."""
+    """Steps 7-8, for the days the ledger shows as not yet summarised."""
     run = ts_literal(run_ts)
-    if days:
+    if not store.exists("raw_days"):
+        return
+    led = store.read("raw_days")
+    sdays = _days(stale(led, "summarised", "cleaned"))
+    if sdays:
         with timed(report, "summaries.daily"):
-            clean = store.read_days("clean", days)
+            clean = store.read_days("clean", sdays)
             fresh = daily_summary(clean).withColumn(INSERTED, run)
-            merged = upsert(store.read_days("daily_summary", days), fresh, [DAY, DEVICE],
+            merged = upsert(store.read_days("daily_summary", sdays), fresh, [DAY, DEVICE],
                             keep_first=[INSERTED])
             store.overwrite_days("daily_summary", merged)
+            mark(store, sdays, run, "summarised")
     anomalies = store.read("anomalies")
     changed = False
     with timed(report, "summaries.anomaly_counts"):
         # counts depend on the anomaly keys only: recount the days that gained keys
+        adays = _days(stale(store.read("raw_days"), "anom_counted", "anom_changed"))
         if not store.exists("anomaly_counts"):
             if store.exists("anomalies"):
                 store.overwrite_days("anomaly_counts", anomaly_counts_long(anomalies))
                 changed = True
-        elif report.anomaly_days:
+        elif adays:
             store.overwrite_days("anomaly_counts", anomaly_counts_long(
-                anomalies.where(F.col(DAY).isin(report.anomaly_days))))
+                anomalies.where(F.col(DAY).isin(adays))))
             changed = True
+        mark(store, adays, run, "anom_counted")
     # the wide table is a function of the counts: rebuilt only when they changed
     if opt.wide_pivot and store.exists("anomaly_counts") and (changed or not store.exists("anomaly_pivot")):
         with timed(report, "summaries.anomaly_pivot"):

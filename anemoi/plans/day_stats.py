@@ -24,9 +24,16 @@ RAW_DAYS = T.StructType([
     T.StructField("max_ts", T.TimestampNTZType(), True),
     T.StructField("min_power", T.DoubleType(), True),
     T.StructField("max_power", T.DoubleType(), True),
+    # ledger markers (run times): raw changed / value counts rebuilt / gained anomaly
+    # keys / anomalies recounted / clean step done / daily summary done
     T.StructField("changed", T.TimestampNTZType(), True),
     T.StructField("counted", T.TimestampNTZType(), True),
+    T.StructField("anom_changed", T.TimestampNTZType(), True),
+    T.StructField("anom_counted", T.TimestampNTZType(), True),
+    T.StructField("cleaned", T.TimestampNTZType(), True),
+    T.StructField("summarised", T.TimestampNTZType(), True),
 ])
+MARKERS = ("counted", "anom_changed", "anom_counted", "cleaned", "summarised")
 
 CLEAN_STATS = T.StructType([
     T.StructField(DAY, T.DateType(), False),
@@ -50,15 +57,24 @@ ELIG_COUNTS = T.StructType([
 SCHEMAS = {"raw_days": RAW_DAYS, "clean_stats": CLEAN_STATS, "elig_counts": ELIG_COUNTS}
 
 
-def raw_days(raw: DataFrame, run: Column, counted: DataFrame | None = None) -> DataFrame:
-    """Rows and latest reading per day, stamped as changed by this run;
-    ``counted`` (day, counted) carries over when value counts were last rebuilt."""
+def raw_days(raw: DataFrame, run: Column, prev: DataFrame | None = None) -> DataFrame:
+    """The per-day ledger rows of ``raw``'s days: row count, latest reading and
+    power range, stamped as changed by this run; the other markers carry over
+    from ``prev`` (the ledger rows of the same days)."""
     d = raw.groupBy(DAY).agg(F.count(F.lit(1)).alias("rows"), F.max(TS).alias("max_ts"),
                              F.min(POWER).alias("min_power"), F.max(POWER).alias("max_power"),
                              run.alias("changed"))
-    if counted is None:
-        return d.withColumn("counted", F.lit(None).cast("timestamp_ntz"))
-    return d.join(counted.select(DAY, "counted"), [DAY], "left")
+    if prev is None:
+        return d.select("*", *[F.lit(None).cast("timestamp_ntz").alias(m) for m in MARKERS])
+    return d.join(prev.select(DAY, *MARKERS), [DAY], "left")
+
+
+def stale(ledger: DataFrame, done: str, *dirty: str) -> DataFrame:
+    """Ledger rows where a ``dirty`` marker is later than ``done`` (or done is unset)."""
+    cond = F.lit(False)
+    for c in dirty:
+        cond = cond | (F.col(c).isNotNull() & (F.col(done).isNull() | (F.col(c) > F.col(done))))
+    return ledger.where(cond)
 
 
 def clean_stats(clean: DataFrame) -> DataFrame:

@@ -1,0 +1,73 @@
+"""A run that dies between writes is repaired by the next run (ledger markers)."""
+
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+import anemoi.plans.daily_run as dr
+from anemoi.operators import anomaly_counts_long, daily_summary
+from anemoi.plans.store import TableStore
+from tests.day_stats_check import assert_day_stats_match
+
+HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output\n"
+
+
+def _day(day, special):
+    out = []
+    for h in range(24):
+        for t in (1, 2):
+            p = special.get((h, t), 3.0 + ((h + t) % 3) * 0.1)
+            out.append(f"2022-03-{day:02d} {h:02d}:00:00,{t},5,{h + 1},{p}\n")
+    return out
+
+
+def _check(spark, st):
+    assert_day_stats_match(spark, st)
+    want = sorted(map(tuple, anomaly_counts_long(st.read("anomalies")).collect()))
+    got = sorted(map(tuple, st.read("anomaly_counts").select("day", "turbine_id", "anomaly_count").collect()))
+    assert got == want
+    want = sorted(map(tuple, daily_summary(st.read("clean")).collect()))
+    got = sorted(map(tuple, st.read("daily_summary").select(
+        "day", "turbine_id", "min_power_output", "max_power_output", "avg_power_output").collect()))
+    assert got == want
+    keys = st.read("clean").groupBy("timestamp", "turbine_id").count()
+    assert keys.where(F.col("count") > 1).count() == 0
+
+
+@pytest.mark.parametrize("crash", ["summaries", "clean_marker"])
+def test_next_run_repairs_a_crashed_run(spark, tmpdir_run, monkeypatch, crash):
+    feed = os.path.join(tmpdir_run, "feed")
+    os.makedirs(feed)
+    root, arch = os.path.join(tmpdir_run, "tables"), os.path.join(tmpdir_run, "archive")
+    f = os.path.join(feed, "data_group_1.csv")
+    day1 = _day(1, {(4, 1): 9.0})
+    with open(f, "w") as fh:
+        fh.write(HEADER + "".join(day1))
+    dr.run_daily(spark, feed, root, datetime(2022, 3, 2), archive_dir=arch)
+
+    with open(f, "w") as fh:
+        fh.write(HEADER + "".join(day1 + _day(2, {(6, 2): 0.2, (7, 1): 8.0})))
+    if crash == "summaries":
+        def boom(*a, **k):
+            raise RuntimeError("driver lost")
+        monkeypatch.setattr(dr, "summary_step", boom)
+    else:
+        real = dr.mark
+
+        def mark(store, days, run, *markers):
+            if "cleaned" in markers:
+                raise RuntimeError("driver lost")
+            return real(store, days, run, *markers)
+        monkeypatch.setattr(dr, "mark", mark)
+    with pytest.raises(RuntimeError):
+        dr.run_daily(spark, feed, root, datetime(2022, 3, 3), archive_dir=arch)
+    monkeypatch.undo()
+
+    # the files were not archived by the crashed run; the next run finds nothing new in them
+    rep = dr.run_daily(spark, feed, root, datetime(2022, 3, 4), archive_dir=arch)
+    assert rep.new_rows == 0
+    st = TableStore(spark, root)
+    assert st.read("raw").count() == 96
+    _check(spark, st)
