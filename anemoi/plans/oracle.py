@@ -95,11 +95,20 @@ SELECT l_orderkey, l_linenumber,
        NULLIF(CASE WHEN isnan(l_tax) THEN NULL ELSE l_tax END, 0) AS l_tax
 FROM lineitem""",
     "valid_rows": """
-SELECT ts AS "timestamp", user_id AS turbine_id,
-       NULLIF(CAST(json_extract_string(props, '$.k') AS DOUBLE), 0) AS wind_speed,
-       NULLIF(CAST(event_id % 360 AS DOUBLE), 0) AS wind_direction,
-       CASE WHEN event_type = 'error' THEN NULL ELSE NULLIF(value, 0) END AS power_output
-FROM events WHERE event_id % 10 <> 0""",
+WITH txt AS (
+  SELECT CASE WHEN event_type = 'error' THEN 'n/a ' || CAST(ts AS VARCHAR)
+              ELSE CAST(ts AS VARCHAR) END AS ts_text,
+         CAST(user_id AS VARCHAR) AS id_text,
+         json_extract_string(props, '$.k') AS ws_text,
+         CAST(event_id % 360 AS VARCHAR) AS wd_text,
+         CASE WHEN event_type = 'error' THEN NULL ELSE CAST(value AS VARCHAR) END AS po_text
+  FROM events)
+SELECT TRY_CAST(ts_text AS TIMESTAMP) AS "timestamp", TRY_CAST(id_text AS BIGINT) AS turbine_id,
+       NULLIF(TRY_CAST(ws_text AS DOUBLE), 0) AS wind_speed,
+       NULLIF(TRY_CAST(wd_text AS DOUBLE), 0) AS wind_direction,
+       NULLIF(TRY_CAST(po_text AS DOUBLE), 0) AS power_output
+FROM txt
+WHERE TRY_CAST(ts_text AS TIMESTAMP) IS NOT NULL AND TRY_CAST(id_text AS BIGINT) IS NOT NULL""",
     "high_water_mark": """
 SELECT max(ts) AS high_water_mark FROM events WHERE ts < TIMESTAMP '2024-01-21 00:00:00'""",
     "baseline_bounds": "WITH" + _TELEMETRY + """,
