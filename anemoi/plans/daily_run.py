@@ -170,39 +170,32 @@ def mark(store: TableStore, days: list, run: Column, *markers: str) -> None:
     store.overwrite_days("raw_days", led)
 
 
-def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Options,
-               report: RunReport) -> list:
-    """Steps 2-6: returns the days the clean step processed."""
-    run = ts_literal(run_ts)
-    with timed(report, "clean.state"):
-        _ensure_day_stats(store, run)
-        raw = store.read("raw")
-        led = store.read("raw_days")
-        cs = store.read("clean_stats")
-        # previous clean: emptiness and cutoff from per-day stats; anchor from the ledger
-        cutoff_ts = cs.agg(F.max("max_ts")).first()[0]
-        anchor = led.agg(F.max("max_ts")).first()[0]
-        anomalies_empty = store.is_empty("anomalies")
-    if anchor is None:
-        return []
-    clean_empty = cutoff_ts is None
+def _band(raw: DataFrame, cs: DataFrame, clean_empty: bool, opt: Options,
+          report: RunReport):
+    """Step 2: the band from the previous clean table (its per-day moments), or
+    from raw on a first load. A global band is collected as two literals; per-group
+    bands stay a (persisted) frame. None when undefined (sigma NULL or 0)."""
     report.baseline_source = "raw" if clean_empty else "clean"
     if clean_empty:
-        band_rows = bounds(raw, opt.k_sigma, groups=opt.bound_groups)
+        rows = bounds(raw, opt.k_sigma, groups=opt.bound_groups)
     else:
-        band_rows = bounds_from_stats(cs, opt.k_sigma, groups=opt.bound_groups)
-    with timed(report, "clean.bounds"):
-        if not opt.bound_groups:
-            b = band_rows.first()
-            if b is None:
-                return []
-            report.band = b.asDict()
-            band = (b["lower_bound"], b["upper_bound"])
-        else:
-            band = band_rows.persist(StorageLevel.MEMORY_AND_DISK)
-            if band.isEmpty():
-                band.unpersist()
-                return []
+        rows = bounds_from_stats(cs, opt.k_sigma, groups=opt.bound_groups)
+    if not opt.bound_groups:
+        b = rows.first()
+        if b is None:
+            return None
+        report.band = b.asDict()
+        return (b["lower_bound"], b["upper_bound"])
+    band = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    if band.isEmpty():
+        band.unpersist()
+        return None
+    return band
+
+
+def _flag(store: TableStore, raw: DataFrame, led: DataFrame, band, cutoff_ts, anomalies_empty: bool,
+          run: Column, opt: Options, report: RunReport) -> None:
+    """Steps 3-4: flag raw against the band and upsert into anomalies."""
     cutoff = None if anomalies_empty else (
         ts_literal(cutoff_ts) if cutoff_ts is not None else F.lit(None).cast("timestamp_ntz"))
     scan = raw
@@ -219,28 +212,31 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
         .select(*KEY, *MEASURES, run.alias(INSERTED), DAY) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        with timed(report, "clean.anomalies"):
-            a_days = _days(flagged)
-            touched = _days(led.where(F.col("changed") == run)) if not opt.refresh_reflagged else []
-            if a_days:
-                prev = store.read_days("anomalies", a_days)
-                # days that gain anomaly keys: the only days whose eligible set shrinks
-                new_days = _days(flagged.join(prev.select(*KEY), list(KEY), "left_anti"))
-                report.anomaly_days = new_days
-                mark(store, new_days, run, "anom_changed")          # before the write
-                write = flagged
-                if not opt.refresh_reflagged:
-                    a_days = sorted(set(new_days) | (set(a_days) & set(touched)))
-                    prev = prev.where(F.col(DAY).isin(a_days))
-                    write = flagged.where(F.col(DAY).isin(a_days))
-                if a_days:
-                    store.overwrite_days("anomalies", upsert(prev, write, list(KEY)))
+        a_days = _days(flagged)
+        if not a_days:
+            return
+        # ledger read before any marker of this step rewrites it
+        touched = [] if opt.refresh_reflagged else _days(led.where(F.col("changed") == run))
+        prev = store.read_days("anomalies", a_days)
+        # days that gain anomaly keys: the only days whose eligible set shrinks
+        new_days = _days(flagged.join(prev.select(*KEY), list(KEY), "left_anti"))
+        report.anomaly_days = new_days
+        mark(store, new_days, run, "anom_changed")          # before the write
+        write = flagged
+        if not opt.refresh_reflagged:
+            a_days = sorted(set(new_days) | (set(a_days) & set(touched)))
+            prev = prev.where(F.col(DAY).isin(a_days))
+            write = flagged.where(F.col(DAY).isin(a_days))
+        if a_days:
+            store.overwrite_days("anomalies", upsert(prev, write, list(KEY)))
     finally:
         flagged.unpersist()
-        if opt.bound_groups:
-            band.unpersist()
-    anomalies = store.read("anomalies")
 
+
+def _profile(store: TableStore, raw: DataFrame, anomalies: DataFrame, anchor: datetime,
+             run: Column, opt: Options, report: RunReport) -> None:
+    """Step 5: refresh stale per-day value counts, then append one profile row
+    per non-empty look-back period."""
     with timed(report, "clean.value_counts"):
         refresh = _days(stale(store.read("raw_days"), "counted", "changed", "anom_changed"))
         if refresh:
@@ -255,39 +251,72 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
                            .withColumn(DAY, F.to_date(TS)))
     per = counts_by_period(store.read("elig_counts"), boundary, starts)
     cached: list = []
-    prof = profile_from_counts(per, persisted=cached).withColumn("calculation_timestamp", run)
     with timed(report, "clean.profile"):
         try:
+            prof = profile_from_counts(per, persisted=cached).withColumn("calculation_timestamp", run)
             store.append("profile", prof)
         finally:
             for c in cached:
                 c.unpersist()
-    profile = store.read("profile")
 
+
+def _insert_clean(store: TableStore, raw: DataFrame, anomalies: DataFrame, run: Column,
+                  opt: Options, report: RunReport) -> list:
+    """Step 6: impute and insert-ignore the rows of days whose raw changed since
+    the clean step last processed them; refresh their clean stats."""
     with timed(report, "clean.insert"):
-        # days whose raw changed since the clean step last processed them
         dirty = ("changed", "anom_changed") if opt.retract else ("changed",)
         days = _days(stale(store.read("raw_days"), "cleaned", *dirty))
-        if days:
-            raw_d = raw.where(F.col(DAY).isin(days))
-            cand = clean_rows(raw_d, anomalies.where(F.col(DAY).isin(days)), profile, opt.impute_period)
-            prev_d = store.read_days("clean", days)
-            new = insert_ignore(prev_d, cand, list(KEY), assume_unique=True) \
-                .select(*KEY, *MEASURES, run.alias(INSERTED)).withColumn(DAY, day_of(TS))
-            if opt.retract:
-                kept = prev_d.join(anomalies.select(*KEY), list(KEY), "left_anti")
-                store.overwrite_days("clean", kept.unionByName(new))
-            else:
-                store.append("clean", new)
+        if not days:
+            return []
+        cand = clean_rows(raw.where(F.col(DAY).isin(days)), anomalies.where(F.col(DAY).isin(days)),
+                          store.read("profile"), opt.impute_period)
+        prev_d = store.read_days("clean", days)
+        new = insert_ignore(prev_d, cand, list(KEY), assume_unique=True) \
+            .select(*KEY, *MEASURES, run.alias(INSERTED)).withColumn(DAY, day_of(TS))
+        if opt.retract:
+            kept = prev_d.join(anomalies.select(*KEY), list(KEY), "left_anti")
+            store.overwrite_days("clean", kept.unionByName(new))
+        else:
+            store.append("clean", new)
     with timed(report, "clean.stats"):
-        if days:
-            st = clean_stats(store.read_days("clean", days))
-            store.overwrite_days("clean_stats", st)
-            if opt.retract:
-                gone = sorted(set(days) - set(_days(store.read_days("clean_stats", days))))
-                store.drop_days("clean", gone)
-                store.drop_days("clean_stats", gone)
-            mark(store, days, run, "cleaned")
+        store.overwrite_days("clean_stats", clean_stats(store.read_days("clean", days)))
+        if opt.retract:
+            gone = sorted(set(days) - set(_days(store.read_days("clean_stats", days))))
+            store.drop_days("clean", gone)
+            store.drop_days("clean_stats", gone)
+        mark(store, days, run, "cleaned")
+    return days
+
+
+def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Options,
+               report: RunReport) -> list:
+    """Steps 2-6: returns the days the clean step processed."""
+    run = ts_literal(run_ts)
+    with timed(report, "clean.state"):
+        _ensure_day_stats(store, run)
+        raw = store.read("raw")
+        led = store.read("raw_days")
+        cs = store.read("clean_stats")
+        # previous clean: emptiness and cutoff from per-day stats; anchor from the ledger
+        cutoff_ts = cs.agg(F.max("max_ts")).first()[0]
+        anchor = led.agg(F.max("max_ts")).first()[0]
+        anomalies_empty = store.is_empty("anomalies")
+    if anchor is None:
+        return []
+    with timed(report, "clean.bounds"):
+        band = _band(raw, cs, cutoff_ts is None, opt, report)
+    if band is None:
+        return []
+    try:
+        with timed(report, "clean.anomalies"):
+            _flag(store, raw, led, band, cutoff_ts, anomalies_empty, run, opt, report)
+    finally:
+        if isinstance(band, DataFrame):
+            band.unpersist()
+    anomalies = store.read("anomalies")
+    _profile(store, raw, anomalies, anchor, run, opt, report)
+    days = _insert_clean(store, raw, anomalies, run, opt, report)
     report.cleaning = "done"
     return days
 
