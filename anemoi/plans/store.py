@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 
 from anemoi.schema import DAY, DAY_PARTITIONED, TABLES
 
+# Day-partitioned tables with one row per day (bounded by the calendar).
+SMALL = ("raw_days",)
+
 
 def _schema(name: str):
     if name in TABLES:
@@ -71,7 +74,11 @@ class TableStore:
         """Rebalance on ``day`` before a partitioned write: AQE then sizes the
         output files and splits a hot day across tasks instead of writing
         (tasks x days) small files."""
-        return self._order(name, df).hint("rebalance", DAY)
+        df = self._order(name, df)
+        if name in SMALL:
+            # one row per day: a single task and one file per day, no shuffle
+            return df.coalesce(1)
+        return df.hint("rebalance", DAY)
 
     def overwrite_days(self, name: str, df: DataFrame) -> None:
         """Replace the day partitions present in ``df``; leave all others."""
