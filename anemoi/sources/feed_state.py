@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from anemoi.operators.keyed import latest_per_key
@@ -31,12 +31,29 @@ def tail_rows(rows: DataFrame, offsets: DataFrame, file_col: str = "file_name",
                 .drop("_off"))
 
 
+# A group with at most this many rows may be ranked by one window task.
+MAX_ROWS_IN_TASK = 1 << 20
+
+
 def tail_by_rank(rows: DataFrame, group: str, order: str, offsets: DataFrame,
-                 offset_col: str = "offset") -> DataFrame:
-    """Rows whose rank by ``order`` inside ``group`` exceeds the group's offset,
-    without numbering the rows: the offset-th smallest ``order`` value is found
-    exactly with :func:`kth_smallest`, then a plain comparison filters."""
+                 offset_col: str = "offset", max_rows: int | None = MAX_ROWS_IN_TASK) -> DataFrame:
+    """Rows whose rank by ``order`` inside ``group`` exceeds the group's offset.
+
+    When one small job proves every group has at most ``max_rows`` rows, a
+    ``row_number`` window ranks them (bounded per task). Otherwise the
+    offset-th smallest ``order`` value is found exactly with
+    :func:`kth_smallest` (bounded state whatever the group size) and a plain
+    comparison filters. ``max_rows=None`` always takes the second path.
+    """
     off = offsets.select(group, F.col(offset_col).cast("long").alias("_off"))
+    if max_rows is not None:
+        sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+        if sizes.where(F.col("_n") > max_rows).isEmpty():
+            rank = F.row_number().over(Window.partitionBy(group).orderBy(order))
+            return (rows.withColumn("_rank", rank)
+                    .join(F.broadcast(off), [group], "left")
+                    .where(F.col("_rank") > F.coalesce(F.col("_off"), F.lit(0)))
+                    .drop("_rank", "_off"))
     targets = off.where(F.col("_off") > 0).select(group, (F.col("_off") - 1).alias("k"))
     thr = kth_smallest(rows.select(group, order), [group], order, targets, out="_thr")
     lim = off.join(thr.select(group, "_thr"), [group], "left")

@@ -66,3 +66,19 @@ def test_tail_and_tracker(spark, tmpdir_run):
     assert sorted(r.row_no for r in tail.collect()) == [7, 8, 9, 10]
     st = feed_state(parse_readings(tail), ts_literal("2022-03-03 00:00:00"), prior=off).first()
     assert st.last_record_csv_row_number == 10 and str(st.last_record_timestamp) == "2022-03-01 10:00:00"
+
+
+def test_tail_by_rank_paths_agree(spark):
+    from anemoi.sources.feed_state import tail_by_rank
+    rows = spark.createDataFrame([(g, i * 7 % 101 + (0 if g == "a" else 1000), i)
+                                  for g in ("a", "b", "c") for i in range(60)], "g string, o long, v long")
+    offs = spark.createDataFrame([("a", 10), ("b", 0), ("c", 75)], "g string, offset long")
+    want = {}
+    for g, n in (("a", 10), ("b", 0), ("c", 75)):
+        ordered = sorted(r.o for r in rows.where(F.col("g") == g).collect())
+        want[g] = sorted(ordered[n:])
+    for max_rows in (None, 1 << 20):
+        got = {}
+        for r in tail_by_rank(rows, "g", "o", offs, max_rows=max_rows).collect():
+            got.setdefault(r.g, []).append(r.o)
+        assert {g: sorted(v) for g, v in got.items()} == {g: v for g, v in want.items() if v}
