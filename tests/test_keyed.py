@@ -44,3 +44,31 @@ def test_upsert_is_one_aggregate_per_key(spark):
     up = spark.createDataFrame([(1, 2.0)], "k long, v double").withColumn("s", F.lit(1))
     plan = upsert(ex, up, ["k"], seq=["s"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Window [" not in plan
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_row = st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(-3, 3).map(float)))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(_row, max_size=8), min_size=1, max_size=4))
+def test_keyed_merges_match_a_dict_model(spark, batches):
+    """Apply batches one after another; upsert = last write wins (inside a batch
+    the later row), insert-ignore = first write wins."""
+    schema = "k long, v double, seq long, ins string"
+    up_model, ig_model = {}, {}
+    up = spark.createDataFrame([], "k long, v double, ins string")
+    ig = spark.createDataFrame([], "k long, v double, ins string")
+    for b, rows in enumerate(batches):
+        df = spark.createDataFrame([(k, v, i, f"b{b}") for i, (k, v) in enumerate(rows)], schema)
+        up = spark.createDataFrame(upsert(up, df, ["k"], seq=["seq"], keep_first=["ins"]).collect(),
+                                   "k long, v double, ins string")
+        add = insert_ignore(ig, df, ["k"], seq=["seq"]).drop("seq")
+        ig = spark.createDataFrame(ig.unionByName(add).collect(), "k long, v double, ins string")
+        for k, v in rows:
+            up_model[k] = (v, up_model.get(k, (None, f"b{b}"))[1])
+            ig_model.setdefault(k, (v, f"b{b}"))
+    assert {r.k: (r.v, r.ins) for r in up.collect()} == up_model
+    assert {r.k: (r.v, r.ins) for r in ig.collect()} == ig_model
