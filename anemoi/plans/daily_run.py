@@ -35,7 +35,7 @@ from anemoi.operators import (
     anomaly_counts_long, anomaly_pivot, bounds, clean_rows, daily_summary, eligible_rows,
     flag_outliers, insert_ignore, upsert,
 )
-from anemoi.operators.profile import profile_from_counts
+from anemoi.operators.profile import period_profile, profile_from_counts
 from anemoi.plans.day_stats import (
     bounds_from_stats, clean_stats, counts_by_period, elig_counts, long_values, outlier_days,
     raw_days, stale,
@@ -245,16 +245,20 @@ def _profile(store: TableStore, raw: DataFrame, anomalies: DataFrame, anchor: da
                 refresh, run))
             mark(store, refresh, run, "counted")
     starts = [(name, None if lb is None else anchor - lb) for name, lb in opt.periods]
-    edge = sorted({s.date() for _, s in starts if s is not None})
-    boundary = long_values(eligible_rows(raw.where(F.col(DAY).isin(edge)),
-                                         anomalies.where(F.col(DAY).isin(edge)))
-                           .withColumn(DAY, F.to_date(TS)))
-    per = counts_by_period(store.read("elig_counts"), boundary, starts)
     cached: list = []
     with timed(report, "clean.profile"):
         try:
-            prof = profile_from_counts(per, persisted=cached).withColumn("calculation_timestamp", run)
-            store.append("profile", prof)
+            if opt.profile_method == "incremental":
+                edge = sorted({s.date() for _, s in starts if s is not None})
+                boundary = long_values(eligible_rows(raw.where(F.col(DAY).isin(edge)),
+                                                     anomalies.where(F.col(DAY).isin(edge)))
+                                       .withColumn(DAY, F.to_date(TS)))
+                per = counts_by_period(store.read("elig_counts"), boundary, starts)
+                prof = profile_from_counts(per, persisted=cached)
+            else:
+                prof = period_profile(raw, anomalies, opt.periods, method=opt.profile_method,
+                                      anchor=ts_literal(anchor), persisted=cached)
+            store.append("profile", prof.withColumn("calculation_timestamp", run))
         finally:
             for c in cached:
                 c.unpersist()

@@ -110,9 +110,11 @@ class Options:
     zero_is_missing: bool = True
     day_first: bool = False
     impute_period: str = "full_dataset"
-    # "distributed": exact median/mode from value counts (bounded task state);
-    # "builtin": Spark's median()/mode() aggregates (state grows with distinct values).
-    profile_method: str = "distributed"
+    # Profile in the daily run. "incremental": per-day value counts, rebuilt for
+    # changed days only; "distributed": full recompute from value counts (bounded
+    # task state); "builtin": Spark's median()/mode() over all eligible rows
+    # (state grows with distinct values per period).
+    profile_method: str = "incremental"
     feed_glob: str = FEED_PREFIX + "*.csv"
     archive: bool = True
     # Also write the wide anomaly pivot (one column per device) next to the long counts.

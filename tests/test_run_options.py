@@ -160,3 +160,27 @@ def test_rejects_are_kept_with_their_text(spark, tmpdir_run):
     rej = sorted((x.row_no, x.reject_reason) for x in st.read("rejects").collect())
     assert rej == [(49, "timestamp"), (50, "turbine_id")]
     assert st.read("tracker").first().last_record_csv_row_number == 50
+
+
+def test_profile_methods_agree(spark, tmpdir_run):
+    import math
+
+    def p(d, h, t):
+        return 9.0 if (d, h, t) == (1, 5, 1) else 2.5 + ((h * 7 + t + d) % 9) * 0.25
+
+    profiles = {}
+    for method in ("incremental", "distributed", "builtin"):
+        sub = os.path.join(tmpdir_run, method)
+        feed, root, arch = _dirs(sub)
+        _write(os.path.join(feed, "data_group_1.csv"), _day(1, p) + _day(2, p))
+        run_daily(spark, feed, root, datetime(2022, 3, 3), Options(profile_method=method), archive_dir=arch)
+        st = TableStore(spark, root)
+        profiles[method] = {r.period: r.asDict() for r in st.read("profile").drop("calculation_timestamp").collect()}
+    base = profiles["incremental"]
+    assert set(base) == {"full_dataset", "last_4_weeks", "last_2_weeks", "last_1_week", "last_1_day"}
+    for m in ("distributed", "builtin"):
+        assert set(profiles[m]) == set(base)
+        for per, row in base.items():
+            for c, v in row.items():
+                if c != "period":
+                    assert math.isclose(v, profiles[m][per][c], rel_tol=1e-9), (m, per, c)
