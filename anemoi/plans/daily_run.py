@@ -162,11 +162,18 @@ def mark(store: TableStore, days: list, run: Column, *markers: str) -> None:
     """Stamp ledger markers for ``days``. Written before a derived table for
     "changed" markers and after it for "done" markers, so a run that dies in
     between leaves days that the next run redoes (every step is idempotent)."""
+    mark_many(store, run, {m: days for m in markers})
+
+
+def mark_many(store: TableStore, run: Column, marks: dict) -> None:
+    """Several markers, each for its own days, in one ledger write."""
+    days = sorted(set().union(*marks.values())) if marks else []
     if not days:
         return
     led = store.read_days("raw_days", days)
-    for m in markers:
-        led = led.withColumn(m, run)
+    for m, ds in marks.items():
+        if ds:
+            led = led.withColumn(m, F.when(F.col(DAY).isin(ds), run).otherwise(F.col(m)))
     store.overwrite_days("raw_days", led)
 
 
@@ -234,16 +241,16 @@ def _flag(store: TableStore, raw: DataFrame, led: DataFrame, band, cutoff_ts, an
 
 
 def _profile(store: TableStore, raw: DataFrame, anomalies: DataFrame, anchor: datetime,
-             run: Column, opt: Options, report: RunReport) -> None:
+             run: Column, opt: Options, report: RunReport) -> list:
     """Step 5: refresh stale per-day value counts, then append one profile row
-    per non-empty look-back period."""
+    per non-empty look-back period. Returns the refreshed days (their "counted"
+    marker is written with the clean step's marker)."""
     with timed(report, "clean.value_counts"):
         refresh = _days(stale(store.read("raw_days"), "counted", "changed", "anom_changed"))
         if refresh:
             store.overwrite_days("elig_counts", elig_counts(
                 raw.where(F.col(DAY).isin(refresh)), anomalies.where(F.col(DAY).isin(refresh)),
                 refresh, run))
-            mark(store, refresh, run, "counted")
     starts = [(name, None if lb is None else anchor - lb) for name, lb in opt.periods]
     cached: list = []
     with timed(report, "clean.profile"):
@@ -262,16 +269,18 @@ def _profile(store: TableStore, raw: DataFrame, anomalies: DataFrame, anchor: da
         finally:
             for c in cached:
                 c.unpersist()
+    return refresh
 
 
 def _insert_clean(store: TableStore, raw: DataFrame, anomalies: DataFrame, run: Column,
-                  opt: Options, report: RunReport) -> list:
+                  opt: Options, report: RunReport, counted: list) -> list:
     """Step 6: impute and insert-ignore the rows of days whose raw changed since
     the clean step last processed them; refresh their clean stats."""
     with timed(report, "clean.insert"):
         dirty = ("changed", "anom_changed") if opt.retract else ("changed",)
         days = _days(stale(store.read("raw_days"), "cleaned", *dirty))
         if not days:
+            mark(store, counted, run, "counted")
             return []
         cand = clean_rows(raw.where(F.col(DAY).isin(days)), anomalies.where(F.col(DAY).isin(days)),
                           store.read("profile"), opt.impute_period)
@@ -289,7 +298,9 @@ def _insert_clean(store: TableStore, raw: DataFrame, anomalies: DataFrame, run:
             gone = sorted(set(days) - set(_days(store.read_days("clean_stats", days))))
             store.drop_days("clean", gone)
             store.drop_days("clean_stats", gone)
-        mark(store, days, run, "cleaned")
+        # one ledger write for both "done" markers; a crash before it only
+        # repeats idempotent work
+        mark_many(store, run, {"counted": counted, "cleaned": days})
     return days
 
 
@@ -319,8 +330,8 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
         if isinstance(band, DataFrame):
             band.unpersist()
     anomalies = store.read("anomalies")
-    _profile(store, raw, anomalies, anchor, run, opt, report)
-    days = _insert_clean(store, raw, anomalies, run, opt, report)
+    counted = _profile(store, raw, anomalies, anchor, run, opt, report)
+    days = _insert_clean(store, raw, anomalies, run, opt, report, counted)
     report.cleaning = "done"
     return days
 
@@ -340,7 +351,6 @@ def summary_step(spark: SparkSession, store: TableStore, run_ts: datetime, days:
             merged = upsert(store.read_days("daily_summary", sdays), fresh, [DAY, DEVICE],
                             keep_first=[INSERTED])
             store.overwrite_days("daily_summary", merged)
-            mark(store, sdays, run, "summarised")
     anomalies = store.read("anomalies")
     changed = False
     with timed(report, "summaries.anomaly_counts"):
@@ -354,7 +364,7 @@ def summary_step(spark: SparkSession, store: TableStore, run_ts: datetime, days:
             store.overwrite_days("anomaly_counts", anomaly_counts_long(
                 anomalies.where(F.col(DAY).isin(adays))))
             changed = True
-        mark(store, adays, run, "anom_counted")
+    mark_many(store, run, {"summarised": sdays, "anom_counted": adays})
     # the wide table is a function of the counts: rebuilt only when they changed
     if opt.wide_pivot and store.exists("anomaly_counts") and (changed or not store.exists("anomaly_pivot")):
         with timed(report, "summaries.anomaly_pivot"):

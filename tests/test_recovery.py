@@ -54,13 +54,13 @@ def test_next_run_repairs_a_crashed_run(spark, tmpdir_run, monkeypatch, crash):
             raise RuntimeError("driver lost")
         monkeypatch.setattr(dr, "summary_step", boom)
     else:
-        real = dr.mark
+        real = dr.mark_many
 
-        def mark(store, days, run, *markers):
-            if "cleaned" in markers:
+        def mark_many(store, run, marks):
+            if marks.get("cleaned"):
                 raise RuntimeError("driver lost")
-            return real(store, days, run, *markers)
-        monkeypatch.setattr(dr, "mark", mark)
+            return real(store, run, marks)
+        monkeypatch.setattr(dr, "mark_many", mark_many)
     with pytest.raises(RuntimeError):
         dr.run_daily(spark, feed, root, datetime(2022, 3, 3), archive_dir=arch)
     monkeypatch.undo()
