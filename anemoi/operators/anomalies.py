@@ -65,7 +65,7 @@ def distinct_ids(anomalies: DataFrame) -> DataFrame:
 
 
 def anomaly_pivot(anomalies: DataFrame, ids: list | None = None,
-                  counts: DataFrame | None = None) -> DataFrame:
+                  counts: DataFrame | None = None, ordered: bool = True) -> DataFrame:
     """Days x devices, 0 where a device had no anomaly, ordered by day.
 
     The column list is the device dimension; it is read with one distinct
@@ -80,4 +80,5 @@ def anomaly_pivot(anomalies: DataFrame, ids: list | None = None,
         return long.select(DAY).where(F.lit(False))
     names = [f"{PIVOT_PREFIX}{i}" for i in ids]
     wide = long.groupBy(DAY).pivot(DEVICE, ids).agg(F.sum("anomaly_count")).toDF(DAY, *names)
-    return wide.na.fill(0, subset=names).orderBy(DAY)
+    wide = wide.na.fill(0, subset=names)
+    return wide.orderBy(DAY) if ordered else wide

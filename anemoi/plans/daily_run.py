@@ -369,7 +369,9 @@ def summary_step(spark: SparkSession, store: TableStore, run_ts: datetime, days:
     if opt.wide_pivot and store.exists("anomaly_counts") and (changed or not store.exists("anomaly_pivot")):
         with timed(report, "summaries.anomaly_pivot"):
             counts = store.read("anomaly_counts")
-            store.replace("anomaly_pivot", anomaly_pivot(anomalies, counts=counts))
+            # one row per day: a single sorted file, no range-partitioning shuffle
+            wide = anomaly_pivot(anomalies, counts=counts, ordered=False)
+            store.replace("anomaly_pivot", wide.coalesce(1).sortWithinPartitions(DAY))
 
 
 def run_daily(spark: SparkSession, feed_dir: str, root: str, run_ts: datetime,
