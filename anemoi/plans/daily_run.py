@@ -12,9 +12,16 @@ them; writes in this order):
 5. profile' = profile + one row per non-empty look-back period.
 6. clean' = insert-ignore(clean, impute(raw' minus anomalies')).
 7. daily summary upserted for the days whose clean rows changed.
-8. anomaly counts (long) and pivot (wide) rebuilt from anomalies'.
+8. anomaly counts recounted for days that gained anomaly keys; the wide pivot
+   rebuilt when they changed.
 
 If the band is undefined (sigma NULL or 0), steps 4-6 are skipped and 7-8 still run.
+
+Every step after the first reads and writes only the days that need it. The
+per-day ledger (``raw_days``) records, per day, when raw changed and when each
+derived table last caught up; "changed" markers are written before a derived
+table, "done" markers after it, so a run that dies between two writes leaves
+the next run exactly the days to redo.
 """
 
 from __future__ import annotations
