@@ -13,10 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from anemoi.schema import DAY, DAY_PARTITIONED, TABLES
+from anemoi.schema import DAY, DAY_PARTITIONED, DEVICE, TABLES, TS
 
 # Day-partitioned tables with one row per day (bounded by the calendar).
 SMALL = ("raw_days",)
+# Readings tables, written sorted by (device, time) inside each file.
+SORTED = ("raw", "clean", "anomalies")
+CODEC = "zstd"
 
 
 def _schema(name: str):
@@ -78,19 +81,26 @@ class TableStore:
         if name in SMALL:
             # one row per day: a single task and one file per day, no shuffle
             return df.coalesce(1)
-        return df.hint("rebalance", DAY)
+        df = df.hint("rebalance", DAY)
+        if name in SORTED:
+            # device then time inside each file: tight row-group min/max for
+            # per-device reads, and sorted timestamps encode compactly
+            df = df.sortWithinPartitions(DAY, DEVICE, TS)
+        return df
 
     def overwrite_days(self, name: str, df: DataFrame) -> None:
         """Replace the day partitions present in ``df``; leave all others."""
         (self._for_write(name, df).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("compression", CODEC)
             .partitionBy(DAY).parquet(self.path(name)))
 
     def append(self, name: str, df: DataFrame) -> None:
         if name in DAY_PARTITIONED or name in ("raw_days", "clean_stats", "elig_counts"):
-            self._for_write(name, df).write.mode("append").partitionBy(DAY).parquet(self.path(name))
+            self._for_write(name, df).write.mode("append").option("compression", CODEC) \
+                .partitionBy(DAY).parquet(self.path(name))
         else:
-            self._order(name, df).write.mode("append").parquet(self.path(name))
+            self._order(name, df).write.mode("append").option("compression", CODEC).parquet(self.path(name))
 
     def drop_days(self, name: str, days: list) -> None:
         """Delete whole day partitions (driver-side file metadata only)."""
@@ -101,4 +111,4 @@ class TableStore:
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Drop and recreate (the pivot, whose columns follow the data)."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").option("compression", CODEC).parquet(self.path(name))
