@@ -114,18 +114,28 @@ def period_value_counts(elig: DataFrame, starts) -> DataFrame:
 
 
 def profile_from_counts(per: DataFrame, max_distinct: int = MAX_DISTINCT_IN_TASK,
-                        persisted: list | None = None) -> DataFrame:
+                        persisted: list | None = None, rows_bound: int | None = None) -> DataFrame:
     """Mean, exact median and mode per (period, measure) from value counts,
-    spread to one row per period."""
+    spread to one row per period. ``rows_bound``: a known upper bound on the
+    readings counted (e.g. from table metadata); at most ``max_distinct`` proves
+    every group small without a check job."""
     g = ["period", "measure"]
-    tot = tot_of(per, g)
     if persisted is not None:
+        # read three times below (totals, mode, median): computed once
         per = per.persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(per)
-        tot = tot_of(per, g)
-    med = exact_median(per, g, tot, max_distinct,
-                       any_big=None if persisted is None else
-                       not tot.where(F.col("distinct_values") > max_distinct).isEmpty())
+    tot = tot_of(per, g)
+    if rows_bound is not None and rows_bound <= max_distinct:
+        any_big = False                      # proven by the bound, no check job
+    elif persisted is not None:
+        any_big = not tot.where(F.col("distinct_values") > max_distinct).isEmpty()
+    else:
+        any_big = None
+    med = exact_median(per, g, tot, max_distinct, any_big=any_big)
+    return _assemble(per, tot, med, g)
+
+
+def _assemble(per: DataFrame, tot: DataFrame, med: DataFrame, g: list) -> DataFrame:
     # mode: smallest value among those with the top count (two hash aggregates;
     # the top-count table has one row per (period, measure), hence the broadcast)
     top = tot.select(*g, "top_n")

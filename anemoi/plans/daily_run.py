@@ -248,7 +248,7 @@ def _flag(store: TableStore, raw: DataFrame, led: DataFrame, band, cutoff_ts, an
 
 
 def _profile(store: TableStore, raw: DataFrame, anomalies: DataFrame, anchor: datetime,
-             run: Column, opt: Options, report: RunReport) -> list:
+             run: Column, opt: Options, report: RunReport, raw_rows: int | None = None) -> list:
     """Step 5: refresh stale per-day value counts, then append one profile row
     per non-empty look-back period. Returns the refreshed days (their "counted"
     marker is written with the clean step's marker)."""
@@ -268,7 +268,8 @@ def _profile(store: TableStore, raw: DataFrame, anomalies: DataFrame, anchor: da
                                                      anomalies.where(F.col(DAY).isin(edge)))
                                        .withColumn(DAY, F.to_date(TS)))
                 per = counts_by_period(store.read("elig_counts"), boundary, starts)
-                prof = profile_from_counts(per, persisted=cached)
+                # distinct values per period <= raw rows (ledger): may prove all groups small
+                prof = profile_from_counts(per, persisted=cached, rows_bound=raw_rows)
             else:
                 prof = period_profile(raw, anomalies, opt.periods, method=opt.profile_method,
                                       anchor=ts_literal(anchor), persisted=cached)
@@ -322,7 +323,7 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
         cs = store.read("clean_stats")
         # previous clean: emptiness and cutoff from per-day stats; anchor from the ledger
         cutoff_ts = cs.agg(F.max("max_ts")).first()[0]
-        anchor = led.agg(F.max("max_ts")).first()[0]
+        anchor, raw_rows = led.agg(F.max("max_ts"), F.sum("rows")).first()
         anomalies_empty = store.is_empty("anomalies")
     if anchor is None:
         return []
@@ -337,7 +338,7 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
         if isinstance(band, DataFrame):
             band.unpersist()
     anomalies = store.read("anomalies")
-    counted = _profile(store, raw, anomalies, anchor, run, opt, report)
+    counted = _profile(store, raw, anomalies, anchor, run, opt, report, raw_rows)
     days = _insert_clean(store, raw, anomalies, run, opt, report, counted)
     report.cleaning = "done"
     return days
