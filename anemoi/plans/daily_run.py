@@ -207,6 +207,16 @@ def _band(raw: DataFrame, cs: DataFrame, clean_empty: bool, opt: Options,
     return band
 
 
+def _last_band(store: TableStore):
+    """(run_ts, lower_bound) of the newest run that completed its clean step."""
+    if not store.exists("runs"):
+        return None
+    r = (store.spark.read.parquet(store.path("runs"))
+         .where((F.col("cleaning") == "done") & F.col("lower_bound").isNotNull())
+         .agg(F.max_by(F.struct("run_ts", "lower_bound"), F.col("run_ts")).alias("r")).first()["r"])
+    return None if r is None else (r["run_ts"], r["lower_bound"])
+
+
 def _flag(store: TableStore, raw: DataFrame, led: DataFrame, band, cutoff_ts, anomalies_empty: bool,
           run: Column, opt: Options, report: RunReport) -> None:
     """Steps 3-4: flag raw against the band and upsert into anomalies."""
@@ -220,6 +230,13 @@ def _flag(store: TableStore, raw: DataFrame, led: DataFrame, band, cutoff_ts, an
                                 opt.outlier_scope)
         else:
             cand = outlier_days(led, band[0], float("inf"))    # NULL cutoff: no high tail (D12)
+        last = _last_band(store) if not opt.refresh_reflagged else None
+        if last is not None and band[0] <= last[1]:
+            # Every row below the last recorded run's lower bound is already an
+            # anomaly, and the bound did not rise: only days changed since then
+            # can yield new keys (and re-flagged rows are not rewritten).
+            since = _days(led.where(F.col("changed") > ts_literal(last[0])))
+            cand = sorted(set(cand) & set(since))
         report.flag_days = len(cand)
         scan = raw.where(F.col(DAY).isin(cand))
     flagged = flag_outliers(scan, band, cutoff, opt.outlier_scope, groups=opt.bound_groups) \
