@@ -61,7 +61,9 @@ def anomaly_counts_long(anomalies: DataFrame) -> DataFrame:
 
 
 def distinct_ids(anomalies: DataFrame) -> DataFrame:
-    return anomalies.select(DEVICE).distinct().orderBy(DEVICE)
+    """Devices with anomalies, ascending. The device dimension is small, so the
+    distinct ids are ordered inside one partition (no range shuffle)."""
+    return anomalies.select(DEVICE).distinct().coalesce(1).sortWithinPartitions(DEVICE)
 
 
 def anomaly_pivot(anomalies: DataFrame, ids: list | None = None,
@@ -81,4 +83,6 @@ def anomaly_pivot(anomalies: DataFrame, ids: list | None = None,
     names = [f"{PIVOT_PREFIX}{i}" for i in ids]
     wide = long.groupBy(DAY).pivot(DEVICE, ids).agg(F.sum("anomaly_count")).toDF(DAY, *names)
     wide = wide.na.fill(0, subset=names)
-    return wide.orderBy(DAY) if ordered else wide
+    # one row per day (bounded by the calendar): ordered in a single partition,
+    # without a range-partitioning shuffle
+    return wide.coalesce(1).sortWithinPartitions(DAY) if ordered else wide
