@@ -75,3 +75,29 @@ def test_band_filter_reaches_the_scan(spark, tmpdir_run):
 def test_projection_is_pruned(spark):
     s = _plan(E.queries()["high_water_mark"](spark, SF))
     assert "ReadSchema: struct<ts:timestamp_ntz>" in s
+
+
+def _text_rows(pdf, cols):
+    out = []
+    for rec in pdf[cols].astype(object).itertuples(index=False):
+        row = []
+        for v in rec:
+            if v is None or (isinstance(v, float) and math.isnan(v)):
+                row.append("None")
+            elif isinstance(v, float):
+                row.append(repr(round(v, 6)))
+            else:
+                row.append(str(v))
+        out.append(tuple(row))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle_through_pandas(spark, duck, name):
+    """The same comparison through pandas frames on both sides, values as text:
+    column types must print the same way in both client libraries."""
+    pdf = E.queries()[name](spark, SF).toPandas()
+    ddf = duck.execute(E.oracle_sql()[name]).df()
+    cols = sorted(pdf.columns)
+    assert cols == sorted(ddf.columns)
+    assert _text_rows(pdf, cols) == _text_rows(ddf, cols)
