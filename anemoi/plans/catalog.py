@@ -22,7 +22,7 @@ from anemoi.operators import (
     eligible_rows, flag_outliers, high_water_mark, insert_ignore, latest_per_key,
     period_profile, upsert,
 )
-from anemoi.schema import KEY, MEASURES, STATS, TS
+from anemoi.schema import MEASURES, STATS, TS
 from anemoi.sources.csv_feed import parse_readings, split_valid
 from anemoi.sources.feed_state import feed_state, tail_by_rank
 

@@ -308,7 +308,7 @@ def _insert_clean(store: TableStore, raw: DataFrame, anomalies: DataFrame, run:
             mark(store, counted, run, "counted")
             return []
         cand = clean_rows(raw.where(F.col(DAY).isin(days)), anomalies.where(F.col(DAY).isin(days)),
-                          store.read("profile"), opt.impute_period)
+                          store.read("profile"), opt.impute_period, opt.impute_with)
         prev_d = store.read_days("clean", days)
         new = insert_ignore(prev_d, cand, list(KEY), assume_unique=True) \
             .select(*KEY, *MEASURES, run.alias(INSERTED)).withColumn(DAY, day_of(TS))

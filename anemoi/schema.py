@@ -110,6 +110,8 @@ class Options:
     zero_is_missing: bool = True
     day_first: bool = False
     impute_period: str = "full_dataset"
+    # Which profile statistic fills which measure.
+    impute_with: dict = field(default_factory=lambda: dict(IMPUTE_WITH))
     # Profile in the daily run. "incremental": per-day value counts, rebuilt for
     # changed days only; "distributed": full recompute from value counts (bounded
     # task state); "builtin": Spark's median()/mode() over all eligible rows

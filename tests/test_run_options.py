@@ -209,3 +209,20 @@ def test_unrefreshed_mode_scans_only_changed_days(spark, tmpdir_run):
     # run 4 brings nothing new and keeps the band: parity still re-reads the days
     # holding low readings, the unrefreshed mode reads none
     assert flags[True][3] == 2 and flags[False][3] == 0
+
+
+def test_imputation_map_and_period(spark, tmpdir_run):
+    feed, root, arch = _dirs(tmpdir_run)
+
+    def p(d, h, t):
+        if (h, t) == (7, 1):
+            return ""                                   # missing: imputed
+        return 3.0 + (h % 4) * 0.25
+    _write(os.path.join(feed, "data_group_1.csv"), _day(1, p))
+    opt = Options(impute_with={"wind_speed": "mode", "wind_direction": "mean", "power_output": "median"},
+                  impute_period="last_1_day")
+    run_daily(spark, feed, root, datetime(2022, 3, 2), opt, archive_dir=arch)
+    st = TableStore(spark, root)
+    prof = {r.period: r for r in st.read("profile").collect()}["last_1_day"]
+    row = st.read("clean").where("turbine_id = 1 AND hour(timestamp) = 7").first()
+    assert row.power_output == prof.power_output_median
