@@ -17,8 +17,14 @@ from anemoi.schema import DAY, DAY_PARTITIONED, DEVICE, TABLES, TS
 
 # Day-partitioned tables with one row per day (bounded by the calendar).
 SMALL = ("raw_days",)
-# Readings tables, written sorted by (device, time) inside each file.
-SORTED = ("raw", "clean", "anomalies")
+# Sort order inside each written file: readings by (device, time), value
+# counts by (measure, value): compact encodings and tight row-group min/max.
+SORTED = {
+    "raw": (DAY, DEVICE, TS),
+    "clean": (DAY, DEVICE, TS),
+    "anomalies": (DAY, DEVICE, TS),
+    "elig_counts": (DAY, "measure", "value"),
+}
 CODEC = "zstd"
 
 
@@ -83,9 +89,7 @@ class TableStore:
             return df.coalesce(1)
         df = df.hint("rebalance", DAY)
         if name in SORTED:
-            # device then time inside each file: tight row-group min/max for
-            # per-device reads, and sorted timestamps encode compactly
-            df = df.sortWithinPartitions(DAY, DEVICE, TS)
+            df = df.sortWithinPartitions(*SORTED[name])
         return df
 
     def overwrite_days(self, name: str, df: DataFrame) -> None:
