@@ -47,3 +47,24 @@ def test_hot_device_and_hot_day(spark, tmpdir_run):
     hot = st.read("daily_summary").where((F.col("turbine_id") == 1)).first()
     assert hot.max_power_output < 9.5
     assert_day_stats_match(spark, st)
+
+
+def test_hot_day_is_split_across_files(spark, tmpdir_run):
+    """The rebalance hint lets AQE split one heavy day into several write tasks."""
+    st = TableStore(spark, os.path.join(tmpdir_run, "tables"))
+    rows = spark.range(200000).select(
+        (F.lit("2022-03-01 00:00:00").cast("timestamp_ntz") + F.make_interval(secs=F.col("id"))).alias("timestamp"),
+        (F.col("id") % 7).alias("turbine_id"),
+        F.lit(5.0).alias("wind_speed"), F.lit(90.0).alias("wind_direction"),
+        (F.col("id") % 97).cast("double").alias("power_output"),
+        F.lit("2022-03-10 00:00:00").cast("timestamp_ntz").alias("insertion_date"),
+        F.lit("2022-03-01").cast("date").alias("day"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "262144")
+    try:
+        st.overwrite_days("raw", rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = [f for f in os.listdir(os.path.join(st.path("raw"), "day=2022-03-01")) if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert st.read("raw").count() == 200000
