@@ -13,6 +13,14 @@ def high_water_mark(df: DataFrame, col: str = TS, name: str = "high_water_mark")
     return df.agg(F.max(col).alias(name))
 
 
+def with_band(m: DataFrame, k: float = 2.0) -> DataFrame:
+    """Keep rows with a defined band (mean present, sigma > 0) and add
+    ``lower_bound = mean - k*sigma``, ``upper_bound = mean + k*sigma``."""
+    return (m.where(F.col("mean_power").isNotNull() & (F.col("std_power") > 0))
+             .withColumn("lower_bound", F.col("mean_power") - F.lit(k) * F.col("std_power"))
+             .withColumn("upper_bound", F.col("mean_power") + F.lit(k) * F.col("std_power")))
+
+
 def bounds(df: DataFrame, k: float = 2.0, col: str = POWER, groups=()) -> DataFrame:
     """Mean, population sigma and band per group (one row when ``groups`` is empty).
 
@@ -21,9 +29,7 @@ def bounds(df: DataFrame, k: float = 2.0, col: str = POWER, groups=()) -> DataFr
     """
     g = df.groupBy(*groups) if groups else df
     m = g.agg(F.avg(col).alias("mean_power"), F.stddev_pop(col).alias("std_power"))
-    return (m.where(F.col("mean_power").isNotNull() & (F.col("std_power") > 0))
-             .withColumn("lower_bound", F.col("mean_power") - F.lit(k) * F.col("std_power"))
-             .withColumn("upper_bound", F.col("mean_power") + F.lit(k) * F.col("std_power")))
+    return with_band(m, k)
 
 
 def band(bounds_df: DataFrame) -> tuple[Column, Column]:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from anemoi.operators.baseline import with_band
 from anemoi.operators.profile import eligible_rows
 from anemoi.schema import DAY, DEVICE, INSERTED, MEASURES, POWER, TS
 
@@ -101,9 +102,7 @@ def bounds_from_stats(stats: DataFrame, k: float = 2.0, groups=()) -> DataFrame:
         F.first("mu").alias("mean_power"),
         F.sqrt((F.sum("power_m2") + F.sum(F.col("power_n") * (F.col("power_mean") - F.col("mu")) ** 2))
                / F.first("N")).alias("std_power"))
-    return (m.where(F.col("mean_power").isNotNull() & (F.col("std_power") > 0))
-             .withColumn("lower_bound", F.col("mean_power") - F.lit(k) * F.col("std_power"))
-             .withColumn("upper_bound", F.col("mean_power") + F.lit(k) * F.col("std_power")))
+    return with_band(m, k)
 
 
 def long_values(rows: DataFrame) -> DataFrame:

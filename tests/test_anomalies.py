@@ -61,3 +61,16 @@ def test_counts_and_pivot(spark):
     assert anomaly_pivot(df).columns == ["day", "Turbine_ID_1", "Turbine_ID_7"]
     assert anomaly_pivot(df.where(F.lit(False))).count() == 0
     assert high_water_mark(df).first()[0] == datetime(2022, 3, 3, 0)
+
+
+def test_band_arithmetic_reproduces_logged_bounds(spark):
+    """Fixed values: (mean, sigma, lower, upper) logged by three reference runs."""
+    from anemoi.operators.baseline import with_band
+    logged = [
+        (3.0277329744831207, 1.2069551485571886, 0.6138226773687436, 5.441643271597497),
+        (3.0017671329298454, 0.8699388594091308, 1.2618894141115837, 4.741644851748108),
+        (3.001670220100295, 0.8697335510551618, 1.2622031179899715, 4.741137322210619),
+    ]
+    df = spark.createDataFrame([r[:2] for r in logged], "mean_power double, std_power double")
+    got = [(r.lower_bound, r.upper_bound) for r in with_band(df, 2.0).collect()]
+    assert got == [r[2:] for r in logged]
