@@ -100,3 +100,20 @@ def test_eligible_set_is_read_once_for_all_periods(spark):
     plan = period_value_counts(eligible_rows(raw, anoms), starts)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("LeftAnti") == 1          # one anti join, one aggregate, five periods
     assert plan.count("HashAggregate") == 2     # partial + final
+
+
+def test_period_starts_match_logged_values(spark):
+    """Look-back starts logged by reference runs for two anchors."""
+    from anemoi.functions.expressions import ts_literal
+    from anemoi.operators.profile import period_starts
+    logged = {
+        "2022-03-31 23:00:00": ["2022-03-03 23:00:00", "2022-03-17 23:00:00",
+                                "2022-03-24 23:00:00", "2022-03-30 23:00:00"],
+        "2022-04-01 23:00:00": ["2022-03-04 23:00:00", "2022-03-18 23:00:00",
+                                "2022-03-25 23:00:00", "2022-03-31 23:00:00"],
+    }
+    for anchor, want in logged.items():
+        starts = period_starts(ts_literal(anchor))
+        assert [name for name, _ in starts][0] == "full_dataset" and starts[0][1] is None
+        row = spark.range(1).select(*[s.alias(n) for n, s in starts[1:]]).first()
+        assert [str(v) for v in row] == want
