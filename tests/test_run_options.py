@@ -226,3 +226,21 @@ def test_imputation_map_and_period(spark, tmpdir_run):
     prof = {r.period: r for r in st.read("profile").collect()}["last_1_day"]
     row = st.read("clean").where("turbine_id = 1 AND hour(timestamp) = 7").first()
     assert row.power_output == prof.power_output_median
+
+
+def test_no_archive_and_no_wide_pivot(spark, tmpdir_run):
+    feed, root, arch = _dirs(tmpdir_run)
+
+    def p(d, h, t):
+        return 9.0 if (h, t) == (2, 1) else 3.0 + (h % 3) * 0.1
+    _write(os.path.join(feed, "data_group_1.csv"), _day(1, p))
+    r = run_daily(spark, feed, root, datetime(2022, 3, 2), Options(archive=False, wide_pivot=False),
+                  archive_dir=arch)
+    st = TableStore(spark, root)
+    assert r.archived == [] and os.listdir(feed) == ["data_group_1.csv"]
+    assert st.read("anomalies").count() == 1
+    assert st.exists("anomaly_counts") and not st.exists("anomaly_pivot")
+    # the file stays; a second run reads nothing new from it
+    r2 = run_daily(spark, feed, root, datetime(2022, 3, 3), Options(archive=False, wide_pivot=False),
+                   archive_dir=arch)
+    assert r2.new_rows == 0 and st.read("raw").count() == 48
