@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from anemoi.llm import decontaminate, mixing, near_dup, pii, quality_rules, sharding, substring_dedup
+from anemoi.llm import (
+    decontaminate, mixing, near_dup, packing, pii, quality_rules, sharding, substring_dedup, token_counts,
+)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op2_token_counts": token_counts.op2_token_counts,
     "op3_mixing": mixing.op3_mixing,
     "op4_sharding": sharding.op4_sharding,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_decontamination": decontaminate.op6_decontamination,
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
+    "op10_packing": packing.op10_packing,
 }
 
 ORACLE_SQL = {
     "op3_mixing": mixing.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op6_decontamination": decontaminate.ORACLE,
+    "op8_near_dup": near_dup.ORACLE,
+    "op9_substring_dedup": substring_dedup.ORACLE,
 }

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,27 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run in workers import their modules there; a cluster's workers have
+    none of the driver's files.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_anemoi_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="anemoi-py-"), "anemoi.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    sc._anemoi_shipped = True
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete every scratch table under the shared folder (call it once results are written)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/anemoi-llm")

@@ -46,6 +46,13 @@ def _shingle(words: str, at: Column, width: int) -> Column:
     return F.xxhash64(F.lit(width), *[F.get(words, at + j) for j in range(width)])
 
 
+def _shingles(words: str, width: int) -> Column:
+    """Shingle hashes of the word array column ``words`` with their places; none if it is shorter."""
+    places = F.sequence(F.lit(0), F.greatest(F.size(words) - width, F.lit(0)))
+    found = F.transform(places, lambda i: F.struct(i.alias("pos"), _shingle(words, i, width).alias("sh")))
+    return F.when(F.size(words) >= width, found).otherwise(F.array().cast("array<struct<pos:int,sh:bigint>>"))
+
+
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(win, item) pairs, and (win, len, width, o, sh): the shingles of each distinct window."""
     w = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"),
@@ -56,8 +63,9 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     width = F.least(F.size("w"), F.lit(SHINGLE))
     shapes = None
     for k in range(1, SHINGLE + 1):
-        x = w.where(width == k).select("win", F.size("w").alias("len"), F.lit(k).alias("width"), F.posexplode(F.transform(
-            F.sequence(F.lit(0), F.size("w") - k), lambda o, k=k: _shingle("w", o, k))).alias("o", "sh"))
+        x = w.where(width == k).select("win", F.size("w").alias("len"), F.lit(k).alias("width"),
+                                       F.explode(_shingles("w", k)).alias("x")).select(
+            "win", "len", "width", F.col("x.pos").alias("o"), "x.sh")
         shapes = x if shapes is None else shapes.unionAll(x)
     return saved(w.select("win", "item").distinct(), "items"), saved(shapes.distinct(), "shapes")
 
@@ -71,11 +79,7 @@ def hits(docs: DataFrame, shapes: DataFrame, id_col: str = "doc_id", text_col: s
     d = docs.select(F.col(id_col).alias("doc_id"), *row_key(id_col, text_col), plain_words(F.col(text_col)).alias("w"))
     d = d.select("doc_id", *KEY, "w", F.size("w").alias("n_words"))
     rows = [F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("long").alias("sh")))]
-    for k in widths:
-        rows.append(F.when(F.col("n_words") >= k, F.transform(
-            F.sequence(F.lit(0), F.greatest(F.col("n_words") - k, F.lit(0))),
-            lambda i, k=k: F.struct(i.alias("pos"), _shingle("w", i, k).alias("sh"))))
-            .otherwise(F.array().cast("array<struct<pos:int,sh:bigint>>")))
+    rows += [_shingles("w", k) for k in widths]
     all_rows = F.concat(*rows) if len(rows) > 1 else rows[0]
     d = d.select("doc_id", *KEY, "n_words", F.explode(all_rows).alias("x")).select("doc_id", *KEY, "n_words", "x.*")
     found = d.join(known.withColumn("known", F.lit(True)), "sh", "left")

@@ -64,16 +64,15 @@ def balanced_rates(targets: DataFrame, steps: int = NEWTON_STEPS) -> DataFrame:
 
     A step is ``lambda + (T - S e^lambda) / (S e^lambda)``, cut to +-1 so that it can't
     overshoot; it converges quadratically and ``steps`` covers rates from e^-20 to e^20.
+    All sources step at once, each where its row is.
     """
-    d = targets.withColumn("lam", F.lit(0.0))
-    for i in range(steps):
-        have = F.col("source_size") * F.exp("lam")
-        step = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("target") - have) / have))
-        d = d.withColumn("lam", F.when(F.col("source_size") > 0, F.col("lam") + step).otherwise(F.lit(0.0)))
-        if i % 5 == 4:
-            d = saved(d, "newton")   # one row per source; keeps the expression short
-    rate = F.when((F.col("target") > 0) & (F.col("source_size") > 0), F.exp("lam")).otherwise(F.lit(0.0))
-    return d.withColumn("rate", rate).drop("lam")
+    def step(lam, _):
+        have = F.col("source_size") * F.exp(lam)
+        return lam + F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("target") - have) / have))
+
+    lam = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0), step)
+    solvable = (F.col("target") > 0) & (F.col("source_size") > 0)
+    return targets.withColumn("rate", F.when(solvable, F.exp(lam)).otherwise(F.lit(0.0)))
 
 
 def _running(df: DataFrame, value: str, name: str, n_buckets: int) -> DataFrame:

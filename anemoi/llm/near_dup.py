@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anemoi.llm.common import saved, table
+from anemoi.llm.common import saved, ship, table
 from anemoi.llm.components import components
 from anemoi.llm.wordhash import mixed, word_hashes
 
@@ -222,6 +222,7 @@ def _proposals(members: DataFrame, limit: int, percent: int, nearest: int | None
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
+    ship(docs.sparkSession)
     sig = saved(signatures(docs, width, id_col, text_col), "signatures")
     full = sig.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = saved(full.groupBy("c1", "c2").agg(F.min("doc_id").alias("node")), "classes")
@@ -266,3 +267,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
 
 def op8_near_dup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s AS x JOIN s AS y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anemoi.llm.common import saved, table
+from anemoi.llm.common import saved, ship, table
 from anemoi.llm.tokens import EOD, VOCABULARY, encode
 
 LENGTH = 2048
@@ -125,6 +125,7 @@ def packed(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY,
         if pieces:
             yield _rows(pieces, length, part, first)
 
+    ship(docs.sparkSession)
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
             .mapInArrow(pack, SCHEMA))
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anemoi.llm.common import table
+from anemoi.llm.common import ship, table
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("iban", "ssn", "local_phone")
@@ -146,6 +146,8 @@ SPAN = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ``spans`` (array of kind, start, end, score), one row per document."""
+    ship(docs.sparkSession)
+
     @F.pandas_udf(SPAN)
     def found(texts: pd.Series) -> pd.Series:
         return pd.Series([[{"kind": k, "start": a, "end": b, "score": s} for k, a, b, s in find(t)] for t in texts])
@@ -155,6 +157,8 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns of ``docs``, spans in the text replaced by their kind."""
+    ship(docs.sparkSession)
+
     @F.pandas_udf("string")
     def hidden(texts: pd.Series) -> pd.Series:
         return pd.Series([redacted(t) for t in texts], dtype=object)
@@ -167,6 +171,6 @@ def op1_pii(spark, sf_dir):
     joined = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(
         ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     base = F.filter("spans", lambda x: x["kind"].isin(*BASE_KINDS))
-    return found.select("doc_id", *[F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}")
-                                    for k in BASE_KINDS],
+    of = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long")
+    return found.select("doc_id", *[of(k).alias(f"n_{k}") for k in BASE_KINDS],
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anemoi.llm.common import numbered, table
+from anemoi.llm.common import numbered, ship, table
 
 SHARDS = 8
 SEED = 20240601
@@ -85,6 +85,7 @@ def row_at(shard, slot, total: int, shards: int = SHARDS, seed: int = SEED) -> n
 
 def shard_rows(df: DataFrame, order: list[str], shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """``df`` with ``shard`` (int) and ``slot`` (long): one sort for the numbers, no other shuffle."""
+    ship(df.sparkSession)
     rows = numbered(df, order, "feistel_row")
     total = rows.count()
 

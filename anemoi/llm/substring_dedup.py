@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anemoi.llm.common import saved, table
+from anemoi.llm.common import saved, ship, table
 from anemoi.llm.wordhash import window_hashes, word_hashes
 
 WINDOW = 50
@@ -150,6 +150,7 @@ def repeated_spans(per: DataFrame, texts: DataFrame, window: int) -> DataFrame:
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept text of every document."""
+    ship(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     per = saved(runs(d, window), "runs")
 
@@ -189,3 +190,18 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 
 def op9_substring_dedup(spark, sf_dir):
     return deduplicated(table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, s, array_to_string(list_slice(w, s, s + 49), ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50)),
+f AS (SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY g) AS m FROM g) WHERE m < doc_id),
+p AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM f),
+k AS (SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.i) AS t
+      FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d) AS x
+      LEFT JOIN p ON p.doc_id = x.doc_id AND p.i = x.i WHERE p.i IS NULL GROUP BY x.doc_id),
+c AS (SELECT doc_id, count(*) AS n FROM p GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN c USING (doc_id)
+"""

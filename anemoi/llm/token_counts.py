@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from anemoi.llm.common import saved, table
+from anemoi.llm.common import saved, ship, table
 from anemoi.llm.tokens import EOD, VOCABULARY, encode
 
 BLOCK = 1 << 18         # tokens
@@ -65,6 +65,7 @@ def flat_files(docs: DataFrame, vocabulary: str = VOCABULARY, block: int = BLOCK
         if parts:
             yield out(b"".join(parts), ids)
 
+    ship(docs.sparkSession)
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
             .mapInArrow(write, "file int, block long, data binary, doc_ids array<long>"))
 
@@ -97,6 +98,7 @@ def separator_scan(blocks: DataFrame, separator: int = EOD) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
                 names=["file", "block", "size", "at"])
 
+    ship(blocks.sparkSession)
     b = saved(blocks.select("file", "block", "data").mapInArrow(
         scan, "file int, block long, size long, at array<long>"), "separators")
     # where each block starts, then where the last separator before it stands
