@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from anemoi.llm import (
-    decontaminate, mixing, near_dup, packing, pii, quality_rules, sharding, substring_dedup, token_counts,
+    decontaminate, line_dedup, mixing, near_dup, packing, pii, quality_rules, sharding, substring_dedup, token_counts,
 )
 
 QUERIES = {
@@ -13,6 +13,7 @@ QUERIES = {
     "op4_sharding": sharding.op4_sharding,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_decontamination": decontaminate.op6_decontamination,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_packing": packing.op10_packing,
@@ -22,6 +23,7 @@ ORACLE_SQL = {
     "op3_mixing": mixing.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op6_decontamination": decontaminate.ORACLE,
+    "op7_line_dedup": line_dedup.ORACLE,
     "op8_near_dup": near_dup.ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
 }

@@ -97,12 +97,12 @@ def numbered(df: DataFrame, order: list[str], name: str = "row_no") -> DataFrame
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = (df.repartitionByRange(n, *[F.col(c).asc() for c in order])
             .sortWithinPartitions(*[F.col(c).asc() for c in order])
-            .withColumn("n_part", F.spark_partition_id())
-            .withColumn("n_in", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
+            .withColumn("__part", F.spark_partition_id())
+            .withColumn("__in", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
     part = saved(part, "numbered")
-    before = Window.orderBy("n_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: a bound set by the session, not by the data
-    start = (part.groupBy("n_part").agg(F.count(F.lit(1)).alias("n_rows"))
-             .select("n_part", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("n_start")))
-    return (part.join(F.broadcast(start), "n_part")
-            .withColumn(name, F.col("n_in") + F.col("n_start")).drop("n_part", "n_in", "n_start"))
+    start = (part.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
+             .select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start")))
+    return (part.join(F.broadcast(start), "__part")
+            .withColumn(name, F.col("__in") + F.col("__start")).drop("__part", "__in", "__start"))

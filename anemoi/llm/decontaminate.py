@@ -123,6 +123,13 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                     F.col("n_hit").isNotNull().alias("contaminated"), *KEY))
 
 
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no item window, all their columns."""
+    bad = contaminated(docs, items, id_col, text_col).where("contaminated").select(*KEY).distinct()
+    rows = docs.select(F.struct("*").alias("row"), *row_key(id_col, text_col))
+    return rows.join(bad, KEY, "left_anti").select("row.*")
+
+
 def op6_decontamination(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop(*KEY)
 

@@ -16,8 +16,9 @@ the hash of bounded size, so a source may hold any share of the rows.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in
 code point order; documents of size 0 are taken 0 words; equal ids are ordered by their
-size, and repeated rows are interchangeable; extra columns are ignored by ``mixed``; an
-empty table gives no rows, a corpus without words gives targets of 0.
+size; rows equal in id, text and source are taken together; extra columns are ignored by
+``mixed`` and kept by ``repeated``; an empty table gives no rows, a corpus without words
+gives targets of 0.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from anemoi.llm.common import numbered, saved, table, words
+from anemoi.llm.common import numbered, row_key, saved, table, words
 
 WEIGHTS = (5, 2, 1)
 MOST = 3                 # no document is taken more often
@@ -56,7 +57,7 @@ def weighted_targets(sources: DataFrame) -> DataFrame:
         # a source over its cap stays there: the level only rises
         capped = F.col("w") * F.lit(level) > F.col("cap")
     target = F.when(capped, F.col("cap").cast("double")).otherwise(F.col("w") * F.lit(level))
-    return s.select("source", "source_size", target.alias("target"))
+    return s.drop("is_null", "rank", "w", "cap").withColumn("target", target)
 
 
 def balanced_rates(targets: DataFrame, steps: int = NEWTON_STEPS) -> DataFrame:
@@ -81,26 +82,30 @@ def _running(df: DataFrame, value: str, name: str, n_buckets: int) -> DataFrame:
     before = Window.partitionBy("s_id").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     start = (b.groupBy("s_id", "b").agg(F.sum(value).alias("v"))
              .select("s_id", "b", F.coalesce(F.sum("v").over(before), F.lit(0)).alias("start")))
-    inside = (Window.partitionBy("s_id", "b").orderBy("u", "size")
+    inside = (Window.partitionBy("s_id", "b").orderBy("u", "size", "k_text")
               .rowsBetween(Window.unboundedPreceding, -1))
     return (b.withColumn("inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
             .join(start, ["s_id", "b"]).withColumn(name, F.col("inside") + F.col("start"))
             .drop("inside", "start", "b"))
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies, rate of every document."""
-    d = saved(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                          F.size(words(F.col(text_col))).cast("long").alias("size")), "sizes")
-    sources = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
-    rates = balanced_rates(weighted_targets(sources))
-    s_id = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("null"))
-    rates = saved(rates.withColumn("s_id", s_id(F.col("source"))).drop("source"), "rates")
-    n_docs = d.count()
-    n_buckets = max(1, -(-n_docs // BUCKET_ROWS))
+def _source_id(source: str):
+    """Join key of a source that is never null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """k_id, k_text, s_id (the row's key), doc_id, size, n_rows, source_size, target, rate, copies."""
+    d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), _source_id(source_col).alias("s_id"),
+                    *row_key(id_col, text_col), F.size(words(F.col(text_col))).cast("long").alias("size"))
+    d = saved(d.groupBy("doc_id", "source", "s_id", "k_id", "k_text", "size").agg(F.count(F.lit(1)).alias("n_rows"))
+              .withColumn("all", F.col("size") * F.col("n_rows")), "sizes")
+    sources = d.groupBy("source", "s_id").agg(F.sum("all").alias("source_size"))
+    rates = saved(balanced_rates(weighted_targets(sources)).drop("source"), "rates")
+    n_buckets = max(1, -(-d.count() // BUCKET_ROWS))
     # rates within rounding of a whole number are whole: a capped source is taken exactly MOST times
     whole = F.floor(F.col("rate") + 1e-9)
-    d = (d.withColumn("s_id", s_id(F.col("source"))).drop("source").join(rates, "s_id")
+    d = (d.drop("source").join(rates, "s_id")
          .withColumn("u", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
          .withColumn("copies", whole)
          .withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - whole * F.col("source_size")))
@@ -108,17 +113,31 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     for i in range(1 + FILL_ROUNDS):
         # the first round may overrun by half a document, the others only fill what is left
         left = F.col("rest") - F.col("used")
-        fits = ~F.col("extra") & (F.col("size") > 0) & (F.col("copies") < MOST) & (F.lit(i == 0) | (F.col("size") <= left))
-        d = _running(d.withColumn("cand", F.when(fits, F.col("size")).otherwise(F.lit(0).cast("long"))),
+        fits = ~F.col("extra") & (F.col("size") > 0) & (F.col("copies") < MOST) & (F.lit(i == 0) | (F.col("all") <= left))
+        d = _running(d.withColumn("cand", F.when(fits, F.col("all")).otherwise(F.lit(0).cast("long"))),
                      "cand", "run", n_buckets)
         take = (F.col("cand") > 0) & (F.col("run") + F.col("cand") / (2 if i == 0 else 1) <= left)
         d = saved(d.withColumn("extra", F.col("extra") | take).drop("cand", "run", "used"), f"round{i}")
         if i < FILL_ROUNDS:
-            used = d.groupBy("s_id").agg(F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("used"))
+            used = d.groupBy("s_id").agg(F.sum(F.when(F.col("extra"), F.col("all")).otherwise(0)).alias("used"))
             d = d.join(used, "s_id")
-    copies = (F.col("copies") + F.col("extra").cast("long")).cast("long")
-    return d.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"),
-                    copies.alias("copies"), "rate")
+    return d.select("k_id", "k_text", "s_id", "doc_id", "size", "n_rows", "source_size", "target", "rate",
+                    (F.col("copies") + F.col("extra").cast("long")).cast("long").alias("copies"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies, rate of every document."""
+    d = copies(docs, id_col, text_col, source_col)
+    d = d.withColumn("one", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_rows"))))
+    return d.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
+
+
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mix itself: every row of ``docs``, all its columns, as often as it is taken."""
+    taken = copies(docs, id_col, text_col, source_col).where("copies > 0").select("k_id", "k_text", "s_id", "copies")
+    rows = docs.select(F.struct("*").alias("row"), *row_key(id_col, text_col), _source_id(source_col).alias("s_id"))
+    rows = rows.join(taken, ["k_id", "k_text", "s_id"])
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def op3_mixing(spark, sf_dir):

@@ -265,6 +265,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
+def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80,
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, all their columns."""
+    gone = near_duplicates(docs, width, percent, id_col, text_col).where("NOT kept")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"))
+    return rows.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select("row.*")
+
+
 def op8_near_dup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 

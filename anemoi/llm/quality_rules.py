@@ -47,13 +47,13 @@ def _covered(starts: Column, width: int) -> Column:
     return F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: its id and MEASURES (long)."""
+def _measured(docs: DataFrame, carried: Column, text_col: str) -> DataFrame:
+    """``carried`` (named row) and MEASURES (long) of every document."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     # every array below is used several times, so it stays a column of its own projection
-    d = docs.select(F.col(id_col).alias("doc_id"), text.alias("t"), words(text).alias("w"),
+    d = docs.select(carried.alias("row"), text.alias("t"), words(text).alias("w"),
                     F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
-    d = d.select("doc_id", F.size("w").cast("long").alias("n_words"),
+    d = d.select("row", F.size("w").cast("long").alias("n_words"),
                  F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
                  F.length(F.regexp_replace("t", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
                  F.size("lines").cast("long").alias("n_lines"),
@@ -72,17 +72,20 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     same = lambda x, k: F.coalesce(F.get("s", k)["h"] == x["h"], F.lit(False))
     d = d.select(*keep, F.sort_array(F.transform(
         F.filter("s", lambda x, k: same(x, k - 1) | same(x, k + 1)), lambda x: x["i"])).alias("starts"))
-    return d.select(*[c for c in keep], F.coalesce(_covered(F.col("starts"), WINDOW),
-                                                   F.lit(0).cast("long")).alias("n_repeat_words")) \
-        .select("doc_id", *MEASURES)
+    n_repeat = F.coalesce(_covered(F.col("starts"), WINDOW), F.lit(0).cast("long"))
+    return d.select(*keep, n_repeat.alias("n_repeat_words")).select("row", *MEASURES)
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Measurements and ``failed_bits`` (bit i: RULES[i] fails) of every document."""
+def _with_bits(measured: DataFrame) -> DataFrame:
     bits = F.lit(0).cast("long")
     for i, (_, fails) in enumerate(RULES):
         bits = bits + F.when(F.expr(fails), F.lit(1 << i)).otherwise(F.lit(0))
-    return measured(docs, id_col, text_col).withColumn("failed_bits", bits)
+    return measured.withColumn("failed_bits", bits)
+
+
+def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Measurements and ``failed_bits`` (bit i: RULES[i] fails) of every document."""
+    return _with_bits(_measured(docs, F.col(id_col), text_col)).withColumnRenamed("row", "doc_id")
 
 
 def apply_policy(led: DataFrame, policy: str = "v1") -> DataFrame:
@@ -94,6 +97,12 @@ def apply_policy(led: DataFrame, policy: str = "v1") -> DataFrame:
             .withColumn("policy", F.lit(policy)))
 
 
+def filter_documents(docs: DataFrame, policy: str = "v1", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the policy keeps, all their columns; no join, no shuffle."""
+    judged = _with_bits(_measured(docs, F.struct("*"), text_col))
+    return apply_policy(judged, policy).where("kept").select("row.*")
+
+
 def ablation(led: DataFrame, policy: str = "v1") -> DataFrame:
     """Per rule of a policy: documents it fails, and those it alone fails.
 

@@ -86,17 +86,17 @@ def row_at(shard, slot, total: int, shards: int = SHARDS, seed: int = SEED) -> n
 def shard_rows(df: DataFrame, order: list[str], shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """``df`` with ``shard`` (int) and ``slot`` (long): one sort for the numbers, no other shuffle."""
     ship(df.sparkSession)
-    rows = numbered(df, order, "feistel_row")
+    rows = numbered(df, order, "__row")
     total = rows.count()
 
     @F.pandas_udf("long")
     def permuted(n: pd.Series) -> pd.Series:
         return pd.Series(permute(n.to_numpy(), total, seed))
 
-    return (rows.withColumn("feistel_row", permuted("feistel_row"))
-            .withColumn("shard", (F.col("feistel_row") % shards).cast("int"))
-            .withColumn("slot", F.floor(F.col("feistel_row") / shards).cast("long"))
-            .drop("feistel_row"))
+    return (rows.withColumn("__row", permuted("__row"))
+            .withColumn("shard", (F.col("__row") % shards).cast("int"))
+            .withColumn("slot", F.expr(f"__row div {shards}"))
+            .drop("__row"))
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -112,5 +112,12 @@ def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFram
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all their columns, with ``shard`` and ``slot`` (replaced if there)."""
+    rows = docs.withColumn("__tie", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return shard_rows(rows, [id_col, "__tie"], shards, seed).drop("__tie")
+
+
 def op4_sharding(spark, sf_dir):
     return sharded(table(spark, sf_dir, "documents"))
