@@ -198,25 +198,51 @@ def _proposals(members: DataFrame, limit: int, percent: int, nearest: int | None
     b = m.withColumn("tb", tile(tiles_b)).withColumn(
         "ta", F.explode(F.sequence(F.lit(0), tiles_a - 1))).withColumn("side", F.lit(False))
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[pdf.side], pdf[~pdf.side]
+    def meet(nodes, comps, sizes, sides, sketches) -> np.ndarray:
+        """Passing pairs of one tile."""
+        x, y = np.flatnonzero(sides), np.flatnonzero(~sides)
         got = []
-        if len(x) and len(y):
-            sy = np.frombuffer(b"".join(y.sketch), dtype=np.uint64).reshape(len(y), -1)
-            ny, cy, idy = y.n_shingles.to_numpy(), y.comp.to_numpy(), y.node.to_numpy()
-            for r in x.itertuples():
-                bits = np.bitwise_count(sy ^ np.frombuffer(r.sketch, dtype=np.uint64)).sum(axis=1, dtype=np.int64)
-                ok = np.flatnonzero((bits <= limit) & (cy != r.comp)
-                                    & (100 * np.minimum(ny, r.n_shingles) >= percent * np.maximum(ny, r.n_shingles)))
-                if nearest is not None and len(ok) > nearest:
-                    ok = ok[np.argsort(bits[ok], kind="stable")[:nearest]]
-                got.append(np.column_stack([np.full(len(ok), r.node), idy[ok]]))
-        pairs = np.concatenate(got) if got else np.zeros((0, 2), dtype=np.int64)
-        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
+        for i in x:
+            bits = np.bitwise_count(sketches[y] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+            ok = np.flatnonzero((bits <= limit) & (comps[y] != comps[i])
+                                & (100 * np.minimum(sizes[y], sizes[i]) >= percent * np.maximum(sizes[y], sizes[i])))
+            if nearest is not None and len(ok) > nearest:
+                ok = ok[np.argsort(bits[ok], kind="stable")[:nearest]]
+            if len(ok):
+                got.append(np.column_stack([np.full(len(ok), nodes[i]), nodes[y[ok]]]))
+        return np.concatenate(got) if got else np.zeros((0, 2), dtype=np.int64)
+
+    def compare(batches):
+        """Tiles come whole and one after another; the last of a batch waits for the next."""
+        held = None
+        for batch in _and_none(batches):
+            if batch is not None:
+                held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if held is None or not len(held):
+                continue
+            keys = np.column_stack([held.column(c).to_numpy() for c in ("bk", "ta", "tb")])
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            whole = len(held) if batch is None else (cuts[-1] if len(cuts) else 0)
+            if whole:
+                part = held.slice(0, whole)
+                nodes, comps, sizes = (part.column(c).to_numpy() for c in ("node", "comp", "n_shingles"))
+                sides = part.column("side").to_numpy()
+                sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), dtype=np.uint64).reshape(whole, -1)
+                edges = [0, *cuts[cuts < whole].tolist(), whole]
+                got = np.concatenate([meet(nodes[i:j], comps[i:j], sizes[i:j], sides[i:j], sketches[i:j])
+                                      for i, j in zip(edges, edges[1:])])
+                got = np.sort(got, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], names=["a", "b"])
+                held = held.slice(whole)
 
     cols = ["bk", "ta", "tb", "side", "node", "comp", "n_shingles", "sketch"]
-    return (a.select(cols).unionAll(b.select(cols)).groupBy("bk", "ta", "tb")
-            .applyInPandas(compare, "a long, b long").distinct())
+    tiles = a.select(cols).unionAll(b.select(cols)).repartition("bk", "ta", "tb").sortWithinPartitions("bk", "ta", "tb")
+    return tiles.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _and_none(batches):
+    yield from batches
+    yield None
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,

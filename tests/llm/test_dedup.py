@@ -232,6 +232,9 @@ def test_decontamination(spark, docs, none):
     items = [(1, " ".join(w[100:140])), (2, "- ".join(w[130:141]).upper()), (3, " ".join(w[50:59])), (4, " ".join(w[7:9])),
              (5, w[33]), (6, prose(rng, 40)), (7, None), (8, "..."), (None, " ".join(w[100:140])), (9, " ".join(w[100:140])),
              (10, "Über, straße? Été"), (11, " ".join(["x"] * 12))]
+    grams = Counter(tuple(x[i:i + 10]) for r in rows for x in [item_words(r[1] or "")] for i in range(len(x) - 9)
+                    if len(set(x[i:i + 10])) > 5)
+    items.append((12, " ".join(grams.most_common(1)[0][0])))
     bench = spark.createDataFrame(items, "item_id long, text string")
     wins = defaultdict(set)
     for i, t in items:
