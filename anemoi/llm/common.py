@@ -16,6 +16,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+BATCH_ROWS = 1000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
@@ -46,6 +49,10 @@ def ship(spark: SparkSession) -> None:
     none of the driver's files.
     """
     sc = spark.sparkContext
+    # rows hold whole texts: smaller Arrow batches than the default, unless the session chose
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
     if getattr(sc, "_anemoi_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -57,7 +57,7 @@ def weighted_targets(sources: DataFrame) -> DataFrame:
         # a source over its cap stays there: the level only rises
         capped = F.col("w") * F.lit(level) > F.col("cap")
     target = F.when(capped, F.col("cap").cast("double")).otherwise(F.col("w") * F.lit(level))
-    return s.drop("is_null", "rank", "w", "cap").withColumn("target", target)
+    return s.withColumn("target", target).drop("is_null", "rank", "w", "cap")
 
 
 def balanced_rates(targets: DataFrame, steps: int = NEWTON_STEPS) -> DataFrame:

@@ -99,8 +99,10 @@ def apply_policy(led: DataFrame, policy: str = "v1") -> DataFrame:
 
 def filter_documents(docs: DataFrame, policy: str = "v1", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the policy keeps, all their columns; no join, no shuffle."""
-    judged = _with_bits(_measured(docs, F.struct("*"), text_col))
-    return apply_policy(judged, policy).where("kept").select("row.*")
+    # the row number keeps the filter above the measures: pushed below them, it would
+    # repeat every measure's expression once per use
+    judged = _with_bits(_measured(docs, F.struct("*"), text_col)).withColumn("pin", F.monotonically_increasing_id())
+    return apply_policy(judged, policy).where("kept AND pin >= 0").select("row.*")
 
 
 def ablation(led: DataFrame, policy: str = "v1") -> DataFrame:

@@ -75,7 +75,7 @@ def kept_hash(text: str | None, removed: np.ndarray | None = None) -> str:
 
 
 def runs(docs: DataFrame, window: int) -> DataFrame:
-    """One row per document: doc_id, tag (of the text), n_words, full_sha, and its runs as arrays."""
+    """One row per document (doc_id, tag, text): doc_id, tag, n_words, full_sha, and its runs as arrays."""
     schema = ("doc_id long, tag int, n_words long, full_sha string, "
               "h array<long>, r array<long>, a array<int>, n array<int>")
 
@@ -83,25 +83,24 @@ def runs(docs: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = part.column(1)
+                texts = part.column(2)
                 words, off = word_hashes(texts)
-                cols = [[], [], [], [], [], []]
+                cols = [[], [], [], [], []]
                 for i in range(part.num_rows):
                     w = words[off[i]:off[i + 1]]
-                    tag = int(w.sum(dtype=np.uint64) >> np.uint64(33)) if len(w) else 0
                     h = r = a = n = np.zeros(0, np.int64)
                     if len(w) >= window and part.column(0)[i].is_valid:
                         h, a, last = run_bounds(w, window)
                         n = last - a + 1
                         r, h = _span_hash(w, a, n + window - 1).view(np.int64), h.view(np.int64)
-                    for col, x in zip(cols, (tag, kept_hash(texts[i].as_py()), h, r, a.astype(np.int32), n.astype(np.int32)),
+                    for col, x in zip(cols, (kept_hash(texts[i].as_py()), h, r, a.astype(np.int32), n.astype(np.int32)),
                                       strict=True):
                         col.append(x)
-                lists = [pa.array(c, pa.list_(t)) for c, t in zip(cols[2:], (pa.int64(), pa.int64(), pa.int32(), pa.int32()),
+                lists = [pa.array(c, pa.list_(t)) for c, t in zip(cols[1:], (pa.int64(), pa.int64(), pa.int32(), pa.int32()),
                                                                   strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(cols[0], pa.int32()), pa.array(np.diff(off), pa.int64()),
-                     pa.array(cols[1], pa.string()), *lists],
+                    [part.column(0), part.column(1), pa.array(np.diff(off), pa.int64()),
+                     pa.array(cols[0], pa.string()), *lists],
                     names=["doc_id", "tag", "n_words", "full_sha", "h", "r", "a", "n"])
 
     return docs.mapInArrow(scan, schema)
@@ -151,17 +150,12 @@ def repeated_spans(per: DataFrame, texts: DataFrame, window: int) -> DataFrame:
 def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept text of every document."""
     ship(docs.sparkSession)
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # the tag tells texts of one id apart
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                    F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND((1 << 31) - 1).cast("int").alias("tag"),
+                    F.col(text_col).alias("text"))
     per = saved(runs(d, window), "runs")
-
-    @F.pandas_udf("int")
-    def tag_of(texts):
-        words, off = word_hashes(pa.array(texts, pa.string()))
-        import pandas as pd
-        return pd.Series([int(words[a:b].sum(dtype=np.uint64) >> np.uint64(33)) if b > a else 0
-                          for a, b in zip(off[:-1], off[1:], strict=True)], dtype="int32")
-
-    texts = d.where("doc_id IS NOT NULL").select("doc_id", "text", tag_of("text").alias("tag")).dropDuplicates(["doc_id", "tag"])
+    texts = d.where("doc_id IS NOT NULL")
     spans = repeated_spans(per, texts, window)
     hit = saved(spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("a", "e")).alias("x"))
                 .select("doc_id", "tag", F.col("x.a").alias("a"), F.col("x.e").alias("e")), "hit")
@@ -183,6 +177,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 
     cut_docs = hit.join(texts, ["doc_id", "tag"]).select("doc_id", "tag", "text", "a", "e").mapInArrow(
         cut, "doc_id long, tag int, n_removed long, kept_sha256 string")
+    cut_docs = cut_docs.dropDuplicates(["doc_id", "tag"])      # rows that are there twice
     return (per.select("doc_id", "tag", "n_words", "full_sha").join(cut_docs, ["doc_id", "tag"], "left")
             .select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
                     F.coalesce("kept_sha256", "full_sha").alias("kept_sha256")))
