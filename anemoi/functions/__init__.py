@@ -1,3 +1,3 @@
 from anemoi.functions.expressions import (  # noqa: F401
-    day_of, missing_as_null, normalise_measures, parse_timestamp, ts_literal,
+    day_of, missing_as_null, parse_timestamp, ts_literal,
 )

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from anemoi.schema import DAY, MEASURES, TS
+from anemoi.schema import DAY, TS
 
 
 def missing_as_null(c: Column | str, zero_is_missing: bool = True) -> Column:
@@ -18,13 +18,6 @@ def missing_as_null(c: Column | str, zero_is_missing: bool = True) -> Column:
     return F.nullif(v, F.lit(0.0)) if zero_is_missing else v
 
 
-def normalise_measures(df: DataFrame, cols=MEASURES, zero_is_missing: bool = True) -> DataFrame:
-    """Apply :func:`missing_as_null` to each measure column, keeping column order."""
-    cols = set(cols)
-    return df.select(*[missing_as_null(c, zero_is_missing).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
-
-
 def parse_timestamp(c: Column | str, day_first: bool = False) -> Column:
     """Zone-free text -> TIMESTAMP_NTZ; NULL when no layout matches.
 

@@ -61,19 +61,18 @@ def anomaly_counts_long(anomalies: DataFrame) -> DataFrame:
 
 
 def distinct_ids(anomalies: DataFrame) -> DataFrame:
-    """Devices with anomalies, ascending. The device dimension is small, so the
-    distinct ids are ordered inside one partition (no range shuffle)."""
-    return anomalies.select(DEVICE).distinct().coalesce(1).sortWithinPartitions(DEVICE)
+    """Devices with anomalies, ascending."""
+    return anomalies.select(DEVICE).distinct().orderBy(DEVICE)
 
 
 def anomaly_pivot(anomalies: DataFrame, ids: list | None = None,
-                  counts: DataFrame | None = None, ordered: bool = True) -> DataFrame:
-    """Days x devices, 0 where a device had no anomaly, ordered by day.
+                  counts: DataFrame | None = None) -> DataFrame:
+    """Days x devices, 0 where a device had no anomaly.
 
-    The column list is the device dimension; it is read with one distinct
-    query unless given. ``counts`` (the long form, e.g. as just written) saves
-    re-aggregating the anomalies: the wide step then only spreads
-    (day, device, count) rows, one task per day group.
+    The column list is the device dimension; as the schema depends on it, it is
+    read with one distinct query unless given. ``counts`` (the long form, e.g. as
+    just written) saves re-aggregating the anomalies: the wide step then only
+    spreads (day, device, count) rows. Order by day where it is shown.
     """
     long = counts if counts is not None else anomaly_counts_long(anomalies)
     if ids is None:
@@ -82,7 +81,12 @@ def anomaly_pivot(anomalies: DataFrame, ids: list | None = None,
         return long.select(DAY).where(F.lit(False))
     names = [f"{PIVOT_PREFIX}{i}" for i in ids]
     wide = long.groupBy(DAY).pivot(DEVICE, ids).agg(F.sum("anomaly_count")).toDF(DAY, *names)
-    wide = wide.na.fill(0, subset=names)
-    # one row per day (bounded by the calendar): ordered in a single partition,
-    # without a range-partitioning shuffle
-    return wide.coalesce(1).sortWithinPartitions(DAY) if ordered else wide
+    return wide.na.fill(0, subset=names)
+
+
+def pivot_cells(wide: DataFrame) -> DataFrame:
+    """All cells of the wide form, zeros included: (day, column, n)."""
+    names = [c for c in wide.columns if c != DAY]
+    if not names:
+        return wide.select(DAY, F.lit("").alias("column"), F.lit(0).cast("long").alias("n")).where(F.lit(False))
+    return wide.unpivot([DAY], names, "column", "n")

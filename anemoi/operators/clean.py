@@ -8,20 +8,14 @@ from pyspark.sql import functions as F
 from anemoi.schema import IMPUTE_WITH, KEY, MEASURES
 
 
-def latest_profile(profile: DataFrame, period: str) -> DataFrame:
-    """The newest profile row of ``period`` (zero or one row)."""
-    p = profile.where(F.col("period") == F.lit(period))
-    cols = [c for c in profile.columns if c != "calculation_timestamp"]
-    return p.agg(F.max_by(F.struct(*cols), F.col("calculation_timestamp")).alias("w")).select("w.*") \
-            .where(F.col("period").isNotNull())
-
-
 def fill_row(profile: DataFrame, period: str, impute_with=IMPUTE_WITH) -> DataFrame:
     """Exactly one row: the fallback per measure from the newest profile of
-    ``period`` (NULLs when the period has no profile, so values stay NULL)."""
+    ``period`` (NULLs when the period has no profile, so values stay NULL).
+    Newest by run number where the table has one, then by time."""
     p = profile.where(F.col("period") == F.lit(period))
     cols = [f"{m}_{impute_with[m]}" for m in MEASURES]
-    w = F.max_by(F.struct(*cols), F.col("calculation_timestamp"))
+    order = [c for c in ("run_seq", "calculation_timestamp") if c in profile.columns]
+    w = F.max_by(F.struct(*cols), F.struct(*order))
     return p.agg(w.alias("w")).select(*[F.col(f"w.{c}").alias(f"__fill_{m}")
                                         for m, c in zip(MEASURES, cols)])
 

@@ -1,8 +1,11 @@
 """Keyed merges over DataFrames (Spark has no unique key).
 
-All three are a single ``groupBy(key)`` with ``max_by``/``min_by`` over a
-struct: one shuffle on the key, no window sort, and NULLs inside the winning
-struct survive (a later row with NULL measures does overwrite).
+All are a single ``groupBy(key)`` with ``max_by``/``min_by``, so rows of a hot key
+combine before the shuffle, and NULLs of the winning row survive (a later row with
+NULL measures does overwrite). With one numeric order column and fixed-width values
+(readings) each column has buffers of its own and Spark hashes; over a struct of
+columns (rows with strings, several order columns) it sorts before and after the
+shuffle, which a ``row_number`` window would do once but without combining hot keys.
 """
 
 from __future__ import annotations
@@ -11,8 +14,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SRC = "__src"
+_FIXED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+          T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def _order(seq: Sequence[str] | None):
@@ -35,6 +42,13 @@ def upsert(existing: DataFrame, updates: DataFrame, key: Sequence[str],
     cols = [c for c in existing.columns if c not in key]
     keep = [c for c in cols if c in keep_first]
     take = [c for c in cols if c not in keep]
+    if (all(isinstance(updates.schema[c].dataType, _FIXED) for c in cols)
+            and len(seq) <= 1 and all(isinstance(updates.schema[c].dataType, _INTEGRAL) for c in seq)):
+        first = F.lit(-(1 << 63)).cast("long")          # existing rows come before any update
+        both = existing.select(*key, *cols, first.alias(_SRC)).unionByName(updates.select(
+            *key, *cols, (F.col(seq[0]).cast("long") if seq else F.lit(0).cast("long")).alias(_SRC)))
+        return both.groupBy(*key).agg(*[(F.max_by if c in take else F.min_by)(F.col(c), F.col(_SRC)).alias(c)
+                                        for c in cols])
     ex = existing.select(*key, *cols, F.lit(0).alias(_SRC), *[F.lit(None).cast(updates.schema[c].dataType).alias(c + "__seq") for c in seq])
     up = updates.select(*key, *cols, F.lit(1).alias(_SRC), *[F.col(c).alias(c + "__seq") for c in seq])
     both = ex.unionByName(up)

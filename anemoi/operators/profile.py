@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,43 +21,23 @@ def period_starts(anchor: Column, periods=PERIODS) -> list[tuple[str, Column | N
     return [(name, None if lb is None else anchor - F.lit(lb)) for name, lb in periods]
 
 
-# A group whose distinct values are at most this many may be resolved by one
-# task's value->count map (about 40 MB); larger groups go through kth_smallest.
-MAX_DISTINCT_IN_TASK = 1 << 20
-
-
 def tot_of(per: DataFrame, g: list) -> DataFrame:
     return per.groupBy(*g).agg(
         F.sum("n").alias("N"),
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.max("n").alias("top_n"),
-        F.count(F.lit(1)).alias("distinct_values"))
-
+        F.max("n").alias("top_n"))
 
-def exact_median(counts: DataFrame, groups: list, totals: DataFrame,
-                 max_distinct: int = MAX_DISTINCT_IN_TASK, any_big: bool | None = None) -> DataFrame:
-    """Exact median per group from (groups..., value, n) value counts.
 
-    ``totals`` holds ``N`` (sum of n) and ``distinct_values`` per group. Groups
-    with few distinct values use ``percentile(value, 0.5, n)`` (state bounded
-    by the check); the rest take the middle pair from :func:`kth_smallest`.
-    ``any_big=False`` (checked by the caller) leaves the radix levels out.
-    """
-    small = totals.where(F.col("distinct_values") <= max_distinct).select(*groups)
-    big = totals.where(F.col("distinct_values") > max_distinct)
-    med_small = (counts.join(F.broadcast(small), groups)
-                 .groupBy(*groups).agg(F.percentile(F.col("value"), F.lit(0.5), F.col("n")).alias("median")))
-    if any_big is False:
-        return med_small
-    targets = (big.select(*groups, F.floor((F.col("N") - 1) / 2).cast("long").alias("k"), F.lit(0).alias("hi"))
-               .unionByName(big.select(*groups, F.floor(F.col("N") / 2).cast("long").alias("k"), F.lit(1).alias("hi"))))
-    mid = kth_smallest(counts.join(F.broadcast(big.select(*groups)), groups), groups, "value",
-                       targets.select(*groups, "k"), weight="n")
+def exact_median(counts: DataFrame, groups: list, totals: DataFrame) -> DataFrame:
+    """Exact median per group from (groups..., value, n) value counts: the mean of the
+    two middle values, found by :func:`kth_smallest` whatever the group's size."""
+    pos = lambda c, hi: totals.select(*groups, c.cast("long").alias("k"), F.lit(hi).alias("hi"))
+    targets = pos(F.floor((F.col("N") - 1) / 2), 0).unionByName(pos(F.floor(F.col("N") / 2), 1))
+    mid = kth_smallest(counts, groups, "value", targets.select(*groups, "k"), weight="n")
     pair = targets.join(mid, groups + ["k"]).groupBy(*groups).agg(
         F.max(F.when(F.col("hi") == 0, F.col("value"))).alias("lo_v"),
         F.max(F.when(F.col("hi") == 1, F.col("value"))).alias("hi_v"))
-    med_big = pair.select(*groups, (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * 0.5).alias("median"))
-    return med_small.unionByName(med_big)
+    return pair.select(*groups, (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * 0.5).alias("median"))
 
 
 def _wide(stats: DataFrame) -> DataFrame:
@@ -69,9 +48,7 @@ def _wide(stats: DataFrame) -> DataFrame:
 
 
 def period_profile(raw: DataFrame, anomalies: DataFrame, periods=PERIODS,
-                   method: str = "distributed", anchor: Column | None = None,
-                   max_distinct: int = MAX_DISTINCT_IN_TASK,
-                   persisted: list | None = None) -> DataFrame:
+                   method: str = "distributed", anchor: Column | None = None) -> DataFrame:
     """One row per non-empty period: mean, exact median (middle pair averaged)
     and mode (smallest value among ties) of each measure over the eligible rows
     with ``timestamp >= anchor - look_back``.
@@ -80,10 +57,6 @@ def period_profile(raw: DataFrame, anomalies: DataFrame, periods=PERIODS,
     period in the same row (no per-period copies of the readings), then takes
     mean and mode from those counts and the median from :func:`kth_smallest`.
     ``builtin`` uses Spark's ``median``/``mode`` aggregates.
-
-    With ``persisted`` (a list), the value counts are persisted (the frame is
-    appended for the caller to unpersist) and one small job checks whether any
-    group exceeds ``max_distinct``; the radix levels enter the plan only then.
     """
     if anchor is None:
         anchor = raw.select(F.max(TS)).scalar()
@@ -93,8 +66,7 @@ def period_profile(raw: DataFrame, anomalies: DataFrame, periods=PERIODS,
         return _builtin(elig, starts)
     if method != "distributed":
         raise ValueError(f"unknown profile method {method!r}")
-
-    return profile_from_counts(period_value_counts(elig, starts), max_distinct, persisted)
+    return profile_from_counts(period_value_counts(elig, starts))
 
 
 def period_value_counts(elig: DataFrame, starts) -> DataFrame:
@@ -113,26 +85,12 @@ def period_value_counts(elig: DataFrame, starts) -> DataFrame:
         .where(F.col("n") > 0)
 
 
-def profile_from_counts(per: DataFrame, max_distinct: int = MAX_DISTINCT_IN_TASK,
-                        persisted: list | None = None, rows_bound: int | None = None) -> DataFrame:
+def profile_from_counts(per: DataFrame) -> DataFrame:
     """Mean, exact median and mode per (period, measure) from value counts,
-    spread to one row per period. ``rows_bound``: a known upper bound on the
-    readings counted (e.g. from table metadata); at most ``max_distinct`` proves
-    every group small without a check job."""
+    spread to one row per period."""
     g = ["period", "measure"]
-    if persisted is not None:
-        # read three times below (totals, mode, median): computed once
-        per = per.persist(StorageLevel.MEMORY_AND_DISK)
-        persisted.append(per)
     tot = tot_of(per, g)
-    if rows_bound is not None and rows_bound <= max_distinct:
-        any_big = False                      # proven by the bound, no check job
-    elif persisted is not None:
-        any_big = not tot.where(F.col("distinct_values") > max_distinct).isEmpty()
-    else:
-        any_big = None
-    med = exact_median(per, g, tot, max_distinct, any_big=any_big)
-    return _assemble(per, tot, med, g)
+    return _assemble(per, tot, exact_median(per, g, tot), g)
 
 
 def _assemble(per: DataFrame, tot: DataFrame, med: DataFrame, g: list) -> DataFrame:

@@ -1,7 +1,9 @@
 """Query catalogue over the driver tables: every operator as one DataFrame.
 
 Each entry takes ``(spark, sf_dir)``, reads whole tables and returns a lazy
-DataFrame. The chain adapter -> bounds -> anomalies -> profile -> clean ->
+DataFrame; nothing is persisted and no job runs while it is built, but for the two
+whose plan depends on data: the wide pivot (its columns are the devices) and the
+incremental profile (its look-back starts). The chain adapter -> bounds -> anomalies -> profile -> clean ->
 summaries is a first daily run on the ``telemetry`` adapter of ``events``.
 Computed doubles are rounded to 6 places for comparison with other engines.
 """
@@ -20,11 +22,13 @@ from anemoi.functions.expressions import missing_as_null, ts_literal
 from anemoi.operators import (
     anomaly_counts_long, anomaly_pivot, bounds, clean_rows, daily_summary, distinct_ids,
     eligible_rows, flag_outliers, high_water_mark, insert_ignore, latest_per_key,
-    period_profile, upsert,
+    period_profile, pivot_cells, upsert,
 )
-from anemoi.schema import MEASURES, STATS, TS
+from anemoi.operators.profile import profile_from_counts
+from anemoi.plans.day_stats import bounds_from_stats, clean_stats, counts_by_period, long_values
+from anemoi.schema import MEASURES, PERIODS, STATS, TS
 from anemoi.sources.csv_feed import parse_readings, split_valid
-from anemoi.sources.feed_state import feed_state, tail_by_rank
+from anemoi.sources.feed_state import feed_state, number_rows, tail_rows
 
 # --- fixed values of the catalogue -------------------------------------------
 RUN_TS = datetime(2024, 2, 1)          # calculation time stamped on profiles
@@ -61,7 +65,6 @@ class FirstRun:
     def __init__(self, spark: SparkSession, sf_dir: str, method: str = "distributed"):
         self.raw = telemetry(table(spark, sf_dir, "events"))
         self.method = method
-        self.cached: list = []
 
     @cached_property
     def bounds(self) -> DataFrame:
@@ -73,7 +76,7 @@ class FirstRun:
 
     @cached_property
     def profile(self) -> DataFrame:
-        return period_profile(self.raw, self.anomalies, method=self.method, persisted=self.cached) \
+        return period_profile(self.raw, self.anomalies, method=self.method) \
             .withColumn("calculation_timestamp", ts_literal(RUN_TS))
 
     @cached_property
@@ -156,7 +159,28 @@ def q_anomaly_counts_long(spark, sf_dir):
 
 
 def q_anomaly_pivot(spark, sf_dir):
-    return day_text(anomaly_pivot(FirstRun(spark, sf_dir).anomalies))
+    """The wide pivot, all its cells as rows (zeros included)."""
+    return day_text(pivot_cells(anomaly_pivot(FirstRun(spark, sf_dir).anomalies)))
+
+
+def q_bounds_from_stats(spark, sf_dir):
+    """The band as a daily run takes it: merged from per-day, per-device moments."""
+    raw = FirstRun(spark, sf_dir).raw
+    readings = raw.withColumn("insertion_date", ts_literal(RUN_TS)).withColumn("day", F.to_date(TS))
+    return rounded(bounds_from_stats(clean_stats(readings)))
+
+
+def q_profile_from_day_counts(spark, sf_dir):
+    """The profile as a daily run takes it: per-day value counts, merged per look-back."""
+    r = FirstRun(spark, sf_dir)
+    elig = eligible_rows(r.raw, r.anomalies).withColumn("day", F.to_date(TS))
+    anchor = r.raw.agg(F.max(TS)).first()[0]
+    starts = [(name, None if lb is None or anchor is None else anchor - lb) for name, lb in PERIODS]
+    values = long_values(elig)
+    counts = values.groupBy("day", "measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    edge = sorted({s.date() for _, s in starts if s is not None})
+    p = profile_from_counts(counts_by_period(counts, values.where(F.col("day").isin(edge)), starts))
+    return rounded(p.select("period", *[f"{m}_{s}" for m in MEASURES for s in STATS]))
 
 
 def q_distinct_ids(spark, sf_dir):
@@ -199,7 +223,10 @@ def q_tail_scan(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     offsets = ev.groupBy("event_type").agg(
         F.count_if(F.col("ts") < ts_literal(SPLIT_TS)).alias("offset"))
-    return tail_by_rank(ev, "event_type", "event_id", offsets) \
+    offsets = offsets.select(F.col("event_type").alias("file_name"),
+                             F.col("offset").alias("last_record_csv_row_number"))
+    rows = number_rows(ev, "event_type", "event_id")
+    return tail_rows(rows, offsets, file_col="event_type") \
         .select("event_id", "ts", "user_id", "event_type", "value")
 
 
@@ -217,6 +244,8 @@ QUERIES = {
     "daily_summary": q_daily_summary,
     "anomaly_counts_long": q_anomaly_counts_long,
     "anomaly_pivot": q_anomaly_pivot,
+    "bounds_from_stats": q_bounds_from_stats,
+    "profile_from_day_counts": q_profile_from_day_counts,
     "distinct_ids": q_distinct_ids,
     "upsert": q_upsert,
     "insert_ignore": q_insert_ignore,

@@ -17,11 +17,12 @@ them; writes in this order):
 
 If the band is undefined (sigma NULL or 0), steps 4-6 are skipped and 7-8 still run.
 
-Every step after the first reads and writes only the days that need it. The
-per-day ledger (``raw_days``) records, per day, when raw changed and when each
-derived table last caught up; "changed" markers are written before a derived
-table, "done" markers after it, so a run that dies between two writes leaves
-the next run exactly the days to redo.
+Every step after the first reads and writes only the days that need it, from
+the per-day ledger (:mod:`anemoi.plans.ledger`): "changed" markers are flushed
+before a derived table is written, "done" markers after it, so a run that dies
+between two writes leaves the next run exactly the days to redo. Runs are
+ordered by a number of their own, taken from the store; ``run_ts`` is only
+stored, so it may repeat or go back.
 """
 
 from __future__ import annotations
@@ -33,9 +34,8 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from anemoi.functions.expressions import day_of, ts_literal
 from anemoi.operators import (
@@ -44,11 +44,11 @@ from anemoi.operators import (
 )
 from anemoi.operators.profile import period_profile, profile_from_counts
 from anemoi.plans.day_stats import (
-    bounds_from_stats, clean_stats, counts_by_period, elig_counts, long_values, outlier_days,
-    raw_days, stale,
+    bounds_from_stats, clean_stats, counts_by_period, elig_counts, long_values,
 )
+from anemoi.plans.ledger import Ledger, day_facts
 from anemoi.plans.store import TableStore
-from anemoi.schema import DAY, DEVICE, INSERTED, KEY, MEASURES, TS, Options
+from anemoi.schema import DAY, DEVICE, INSERTED, KEY, MEASURES, RUNS, TS, Options
 from anemoi.sources.archive import archive_files
 from anemoi.sources.csv_feed import parse_readings, scan_feed, split_valid
 from anemoi.sources.feed_state import feed_state, latest_offsets, tail_rows
@@ -96,7 +96,7 @@ def _days(df: DataFrame) -> list:
     return sorted(r[0] for r in df.select(DAY).distinct().collect())
 
 
-def merge_batch(store: TableStore, rows: DataFrame, run_ts: datetime, opt: Options,
+def merge_batch(store: TableStore, led: Ledger, rows: DataFrame, run_ts: datetime, opt: Options,
                 report: RunReport, offsets: DataFrame | None = None) -> list:
     """Parse a batch of feed rows (text columns, ``file_name``, ``row_no``),
     upsert the valid ones into raw and append the tracker rows. Returns the
@@ -117,15 +117,14 @@ def merge_batch(store: TableStore, rows: DataFrame, run_ts: datetime, opt: Optio
         # computed in DOUBLE, so averages match single-precision storage
         meas = [F.col(m).cast("float").cast("double").alias(m) if opt.storage_float else F.col(m)
                 for m in MEASURES]
-        batch = valid.select(*KEY, *meas, "file_name", "row_no",
-                             run.alias(INSERTED)).withColumn(DAY, day_of(TS))
+        batch = feed_order(valid).select(*KEY, *meas, "feed_seq", run.alias(INSERTED)).withColumn(DAY, day_of(TS))
         merged = upsert(store.read_days("raw", days), batch, list(KEY),
-                        seq=["file_name", "row_no"], keep_first=[INSERTED])
+                        seq=["feed_seq"], keep_first=[INSERTED])
         with timed(report, "ingest.raw_upsert"):
             store.overwrite_days("raw", merged)
-        with timed(report, "ingest.raw_days"):
-            prev = store.read_days("raw_days", days) if store.exists("raw_days") else None
-            store.overwrite_days("raw_days", raw_days(store.read_days("raw", days), run, prev))
+        with timed(report, "ingest.ledger"):
+            led.put(day_facts(store.read_days("raw", days)))
+            led.flush()
     if report.rejected:
         with timed(report, "ingest.rejects"):
             store.append("rejects", parsed.where(F.col("reject_reason").isNotNull())
@@ -133,11 +132,23 @@ def merge_batch(store: TableStore, rows: DataFrame, run_ts: datetime, opt: Optio
                                  "reject_text"))
     if per_day:
         with timed(report, "ingest.tracker"):
-            store.append("tracker", feed_state(parsed, run, prior=offsets))
+            store.append("tracker", feed_state(parsed, run, prior=offsets).withColumn("run_seq", F.lit(led.seq)))
     return days
 
 
-def ingest(spark: SparkSession, store: TableStore, feed_dir: str, run_ts: datetime,
+def feed_order(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``feed_seq``: one number for (file in name order, row in file).
+
+    A fixed-width number keeps the upsert's winner in hash-aggregate buffers. The ranks
+    are one row per file of the batch.
+    """
+    rank = Window.orderBy("file_name")
+    files = rows.select("file_name").distinct().withColumn("_file", F.row_number().over(rank).cast("long"))
+    return (rows.join(files, "file_name")
+            .withColumn("feed_seq", F.col("_file") * F.lit(1 << 40) + F.col("row_no")).drop("_file"))
+
+
+def ingest(spark: SparkSession, store: TableStore, led: Ledger, feed_dir: str, run_ts: datetime,
            opt: Options, report: RunReport, archive_dir: str | None = None) -> list:
     """Step 1 for feeds that re-deliver growing files under the same name:
     only rows past each file's stored offset are read into raw."""
@@ -149,7 +160,7 @@ def ingest(spark: SparkSession, store: TableStore, feed_dir: str, run_ts: dateti
     text = scan_feed(spark, files, glob=opt.feed_glob)
     new = tail_rows(text, offsets).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        days = merge_batch(store, new, run_ts, opt, report, offsets)
+        days = merge_batch(store, led, new, run_ts, opt, report, offsets)
     finally:
         new.unpersist()
     if opt.archive:
@@ -157,31 +168,35 @@ def ingest(spark: SparkSession, store: TableStore, feed_dir: str, run_ts: dateti
     return days
 
 
-def _ensure_day_stats(store: TableStore, run: Column) -> None:
-    """Build the per-day tables from the full tables when they are absent."""
-    if store.exists("raw") and not store.exists("raw_days"):
-        store.overwrite_days("raw_days", raw_days(store.read("raw"), run))
-    if store.exists("clean") and not store.exists("clean_stats"):
+def _ensure_day_stats(store: TableStore, led: Ledger) -> None:
+    """Build the per-day state from the full tables where it is absent, and the clean
+    stats of days whose clean rows a run changed without living to count them."""
+    if not led.days and store.exists("raw"):
+        led.put(day_facts(store.read("raw")))
+        led.flush()
+    if not store.exists("clean"):
+        return
+    if not store.exists("clean_stats"):
         store.overwrite_days("clean_stats", clean_stats(store.read("clean")))
+    elif torn := led.stale("cleaned", "clean_changed"):
+        _refresh_clean_stats(store, torn)
 
 
-def mark(store: TableStore, days: list, run: Column, *markers: str) -> None:
-    """Stamp ledger markers for ``days``. Written before a derived table for
-    "changed" markers and after it for "done" markers, so a run that dies in
-    between leaves days that the next run redoes (every step is idempotent)."""
-    mark_many(store, run, {m: days for m in markers})
+def _refresh_clean_stats(store: TableStore, days: list) -> None:
+    """Recount the clean stats of ``days``; days without clean rows lose theirs."""
+    store.overwrite_days("clean_stats", clean_stats(store.read_days("clean", days)))
+    store.drop_days("clean_stats", [d for d in days if not store.has_day("clean", d)])
 
 
-def mark_many(store: TableStore, run: Column, marks: dict) -> None:
-    """Several markers, each for its own days, in one ledger write."""
-    days = sorted(set().union(*marks.values())) if marks else []
-    if not days:
-        return
-    led = store.read_days("raw_days", days)
-    for m, ds in marks.items():
-        if ds:
-            led = led.withColumn(m, F.when(F.col(DAY).isin(ds), run).otherwise(F.col(m)))
-    store.overwrite_days("raw_days", led)
+def repair(spark: SparkSession, root: str) -> int:
+    """Forget all per-day state: the next run recounts every day from the readings.
+    Returns the number of days."""
+    store = TableStore(spark, root)
+    for name in ("clean_stats", "elig_counts", "ledger"):
+        store.drop(name)
+    led = Ledger(store)
+    _ensure_day_stats(store, led)
+    return len(led.days)
 
 
 def _band(raw: DataFrame, cs: DataFrame, clean_empty: bool, opt: Options,
@@ -208,16 +223,15 @@ def _band(raw: DataFrame, cs: DataFrame, clean_empty: bool, opt: Options,
 
 
 def _last_band(store: TableStore):
-    """(run_ts, lower_bound) of the newest run that completed its clean step."""
+    """(run number, lower_bound) of the newest run that completed its clean step."""
     if not store.exists("runs"):
         return None
-    r = (store.spark.read.parquet(store.path("runs"))
-         .where((F.col("cleaning") == "done") & F.col("lower_bound").isNotNull())
-         .agg(F.max_by(F.struct("run_ts", "lower_bound"), F.col("run_ts")).alias("r")).first()["r"])
-    return None if r is None else (r["run_ts"], r["lower_bound"])
+    r = (store.read("runs").where((F.col("cleaning") == "done") & F.col("lower_bound").isNotNull())
+         .agg(F.max_by(F.struct("run_seq", "lower_bound"), F.col("run_seq")).alias("r")).first()["r"])
+    return None if r is None else (r["run_seq"], r["lower_bound"])
 
 
-def _flag(store: TableStore, raw: DataFrame, led: DataFrame, band, cutoff_ts, anomalies_empty: bool,
+def _flag(store: TableStore, raw: DataFrame, led: Ledger, band, cutoff_ts, anomalies_empty: bool,
           run: Column, opt: Options, report: RunReport) -> None:
     """Steps 3-4: flag raw against the band and upsert into anomalies."""
     cutoff = None if anomalies_empty else (
@@ -226,18 +240,19 @@ def _flag(store: TableStore, raw: DataFrame, led: DataFrame, band, cutoff_ts, an
     if not opt.bound_groups:
         # per-day min/max power: read only days that can hold an outlier
         if anomalies_empty or cutoff_ts is not None:
-            cand = outlier_days(led, band[0], band[1], None if anomalies_empty else cutoff_ts,
-                                opt.outlier_scope)
+            cand = led.outlier_days(band[0], band[1], None if anomalies_empty else cutoff_ts,
+                                    opt.outlier_scope)
         else:
-            cand = outlier_days(led, band[0], float("inf"))    # NULL cutoff: no high tail (D12)
+            cand = led.outlier_days(band[0], float("inf"))    # NULL cutoff: no high tail (D12)
         last = _last_band(store) if not opt.refresh_reflagged else None
         if last is not None and band[0] <= last[1]:
             # Every row below the last recorded run's lower bound is already an
             # anomaly, and the bound did not rise: only days changed since then
             # can yield new keys (and re-flagged rows are not rewritten).
-            since = _days(led.where(F.col("changed") > ts_literal(last[0])))
-            cand = sorted(set(cand) & set(since))
+            cand = sorted(set(cand) & set(led.since(last[0])))
         report.flag_days = len(cand)
+        if not cand:
+            return
         scan = raw.where(F.col(DAY).isin(cand))
     flagged = flag_outliers(scan, band, cutoff, opt.outlier_scope, groups=opt.bound_groups) \
         .select(*KEY, *MEASURES, run.alias(INSERTED), DAY) \
@@ -246,16 +261,15 @@ def _flag(store: TableStore, raw: DataFrame, led: DataFrame, band, cutoff_ts, an
         a_days = _days(flagged)
         if not a_days:
             return
-        # ledger read before any marker of this step rewrites it
-        touched = [] if opt.refresh_reflagged else _days(led.where(F.col("changed") == run))
         prev = store.read_days("anomalies", a_days)
         # days that gain anomaly keys: the only days whose eligible set shrinks
         new_days = _days(flagged.join(prev.select(*KEY), list(KEY), "left_anti"))
         report.anomaly_days = new_days
-        mark(store, new_days, run, "anom_changed")          # before the write
+        led.stamp(new_days, "anom_changed")
+        led.flush()                                         # before the write
         write = flagged
         if not opt.refresh_reflagged:
-            a_days = sorted(set(new_days) | (set(a_days) & set(touched)))
+            a_days = sorted(set(new_days) | (set(a_days) & set(led.since(led.seq - 1))))
             prev = prev.where(F.col(DAY).isin(a_days))
             write = flagged.where(F.col(DAY).isin(a_days))
         if a_days:
@@ -264,49 +278,53 @@ def _flag(store: TableStore, raw: DataFrame, led: DataFrame, band, cutoff_ts, an
         flagged.unpersist()
 
 
-def _profile(store: TableStore, raw: DataFrame, anomalies: DataFrame, anchor: datetime,
-             run: Column, opt: Options, report: RunReport, raw_rows: int | None = None) -> list:
+def _profile(store: TableStore, led: Ledger, raw: DataFrame, anomalies: DataFrame, anchor: datetime,
+             run: Column, opt: Options, report: RunReport) -> list:
     """Step 5: refresh stale per-day value counts, then append one profile row
     per non-empty look-back period. Returns the refreshed days (their "counted"
     marker is written with the clean step's marker)."""
     with timed(report, "clean.value_counts"):
-        refresh = _days(stale(store.read("raw_days"), "counted", "changed", "anom_changed"))
+        refresh = led.stale("counted", "changed", "anom_changed")
         if refresh:
             store.overwrite_days("elig_counts", elig_counts(
                 raw.where(F.col(DAY).isin(refresh)), anomalies.where(F.col(DAY).isin(refresh)),
                 refresh, run))
     starts = [(name, None if lb is None else anchor - lb) for name, lb in opt.periods]
-    cached: list = []
     with timed(report, "clean.profile"):
-        try:
-            if opt.profile_method == "incremental":
-                edge = sorted({s.date() for _, s in starts if s is not None})
+        if opt.profile_method == "incremental":
+            edge = sorted({s.date() for _, s in starts if s is not None} & set(led.days))
+            boundary = None
+            if edge:
                 boundary = long_values(eligible_rows(raw.where(F.col(DAY).isin(edge)),
                                                      anomalies.where(F.col(DAY).isin(edge)))
                                        .withColumn(DAY, F.to_date(TS)))
-                per = counts_by_period(store.read("elig_counts"), boundary, starts)
-                # distinct values per period <= raw rows (ledger): may prove all groups small
-                prof = profile_from_counts(per, persisted=cached, rows_bound=raw_rows)
-            else:
-                prof = period_profile(raw, anomalies, opt.periods, method=opt.profile_method,
-                                      anchor=ts_literal(anchor), persisted=cached)
-            store.append("profile", prof.withColumn("calculation_timestamp", run))
+            # counted once, read by totals, mode and the median's levels
+            per = counts_by_period(store.read("elig_counts"), boundary, starts).persist(StorageLevel.MEMORY_AND_DISK)
+            prof = profile_from_counts(per)
+        else:
+            per, prof = None, period_profile(raw, anomalies, opt.periods, method=opt.profile_method,
+                                             anchor=ts_literal(anchor))
+        try:
+            store.append("profile", prof.withColumn("calculation_timestamp", run).withColumn("run_seq", F.lit(led.seq)))
         finally:
-            for c in cached:
-                c.unpersist()
+            if per is not None:
+                per.unpersist()
     return refresh
 
 
-def _insert_clean(store: TableStore, raw: DataFrame, anomalies: DataFrame, run: Column,
+def _insert_clean(store: TableStore, led: Ledger, raw: DataFrame, anomalies: DataFrame, run: Column,
                   opt: Options, report: RunReport, counted: list) -> list:
     """Step 6: impute and insert-ignore the rows of days whose raw changed since
     the clean step last processed them; refresh their clean stats."""
     with timed(report, "clean.insert"):
         dirty = ("changed", "anom_changed") if opt.retract else ("changed",)
-        days = _days(stale(store.read("raw_days"), "cleaned", *dirty))
+        days = led.stale("cleaned", *dirty)
         if not days:
-            mark(store, counted, run, "counted")
+            led.stamp(counted, "counted")
+            led.flush()
             return []
+        led.stamp(days, "clean_changed")
+        led.flush()                                          # before the write
         cand = clean_rows(raw.where(F.col(DAY).isin(days)), anomalies.where(F.col(DAY).isin(days)),
                           store.read("profile"), opt.impute_period, opt.impute_with)
         prev_d = store.read_days("clean", days)
@@ -314,33 +332,36 @@ def _insert_clean(store: TableStore, raw: DataFrame, anomalies: DataFrame, run:
             .select(*KEY, *MEASURES, run.alias(INSERTED)).withColumn(DAY, day_of(TS))
         if opt.retract:
             kept = prev_d.join(anomalies.select(*KEY), list(KEY), "left_anti")
-            store.overwrite_days("clean", kept.unionByName(new))
+            merged = kept.unionByName(new).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                # a day whose rows are all flagged has none to overwrite its partition with
+                gone = sorted(set(days) - set(_days(merged)))
+                store.overwrite_days("clean", merged)
+            finally:
+                merged.unpersist()
+            store.drop_days("clean", gone)
         else:
             store.append("clean", new)
     with timed(report, "clean.stats"):
-        store.overwrite_days("clean_stats", clean_stats(store.read_days("clean", days)))
-        if opt.retract:
-            gone = sorted(set(days) - set(_days(store.read_days("clean_stats", days))))
-            store.drop_days("clean", gone)
-            store.drop_days("clean_stats", gone)
-        # one ledger write for both "done" markers; a crash before it only
-        # repeats idempotent work
-        mark_many(store, run, {"counted": counted, "cleaned": days})
+        _refresh_clean_stats(store, days)
+        # both "done" markers in one flush; a crash before it only repeats idempotent work
+        led.stamp(counted, "counted")
+        led.stamp(days, "cleaned")
+        led.flush()
     return days
 
 
-def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Options,
+def clean_step(spark: SparkSession, store: TableStore, led: Ledger, run_ts: datetime, opt: Options,
                report: RunReport) -> list:
     """Steps 2-6: returns the days the clean step processed."""
     run = ts_literal(run_ts)
     with timed(report, "clean.state"):
-        _ensure_day_stats(store, run)
+        _ensure_day_stats(store, led)
         raw = store.read("raw")
-        led = store.read("raw_days")
         cs = store.read("clean_stats")
         # previous clean: emptiness and cutoff from per-day stats; anchor from the ledger
-        cutoff_ts = cs.agg(F.max("max_ts")).first()[0]
-        anchor, raw_rows = led.agg(F.max("max_ts"), F.sum("rows")).first()
+        cutoff_ts = cs.agg(F.max("max_ts")).first()[0] if store.exists("clean_stats") else None
+        anchor = led.anchor()
         anomalies_empty = store.is_empty("anomalies")
     if anchor is None:
         return []
@@ -355,32 +376,34 @@ def clean_step(spark: SparkSession, store: TableStore, run_ts: datetime, opt: Op
         if isinstance(band, DataFrame):
             band.unpersist()
     anomalies = store.read("anomalies")
-    counted = _profile(store, raw, anomalies, anchor, run, opt, report, raw_rows)
-    days = _insert_clean(store, raw, anomalies, run, opt, report, counted)
+    counted = _profile(store, led, raw, anomalies, anchor, run, opt, report)
+    days = _insert_clean(store, led, raw, anomalies, run, opt, report, counted)
     report.cleaning = "done"
     return days
 
 
-def summary_step(spark: SparkSession, store: TableStore, run_ts: datetime, days: list,
+def summary_step(spark: SparkSession, store: TableStore, led: Ledger, run_ts: datetime, days: list,
                  report: RunReport, opt: Options) -> None:
     """Steps 7-8, for the days the ledger shows as not yet summarised."""
     run = ts_literal(run_ts)
-    if not store.exists("raw_days"):
+    if not led.days:
         return
-    led = store.read("raw_days")
-    sdays = _days(stale(led, "summarised", "cleaned"))
+    sdays = led.stale("summarised", "cleaned")
     if sdays:
         with timed(report, "summaries.daily"):
-            clean = store.read_days("clean", sdays)
-            fresh = daily_summary(clean).withColumn(INSERTED, run)
-            merged = upsert(store.read_days("daily_summary", sdays), fresh, [DAY, DEVICE],
-                            keep_first=[INSERTED])
-            store.overwrite_days("daily_summary", merged)
+            fresh = daily_summary(store.read_days("clean", sdays)).withColumn(INSERTED, run)
+            prev = store.read_days("daily_summary", sdays)
+            if opt.retract:
+                # devices and days whose readings all left clean lose their summary
+                prev = prev.join(fresh.select(DAY, DEVICE), [DAY, DEVICE], "left_semi")
+            store.overwrite_days("daily_summary", upsert(prev, fresh, [DAY, DEVICE], keep_first=[INSERTED]))
+            if opt.retract:
+                store.drop_days("daily_summary", [d for d in sdays if not store.has_day("clean", d)])
     anomalies = store.read("anomalies")
     changed = False
     with timed(report, "summaries.anomaly_counts"):
         # counts depend on the anomaly keys only: recount the days that gained keys
-        adays = _days(stale(store.read("raw_days"), "anom_counted", "anom_changed"))
+        adays = led.stale("anom_counted", "anom_changed")
         if not store.exists("anomaly_counts"):
             if store.exists("anomalies"):
                 store.overwrite_days("anomaly_counts", anomaly_counts_long(anomalies))
@@ -389,50 +412,43 @@ def summary_step(spark: SparkSession, store: TableStore, run_ts: datetime, days:
             store.overwrite_days("anomaly_counts", anomaly_counts_long(
                 anomalies.where(F.col(DAY).isin(adays))))
             changed = True
-    mark_many(store, run, {"summarised": sdays, "anom_counted": adays})
+    led.stamp(sdays, "summarised")
+    led.stamp(adays, "anom_counted")
+    led.flush()
     # the wide table is a function of the counts: rebuilt only when they changed
     if opt.wide_pivot and store.exists("anomaly_counts") and (changed or not store.exists("anomaly_pivot")):
         with timed(report, "summaries.anomaly_pivot"):
             counts = store.read("anomaly_counts")
-            # one row per day: a single sorted file, no range-partitioning shuffle
-            store.replace("anomaly_pivot", anomaly_pivot(anomalies, counts=counts))
+            store.replace("anomaly_pivot", anomaly_pivot(anomalies, counts=counts).orderBy(DAY))
 
 
 def run_daily(spark: SparkSession, feed_dir: str, root: str, run_ts: datetime,
               options: Options | None = None, archive_dir: str | None = None) -> RunReport:
     opt = options or Options()
     store = TableStore(spark, root)
+    led = Ledger(store)
     report = RunReport(run_ts)
     with timed(report, "ingest"):
-        ingest(spark, store, feed_dir, run_ts, opt, report, archive_dir)
-    with timed(report, "clean"):
-        days = clean_step(spark, store, run_ts, opt, report)
-    with timed(report, "summaries"):
-        summary_step(spark, store, run_ts, days, report, opt)
-    record_run(spark, store, report)
+        ingest(spark, store, led, feed_dir, run_ts, opt, report, archive_dir)
+    derive(spark, store, led, run_ts, opt, report)
     return report
 
 
-RUNS = T.StructType([
-    T.StructField("run_ts", T.TimestampNTZType(), False),
-    T.StructField("files", T.LongType(), True),
-    T.StructField("new_rows", T.LongType(), True),
-    T.StructField("rejected", T.LongType(), True),
-    T.StructField("baseline_source", T.StringType(), True),
-    T.StructField("mean_power", T.DoubleType(), True),
-    T.StructField("std_power", T.DoubleType(), True),
-    T.StructField("lower_bound", T.DoubleType(), True),
-    T.StructField("upper_bound", T.DoubleType(), True),
-    T.StructField("cleaning", T.StringType(), True),
-    T.StructField("timings", T.StringType(), True),
-])
+def derive(spark: SparkSession, store: TableStore, led: Ledger, run_ts: datetime, opt: Options,
+           report: RunReport) -> None:
+    """Steps 2-8 and the run's row in ``runs``."""
+    with timed(report, "clean"):
+        days = clean_step(spark, store, led, run_ts, opt, report)
+    with timed(report, "summaries"):
+        summary_step(spark, store, led, run_ts, days, report, opt)
+    record_run(spark, store, led, report)
 
 
-def record_run(spark: SparkSession, store: TableStore, report: RunReport) -> None:
+def record_run(spark: SparkSession, store: TableStore, led: Ledger, report: RunReport) -> None:
     """One row per run: the band actually applied (so a flag can be reproduced
     exactly later), batch sizes and step timings."""
     b = report.band or {}
     row = (report.run_ts, len(report.files), report.new_rows, report.rejected, report.baseline_source,
            b.get("mean_power"), b.get("std_power"), b.get("lower_bound"), b.get("upper_bound"),
-           report.cleaning, json.dumps(report.timings))
-    store.append("runs", spark.createDataFrame([row], RUNS))
+           report.cleaning, json.dumps(report.timings), led.seq)
+    store.append("runs", spark.createDataFrame([row], RUNS).coalesce(1))

@@ -2,11 +2,10 @@
 
 They let a daily run read O(days) rows instead of the whole history for:
 the previous clean table's band, cutoff and high-water mark (``clean_stats``,
-per day and device: power moments merged exactly with Chan's formula), the
-anchor of the look-back periods and the list of changed raw days
-(``raw_days``), and the profile's value counts (``elig_counts``: eligible
-readings counted per day, measure and value). Each is rebuilt only for the
-days that changed, and bootstrapped from the full table when absent.
+per day and device: power moments merged exactly with Chan's formula) and the
+profile's value counts (``elig_counts``: eligible readings counted per day,
+measure and value). Each is rebuilt only for the days that changed, and
+bootstrapped from the full table when absent.
 """
 
 from __future__ import annotations
@@ -17,24 +16,8 @@ from pyspark.sql import types as T
 
 from anemoi.operators.baseline import with_band
 from anemoi.operators.profile import eligible_rows
-from anemoi.schema import DAY, DEVICE, INSERTED, MEASURES, POWER, TS
-
-RAW_DAYS = T.StructType([
-    T.StructField(DAY, T.DateType(), False),
-    T.StructField("rows", T.LongType(), True),
-    T.StructField("max_ts", T.TimestampNTZType(), True),
-    T.StructField("min_power", T.DoubleType(), True),
-    T.StructField("max_power", T.DoubleType(), True),
-    # ledger markers (run times): raw changed / value counts rebuilt / gained anomaly
-    # keys / anomalies recounted / clean step done / daily summary done
-    T.StructField("changed", T.TimestampNTZType(), True),
-    T.StructField("counted", T.TimestampNTZType(), True),
-    T.StructField("anom_changed", T.TimestampNTZType(), True),
-    T.StructField("anom_counted", T.TimestampNTZType(), True),
-    T.StructField("cleaned", T.TimestampNTZType(), True),
-    T.StructField("summarised", T.TimestampNTZType(), True),
-])
-MARKERS = ("counted", "anom_changed", "anom_counted", "cleaned", "summarised")
+from anemoi.plans.ledger import LEDGER
+from anemoi.schema import DAY, DEVICE, INSERTED, MEASURES, POWER, RUNS, TS
 
 CLEAN_STATS = T.StructType([
     T.StructField(DAY, T.DateType(), False),
@@ -55,27 +38,7 @@ ELIG_COUNTS = T.StructType([
     T.StructField("refreshed", T.TimestampNTZType(), True),
 ])
 
-SCHEMAS = {"raw_days": RAW_DAYS, "clean_stats": CLEAN_STATS, "elig_counts": ELIG_COUNTS}
-
-
-def raw_days(raw: DataFrame, run: Column, prev: DataFrame | None = None) -> DataFrame:
-    """The per-day ledger rows of ``raw``'s days: row count, latest reading and
-    power range, stamped as changed by this run; the other markers carry over
-    from ``prev`` (the ledger rows of the same days)."""
-    d = raw.groupBy(DAY).agg(F.count(F.lit(1)).alias("rows"), F.max(TS).alias("max_ts"),
-                             F.min(POWER).alias("min_power"), F.max(POWER).alias("max_power"),
-                             run.alias("changed"))
-    if prev is None:
-        return d.select("*", *[F.lit(None).cast("timestamp_ntz").alias(m) for m in MARKERS])
-    return d.join(prev.select(DAY, *MARKERS), [DAY], "left")
-
-
-def stale(ledger: DataFrame, done: str, *dirty: str) -> DataFrame:
-    """Ledger rows where a ``dirty`` marker is later than ``done`` (or done is unset)."""
-    cond = F.lit(False)
-    for c in dirty:
-        cond = cond | (F.col(c).isNotNull() & (F.col(done).isNull() | (F.col(c) > F.col(done))))
-    return ledger.where(cond)
+SCHEMAS = {"ledger": LEDGER, "clean_stats": CLEAN_STATS, "elig_counts": ELIG_COUNTS, "runs": RUNS}
 
 
 def clean_stats(clean: DataFrame) -> DataFrame:
@@ -97,7 +60,9 @@ def bounds_from_stats(stats: DataFrame, k: float = 2.0, groups=()) -> DataFrame:
     g = list(groups)
     tot = s.groupBy(*g).agg(F.sum("power_n").alias("N"),
                             (F.sum(F.col("power_n") * F.col("power_mean")) / F.sum("power_n")).alias("mu"))
-    j = s.join(F.broadcast(tot), g) if g else s.crossJoin(F.broadcast(tot))
+    # one row without groups; with groups their number grows with the data, so the
+    # strategy is left to adaptive execution
+    j = s.join(tot, g) if g else s.crossJoin(F.broadcast(tot))
     m = j.groupBy(*g).agg(
         F.first("mu").alias("mean_power"),
         F.sqrt((F.sum("power_m2") + F.sum(F.col("power_n") * (F.col("power_mean") - F.col("mu")) ** 2))
@@ -151,16 +116,3 @@ def counts_by_period(counts: DataFrame, boundary: DataFrame | None, starts: list
     for p in parts[1:]:
         per = per.unionByName(p)
     return per.groupBy("period", "measure", "value").agg(F.sum("n").alias("n"))
-
-
-def outlier_days(days: DataFrame, lo: float, hi: float, cutoff=None, scope: str = "parity") -> list:
-    """Days that can hold a reading outside (lo, hi) under the flagging rule,
-    from per-day min/max power: the raw scan then reads only those days."""
-    low = F.col("min_power") < F.lit(lo)
-    high = F.col("max_power") > F.lit(hi)
-    if cutoff is not None:
-        after = F.col("max_ts") > F.lit(cutoff)
-        cond = low | (high & after) if scope == "parity" else (low | high) & after
-    else:
-        cond = low | high
-    return sorted(r[0] for r in days.where(cond).select(DAY).collect())

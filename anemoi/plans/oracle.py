@@ -152,10 +152,9 @@ FROM clean GROUP BY CAST("timestamp" AS DATE), turbine_id""",
 SELECT strftime(CAST("timestamp" AS DATE), '%Y-%m-%d') AS day, turbine_id, count(*) AS anomaly_count
 FROM anomalies GROUP BY CAST("timestamp" AS DATE), turbine_id""",
     "anomaly_pivot": "WITH" + _ANOMALIES + """,
-c AS (SELECT strftime(CAST("timestamp" AS DATE), '%Y-%m-%d') AS day,
-             'Turbine_ID_' || CAST(turbine_id AS VARCHAR) AS col
-      FROM anomalies)
-SELECT * FROM (PIVOT c ON col USING count(*) GROUP BY day)""",
+c AS (SELECT CAST("timestamp" AS DATE) AS d, turbine_id AS i, count(*) AS n FROM anomalies GROUP BY ALL)
+SELECT strftime(x.d, '%Y-%m-%d') AS day, 'Turbine_ID_' || CAST(y.i AS VARCHAR) AS "column", coalesce(c.n, 0) AS n
+FROM (SELECT DISTINCT d FROM c) x CROSS JOIN (SELECT DISTINCT i FROM c) y LEFT JOIN c ON c.d = x.d AND c.i = y.i""",
     "distinct_ids": "WITH" + _ANOMALIES + """
 SELECT DISTINCT turbine_id FROM anomalies""",
     "upsert": _line_pick("DESC"),
@@ -175,3 +174,6 @@ o AS (SELECT event_type, count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-21 00:00
 SELECT r.event_id, r.ts, r.user_id, r.event_type, r.value
 FROM r JOIN o ON r.event_type = o.event_type WHERE r.rn > o.off""",
 }
+# the paths of a daily run give the same rows
+ORACLE_SQL["bounds_from_stats"] = ORACLE_SQL["baseline_bounds"]
+ORACLE_SQL["profile_from_day_counts"] = ORACLE_SQL["period_profile"]

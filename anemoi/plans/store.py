@@ -15,8 +15,6 @@ from pyspark.sql import types as T
 
 from anemoi.schema import DAY, DAY_PARTITIONED, DEVICE, TABLES, TS
 
-# Day-partitioned tables with one row per day (bounded by the calendar).
-SMALL = ("raw_days",)
 # Sort order inside each written file: readings by (device, time), value
 # counts by (measure, value): compact encodings and tight row-group min/max.
 SORTED = {
@@ -49,9 +47,13 @@ class TableStore:
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def exists(self, name: str) -> bool:
-        """Written at least once (a ``_SUCCESS`` marker or data files present)."""
+        """Written at least once: a success marker or data. The folder alone, with the
+        temporary files of a write that failed, is no table."""
         p, fs = self._fs(self.path(name))
-        return bool(fs.exists(p))
+        if not fs.exists(p):
+            return False
+        names = [f.getPath().getName() for f in fs.listStatus(p)]
+        return "_SUCCESS" in names or any(not n.startswith(("_", ".")) for n in names)
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """The table, or an empty frame of its schema when it was never written."""
@@ -84,9 +86,6 @@ class TableStore:
         output files and splits a hot day across tasks instead of writing
         (tasks x days) small files."""
         df = self._order(name, df)
-        if name in SMALL:
-            # one row per day: a single task and one file per day, no shuffle
-            return df.coalesce(1)
         df = df.hint("rebalance", DAY)
         if name in SORTED:
             df = df.sortWithinPartitions(*SORTED[name])
@@ -100,12 +99,17 @@ class TableStore:
             .partitionBy(DAY).parquet(self.path(name)))
 
     def append(self, name: str, df: DataFrame) -> None:
-        if name in DAY_PARTITIONED or name in ("raw_days", "clean_stats", "elig_counts"):
+        if name in DAY_PARTITIONED or name in ("clean_stats", "elig_counts"):
             self._for_write(name, df).write.mode("append").option("compression", CODEC) \
                 .partitionBy(DAY).parquet(self.path(name))
         else:
             self._order(name, df).write.mode("append").option("compression", CODEC).parquet(self.path(name))
 
+    def has_day(self, name: str, day) -> bool:
+        """Whether the table has a partition of ``day`` (file metadata only)."""
+        p, fs = self._fs(f"{self.path(name)}/{DAY}={day}")
+        return bool(fs.exists(p))
+
     def drop_days(self, name: str, days: list) -> None:
         """Delete whole day partitions (driver-side file metadata only)."""
         for d in days:
@@ -113,6 +117,11 @@ class TableStore:
             if fs.exists(p):
                 fs.delete(p, True)
 
+    def drop(self, name: str) -> None:
+        """Delete a table."""
+        p, fs = self._fs(self.path(name))
+        fs.delete(p, True)
+
     def replace(self, name: str, df: DataFrame) -> None:
         """Drop and recreate (the pivot, whose columns follow the data)."""
         df.write.mode("overwrite").option("compression", CODEC).parquet(self.path(name))

@@ -50,12 +50,14 @@ TRACKER = T.StructType([
     T.StructField("file_name", T.StringType(), False),
     T.StructField("last_record_timestamp", T.TimestampNTZType(), True),
     T.StructField("last_record_csv_row_number", T.LongType(), True),
+    T.StructField("run_seq", T.LongType(), True),
 ])
 
 PROFILE = T.StructType(
     [T.StructField("period", T.StringType(), False)]
     + [T.StructField(f"{m}_{s}", T.DoubleType(), True) for m in MEASURES for s in STATS]
-    + [T.StructField("calculation_timestamp", T.TimestampNTZType(), True)]
+    + [T.StructField("calculation_timestamp", T.TimestampNTZType(), True),
+       T.StructField("run_seq", T.LongType(), True)]
 )
 
 DAILY_SUMMARY = T.StructType([
@@ -79,6 +81,21 @@ ANOMALY_COUNTS = T.StructType([
     T.StructField("anomaly_count", T.LongType(), False),
 ])
 
+RUNS = T.StructType([
+    T.StructField("run_ts", T.TimestampNTZType(), False),
+    T.StructField("files", T.LongType(), True),
+    T.StructField("new_rows", T.LongType(), True),
+    T.StructField("rejected", T.LongType(), True),
+    T.StructField("baseline_source", T.StringType(), True),
+    T.StructField("mean_power", T.DoubleType(), True),
+    T.StructField("std_power", T.DoubleType(), True),
+    T.StructField("lower_bound", T.DoubleType(), True),
+    T.StructField("upper_bound", T.DoubleType(), True),
+    T.StructField("cleaning", T.StringType(), True),
+    T.StructField("timings", T.StringType(), True),
+    T.StructField("run_seq", T.LongType(), True),
+])
+
 TABLES = {
     "raw": READINGS,
     "clean": READINGS,

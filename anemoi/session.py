@@ -1,10 +1,7 @@
-"""Session helpers: scale-minded defaults, checkpoint folder lookup."""
+"""Session helpers: scale-minded defaults, table folder lookup."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -35,24 +32,12 @@ def build_session(master: str | None = None, app: str = "anemoi",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+def table_root(spark: SparkSession, given: str | None = None) -> str:
+    """Root folder of the telemetry tables: ``given`` or the setting ``anemoi.tables.root``.
 
-    Only when the session names none (local tests) is a scratch folder set.
+    There is no default: tables belong in a folder that all executors share and keep.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return d
-    d = tempfile.mkdtemp(prefix="anemoi-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
-def table_root(spark: SparkSession, default: str | None = None) -> str:
-    """Root folder of the telemetry tables: ``anemoi.tables.root`` or ``default``."""
-    root = spark.conf.get("anemoi.tables.root", None) or default
-    if root is None:
-        root = os.path.join(checkpoint_dir(spark), "tables")
+    root = given or spark.conf.get("anemoi.tables.root", None)
+    if not root:
+        raise ValueError("no table folder: give --root or set anemoi.tables.root")
     return root

@@ -10,7 +10,7 @@ before numbering.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from anemoi.functions.expressions import missing_as_null, parse_timestamp
@@ -40,25 +40,32 @@ def with_row_numbers(df: DataFrame, file_col: str = "file_name", split_col: str
     before = Window.partitionBy(file_col).orderBy(split_col).rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select(file_col, split_col, "_first",
                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"))
-    # One row per split: input bytes / maxPartitionBytes rows (about 8,000 per TB),
-    # so it is broadcast and the rows themselves never shuffle.
-    out = df.join(F.broadcast(splits), [file_col, split_col])
+    # One row per split (about 8,000 per TB of input): adaptive execution broadcasts it
+    # while it is small, and the rows then don't shuffle.
+    out = df.join(splits, [file_col, split_col])
     return out.withColumn("row_no", F.col("_before") + F.col(mono_col) - F.col("_first") + 1) \
               .drop(split_col, mono_col, "_first", "_before")
 
 
+def _fields(line: Column) -> Column:
+    """Number of comma-separated fields of a CSV line; commas inside quotes don't count."""
+    return F.size(F.split(F.regexp_replace(line, r'"(?:[^"]|"")*"', ""), ",", -1))
+
+
 def parse_readings(text: DataFrame, day_first: bool = False, zero_is_missing: bool = True) -> DataFrame:
     """Typed readings plus ``reject_reason`` (NULL for a valid row).
 
-    A row is rejected when its field count is wrong, or its timestamp or
-    device id does not parse. Measures that do not parse, NaN and (by default)
-    0 become NULL.
+    A row is rejected when it has more fields than columns, or its timestamp or
+    device id does not parse. A short row's missing fields are NULL; ids may be
+    written with an integral fraction (``1.0``). Measures that do not parse, NaN
+    and (by default) 0 become NULL.
     """
     ts = parse_timestamp(F.col(TS), day_first)
-    dev = F.trim(F.col(DEVICE)).try_cast("long")
-    bad_count = (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in text.columns
-                 else F.lit(False))
-    reason = (F.when(bad_count, F.lit("field_count"))
+    dev = F.regexp_replace(F.trim(F.col(DEVICE)), r"\.0*$", "").try_cast("long")
+    # the parser flags short rows too; only extra fields make a row invalid
+    extra_fields = (F.coalesce(_fields(F.col("_corrupt_record")) > len(MEASURES) + 2, F.lit(False))
+                    if "_corrupt_record" in text.columns else F.lit(False))
+    reason = (F.when(extra_fields, F.lit("field_count"))
                .when(ts.isNull(), F.lit("timestamp"))
                .when(dev.isNull(), F.lit(DEVICE)))
     extra = [c for c in text.columns if c not in (TS, DEVICE, *MEASURES, "_corrupt_record")]

@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from anemoi.operators.keyed import latest_per_key
-from anemoi.operators.order_stats import kth_smallest
 from anemoi.schema import TS
 
 
 def latest_offsets(tracker: DataFrame) -> DataFrame:
-    """Newest tracker row per file (``ORDER BY data_insertion_date DESC LIMIT 1``)."""
-    return latest_per_key(tracker, ["file_name"],
-                          ["data_insertion_date", "last_record_csv_row_number"],
+    """Newest tracker row per file: by run number, then insertion date."""
+    order = ["run_seq", "data_insertion_date", "last_record_csv_row_number"]
+    return latest_per_key(tracker, ["file_name"], [c for c in order if c in tracker.columns],
                           ["last_record_timestamp", "last_record_csv_row_number"])
 
 
@@ -21,45 +20,39 @@ def tail_rows(rows: DataFrame, offsets: DataFrame, file_col: str = "file_name",
               row_col: str = "row_no") -> DataFrame:
     """Rows past the stored offset of their file (all rows of a new file).
 
-    The offsets frame has one row per feed file, a bounded dimension, so it is
-    broadcast.
+    The offsets frame has one row per file ever delivered; adaptive execution
+    broadcasts it while it is small.
     """
     off = offsets.select(F.col("file_name").alias(file_col),
                          F.col("last_record_csv_row_number").alias("_off"))
-    return (rows.join(F.broadcast(off), [file_col], "left")
+    return (rows.join(off, [file_col], "left")
                 .where(F.col(row_col) > F.coalesce(F.col("_off"), F.lit(0)))
                 .drop("_off"))
 
 
-# A group with at most this many rows may be ranked by one window task.
-MAX_ROWS_IN_TASK = 1 << 20
+ROWS_PER_BUCKET = 100_000
 
 
-def tail_by_rank(rows: DataFrame, group: str, order: str, offsets: DataFrame,
-                 offset_col: str = "offset", max_rows: int | None = MAX_ROWS_IN_TASK) -> DataFrame:
-    """Rows whose rank by ``order`` inside ``group`` exceeds the group's offset.
+def number_rows(rows: DataFrame, group: str, order: str, out: str = "row_no",
+                rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """1-based row numbers by a numeric ``order`` column inside each ``group``, NULLs first.
 
-    When one small job proves every group has at most ``max_rows`` rows, a
-    ``row_number`` window ranks them (bounded per task). Otherwise the
-    offset-th smallest ``order`` value is found exactly with
-    :func:`kth_smallest` (bounded state whatever the group size) and a plain
-    comparison filters. ``max_rows=None`` always takes the second path.
+    Rows are ranked inside equal slices of the group's value range, about
+    ``rows_per_bucket`` rows each, and slices are offset by the row counts before
+    them, so no task ranks a whole group. Ties all get a number of their own.
     """
-    off = offsets.select(group, F.col(offset_col).cast("long").alias("_off"))
-    if max_rows is not None:
-        sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-        if sizes.where(F.col("_n") > max_rows).isEmpty():
-            rank = F.row_number().over(Window.partitionBy(group).orderBy(order))
-            return (rows.withColumn("_rank", rank)
-                    .join(F.broadcast(off), [group], "left")
-                    .where(F.col("_rank") > F.coalesce(F.col("_off"), F.lit(0)))
-                    .drop("_rank", "_off"))
-    targets = off.where(F.col("_off") > 0).select(group, (F.col("_off") - 1).alias("k"))
-    thr = kth_smallest(rows.select(group, order), [group], order, targets, out="_thr")
-    lim = off.join(thr.select(group, "_thr"), [group], "left")
-    keep = (F.col("_off").isNull() | (F.col("_off") <= 0)
-            | (F.col("_thr").isNotNull() & (F.col(order) > F.col("_thr"))))
-    return rows.join(F.broadcast(lim), [group], "left").where(keep).drop("_off", "_thr")
+    size = rows.groupBy(group).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"),
+                                   F.ceil(F.count(F.lit(1)) / rows_per_bucket).alias("_nb"))
+    width = (F.col("_hi") - F.col("_lo")).cast("double") + 1
+    slot = F.floor((F.col(order) - F.col("_lo")) * F.col("_nb") / width)
+    b = rows.join(size, [group]).withColumn("_b", F.coalesce(slot, F.lit(-1).cast("long")))
+    before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    start = (b.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
+             .select(group, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    rank = F.row_number().over(Window.partitionBy(group, "_b").orderBy(order))
+    return (b.withColumn("_rank", rank).join(start, [group, "_b"])
+            .withColumn(out, F.col("_start") + F.col("_rank"))
+            .drop("_b", "_lo", "_hi", "_nb", "_rank", "_start"))
 
 
 def feed_state(rows: DataFrame, run_ts: Column, prior: DataFrame | None = None,
@@ -71,7 +64,7 @@ def feed_state(rows: DataFrame, run_ts: Column, prior: DataFrame | None = None,
         F.count(F.lit(1)).alias("_n"))
     if prior is not None:
         p = prior.select("file_name", F.col("last_record_csv_row_number").alias("_prior"))
-        g = g.join(F.broadcast(p), ["file_name"], "left")
+        g = g.join(p, ["file_name"], "left")
         n = F.coalesce(F.col("_prior"), F.lit(0)) + F.col("_n")
     else:
         n = F.col("_n")

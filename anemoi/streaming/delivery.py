@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from anemoi.plans.daily_run import RunReport, clean_step, merge_batch, summary_step, timed
+from anemoi.plans.daily_run import RunReport, derive, merge_batch, timed
+from anemoi.plans.ledger import Ledger
 from anemoi.plans.store import TableStore
 from anemoi.schema import CSV_TEXT, Options
 from anemoi.sources.csv_feed import with_row_numbers
@@ -64,13 +65,11 @@ def start_delivery(spark: SparkSession, feed_dir: str, root: str, checkpoint: st
             if rows.isEmpty():
                 return
             with timed(report, "ingest"):
-                merge_batch(store, with_row_numbers(rows), run_ts, opt, report)
+                led = Ledger(store)
+                merge_batch(store, led, with_row_numbers(rows), run_ts, opt, report)
         finally:
             rows.unpersist()
-        with timed(report, "clean"):
-            days = clean_step(spark, store, run_ts, opt, report)
-        with timed(report, "summaries"):
-            summary_step(spark, store, run_ts, days, report, opt)
+        derive(spark, store, led, run_ts, opt, report)
         if reports is not None:
             reports.append((epoch_id, report))
 

@@ -56,7 +56,7 @@ def test_counts_and_pivot(spark):
     df = _raw(spark, [(1, 0, 1, 1.0), (1, 1, 1, 1.0), (1, 2, 7, 1.0), (3, 0, 7, 1.0)])
     long = sorted((str(r.day), r.turbine_id, r.anomaly_count) for r in anomaly_counts_long(df).collect())
     assert long == [("2022-03-01", 1, 2), ("2022-03-01", 7, 1), ("2022-03-03", 7, 1)]
-    piv = anomaly_pivot(df).collect()
+    piv = sorted(anomaly_pivot(df).collect())
     assert [tuple(r) for r in piv] == [(datetime(2022, 3, 1).date(), 2, 1), (datetime(2022, 3, 3).date(), 0, 1)]
     assert anomaly_pivot(df).columns == ["day", "Turbine_ID_1", "Turbine_ID_7"]
     assert anomaly_pivot(df.where(F.lit(False))).count() == 0

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from anemoi.plans.catalog import QUERIES
+from anemoi.plans.oracle import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -31,16 +33,44 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    """Values, and their text: column types must print the same way in both client
+    libraries. The oracle must also make a view, as the driver does."""
+    df = QUERIES[name](spark, SF)
+    pdf = df.toPandas()
+    duck.sql(ORACLE_SQL[name]).create_view(f"oracle_{name}")
+    ddf = duck.sql(f"FROM oracle_{name}").df()
     cols = sorted(df.columns)
-    got = [r.asDict() for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
-    dcols = [d[0] for d in cur.description]
-    want = [dict(zip(dcols, r)) for r in cur.fetchall()]
-    assert cols == sorted(dcols)
-    assert _rows(got, cols) == _rows(want, cols)
+    assert cols == sorted(ddf.columns)
+    assert _rows(pdf.to_dict("records"), cols) == _rows(ddf.to_dict("records"), cols)
+    assert _text_rows(pdf, cols) == _text_rows(ddf, cols)
+
+
+def test_catalogue_leaves_nothing_persisted(spark):
+    for fn in QUERIES.values():
+        fn(spark, SF)
+    assert spark._jsc.sc().getPersistentRDDs().isEmpty()
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
+
+
+def test_most_queries_are_built_without_a_job(spark):
+    """Only the wide pivot (columns) and the incremental profile (starts) read data to build."""
+    tracker = spark.sparkContext.statusTracker()
+    for name, fn in QUERIES.items():
+        fn(spark, SF)                                     # schemas are read once
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        fn(spark, SF)
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(f"build-{name}")
+                  for s in tracker.getJobInfo(j).stageIds]
+        data = [s for s in stages if s is not None and "parquet at" not in s.name]
+        assert not data or name in ("anomaly_pivot", "profile_from_day_counts"), (name, data)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_no_final_stage_in_one_task(spark):
+    for name in ("anomaly_pivot", "distinct_ids"):
+        assert "Coalesce 1" not in _plan(QUERIES[name](spark, SF))
 
 
 def test_entry_runs(spark):
@@ -54,7 +84,7 @@ def _plan(df):
 
 
 def test_no_python_udfs_in_any_plan(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         p = _plan(fn(spark, SF))
         assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
@@ -73,7 +103,7 @@ def test_band_filter_reaches_the_scan(spark, tmpdir_run):
 
 
 def test_projection_is_pruned(spark):
-    s = _plan(E.queries()["high_water_mark"](spark, SF))
+    s = _plan(QUERIES["high_water_mark"](spark, SF))
     assert "ReadSchema: struct<ts:timestamp_ntz>" in s
 
 
@@ -90,14 +120,3 @@ def _text_rows(pdf, cols):
                 row.append(str(v))
         out.append(tuple(row))
     return sorted(out)
-
-
-@pytest.mark.parametrize("name", sorted(E.queries()))
-def test_query_matches_oracle_through_pandas(spark, duck, name):
-    """The same comparison through pandas frames on both sides, values as text:
-    column types must print the same way in both client libraries."""
-    pdf = E.queries()[name](spark, SF).toPandas()
-    ddf = duck.execute(E.oracle_sql()[name]).df()
-    cols = sorted(pdf.columns)
-    assert cols == sorted(ddf.columns)
-    assert _text_rows(pdf, cols) == _text_rows(ddf, cols)

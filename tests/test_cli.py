@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from anemoi.__main__ import main
 
 HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output\n"
@@ -19,3 +21,14 @@ def test_cli_run(spark, tmpdir_run, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["new_rows"] == 24 and out["cleaning"] == "done"
     assert os.listdir(os.path.join(tmpdir_run, "archive"))
+
+
+def test_cli_needs_a_table_folder(spark, tmpdir_run, capsys):
+    with pytest.raises(SystemExit) as e:
+        main(["run", "--feed", tmpdir_run])
+    assert e.value.code == 2 and "anemoi.tables.root" in capsys.readouterr().err
+
+
+def test_cli_repair(spark, tmpdir_run, capsys):
+    assert main(["repair", "--root", os.path.join(tmpdir_run, "tables")]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"days": 0}

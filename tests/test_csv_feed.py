@@ -33,18 +33,26 @@ def test_rejects_and_normalisation(spark, tmpdir_run):
         f.write("2022-03-01 00:00:00,1,0,NaN,\n")       # zero, NaN, blank -> NULL
         f.write("bad date,1,1,1,1\n")
         f.write("2022-03-01 01:00:00,,1,1,1\n")         # missing id
-        f.write("2022-03-01 02:00:00,1,1,1\n")          # four fields
+        f.write("2022-03-01 02:00:00,1,1,1\n")         # four fields: power is missing
         f.write("03/01/2022 03:00:00,2,1.5,2,3\n")      # slash layout, month first
+        f.write("2022-03-01 04:00:00,1,1,1,1,9\n")     # six fields
+        f.write("2022-03-01 05:00:00,3.0,1,1,1\n")     # id as written by a float column
+        f.write("2022-03-01 06:00:00,3.5,1,1,1\n")     # no id
+        f.write("2022-03-01 07:00:00,4\n")             # key only
+        f.write("2022-03-01 08:00:00\n")               # no id
     with open(os.path.join(tmpdir_run, "data_group_2.csv"), "w") as f:
         f.write(HEADER)                                 # header only: zero rows, no error
     parsed = parse_readings(scan_feed(spark, tmpdir_run))
     ok, bad = split_valid(parsed)
     okr = sorted(ok.collect(), key=lambda r: r.row_no)
-    assert [r.row_no for r in okr] == [1, 5]
+    # a short row with a valid key counts, as a frame pads it; extra fields don't
+    assert [r.row_no for r in okr] == [1, 4, 5, 7, 9]
+    assert okr[1].power_output is None and okr[1].wind_direction == 1.0
+    assert okr[3].turbine_id == 3 and okr[4].turbine_id == 4 and okr[4].wind_speed is None
     assert okr[0].wind_speed is None and okr[0].wind_direction is None and okr[0].power_output is None
-    assert str(okr[1].timestamp) == "2022-03-01 03:00:00"
+    assert str(okr[2].timestamp) == "2022-03-01 03:00:00"
     reasons = sorted((r.row_no, r.reject_reason) for r in bad.collect())
-    assert reasons == [(2, "timestamp"), (3, "turbine_id"), (4, "field_count")]
+    assert reasons == [(2, "timestamp"), (3, "turbine_id"), (6, "field_count"), (8, "turbine_id"), (10, "turbine_id")]
     texts = {r.row_no: r.reject_text for r in bad.collect()}
     assert '"timestamp":"bad date"' in texts[2]
     assert all(r.reject_text is None for r in parsed.where("reject_reason IS NULL").collect())
@@ -68,20 +76,25 @@ def test_tail_and_tracker(spark, tmpdir_run):
     assert st.last_record_csv_row_number == 10 and str(st.last_record_timestamp) == "2022-03-01 10:00:00"
 
 
-def test_tail_by_rank_paths_agree(spark):
-    from anemoi.sources.feed_state import tail_by_rank
-    rows = spark.createDataFrame([(g, i * 7 % 101 + (0 if g == "a" else 1000), i)
-                                  for g in ("a", "b", "c") for i in range(60)], "g string, o long, v long")
-    offs = spark.createDataFrame([("a", 10), ("b", 0), ("c", 75)], "g string, offset long")
-    want = {}
-    for g, n in (("a", 10), ("b", 0), ("c", 75)):
-        ordered = sorted(r.o for r in rows.where(F.col("g") == g).collect())
-        want[g] = sorted(ordered[n:])
-    for max_rows in (None, 1 << 20):
+def test_tail_by_rank_keeps_ties_and_nulls(spark):
+    from anemoi.sources.feed_state import number_rows
+    orders = {"a": [i * 7 % 101 for i in range(60)], "b": list(range(1000, 1060)), "c": list(range(60)),
+              "t": [1, 2, 2, 3], "n": [None, 1, 2, 3], "z": [5] * 40, "o": [None, None]}
+    rows = spark.createDataFrame([(g, o, i) for g, os_ in orders.items() for i, o in enumerate(os_)], "g string, o long, v long")
+    cuts = {"a": 10, "b": 0, "c": 75, "t": 2, "n": 2, "z": 7, "o": 1}
+    offs = spark.createDataFrame(list(cuts.items()), "file_name string, last_record_csv_row_number long")
+    for size in (4, 100_000):
+        numbered = number_rows(rows, "g", "o", rows_per_bucket=size)
         got = {}
-        for r in tail_by_rank(rows, "g", "o", offs, max_rows=max_rows).collect():
+        for r in tail_rows(numbered, offs, file_col="g").collect():
             got.setdefault(r.g, []).append(r.o)
-        assert {g: sorted(v) for g, v in got.items()} == {g: v for g, v in want.items() if v}
+        key = lambda x: (x is not None, x or 0)
+        want = {g: sorted(v, key=key)[cuts[g]:] for g, v in orders.items()}
+        assert {g: sorted(v, key=key) for g, v in got.items()} == {g: v for g, v in want.items() if v}
+        nos = {}
+        for r in numbered.collect():
+            nos.setdefault(r.g, []).append(r.row_no)
+        assert all(sorted(v) == list(range(1, len(v) + 1)) for v in nos.values())
 
 
 def test_row_numbers_are_the_same_when_recomputed(spark, tmpdir_run):

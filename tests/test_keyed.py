@@ -72,3 +72,23 @@ def test_keyed_merges_match_a_dict_model(spark, batches):
             ig_model.setdefault(k, (v, f"b{b}"))
     assert {r.k: (r.v, r.ins) for r in up.collect()} == up_model
     assert {r.k: (r.v, r.ins) for r in ig.collect()} == ig_model
+
+
+def test_reading_upsert_hashes(spark):
+    """Fixed-width values and one numeric order: hash aggregates, winners' NULLs survive."""
+    from anemoi.schema import KEY, READINGS
+    empty = spark.createDataFrame([], READINGS)
+    t = "cast('2022-03-01 00:00:00' AS timestamp_ntz)"
+    new = spark.sql(f"SELECT {t} AS timestamp, 1L AS turbine_id, x AS wind_speed, x AS wind_direction, y AS power_output, "
+                    f"{t} AS insertion_date, DATE'2022-03-01' AS day, s AS seq "
+                    "FROM VALUES (1D, 1D, 1L), (2D, CAST(NULL AS DOUBLE), 3L), (3D, 3D, 2L) AS v(x, y, s)")
+    out = upsert(empty, new, list(KEY), seq=["seq"], keep_first=["insertion_date"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert [(r.wind_speed, r.power_output) for r in out.collect()] == [(2.0, None)]
+
+
+def test_grouped_bounds_are_not_forced_into_a_broadcast(spark):
+    from anemoi.plans.day_stats import CLEAN_STATS, bounds_from_stats
+    plan = bounds_from_stats(spark.createDataFrame([], CLEAN_STATS), groups=("day", "turbine_id"))
+    assert "strategy=broadcast" not in plan._jdf.queryExecution().optimizedPlan().toString()

@@ -56,16 +56,14 @@ def test_distributed_profile_equals_builtin(spark):
     raw = _raw(spark)
     anoms = raw.where(F.col("power_output") > 4)
     b = {r.period: r for r in period_profile(raw, anoms, method="builtin").collect()}
-    variants = [dict(), dict(max_distinct=0), dict(persisted=[]), dict(persisted=[], max_distinct=3)]
-    for kw in variants:
-        a = {r.period: r for r in period_profile(raw, anoms, method="distributed", **kw).collect()}
-        assert set(a) == set(b) == {"full_dataset", "last_4_weeks", "last_2_weeks", "last_1_week", "last_1_day"}
-        for p in a:
-            for c in a[p].asDict():
-                if c == "period":
-                    continue
-                x, y = a[p][c], b[p][c]
-                assert abs(x - y) < 1e-9, (kw, p, c, x, y)
+    a = {r.period: r for r in period_profile(raw, anoms, method="distributed").collect()}
+    assert set(a) == set(b) == {"full_dataset", "last_4_weeks", "last_2_weeks", "last_1_week", "last_1_day"}
+    for p in a:
+        for c in a[p].asDict():
+            if c == "period":
+                continue
+            x, y = a[p][c], b[p][c]
+            assert abs(x - y) < 1e-9, (p, c, x, y)
 
 
 def test_profile_even_median_tied_mode_and_empty_period(spark):

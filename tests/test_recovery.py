@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import anemoi.plans.daily_run as dr
 from anemoi.operators import anomaly_counts_long, daily_summary
+from anemoi.plans.ledger import Ledger
 from anemoi.plans.store import TableStore
 from tests.day_stats_check import assert_day_stats_match
 
@@ -36,7 +37,7 @@ def _check(spark, st):
     assert keys.where(F.col("count") > 1).count() == 0
 
 
-@pytest.mark.parametrize("crash", ["summaries", "clean_marker"])
+@pytest.mark.parametrize("crash", ["summaries", "clean_marker", "clean_stats"])
 def test_next_run_repairs_a_crashed_run(spark, tmpdir_run, monkeypatch, crash):
     feed = os.path.join(tmpdir_run, "feed")
     os.makedirs(feed)
@@ -49,25 +50,53 @@ def test_next_run_repairs_a_crashed_run(spark, tmpdir_run, monkeypatch, crash):
 
     with open(f, "w") as fh:
         fh.write(HEADER + "".join(day1 + _day(2, {(6, 2): 0.2, (7, 1): 8.0})))
+    def boom(*a, **k):
+        raise RuntimeError("driver lost")
     if crash == "summaries":
-        def boom(*a, **k):
-            raise RuntimeError("driver lost")
         monkeypatch.setattr(dr, "summary_step", boom)
+    elif crash == "clean_stats":
+        # clean has the new rows, its stats don't: the next band must count them
+        monkeypatch.setattr(dr, "_refresh_clean_stats", boom)
     else:
-        real = dr.mark_many
+        real = Ledger.flush
 
-        def mark_many(store, run, marks):
-            if marks.get("cleaned"):
+        def flush(led):
+            if any(s["cleaned"] == led.seq for s in led.days.values()):
                 raise RuntimeError("driver lost")
-            return real(store, run, marks)
-        monkeypatch.setattr(dr, "mark_many", mark_many)
+            return real(led)
+        monkeypatch.setattr(Ledger, "flush", flush)
     with pytest.raises(RuntimeError):
         dr.run_daily(spark, feed, root, datetime(2022, 3, 3), archive_dir=arch)
     monkeypatch.undo()
 
     # the files were not archived by the crashed run; the next run finds nothing new in them
+    st = TableStore(spark, root)
+    mean = st.read("clean").agg(F.avg("power_output")).first()[0]
     rep = dr.run_daily(spark, feed, root, datetime(2022, 3, 4), archive_dir=arch)
     assert rep.new_rows == 0
-    st = TableStore(spark, root)
+    assert rep.band["mean_power"] == pytest.approx(mean, rel=1e-12)
     assert st.read("raw").count() == 96
     _check(spark, st)
+
+
+def test_folder_of_a_failed_first_write_is_no_table(spark, tmpdir_run):
+    st = TableStore(spark, os.path.join(tmpdir_run, "tables"))
+    for left in ("_temporary/0", ".spark-staging-1"):
+        os.makedirs(os.path.join(st.path("raw"), left))
+    assert not st.exists("raw") and st.read("raw").count() == 0
+
+
+def test_repair_rebuilds_the_per_day_state(spark, tmpdir_run):
+    feed = os.path.join(tmpdir_run, "feed")
+    os.makedirs(feed)
+    root, arch = os.path.join(tmpdir_run, "tables"), os.path.join(tmpdir_run, "archive")
+    with open(os.path.join(feed, "data_group_1.csv"), "w") as fh:
+        fh.write(HEADER + "".join(_day(1, {(4, 1): 9.0}) + _day(2, {(6, 2): 0.2})))
+    dr.run_daily(spark, feed, root, datetime(2022, 3, 3), archive_dir=arch)
+    st = TableStore(spark, root)
+    kept = sorted(map(str, st.read("clean").collect()))
+    assert dr.repair(spark, root) == 2
+    assert not st.exists("elig_counts")
+    dr.run_daily(spark, feed, root, datetime(2022, 3, 4), archive_dir=arch)
+    assert sorted(map(str, st.read("clean").collect())) == kept
+    _check(spark, st)

@@ -244,3 +244,45 @@ def test_no_archive_and_no_wide_pivot(spark, tmpdir_run):
     r2 = run_daily(spark, feed, root, datetime(2022, 3, 3), Options(archive=False, wide_pivot=False),
                    archive_dir=arch)
     assert r2.new_rows == 0 and st.read("raw").count() == 48
+
+
+def test_run_times_may_repeat_or_go_back(spark, tmpdir_run):
+    """The ledger orders runs by number: the run time changes nothing but the stored dates."""
+    def p(d, h, t):
+        return 0.1 if (d, h, t) in ((1, 3, 1), (2, 5, 2)) else 3.0 + ((h + t) % 3) * 0.1
+    tables = {}
+    for name, second in (("later", datetime(2022, 3, 4)), ("equal", datetime(2022, 3, 3)), ("earlier", datetime(2022, 3, 1))):
+        feed, root, arch = _dirs(os.path.join(tmpdir_run, name))
+        _write(os.path.join(feed, "data_group_1.csv"), _day(1, p))
+        run_daily(spark, feed, root, datetime(2022, 3, 3), archive_dir=arch)
+        _write(os.path.join(feed, "data_group_1.csv"), _day(1, p) + _day(2, p))
+        r = run_daily(spark, feed, root, second, archive_dir=arch)
+        st = TableStore(spark, root)
+        assert r.new_rows == 48 and r.cleaning == "done"
+        assert st.read("clean").count() == 96 - st.read("anomalies").count()
+        assert_day_stats_match(spark, st)
+        tables[name] = {t: sorted(map(str, st.read(t).drop("insertion_date").collect()))
+                        for t in ("raw", "clean", "anomalies", "daily_summary", "anomaly_counts")}
+    assert tables["later"] == tables["equal"] == tables["earlier"]
+
+
+def test_retract_empties_days_and_devices(spark, tmpdir_run):
+    """Corrected readings of a whole day, and of a whole device on another, are flagged:
+    both leave clean, its stats and the daily summary."""
+    feed, root, arch = _dirs(tmpdir_run)
+    steady = lambda d, h, t: 3.0 + ((h + t) % 3) * 0.1
+    opt = Options(retract=True)
+    _write(os.path.join(feed, "data_group_1.csv"), _day(1, steady) + _day(2, steady) + _day(3, steady))
+    run_daily(spark, feed, root, datetime(2022, 3, 4), opt, archive_dir=arch)
+    st = TableStore(spark, root)
+    assert st.read("daily_summary").count() == 6
+    bad = _day(1, lambda d, h, t: 0.01) + _day(2, lambda d, h, t: 0.01, turbines=(2,))
+    _write(os.path.join(feed, "data_group_2.csv"), bad)
+    run_daily(spark, feed, root, datetime(2022, 3, 5), opt, archive_dir=arch)
+    clean = st.read("clean")
+    assert clean.where(F.col("power_output") < 1).count() == 0
+    left = {(str(r.day), r.turbine_id) for r in clean.select("day", "turbine_id").distinct().collect()}
+    assert ("2022-03-01", 1) not in left and ("2022-03-01", 2) not in left and ("2022-03-02", 2) not in left
+    assert {(str(r.day), r.turbine_id) for r in st.read("daily_summary").collect()} == left
+    assert {(str(r.day), r.turbine_id) for r in st.read("clean_stats").collect()} == left
+    assert_day_stats_match(spark, st)

@@ -46,3 +46,6 @@ def test_new_file_delivery(spark, tmpdir_run):
     assert st.read("raw").count() == 144
     assert sum(r.new_rows for _, r in reports) == 145
     assert st.read("daily_summary").count() == 6
+    runs = st.read("runs").orderBy("run_seq").collect()
+    assert len(runs) == len(reports) and [r.new_rows for r in runs] == [r.new_rows for _, r in reports]
+    assert [r.lower_bound for r in runs] == [r.band["lower_bound"] for _, r in reports]
