@@ -21,6 +21,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op3_mixing": mixing.ORACLE,
+    "op4_sharding": sharding.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op6_decontamination": decontaminate.ORACLE,
     "op7_line_dedup": line_dedup.ORACLE,

@@ -303,12 +303,13 @@ def op8_near_dup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
-ORACLE = r"""
+def oracle(width: int) -> str:
+    return r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g
-      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + WIDTH - 1), ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - WIDTH + 1, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s AS x JOIN s AS y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
 l AS (SELECT a, b FROM p JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
@@ -317,4 +318,7 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e
 m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d JOIN m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
-"""
+""".replace("WIDTH", str(width))
+
+
+ORACLE = oracle(4)

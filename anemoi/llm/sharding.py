@@ -121,3 +121,39 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
 
 def op4_sharding(spark, sf_dir):
     return sharded(table(spark, sf_dir, "documents"))
+
+
+def permuted_sql(rows: str, total: str, columns: str, seed: int = SEED, shards: int = SHARDS) -> str:
+    """DuckDB SQL that deals ``rows`` (with ``no``, its row number) out: columns, shard, slot.
+
+    ``total`` is a table of one row, ``total``. The recursion is the cycle walk.
+    """
+    step = "SELECT no, k, n >> half AS l, n & mask AS r, half, mask FROM walk, size WHERE k = 0 OR n >= total"
+    for key in _keys(seed):
+        step = f"""
+    SELECT no, k, half, mask, old_r AS l, xor(old_l, xor(z, z >> 13) & mask) AS r FROM (
+      SELECT *, (xor(y, y >> 15) * 2246822519::UBIGINT) & 4294967295 AS z FROM (
+        SELECT no, k, half, mask, l AS old_l, r AS old_r,
+               (xor(r, {key}::UBIGINT) * 2654435761::UBIGINT) & 4294967295 AS y FROM ({step})))"""
+    return f"""
+WITH RECURSIVE half AS (SELECT total, greatest(1, (length(bin(greatest(total - 1, 1))) + 1) // 2) AS half FROM ({total})),
+size AS (SELECT total::UBIGINT AS total, half::UBIGINT AS half, ((1::UBIGINT << half::UBIGINT) - 1)::UBIGINT AS mask FROM half),
+dealt AS MATERIALIZED ({rows}),
+walk AS (SELECT no, 0 AS k, no::UBIGINT AS n FROM dealt
+  UNION ALL SELECT no, k + 1, (l << half) | r FROM ({step}))
+SELECT {columns}, (n % {shards})::INT AS shard, (n // {shards})::BIGINT AS slot
+FROM dealt JOIN walk USING (no), size WHERE k > 0 AND n < total
+"""
+
+
+# CRC-32 of the UTF-8 bytes, byte by byte over its table of 256 remainders
+ORACLE = permuted_sql("""
+  SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS no FROM (
+    SELECT doc_id, strlen(t)::BIGINT + 1 AS size, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b:
+             xor(c >> 8, remainders[((xor(c, b) & 255) + 1)::INT])), 4294967295)::BIGINT AS text_crc32
+    FROM (SELECT doc_id, t, list_transform(range(1, len(h), 2), lambda i: ('0x' || h[i:i + 1])::BIGINT) AS bytes
+          FROM (SELECT doc_id, coalesce(text, '') AS t, hex(coalesce(text, '')) AS h FROM documents)),
+         (SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1
+             THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS remainders FROM (SELECT unnest(range(256)) AS n)))""",
+                      "SELECT count(*) AS total FROM documents",
+                      "doc_id, size, text_crc32, 'rows' AS law, NULL::INT AS grown_shard")

@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from anemoi.llm import decontaminate, mixing, near_dup, quality_rules, sharding
 from anemoi.llm.common import saved, table
 
-MAX_HIT_PERCENT = 0      # a document stays if at most this share of its words repeats an item
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule policy keeps."""
@@ -49,8 +47,23 @@ STAGES = [
     ("sharding", shards),
 ]
 
-# near duplicates and the permutation are beyond SQL; tests hold them to brute force
-ORACLE_SQL = None
+def _over(oracle: str, rows: str) -> str:
+    """An operator's oracle with another table in place of ``documents``."""
+    return oracle.replace("FROM documents", f"FROM {rows}")
+
+
+ORACLE_SQL = f"""
+WITH RECURSIVE s1 AS MATERIALIZED (
+  SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM ({quality_rules.ORACLE}) WHERE kept)),
+s2 AS MATERIALIZED (
+  SELECT * FROM s1 WHERE doc_id IN (SELECT doc_id FROM ({_over(near_dup.oracle(5), "s1")}) WHERE kept)),
+s3 AS MATERIALIZED (
+  SELECT * FROM s2 WHERE doc_id NOT IN (SELECT doc_id FROM ({_over(decontaminate.ORACLE, "s2")}) WHERE contaminated)),
+s4 AS MATERIALIZED (
+  SELECT s3.*, unnest(range(copies)) AS copy FROM s3 JOIN ({_over(mixing.ORACLE, "s3")}) AS t ON t.doc_id = s3.doc_id),
+s5 AS (SELECT * EXCLUDE (copy), row_number() OVER (ORDER BY doc_id, copy) - 1 AS no FROM s4)
+SELECT * FROM ({sharding.permuted_sql("SELECT * FROM s5", "SELECT count(*) AS total FROM s4", "* EXCLUDE (no, k, n, total, half, mask)")})
+"""
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
