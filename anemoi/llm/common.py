@@ -101,8 +101,7 @@ def numbered(df: DataFrame, order: list[str], name: str = "row_no") -> DataFrame
     number of rows before it, a sum over one row per partition. The sorted rows are
     written first, so that a lost executor cannot change the partition borders.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = (df.repartitionByRange(n, *[F.col(c).asc() for c in order])
+    part = (df.repartitionByRange(*[F.col(c).asc() for c in order])
             .sortWithinPartitions(*[F.col(c).asc() for c in order])
             .withColumn("__part", F.spark_partition_id())
             .withColumn("__in", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))

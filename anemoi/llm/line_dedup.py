@@ -38,8 +38,7 @@ PLACE = [*KEY, "p"]
 
 def _summed(keys: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
     """Sum of ``value`` over all rows before this one in ``order`` (distinct keys)."""
-    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = saved(keys.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()), "sorted")
+    part = saved(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "sorted")
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition, then each partition in itself
     start = part.groupBy("part").agg(F.sum(value).alias("v")).select(
@@ -96,8 +95,10 @@ def common_prefixes(ranks: DataFrame, rounds: list[DataFrame]) -> DataFrame:
         step = (pairs.withColumn("p", F.col("p") + F.col("lcp")).withColumn("q_p", F.col("q_p") + F.col("lcp"))
                 .join(mine, PLACE, "left").join(theirs, [f"q_{c}" for c in PLACE], "left"))
         grown = F.when(F.col("r1") == F.col("r2"), F.lit(1 << j)).otherwise(F.lit(0))
-        pairs = saved(step.withColumn("p", F.col("p") - F.col("lcp")).withColumn("q_p", F.col("q_p") - F.col("lcp"))
-                      .withColumn("lcp", F.col("lcp") + grown).drop("r1", "r2"), "prefixes")
+        pairs = (step.withColumn("p", F.col("p") - F.col("lcp")).withColumn("q_p", F.col("q_p") - F.col("lcp"))
+                 .withColumn("lcp", F.col("lcp") + grown).drop("r1", "r2"))
+        if j % 3 == 0:
+            pairs = saved(pairs, "prefixes")
     return ranks.join(pairs.select("rank", "lcp"), "rank", "left").withColumn("lcp", F.coalesce("lcp", F.lit(0)))
 
 
@@ -142,13 +143,13 @@ def op7_line_dedup(spark, sf_dir):
 
 ORACLE = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-l AS (SELECT doc_id, at, line FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS at FROM d)),
-s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS p FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+l AS (SELECT doc_id, pos, line FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d)),
+s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS p FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 w AS (SELECT x.doc_id, x.p, x.line AS a, y.line AS b FROM s AS x JOIN s AS y ON y.doc_id = x.doc_id AND y.p = x.p + 1),
 r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, p) AS k FROM w) WHERE k > 1),
-g AS (SELECT DISTINCT s.doc_id, s.at FROM s JOIN r ON s.doc_id = r.doc_id AND s.p IN (r.p, r.p + 1)),
-k AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.at) AS t FROM l
-      LEFT JOIN g ON g.doc_id = l.doc_id AND g.at = l.at WHERE g.at IS NULL GROUP BY l.doc_id),
+g AS (SELECT DISTINCT s.doc_id, s.pos FROM s JOIN r ON s.doc_id = r.doc_id AND s.p IN (r.p, r.p + 1)),
+k AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.pos) AS t FROM l
+      LEFT JOIN g ON g.doc_id = l.doc_id AND g.pos = l.pos WHERE g.pos IS NULL GROUP BY l.doc_id),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 c AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_lines, coalesce(c.n, 0) AS n_deleted, sha256(coalesce(k.t, '')) AS kept_sha256
