@@ -11,7 +11,7 @@ from anemoi.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="anemoi-tests", shuffle_partitions=8)
+    s = build_session("local[4]", app="anemoi-tests", shuffle_partitions=4)
     yield s
     s.stop()
 
