@@ -10,9 +10,12 @@
    with both texts and decided on the full sets.
 4. Links give components. Buckets that still hold several components are searched again:
    members outside the bucket's main component against all of it, in tiles of bounded
-   size, first the few nearest partners, then every pair that the sketches allow and that
-   was not decided before. Pairs inside one component need no link, so afterwards no two
-   documents that share a bucket can be linked and yet lie apart.
+   size. First each proposes its few nearest partners. Then every pair that the sketches
+   allow is compared inside the tile by the LOW smallest hashes of both sets: all of a set
+   up to that size, so that only true links leave the task, one to each component. Larger
+   sets are estimated and decided on the full sets as before. Pairs inside one component
+   need no link, so afterwards no two documents that share a bucket can be linked and yet
+   lie apart.
 
 A pair at exactly the threshold shares no bucket with probability (1 - 0.8^5)^32 = 3e-6;
 the sketch screen is five standard deviations wide.
@@ -40,6 +43,7 @@ SAMPLES = 256                  # MinHash values in the sketch; the first BANDS *
 BITS = 1024
 TILE_A, TILE_B = 1000, 4000    # sketches compared in one task
 NEAREST = 4
+LOW = 1024                     # smallest hashes of a set that a tile compares
 _BLOCK = 1 << 15               # shingles hashed at once
 
 _RNG = np.random.Generator(np.random.PCG64(11))
@@ -180,11 +184,48 @@ def _decided(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return p.mapInArrow(decide, "a long, b long, linked boolean")
 
 
+def lowest(texts: DataFrame, width: int) -> DataFrame:
+    """node, c1, low: the LOW smallest hashes of each text's set, and the set's hash."""
+    def low(batches):
+        for batch in batches:
+            words, off = word_hashes(batch.column(1), lower=True)
+            sets = [shingles(words[off[i]:off[i + 1]], width) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([int(mixed(x, 21).sum(dtype=np.uint64).view(np.int64)) for x in sets], pa.int64()),
+                 pa.array([x[:LOW].tobytes() for x in sets], pa.binary())], names=["node", "c1", "low"])
+
+    return texts.select(F.col("doc_id").alias("node"), "text").mapInArrow(low, "node long, c1 long, low binary")
+
+
+def partners(x: np.ndarray, n: int, lows: list[np.ndarray], sizes: np.ndarray, comps: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets (by their lowest hashes and sizes) may be linked with ``x`` of ``n`` shingles.
+
+    Sets up to LOW are compared in full: one true link to each component is enough.
+    Larger ones are kept where the estimate from the lowest hashes allows it.
+    """
+    whole = sizes <= LOW if n <= LOW else np.zeros(len(sizes), dtype=bool)
+    out = []
+    full = np.flatnonzero(whole)
+    if len(full):
+        flat = np.concatenate([lows[i] for i in full])
+        at = np.minimum(np.searchsorted(x, flat), len(x) - 1)
+        both = np.add.reduceat((x[at] == flat).astype(np.int64), np.cumsum([0] + [len(lows[i]) for i in full[:-1]]))
+        true = full[100 * both >= percent * (n + sizes[full] - both)]
+        out.append(true[np.unique(comps[true], return_index=True)[1]])
+    floor = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / LOW) ** 0.5
+    for i in np.flatnonzero(~whole):
+        seen, times = np.unique(np.concatenate([x, lows[i]]), return_counts=True)
+        if (times[:LOW] == 2).mean() >= floor:
+            out.append(np.array([i]))
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+
+
 def _proposals(members: DataFrame, limit: int, percent: int, nearest: int | None) -> DataFrame:
-    """Pairs of different components in one bucket that the sketches allow.
+    """Pairs of different components in one bucket that may be linked.
 
-    ``members``: bk, node, comp, n_shingles, sketch. Members outside the bucket's main
-    component (side a) meet all members (side b) in tiles; only passing pairs leave a task.
+    ``members``: bk, node, comp, n_shingles, sketch, low. Members outside the bucket's main
+    component (side a) meet all members (side b) in tiles; only passing pairs leave a task:
+    the ``nearest`` by their sketches, or all that their lowest hashes (``partners``) allow.
     """
     per = members.groupBy("bk", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = per.groupBy("bk").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("n_all"),
@@ -198,7 +239,7 @@ def _proposals(members: DataFrame, limit: int, percent: int, nearest: int | None
     b = m.withColumn("tb", tile(tiles_b)).withColumn(
         "ta", F.explode(F.sequence(F.lit(0), tiles_a - 1))).withColumn("side", F.lit(False))
 
-    def meet(nodes, comps, sizes, sides, sketches) -> np.ndarray:
+    def meet(nodes, comps, sizes, sides, sketches, lows) -> np.ndarray:
         """Passing pairs of one tile."""
         x, y = np.flatnonzero(sides), np.flatnonzero(~sides)
         got = []
@@ -206,7 +247,9 @@ def _proposals(members: DataFrame, limit: int, percent: int, nearest: int | None
             bits = np.bitwise_count(sketches[y] ^ sketches[i]).sum(axis=1, dtype=np.int64)
             ok = np.flatnonzero((bits <= limit) & (comps[y] != comps[i])
                                 & (100 * np.minimum(sizes[y], sizes[i]) >= percent * np.maximum(sizes[y], sizes[i])))
-            if nearest is not None and len(ok) > nearest:
+            if nearest is None and len(ok):
+                ok = ok[partners(lows[i], sizes[i], [lows[k] for k in y[ok]], sizes[y[ok]], comps[y[ok]], percent)]
+            elif len(ok) > (nearest or 0):
                 ok = ok[np.argsort(bits[ok], kind="stable")[:nearest]]
             if len(ok):
                 got.append(np.column_stack([np.full(len(ok), nodes[i]), nodes[y[ok]]]))
@@ -228,14 +271,15 @@ def _proposals(members: DataFrame, limit: int, percent: int, nearest: int | None
                 nodes, comps, sizes = (part.column(c).to_numpy() for c in ("node", "comp", "n_shingles"))
                 sides = part.column("side").to_numpy()
                 sketches = np.frombuffer(b"".join(part.column("sketch").to_pylist()), dtype=np.uint64).reshape(whole, -1)
+                lows = [np.frombuffer(x, dtype=np.uint64) for x in part.column("low").to_pylist()]
                 edges = [0, *cuts[cuts < whole].tolist(), whole]
-                got = np.concatenate([meet(nodes[i:j], comps[i:j], sizes[i:j], sides[i:j], sketches[i:j])
+                got = np.concatenate([meet(nodes[i:j], comps[i:j], sizes[i:j], sides[i:j], sketches[i:j], lows[i:j])
                                       for i, j in zip(edges, edges[1:])])
                 got = np.sort(got, axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], names=["a", "b"])
                 held = held.slice(whole)
 
-    cols = ["bk", "ta", "tb", "side", "node", "comp", "n_shingles", "sketch"]
+    cols = ["bk", "ta", "tb", "side", "node", "comp", "n_shingles", "sketch", "low"]
     tiles = a.select(cols).unionAll(b.select(cols)).repartition("bk", "ta", "tb").sortWithinPartitions("bk", "ta", "tb")
     return tiles.mapInArrow(compare, "a long, b long").distinct()
 
@@ -273,7 +317,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
         m = (bands.select("bk", "node").join(labels, "node", "left")
              .select("bk", "node", F.coalesce("comp", "node").alias("comp")))
         mixed_up = m.groupBy("bk").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bk")
-        m = m.join(mixed_up, "bk").join(reps.select("node", "n_shingles", "sketch"), "node")
+        m = m.join(mixed_up, "bk").join(reps.select("node", "c1", "n_shingles", "sketch"), "node")
+        if nearest is None:
+            nodes = m.select(F.col("node").alias("doc_id")).distinct()
+            low = saved(lowest(texts.join(nodes, "doc_id", "left_semi"), width), "lowest")
+            m = m.join(low, ["node", "c1"])
+        else:
+            m = m.withColumn("low", F.lit(b""))
         m = saved(m, "members")
         pairs = saved(_proposals(m, limit, percent, nearest).join(
             tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")

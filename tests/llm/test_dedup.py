@@ -267,3 +267,21 @@ def test_decontamination_without_broadcast(spark, docs, monkeypatch):
     want = sorted(map(str, decontaminate.contaminated(docs, bench).collect()))
     monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", 0)
     assert sorted(map(str, decontaminate.contaminated(docs, bench).collect())) == want
+
+
+def test_partners_by_lowest_hashes(monkeypatch):
+    rng = np.random.default_rng(6)
+    pool = rng.integers(1, 1 << 63, 400, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, rng.integers(1, 300))) for _ in range(40)]
+    sets += [np.unique(np.concatenate([sets[i], rng.choice(pool, 8)])) for i in range(40)]
+    x = sets[0]
+    sizes, comps = np.array([len(s) for s in sets]), np.arange(len(sets))
+    true = {i for i, s in enumerate(sets) if 100 * len(np.intersect1d(x, s)) >= 80 * len(np.union1d(x, s))}
+    assert {0, 40} <= true
+    assert set(near_dup.partners(x, len(x), sets, sizes, comps, 80).tolist()) == true
+    # one of each component is enough
+    assert len(near_dup.partners(x, len(x), sets, sizes, np.zeros(len(sets)), 80)) == 1
+    # sets beyond the limit are estimated: no true partner is lost
+    monkeypatch.setattr(near_dup, "LOW", 64)
+    low = [s[:64] for s in sets]
+    assert true <= set(near_dup.partners(low[0], len(x), low, sizes, comps, 80).tolist())
