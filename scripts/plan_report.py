@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from anemoi.plans.catalog import QUERIES  # noqa: E402
 from anemoi.session import build_session  # noqa: E402
 
 # operator nodes of the formatted explain: "(12) Exchange", one line per node
@@ -53,7 +53,7 @@ def main():
     print("| query | " + " | ".join(MARKS) + " |")
     print("| --- | " + " | ".join("---" for _ in MARKS) + " |")
     scans = {}
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
         df.write.format("noop").mode("overwrite").save()
         df.collect()
