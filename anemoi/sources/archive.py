@@ -25,6 +25,11 @@ def archive_files(spark: SparkSession, files: list[str], archive_dir: str, when:
         dst_p = jvm.org.apache.hadoop.fs.Path(dst)
         fs = src_p.getFileSystem(conf)
         fs.mkdirs(dst_p.getParent())
+        n = 1
+        while fs.exists(dst_p):        # an earlier run with the same run time
+            n += 1
+            dst = f"{archive_dir.rstrip('/')}/{stamp}-{n}_{name}"
+            dst_p = jvm.org.apache.hadoop.fs.Path(dst)
         if not fs.rename(src_p, dst_p):
             raise OSError(f"could not archive {f}")
         moved.append(dst)
