@@ -7,6 +7,10 @@ where a context word stands nearby. Every span carries a score: 0.5 for the patt
 for a passed checksum, +0.2 for a context word within CONTEXT characters before it or
 CONTEXT after; added kinds below THRESHOLD are dropped.
 
+An account number may be followed by capitals or digits that its pattern takes in too. Every
+end at a word border is checked: the one at the country's length if it passes, otherwise
+the longest that does; the search goes on behind it, or behind a start that has none.
+
 Every pattern is scanned in linear time: no start inside a run that was already tried, so
 long runs of digits or letters cost no more than other text.
 
@@ -49,6 +53,12 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# lengths by country; other countries and lengths are decided by the checksum alone
+IBAN_LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.()-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])")
 
@@ -83,6 +93,23 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
             yield start, end
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping account numbers that pass mod-97, ended at a word border."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        ends = [len(m[0])] + [i for i in range(len(m[0]) - 1, 0, -1) if m[0][i] == " "]
+        passed = {}
+        for end in ends:
+            number = m[0][:end].replace(" ", "")
+            if 15 <= len(number) <= 34 and mod97(number):
+                passed[len(number)] = end
+        if passed:
+            at = m.start() + passed.get(IBAN_LENGTHS.get(m[0][:2]), max(passed.values()))
+            yield m.start(), at
+        else:
+            at = m.start() + 4
+
+
 def _ssn_ok(s: str) -> bool:
     a, b, c = s.split("-")
     return a not in ("000", "666") and a < "900" and b != "00" and c != "0000"
@@ -111,10 +138,7 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
         if "+" in text:
             found += [("phone", *m.span(), False) for m in _PHONE.finditer(text)
                       if 10 <= sum("0" <= c <= "9" for c in m[0]) <= 15]
-        for m in _IBAN.finditer(text):
-            number = m[0].replace(" ", "")
-            if 15 <= len(number) <= 34 and mod97(number):
-                found.append(("iban", *m.span(), True))
+        found += [("iban", a, b, True) for a, b in _ibans(text)]
         found += [("ssn", *m.span(), False) for m in _SSN.finditer(text) if _ssn_ok(m[0])]
         found += [("local_phone", *m.span(), False) for m in _LOCAL_PHONE.finditer(text)]
     base = [(a, b) for k, a, b, _ in found if k in BASE_KINDS]

@@ -177,6 +177,20 @@ def test_added_kinds_need_evidence():
     assert pii.redacted("mail a@b.de now") == "mail [email] now" and pii.redacted(None) is None
 
 
+def test_iban_before_capitals_and_digits():
+    ibans = lambda t: [t[a:b] for k, a, b, _ in pii.find(t) if k == "iban"]
+    plain, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    for iban in (plain, spaced):
+        for after in (" BIC COBADEFF", " I paid", " 12 May", " A 1 B 2 C 3", " please", ""):
+            assert ibans(f"IBAN {iban}{after}") == [iban]
+    # one that another start or number would take in
+    assert ibans(f"IBAN AB12 {spaced} BIC") == [spaced]
+    assert ibans("NO9386011117947 NO9386011117947") == ["NO9386011117947"] * 2
+    # a country without a known length: the checksum alone
+    assert pii.mod97("ZZ33123456789012345") and ibans("IBAN ZZ33 1234 5678 9012 345 BIC") == ["ZZ33 1234 5678 9012 345"]
+    pii.find("AA11 " * 20_000)
+
+
 def test_long_runs_stay_linear():
     for text in ("a" * 300_000 + "@", "1" * 300_000, "1." * 150_000, "+1" * 150_000, "1 " * 150_000, "@a.b" * 50_000):
         pii.find(text)
