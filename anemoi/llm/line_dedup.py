@@ -13,7 +13,9 @@ Longest common prefixes of neighbours in the suffix array come from the same ran
 the longest round down. Maximal stretches of neighbours that share at least ``min_lines``
 lines are the prefix intervals: in each, the earliest place (by document id, then line)
 is the original, and the run of lines at every other place is a later copy. A line is
-deleted if a later copy covers it; the longest run per document comes from the prefixes.
+deleted if a later copy covers it. Every prefix belongs to both of its neighbours: the
+largest at a document's places is its longest run of lines that stands at another place
+too, earlier or later (0 if it has fewer than ``min_lines``).
 
 Line ids are two independent 64-bit hashes of the line.
 
@@ -86,7 +88,7 @@ def suffix_ranks(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
 
 def common_prefixes(ranks: DataFrame, rounds: list[DataFrame]) -> DataFrame:
-    """(PLACE, rank, lcp): lines shared with the suffix one rank lower, if it shares any."""
+    """(PLACE, rank, q_KEY, lcp): lines shared with the suffix one rank lower, if it shares any, and its document."""
     prev = ranks.select((F.col("rank") + 1).alias("rank"), *[F.col(c).alias(f"q_{c}") for c in PLACE])
     pairs = saved(ranks.join(prev, "rank").withColumn("lcp", F.lit(0)), "neighbours")
     for j in reversed(range(len(rounds))):
@@ -99,45 +101,61 @@ def common_prefixes(ranks: DataFrame, rounds: list[DataFrame]) -> DataFrame:
                  .withColumn("lcp", F.col("lcp") + grown).drop("r1", "r2"))
         if j % 3 == 0:
             pairs = saved(pairs, "prefixes")
-    return ranks.join(pairs.select("rank", "lcp"), "rank", "left").withColumn("lcp", F.coalesce("lcp", F.lit(0)))
+    pairs = pairs.select("rank", *[f"q_{c}" for c in KEY], "lcp")
+    return ranks.join(pairs, "rank", "left").withColumn("lcp", F.coalesce("lcp", F.lit(0)))
 
 
-def later_copies(lines: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """(KEY, a, lcp): places of runs of at least ``min_lines`` lines that stand at an earlier place too."""
-    ranks, rounds = suffix_ranks(lines)
-    array = saved(common_prefixes(ranks, rounds), "array")
+def longest_runs(array: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+    """(KEY, longest_run): lines of each document's longest run that stands at another place too."""
+    shared = array.where(F.col("lcp") >= min_lines)
+    ends = shared.select(*KEY, "lcp").unionAll(shared.select(*[f"q_{c}" for c in KEY], "lcp"))
+    return ends.groupBy(*KEY).agg(F.max("lcp").alias("longest_run"))
+
+
+def later_copies(lines: DataFrame, min_lines: int = MIN_LINES, array: DataFrame | None = None) -> DataFrame:
+    """(KEY, a): places of runs of at least ``min_lines`` lines that stand at an earlier place too."""
+    if array is None:
+        array = saved(common_prefixes(*suffix_ranks(lines)).select(*PLACE, "rank", "lcp"), "array")
+    array = array.select(*PLACE, "rank", "lcp")
     # suffixes that start a prefix interval or lie in one; an interval begins after a shorter prefix
     flag = array.withColumn("head", (F.col("lcp") < min_lines).cast("long"))
     flag = _summed(flag, ["rank"], "head", "heads").withColumn("interval", F.col("heads") + F.col("head"))
     flag = saved(flag, "intervals")
-    best = flag.groupBy("interval").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n"),
-                                        F.max("lcp").alias("longest")).where("n > 1")
-    return flag.join(best, "interval").where(F.struct(*PLACE) != F.col("first")).select(*KEY, F.col("p").alias("a"), "lcp")
+    best = flag.groupBy("interval").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return flag.join(best, "interval").where(F.struct(*PLACE) != F.col("first")).select(*KEY, F.col("p").alias("a"))
 
 
-def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_lines, n_deleted, longest_run, kept text (``text``) of every document."""
-    lines = saved(line_ids(docs, id_col, text_col), "lines")
-    late = saved(later_copies(lines, min_lines), "late")
+def _without(docs: DataFrame, lines: DataFrame, late: DataFrame, min_lines: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, KEY, n_lines, n_deleted and ``text`` without the lines that the later copies ``late`` cover."""
     gone = late.select(*KEY, F.explode(F.sequence("a", F.col("a") + (min_lines - 1))).alias("p")).distinct()
     gone = (gone.join(lines.select(*PLACE, "at"), PLACE).groupBy(*KEY)
             .agg(F.sort_array(F.collect_list("at")).alias("gone")))
-    longest = late.groupBy(*KEY).agg(F.max("lcp").alias("longest_run"))
     d = docs.select(F.col(id_col).alias("doc_id"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
     n_lines = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    d = d.withColumn("n_lines", n_lines.cast("long"))
-    d = d.join(gone, KEY, "left").join(longest, KEY, "left")
+    d = d.withColumn("n_lines", n_lines.cast("long")).join(gone, KEY, "left")
     d = d.withColumn("ls", F.when(F.col("gone").isNotNull(), F.split("text", "\n", -1)))
     # array_except is hashed: linear in the lines
     stay = F.array_except(F.sequence(F.lit(0), F.size("ls") - 1), "gone")
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get("ls", i)), "\n"))
-    return d.select("doc_id", "n_lines", F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long").alias("n_deleted"),
-                    F.coalesce(F.col("longest_run"), F.lit(0)).cast("long").alias("longest_run"), kept.alias("text"))
+    n_deleted = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long")
+    return d.select("doc_id", *KEY, "n_lines", n_deleted.alias("n_deleted"), kept.alias("text"))
+
+
+def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_lines, n_deleted, longest_run, kept text (``text``) of every document."""
+    lines = saved(line_ids(docs, id_col, text_col), "lines")
+    array = saved(common_prefixes(*suffix_ranks(lines)), "array")
+    late = saved(later_copies(lines, min_lines, array), "late")
+    d = _without(docs, lines, late, min_lines, id_col, text_col).join(longest_runs(array, min_lines), KEY, "left")
+    return d.select("doc_id", "n_lines", "n_deleted", F.coalesce("longest_run", F.lit(0)).cast("long").alias("longest_run"), "text")
 
 
 def op7_line_dedup(spark, sf_dir):
-    out = deduplicated(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    lines = saved(line_ids(docs), "lines")
+    # the longest runs are no part of this query
+    out = _without(docs, lines, saved(later_copies(lines), "late"), MIN_LINES, "doc_id", "text")
     return out.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

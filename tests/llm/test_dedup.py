@@ -194,6 +194,26 @@ def test_repeated_lines(docs, none, m):
     assert line_dedup.deduplicated(none, m).count() == 0
 
 
+def longest_repeated(texts, m):
+    """Lines of each text's longest run that stands at another place too, by text."""
+    seqs = [[x for x in t.split("\n") if words(x)] for t in texts]
+    out = [0] * len(seqs)
+    for n in range(m, max(map(len, seqs)) + 1):
+        count = Counter(tuple(s[p:p + n]) for s in seqs for p in range(len(s) - n + 1))
+        out = [n if any(count[tuple(s[p:p + n])] > 1 for p in range(len(s) - n + 1)) else x for s, x in zip(seqs, out)]
+    return out
+
+
+@pytest.mark.parametrize("m", [1, 2])
+def test_longest_run(spark, m):
+    rng = random.Random(12)
+    pairs = ["\n".join(f"{i} {j}" for j in range(rng.randrange(1, 9))) for i in range(8)]
+    texts = pairs * 2 + ["x\ny\nz"] * 5 + ["alone", "", "\n \n"]
+    texts += ["\n".join(rng.choice("abcd") for _ in range(rng.randrange(1, 20))) for _ in range(10)]
+    got = line_dedup.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), m).collect()
+    assert {r.doc_id: r.longest_run for r in got} == dict(enumerate(longest_repeated(texts, m)))
+
+
 def test_suffix_array_and_prefixes(spark):
     rng = random.Random(4)
     texts = ["\n".join(rng.choice("abc") for _ in range(rng.randrange(1, 30))) for _ in range(12)] + ["a\nb\nc"] * 3
