@@ -325,10 +325,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
         else:
             m = m.withColumn("low", F.lit(b""))
         m = saved(m, "members")
+        if m.isEmpty():
+            break
         pairs = saved(_proposals(m, limit, percent, nearest).join(
             tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
-            break
+            # the nearest were all tried before: partners beyond them are left to the next round
+            continue
         more = saved(_decided(pairs, texts, width, percent), "decided")
         tried = tried.unionAll(more)
         if not more.where("linked").isEmpty():

@@ -87,6 +87,15 @@ def test_group_without_a_hub(spark, monkeypatch):
     assert len(set(comp.values())) > 12          # stragglers exist: the group is no star
 
 
+def test_exact_round_follows_a_round_without_new_pairs(spark, monkeypatch):
+    rows = near_copies(60)
+    # as if all nearest partners had been tried as stars
+    monkeypatch.setattr(near_dup, "NEAREST", 0)
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()}
+    assert got == linked_components(rows, 4)[1]
+
+
 def test_near_duplicates_of_nothing(none):
     assert near_dup.near_duplicates(none).count() == 0
 
