@@ -12,10 +12,11 @@ a hit at its own place. Shingles are compared by 64-bit hashes, eight to a windo
 Hits are found by one pass over the documents' shingles. The item shingles are broadcast
 while there are at most BROADCAST_SHINGLES of them and joined by a shuffle beyond.
 
-Defined results: null texts and ids of items: no words, and no item; null texts of
-documents have no words and no hits; repeated rows each get the same result; null document
-ids stay null; items with one text all count; extra columns are ignored; an empty
-benchmark contaminates nothing, an empty document table gives no rows.
+Defined results: null texts of items have no words; items without an id count for n_hit
+and contaminated, not for the item list and its number; null texts of documents have no
+words and no hits; repeated rows each get the same result; null document ids stay null;
+items with one text all count; extra columns are ignored; an empty benchmark contaminates
+nothing, an empty document table gives no rows.
 """
 
 from __future__ import annotations
@@ -54,9 +55,8 @@ def _shingles(words: str, width: int) -> Column:
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(win, item) pairs, and (win, len, width, o, sh): the shingles of each distinct window."""
-    w = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"),
-                                                      plain_words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
+    """(win, item) pairs of the items with an id, and (win, len, width, o, sh): the shingles of each distinct window."""
+    w = items.select(F.col(id_col).cast("string").alias("item"), plain_words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - WINDOW, F.lit(0)))
     w = w.select("item", F.explode(F.transform(starts, lambda s: F.slice("w", s + 1, WINDOW))).alias("w"))
     w = w.select("item", "w", F.sha2(F.array_join("w", " "), 256).alias("win"))
@@ -67,7 +67,7 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
                                        F.explode(_shingles("w", k)).alias("x")).select(
             "win", "len", "width", F.col("x.pos").alias("o"), "x.sh")
         shapes = x if shapes is None else shapes.unionAll(x)
-    return saved(w.select("win", "item").distinct(), "items"), saved(shapes.distinct(), "shapes")
+    return saved(w.where("item IS NOT NULL").select("win", "item").distinct(), "items"), saved(shapes.distinct(), "shapes")
 
 
 def hits(docs: DataFrame, shapes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -291,6 +291,15 @@ def test_decontamination(spark, docs, none):
     assert empty.count() == len(rows) and not empty.where("contaminated").count()
 
 
+def test_items_without_an_id_contaminate(spark):
+    docs = spark.createDataFrame([(1, "x a b c d e f g h i j y"), (2, "k l m n")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "A b c d e f g h i j"), (5, "zz")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.contaminated(docs, bench).collect()}
+    none = hashlib.sha256(b"").hexdigest()
+    assert got == {1: (10, 0, none, True), 2: (0, 0, none, False)}
+    assert [r.doc_id for r in decontaminate.clean(docs, bench).collect()] == [2]
+
+
 def test_decontamination_without_broadcast(spark, docs, monkeypatch):
     bench = spark.createDataFrame([(1, next(r[1] for r in corpus() if r[1] and len(r[1]) > 2000))], "item_id long, text string")
     want = sorted(map(str, decontaminate.contaminated(docs, bench).collect()))
