@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from anemoi.llm import (
-    decontaminate, line_dedup, mixing, near_dup, packing, pii, quality_rules, sharding, substring_dedup, token_counts,
+    conversation_repair, decontaminate, line_dedup, mixing, near_dup, packing, pii, quality_rules, sharding, substring_dedup, token_counts,
 )
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_packing": packing.op10_packing,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
 }
 
 ORACLE_SQL = {

@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
@@ -22,7 +23,7 @@ def duck():
 
 
 def text_rows(df, cols):
-    return sorted(tuple("" if v is None or v != v else str(v) for v in r)
+    return sorted(tuple("" if pd.api.types.is_scalar(v) and pd.isna(v) else str(v) for v in r)
                   for r in df[cols].astype(object).itertuples(index=False))
 
 
