@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from anemoi.llm import (
-    conversation_repair, decontaminate, line_dedup, mixing, near_dup, packing, pii, quality_rules, sharding, substring_dedup, token_counts,
+    collocations, conversation_repair, decontaminate, line_dedup, mixing, near_dup, packing, pii, quality_rules, sharding,
+    substring_dedup, token_counts,
 )
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_packing": packing.op10_packing,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLE_SQL = {
@@ -28,4 +30,5 @@ ORACLE_SQL = {
     "op7_line_dedup": line_dedup.ORACLE,
     "op8_near_dup": near_dup.ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
