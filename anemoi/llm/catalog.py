@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from anemoi.llm import (
-    collocations, conversation_repair, decontaminate, line_dedup, mixing, near_dup, packing, pii, quality_rules, sharding,
+    collocations, config_packing, conversation_repair, decontaminate, line_dedup, mixing, near_dup, packing, pii, quality_rules, sharding,
     substring_dedup, token_counts,
 )
 
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_packing": packing.op10_packing,
+    "op11_best_fit_packing": config_packing.op11_best_fit_packing,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
     "op13_collocations": collocations.op13_collocations,
 }

@@ -352,31 +352,34 @@ WITH pieces AS (
   FROM documents WHERE text IS NOT NULL),
 ws AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
 n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM ws GROUP BY lang),
-grams AS (
-  SELECT lang, [x] AS g, count(*) AS a FROM (SELECT lang, unnest(w) AS x FROM ws) GROUP BY lang, x
+one AS (SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM ws) GROUP BY lang, x),
+two AS (
+  SELECT lang, x, y, count(*) AS f FROM (
+    SELECT lang, unnest(w[:len(w)-1]) AS x, unnest(w[2:]) AS y FROM ws WHERE len(w) > 1) GROUP BY lang, x, y),
+three AS (
+  SELECT lang, x, y, z, count(*) AS f FROM (
+    SELECT lang, unnest(w[:len(w)-2]) AS x, unnest(w[2:len(w)-1]) AS y, unnest(w[3:]) AS z FROM ws WHERE len(w) > 2)
+  GROUP BY lang, x, y, z HAVING count(*) >= {MIN_COUNT}),
+around AS (
+  SELECT lang, x, y, max(f) AS longer FROM (SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y, z, f FROM three)
+  GROUP BY lang, x, y),
+cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y AS phrase, t.f AS a, 1 AS k, p.f AS l, q.f AS r
+  FROM two AS t JOIN one AS p ON p.lang = t.lang AND p.x = t.x JOIN one AS q ON q.lang = t.lang AND q.x = t.y
+  LEFT JOIN around AS o ON o.lang = t.lang AND o.x = t.x AND o.y = t.y
+  WHERE t.f >= {MIN_COUNT} AND (o.longer IS NULL OR 100 * o.longer < {COVERED} * t.f)
   UNION ALL
-  SELECT lang, g, count(*) FROM (SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i:i+1])) AS g FROM ws)
-  GROUP BY lang, g
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 1, p.f, q.f
+  FROM three AS t JOIN one AS p ON p.lang = t.lang AND p.x = t.x JOIN two AS q ON q.lang = t.lang AND q.x = t.y AND q.y = t.z
   UNION ALL
-  SELECT lang, g, count(*) FROM (SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i+2])) AS g FROM ws)
-  GROUP BY lang, g),
-cand AS (SELECT * FROM grams WHERE len(g) > 1 AND a >= {MIN_COUNT}),
-cuts AS (
-  SELECT c.lang, c.g, c.a, k, x.a AS l, y.a AS r,
-         CAST(1000000::HUGEINT * c.a * c.a // (x.a::HUGEINT * y.a) AS BIGINT) AS score
-  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM cand) AS c
-  JOIN grams AS x ON x.lang = c.lang AND x.g = c.g[:k]
-  JOIN grams AS y ON y.lang = c.lang AND y.g = c.g[k+1:]),
-best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
-around AS (
-  SELECT lang, p, max(a) AS longer FROM (SELECT lang, unnest([g[1:2], g[2:3]]) AS p, a FROM cand WHERE len(g) = 3)
-  GROUP BY lang, p),
-kept AS (
-  SELECT b.* FROM best AS b LEFT JOIN around AS o ON o.lang = b.lang AND o.p = b.g
-  WHERE o.longer IS NULL OR 100 * o.longer < {COVERED} * b.a)
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 2, p.f, q.f
+  FROM three AS t JOIN two AS p ON p.lang = t.lang AND p.x = t.x AND p.y = t.y JOIN one AS q ON q.lang = t.lang AND q.x = t.z),
+best AS (
+  SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
 SELECT lang, rank, phrase, a, l, r, n, score FROM (
-  SELECT kept.lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score,
-         row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank
-  FROM kept JOIN n ON n.lang = kept.lang)
+  SELECT best.lang, phrase, a, l, r, n, score,
+         row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best JOIN n ON n.lang = best.lang)
 WHERE rank <= {TOP}
 """

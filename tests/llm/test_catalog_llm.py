@@ -38,7 +38,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_registered():
     ops = [q for q in E.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in ops) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in ops) == list(range(1, 14))
     assert [s for s, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "decontamination", "mixing", "sharding"]
 
 

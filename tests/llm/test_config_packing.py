@@ -1,0 +1,162 @@
+"""Configuration packing: exact ids, lossless pieces, whole sequences, few of them."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from anemoi.llm import config_packing as cp
+from tests.llm.corpus import SCHEMA, corpus
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    t = tokenizers.Tokenizer.from_file(cp.vocabulary())
+    t.encode_special_tokens = True
+    return t
+
+
+def plain(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, cp.END]
+
+
+def check(rows, want, length):
+    """Every document whole, every sequence gapless and within its length; the number of sequences."""
+    docs, places = {}, {}
+    for r in rows:
+        docs.setdefault((r["doc_id"], r["uid"] - r["piece"]), []).append(r)
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    got = Counter()
+    for (doc_id, _), parts in docs.items():
+        parts.sort(key=lambda r: r["piece"])
+        assert [r["piece"] for r in parts] == list(range(len(parts)))
+        assert all(r["length"] == length for r in parts[:-1])
+        assert [r["start"] for r in parts] == [length * r["piece"] for r in parts]
+        got[doc_id, tuple((r["length"], r["ids_crc32"]) for r in parts)] += 1
+    expected = Counter()
+    for doc_id, ids in want:
+        cut = [np.array(ids[i:i + length], "<u4").tobytes() for i in range(0, len(ids), length)]
+        expected[doc_id, tuple((len(c) // 4, zlib.crc32(c)) for c in cut)] += 1
+    assert got == expected
+    for segments in places.values():
+        at = 0
+        for offset, n in sorted(segments):
+            assert offset == at
+            at += n
+        assert at <= length
+    return len(places)
+
+
+def test_ids_are_the_tokenizers(tokenizer):
+    rng = random.Random(1)
+    alphabet = [*"abcABCéÉßİıΣσς'’ .,\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0 ᠎  ​　́日本0123²½<|>",
+                "'s", "'re", "<|endoftext|>", "ǅ", "ﬁ", "\U0001F600"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 20))) for _ in range(3000)] + [None, "", " \n", "x" * 50_000, "é " * 300_000]
+    ids, ends = cp.encode_all(pa.array(texts), cp.vocabulary())
+    at = 0
+    for text, end in zip(texts, ends):
+        assert [*ids[at:end].tolist(), cp.END] == plain(tokenizer, text), repr(text)[:100]
+        at = end
+
+
+@pytest.mark.parametrize("length", [64, 4096])
+def test_awkward_corpus(spark, tokenizer, length):
+    rows = corpus()
+    rows.append((5000, "one two, three. " * 200_000, "en", "a", 0, "", "", ""))      # over 3 MB
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = cp.placed(cp.pieces(df, length), length).collect()
+    n = check(got, [(r[0], plain(tokenizer, r[1])) for r in rows], length)
+    total = sum(r["length"] for r in got)
+    assert n <= -(-total // length) + 2
+
+
+def test_sequences(spark, tokenizer):
+    rows = corpus(n=30)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    want = Counter((r[0], tuple(plain(tokenizer, r[1]))) for r in rows)
+    got, docs = Counter(), {}
+    for s in cp.packed(df, 256).collect():
+        ids = np.frombuffer(s.ids, "<u4").tolist()
+        assert len(ids) <= 256 and sum(s.lengths) == len(ids)
+        for doc_id, start, offset, n in zip(s.doc_ids, s.starts, s.offsets, s.lengths):
+            docs.setdefault(doc_id, []).append((start, ids[offset:offset + n]))
+    for doc_id, parts in docs.items():
+        if sum(1 for r in rows if r[0] == doc_id) == 1:
+            got[doc_id, tuple(x for _, p in sorted(parts) for x in p)] += 1
+    assert got == {k: n for k, n in want.items() if sum(1 for r in rows if r[0] == k[0]) == 1}
+
+
+def test_empty(spark):
+    assert cp.placed(cp.pieces(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_knapsack():
+    rng = random.Random(3)
+    for _ in range(40):
+        lengths = np.array(sorted(rng.sample(range(1, 30), rng.randint(1, 8))))
+        prices = np.array([rng.random() for _ in lengths])
+        best = cp.knapsack(lengths, prices, 40)
+        seen = [0.0] * 41
+        for c in range(1, 41):
+            seen[c] = max([seen[c - 1]] + [seen[c - n] + p for n, p in zip(lengths, prices) if n <= c])
+        assert np.allclose(best, seen)
+        found = cp.configuration(best, lengths, prices, np.ones(len(lengths), bool), np.zeros(len(lengths)), 1e-9)
+        assert lengths[found].sum() <= 40 and np.isclose(prices[found].sum(), best[-1])
+
+
+def best_fit_one_by_one(histogram, capacity):
+    free = []
+    for length in sorted(Counter(histogram).elements(), reverse=True):
+        fits = [f for f in free if f >= length]
+        if fits:
+            free.remove(min(fits))
+            free.append(min(fits) - length)
+        else:
+            free.append(capacity - length)
+    return sorted(free)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_best_fit_by_counts(seed):
+    rng = random.Random(seed)
+    h = {rng.randint(1, 50): rng.randint(1, 30) for _ in range(rng.randint(1, 25))}
+    lengths = np.array(sorted(h))
+    rows = cp.best_fit({}, lengths, np.array([h[n] for n in lengths]), 50)
+    assert sorted(50 - sum(n * k for n, k in c) for count, c in rows for _ in range(count)) == best_fit_one_by_one(h, 50)
+
+
+@pytest.mark.parametrize("kind", ["small", "thirds", "halves", "mixed", "few"])
+def test_plan_is_near_the_bound(kind):
+    """Whole cover; as few sequences as best fit decreasing, or near the proven bound of the program."""
+    rng = random.Random(7)
+    n = 20_000
+    draw = {"small": lambda: rng.randint(1, 120), "thirds": lambda: rng.choice([341, 342, 320, 360, 290]),
+            "halves": lambda: rng.randint(350, 700), "mixed": lambda: min(1023, int(rng.lognormvariate(4.5, 1.2)) + 1),
+            "few": lambda: rng.choice([600, 424, 300, 124, 700, 324])}[kind]
+    h = dict(Counter(draw() for _ in range(n)))
+    h[1024] = 11
+    rows, bound = cp.plan(h, 1024)
+    cover = Counter()
+    for count, contents in rows:
+        assert count > 0 and sum(a * k for a, k in contents) <= 1024
+        for a, k in contents:
+            cover[a] += count * k
+    assert cover == h
+    used = sum(c for c, _ in rows)
+    lengths = np.array(sorted(h))
+    plain = sum(c for c, _ in cp.best_fit({}, lengths, np.array([h[a] for a in lengths]), 1024))
+    print(kind, used, plain, bound)
+    assert bound <= used <= max(plain, bound * 1.015 + 1)
+    at = cp.places(rows)
+    assert len(at["first"]) < 60_000 and int(at["first"][-1]) < sum(h.values())
+
+
+def test_plan_of_nothing():
+    assert cp.plan({}, 8) == ([], 0.0)
+    assert cp.plan({8: 3}, 8) == ([(3, [(8, 1)])], 3.0)
+    assert cp.plan({1: 1}, 8)[0] == [(1, [(1, 1)])]
