@@ -21,6 +21,11 @@ def with_band(m: DataFrame, k: float = 2.0) -> DataFrame:
              .withColumn("upper_bound", F.col("mean_power") + F.lit(k) * F.col("std_power")))
 
 
+def band_of(mean: float | None, std: float | None, k: float = 2.0) -> tuple[float, float] | None:
+    """The band of collected statistics; None where it is undefined."""
+    return None if mean is None or not std or std != std else (mean - k * std, mean + k * std)
+
+
 def bounds(df: DataFrame, k: float = 2.0, col: str = POWER, groups=()) -> DataFrame:
     """Mean, population sigma and band per group (one row when ``groups`` is empty).
 

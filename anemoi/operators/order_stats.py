@@ -1,13 +1,12 @@
-"""Exact k-th smallest value per group, fully distributed.
-
-A per-group ``median()``/window keeps every distinct value of a group in one
-task. Here the 64-bit order key of the value is resolved 16 bits at a time:
-each level counts rows per (target, 16-bit bucket) under the prefix chosen so
-far, takes running sums over at most 65,536 buckets per target, and keeps the
-bucket that holds rank ``k``. Four levels pin the exact key. Every aggregate
-is partial + final, so a hot group costs no more than a cold one, and the
-per-level target table is tiny (one row per requested rank), hence the
-broadcast.
+"""Exact order statistics of weighted values, from one sorted pass.
+
+A per-group ``median()`` or window keeps every distinct value of a group in one task. Here the
+values are sorted once by a range shuffle over (groups, value), so a hot group spreads over as
+many partitions as its size asks for, and are written with the number of their partition. One
+aggregate over that table gives, per partition and group, the weight and what else is asked of
+it: a few rows per partition. Running sums over those say which partition holds rank ``k``, and
+only the rows of such partitions are ranked one by one. The sorted table is written so that
+every reader sees the same partition borders, also after an executor is lost.
 """
 
 from __future__ import annotations
@@ -16,48 +15,45 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from anemoi.functions.order_key import sortable_key
+from anemoi.scratch import written
 
-SHIFTS = (48, 32, 16, 0)
-_INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+PART = "_part"
+
+
+def sorted_values(values: DataFrame, groups: Sequence[str], value: str, folder: str | None = None) -> DataFrame:
+    """``values`` with a non-NULL value, written in order of (groups, value); ``_part`` numbers
+    the partitions in that order."""
+    order = [*groups, value]
+    rows = (values.where(F.col(value).isNotNull()).repartitionByRange(*order).sortWithinPartitions(*order)
+            .withColumn(PART, F.spark_partition_id()))
+    return written(rows, "sorted", folder)
+
+
+def weights_before(parts: DataFrame, groups: Sequence[str], weight: str) -> DataFrame:
+    """``parts`` (one row per group and partition) with ``_before``, the weight of the group's
+    earlier partitions, and ``_total``, the group's weight."""
+    w = Window.partitionBy(*groups)
+    return parts.withColumns({
+        "_before": F.coalesce(F.sum(weight).over(w.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)),
+                              F.lit(0)),
+        "_total": F.sum(weight).over(w)})
 
 
 def kth_smallest(values: DataFrame, groups: Sequence[str], value: str, targets: DataFrame,
-                 weight: str | None = None, out: str | None = None) -> DataFrame:
-    """For each row ``(groups..., k)`` of ``targets`` (0-based rank, counting
-    ``weight`` copies per row when given), the value of rank ``k`` within its
-    group. Targets with ``k`` outside ``[0, N)`` produce no row. NULL values
-    are ignored; NaN must have been removed."""
-    groups = list(groups)
-    out = out or value
-    vt = values.schema[value].dataType
-    key = F.col(value).cast("long") if isinstance(vt, _INTEGRAL) else sortable_key(F.col(value))
+                 weight: str | None = None, out: str | None = None, folder: str | None = None) -> DataFrame:
+    """For each row ``(groups..., k)`` of ``targets`` (0-based rank, counting ``weight`` copies
+    per row when given), the value of rank ``k`` within its group. Targets with ``k`` outside
+    ``[0, N)`` produce no row. NULL values are ignored; NaN must have been removed."""
+    groups, out = list(groups), out or value
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    keyed = (values.where(F.col(value).isNotNull())
-             .select(*groups, F.col(value).alias("_v"), key.alias("_key"), w.alias("_w")))
-    state = targets.select(*groups, F.col("k").cast("long").alias("k"),
-                           F.lit(0).cast("long").alias("_base"),
-                           F.lit(0).cast("long").alias("_prefix")).distinct()
-    tkey = groups + ["k"]
-    run = Window.partitionBy(*tkey).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    for i, s in enumerate(SHIFTS):
-        if i == 0:
-            rows = keyed.join(F.broadcast(state.drop("_prefix")), groups)
-            bucket = F.shiftright("_key", s)
-        else:
-            rows = (keyed.withColumn("_prefix", F.shiftright("_key", SHIFTS[i - 1]))
-                    .join(F.broadcast(state), groups + ["_prefix"]))
-            bucket = F.shiftright("_key", s).bitwiseAND(0xFFFF)
-        aggs = [F.sum("_w").alias("_n")] + ([F.max("_v").alias("_v")] if s == 0 else [])
-        carry = ["_base"] + ([] if i == 0 else ["_prefix"])
-        counts = rows.groupBy(*tkey, *carry, bucket.alias("_b")).agg(*aggs)
-        cum = counts.withColumn("_cum", F.sum("_n").over(run))
-        lo = F.col("_base") + F.col("_cum") - F.col("_n")
-        hit = cum.where((lo <= F.col("k")) & (F.col("k") < F.col("_base") + F.col("_cum")))
-        prefix = F.col("_b") if i == 0 else F.shiftleft("_prefix", 16).bitwiseOR(F.col("_b"))
-        if s == 0:
-            return hit.select(*tkey, F.col("_v").alias(out))
-        state = hit.select(*tkey, lo.alias("_base"), prefix.alias("_prefix"))
-    raise AssertionError("unreachable")
+    rows = sorted_values(values.select(*groups, F.col(value).alias("_v"), w.alias("_w")), groups, "_v", folder)
+    parts = weights_before(rows.groupBy(*groups, PART).agg(F.sum("_w").alias("_s")), groups, "_s")
+    wanted = targets.select(*groups, F.col("k").cast("long").alias("k")).distinct()
+    hits = (parts.join(wanted, groups).where((F.col("_before") <= F.col("k")) & (F.col("k") < F.col("_before") + F.col("_s")))
+            .select(*groups, PART, "k", "_before"))
+    run = Window.partitionBy(*groups, "k").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("_before") + F.sum("_w").over(run)
+    return (rows.join(hits, [*groups, PART]).withColumn("_end", end)
+            .where((F.col("_end") - F.col("_w") <= F.col("k")) & (F.col("k") < F.col("_end")))
+            .select(*groups, "k", F.col("_v").alias(out)))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anemoi.operators.order_stats import kth_smallest
+from anemoi.operators.order_stats import PART, sorted_values, weights_before
 from anemoi.schema import KEY, MEASURES, PERIODS, STATS, TS
 
 
@@ -21,25 +21,6 @@ def period_starts(anchor: Column, periods=PERIODS) -> list[tuple[str, Column | N
     return [(name, None if lb is None else anchor - F.lit(lb)) for name, lb in periods]
 
 
-def tot_of(per: DataFrame, g: list) -> DataFrame:
-    return per.groupBy(*g).agg(
-        F.sum("n").alias("N"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.max("n").alias("top_n"))
-
-
-def exact_median(counts: DataFrame, groups: list, totals: DataFrame) -> DataFrame:
-    """Exact median per group from (groups..., value, n) value counts: the mean of the
-    two middle values, found by :func:`kth_smallest` whatever the group's size."""
-    pos = lambda c, hi: totals.select(*groups, c.cast("long").alias("k"), F.lit(hi).alias("hi"))
-    targets = pos(F.floor((F.col("N") - 1) / 2), 0).unionByName(pos(F.floor(F.col("N") / 2), 1))
-    mid = kth_smallest(counts, groups, "value", targets.select(*groups, "k"), weight="n")
-    pair = targets.join(mid, groups + ["k"]).groupBy(*groups).agg(
-        F.max(F.when(F.col("hi") == 0, F.col("value"))).alias("lo_v"),
-        F.max(F.when(F.col("hi") == 1, F.col("value"))).alias("hi_v"))
-    return pair.select(*groups, (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * 0.5).alias("median"))
-
-
 def _wide(stats: DataFrame) -> DataFrame:
     """(period, measure, mean, median, mode) -> one row per period."""
     cols = [F.max(F.when(F.col("measure") == m, F.col(s))).alias(f"{m}_{s}")
@@ -48,14 +29,15 @@ def _wide(stats: DataFrame) -> DataFrame:
 
 
 def period_profile(raw: DataFrame, anomalies: DataFrame, periods=PERIODS,
-                   method: str = "distributed", anchor: Column | None = None) -> DataFrame:
+                   method: str = "distributed", anchor: Column | None = None,
+                   folder: str | None = None) -> DataFrame:
     """One row per non-empty period: mean, exact median (middle pair averaged)
     and mode (smallest value among ties) of each measure over the eligible rows
     with ``timestamp >= anchor - look_back``.
 
-    ``distributed`` counts each (measure, value) once, with one count per
-    period in the same row (no per-period copies of the readings), then takes
-    mean and mode from those counts and the median from :func:`kth_smallest`.
+    ``distributed`` counts each (measure, value) once, with one count per period in the same
+    row (no per-period copies of the readings), sorts and writes those counts once and takes all
+    statistics of all periods from them (:func:`profile_from_counts`).
     ``builtin`` uses Spark's ``median``/``mode`` aggregates.
     """
     if anchor is None:
@@ -66,41 +48,58 @@ def period_profile(raw: DataFrame, anomalies: DataFrame, periods=PERIODS,
         return _builtin(elig, starts)
     if method != "distributed":
         raise ValueError(f"unknown profile method {method!r}")
-    return profile_from_counts(period_value_counts(elig, starts))
+    return profile_from_counts(period_value_counts(elig, starts), [name for name, _ in starts], folder)
 
 
 def period_value_counts(elig: DataFrame, starts) -> DataFrame:
-    """(period, measure, value, n): each (measure, value) counted once, with
-    the period counts side by side, then spread to one row per period."""
+    """(measure, value, n0, n1, ...): each (measure, value) counted once, the counts of the
+    periods side by side."""
     long = elig.select(TS, F.explode(F.array(*[
         F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MEASURES
     ])).alias("mv")).select(TS, "mv.measure", "mv.value")
     inside = [F.lit(True) if s is None else F.col(TS) >= s for _, s in starts]
-    vc = long.groupBy("measure", "value").agg(
-        *[F.count_if(c).alias(f"n{i}") for i, c in enumerate(inside)])
-    return vc.select("measure", "value", F.explode(F.array(*[
-        F.struct(F.lit(name).alias("period"), F.col(f"n{i}").alias("n"))
-        for i, (name, _) in enumerate(starts)])).alias("pn")) \
-        .select(F.col("pn.period").alias("period"), "measure", "value", F.col("pn.n").alias("n")) \
-        .where(F.col("n") > 0)
-
-
-def profile_from_counts(per: DataFrame) -> DataFrame:
-    """Mean, exact median and mode per (period, measure) from value counts,
-    spread to one row per period."""
+    return long.groupBy("measure", "value").agg(*[F.count_if(c).alias(f"n{i}") for i, c in enumerate(inside)])
+
+
+def profile_from_counts(counts: DataFrame, periods: list[str], folder: str | None = None) -> DataFrame:
+    """Mean, exact median and mode per period and measure from (measure, value, n0, n1, ...),
+    spread to one row per non-empty period.
+
+    The counts are sorted and written once. One aggregate per partition of them gives weights,
+    sums and top counts; these name the partitions that hold the middle ranks and, as values
+    ascend, the first partition with the top count, which holds the mode. One more read of the
+    named partitions yields both. Partition rows are few: three measures a partition at most.
+    """
+    rows = sorted_values(counts, ["measure"], "value", folder)
+    per = rows.groupBy("measure", PART).agg(*[f(i) for i in range(len(periods)) for f in (
+        lambda i: F.sum(f"n{i}").alias(f"s{i}"), lambda i: F.sum(F.col("value") * F.col(f"n{i}")).alias(f"v{i}"),
+        lambda i: F.max(f"n{i}").alias(f"m{i}"))])
+    by_period = F.explode(F.array(*[F.struct(
+        F.lit(p).alias("period"), F.lit(i).alias("i"), F.col(f"s{i}").alias("s"), F.col(f"v{i}").alias("v"), F.col(f"m{i}").alias("m"))
+        for i, p in enumerate(periods)]))
     g = ["period", "measure"]
-    tot = tot_of(per, g)
-    return _assemble(per, tot, exact_median(per, g, tot), g)
-
-
-def _assemble(per: DataFrame, tot: DataFrame, med: DataFrame, g: list) -> DataFrame:
-    # mode: smallest value among those with the top count (two hash aggregates;
-    # the top-count table has one row per (period, measure), hence the broadcast)
-    top = tot.select(*g, "top_n")
-    mode = (per.join(F.broadcast(top), g).where(F.col("n") == F.col("top_n"))
-            .groupBy(*g).agg(F.min("value").alias("mode")))
-    stats = tot.select(*g, "mean").join(mode, g).join(med, g)
-    return _wide(stats)
+    per = per.select("measure", PART, by_period.alias("x")).select("measure", PART, "x.*").where(F.col("s") > 0)
+    per = weights_before(per, g, "s").withColumns({
+        "mean": F.sum("v").over(Window.partitionBy(*g)) / F.col("_total"),
+        "top": F.max("m").over(Window.partitionBy(*g))})
+    first_top = F.min(F.when(F.col("m") == F.col("top"), F.col(PART))).over(Window.partitionBy(*g))
+    per = per.withColumn("top_part", first_top)
+    holds = lambda k: (F.col("_before") <= k) & (k < F.col("_before") + F.col("s"))
+    lo, hi = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
+    hits = per.where(holds(lo) | holds(hi) | (F.col(PART) == F.col("top_part"))).select(
+        *g, PART, "i", "_before", lo.alias("lo"), hi.alias("hi"), "mean",
+        F.when(F.col(PART) == F.col("top_part"), F.col("top")).alias("top"))
+    # at most three rows per period and measure, hence the broadcast
+    n = F.element_at(F.array(*[F.col(f"n{i}") for i in range(len(periods))]), F.col("i") + 1)
+    # three partitions' rows a task; one shuffle serves the running sums and the aggregate
+    near = rows.join(F.broadcast(hits), ["measure", PART]).withColumn("n", n).where(F.col("n") > 0).repartition(*g)
+    run = Window.partitionBy(*g, PART).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("end", F.col("_before") + F.sum("n").over(run))
+    at = lambda k: F.max(F.when((F.col("end") - F.col("n") <= k) & (k < F.col("end")), F.col("value")))
+    stats = near.groupBy(*g).agg(
+        F.first("mean").alias("mean"), at(F.col("lo")).alias("lo_v"), at(F.col("hi")).alias("hi_v"),
+        F.min(F.when(F.col("n") == F.col("top"), F.col("value"))).alias("mode"))
+    return _wide(stats.select(*g, "mean", (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * 0.5).alias("median"), "mode"))
 
 
 def _builtin(elig: DataFrame, starts) -> DataFrame:

@@ -1,10 +1,11 @@
 """Query catalogue over the driver tables: every operator as one DataFrame.
 
 Each entry takes ``(spark, sf_dir)``, reads whole tables and returns a lazy
-DataFrame; nothing is persisted and no job runs while it is built, but for the two
-whose plan depends on data: the wide pivot (its columns are the devices) and the
-incremental profile (its look-back starts). The chain adapter -> bounds -> anomalies -> profile -> clean ->
-summaries is a first daily run on the ``telemetry`` adapter of ``events``.
+DataFrame; nothing is persisted and no job runs while it is built, but for the ones
+whose plan depends on data: the wide pivot (its columns are the devices) and what reads a
+profile (the band, the look-back starts, and the sorted value counts, written once). The chain
+adapter -> bounds -> anomalies -> profile -> clean -> summaries is a first daily run on the
+``telemetry`` adapter of ``events``.
 Computed doubles are rounded to 6 places for comparison with other engines.
 """
 
@@ -24,9 +25,11 @@ from anemoi.operators import (
     eligible_rows, flag_outliers, high_water_mark, insert_ignore, latest_per_key,
     period_profile, pivot_cells, upsert,
 )
+from anemoi.operators.baseline import band_of
 from anemoi.operators.profile import profile_from_counts
 from anemoi.plans.day_stats import bounds_from_stats, clean_stats, counts_by_period, long_values
-from anemoi.schema import MEASURES, PERIODS, STATS, TS
+from anemoi.schema import KEY, MEASURES, PERIODS, POWER, STATS, TS
+from anemoi.scratch import written
 from anemoi.sources.csv_feed import parse_readings, split_valid
 from anemoi.sources.feed_state import feed_state, number_rows, tail_rows
 
@@ -58,9 +61,14 @@ def rounded(df: DataFrame, cols=None, digits: int = 6) -> DataFrame:
                        for c in df.columns])
 
 
+def moment(at: datetime | None):
+    return F.lit(None).cast("timestamp_ntz") if at is None else ts_literal(at)
+
+
 class FirstRun:
-    """Lazy frames of one first daily run over the telemetry adapter; each
-    stage is built on first use, so a query pays only for what it reads."""
+    """Frames of one first daily run over the telemetry adapter; each stage is built
+    on first use, so a query pays only for what it reads. What comes after the profile
+    reads the anomalies and the profile's sorted value counts from written tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, method: str = "distributed"):
         self.raw = telemetry(table(spark, sf_dir, "events"))
@@ -74,14 +82,27 @@ class FirstRun:
     def anomalies(self) -> DataFrame:
         return flag_outliers(self.raw, self.bounds)
 
+    @cached_property
+    def collected(self) -> tuple:
+        """(band or None, anchor) as a daily run collects them: one row from one scan."""
+        r = self.raw.agg(F.avg(POWER).alias("mean"), F.stddev_pop(POWER).alias("std"), F.max(TS).alias("anchor")).first()
+        return band_of(r["mean"], r["std"]), r["anchor"]
+
+    @cached_property
+    def anomaly_table(self) -> DataFrame:
+        """The anomalies' keys as a table of their own, as a daily run reads them."""
+        band, _ = self.collected
+        flagged = flag_outliers(self.raw, band) if band else self.raw.where(F.lit(False))
+        return written(flagged.select(*KEY), "anomalies")
+
     @cached_property
     def profile(self) -> DataFrame:
-        return period_profile(self.raw, self.anomalies, method=self.method) \
+        return period_profile(self.raw, self.anomaly_table, method=self.method, anchor=moment(self.collected[1])) \
             .withColumn("calculation_timestamp", ts_literal(RUN_TS))
 
     @cached_property
     def clean(self) -> DataFrame:
-        return clean_rows(self.raw, self.anomalies, self.profile, "full_dataset")
+        return clean_rows(self.raw, self.anomaly_table, self.profile, "full_dataset")
 
 
 # --- queries -------------------------------------------------------------------
@@ -173,13 +194,17 @@ def q_bounds_from_stats(spark, sf_dir):
 def q_profile_from_day_counts(spark, sf_dir):
     """The profile as a daily run takes it: per-day value counts, merged per look-back."""
     r = FirstRun(spark, sf_dir)
-    elig = eligible_rows(r.raw, r.anomalies).withColumn("day", F.to_date(TS))
-    anchor = r.raw.agg(F.max(TS)).first()[0]
+    anchor = r.collected[1]
+    elig = eligible_rows(r.raw, r.anomaly_table).withColumn("day", F.to_date(TS))
     starts = [(name, None if lb is None or anchor is None else anchor - lb) for name, lb in PERIODS]
-    values = long_values(elig)
-    counts = values.groupBy("day", "measure", "value").agg(F.count(F.lit(1)).alias("n"))
     edge = sorted({s.date() for _, s in starts if s is not None})
-    p = profile_from_counts(counts_by_period(counts, values.where(F.col("day").isin(edge)), starts))
+    # readings of a start's own day stay single rows: their time decides
+    counts = (long_values(elig)
+              .groupBy("day", "measure", "value", F.when(F.col("day").isin(edge), F.col(TS)).alias(TS))
+              .agg(F.count(F.lit(1)).alias("n")))
+    counts = written(counts, "day-counts")
+    at_start = counts.where(F.col(TS).isNotNull())
+    p = profile_from_counts(counts_by_period(counts, at_start, starts), [name for name, _ in starts])
     return rounded(p.select("period", *[f"{m}_{s}" for m in MEASURES for s in STATS]))
 
 

@@ -290,6 +290,7 @@ def _profile(store: TableStore, led: Ledger, raw: DataFrame, anomalies: DataFram
                 raw.where(F.col(DAY).isin(refresh)), anomalies.where(F.col(DAY).isin(refresh)),
                 refresh, run))
     starts = [(name, None if lb is None else anchor - lb) for name, lb in opt.periods]
+    scratch = store.path("_scratch")
     with timed(report, "clean.profile"):
         if opt.profile_method == "incremental":
             edge = sorted({s.date() for _, s in starts if s is not None} & set(led.days))
@@ -298,17 +299,13 @@ def _profile(store: TableStore, led: Ledger, raw: DataFrame, anomalies: DataFram
                 boundary = long_values(eligible_rows(raw.where(F.col(DAY).isin(edge)),
                                                      anomalies.where(F.col(DAY).isin(edge)))
                                        .withColumn(DAY, F.to_date(TS)))
-            # counted once, read by totals, mode and the median's levels
-            per = counts_by_period(store.read("elig_counts"), boundary, starts).persist(StorageLevel.MEMORY_AND_DISK)
-            prof = profile_from_counts(per)
+            prof = profile_from_counts(counts_by_period(store.read("elig_counts"), boundary, starts),
+                                       [name for name, _ in starts], scratch)
         else:
-            per, prof = None, period_profile(raw, anomalies, opt.periods, method=opt.profile_method,
-                                             anchor=ts_literal(anchor))
-        try:
-            store.append("profile", prof.withColumn("calculation_timestamp", run).withColumn("run_seq", F.lit(led.seq)))
-        finally:
-            if per is not None:
-                per.unpersist()
+            prof = period_profile(raw, anomalies, opt.periods, method=opt.profile_method,
+                                  anchor=ts_literal(anchor), folder=scratch)
+        store.append("profile", prof.withColumn("calculation_timestamp", run).withColumn("run_seq", F.lit(led.seq)))
+        store.drop("_scratch")
     return refresh
 
 

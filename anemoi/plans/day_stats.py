@@ -91,28 +91,20 @@ def elig_counts(raw: DataFrame, anomalies: DataFrame, days: list, run: Column) -
 
 
 def counts_by_period(counts: DataFrame, boundary: DataFrame | None, starts: list) -> DataFrame:
-    """(period, measure, value, n) from per-day value counts.
+    """(measure, value, n0, n1, ...) from per-day value counts.
 
     ``starts`` holds (period, start datetime or None). A day after the start's
     day lies wholly inside the look-back; the start's own day is counted from
     its eligible rows (``boundary``: day, timestamp, measure, value) with
     ``timestamp >= start``.
     """
-    inside = [F.when(F.lit(True) if s is None else F.col(DAY) > F.lit(s.date()), F.lit(name))
-              for name, s in starts]
-    full = (counts.where(F.col("n") > 0)
-            .select(F.explode(F.array(*inside)).alias("period"), "measure", "value", "n")
-            .where(F.col("period").isNotNull()))
-    parts = [full]
-    edges = [(name, s) for name, s in starts if s is not None]
-    if boundary is not None and edges:
-        at = [F.when((F.col(DAY) == F.lit(s.date())) & (F.col(TS) >= F.lit(s)), F.lit(name))
-              for name, s in edges]
-        b = (boundary.select(F.explode(F.array(*at)).alias("period"), "measure", "value")
-             .where(F.col("period").isNotNull())
-             .groupBy("period", "measure", "value").agg(F.count(F.lit(1)).alias("n")))
-        parts.append(b)
-    per = parts[0]
-    for p in parts[1:]:
-        per = per.unionByName(p)
-    return per.groupBy("period", "measure", "value").agg(F.sum("n").alias("n"))
+    per = [F.when(F.lit(True) if s is None else F.col(DAY) > F.lit(s.date()), F.col("n")).alias(f"n{i}")
+           for i, (_, s) in enumerate(starts)]
+    parts = counts.where(F.col("n") > 0).select("measure", "value", *per)
+    if boundary is not None and any(s is not None for _, s in starts):
+        at = [F.lit(None).cast("long").alias(f"n{i}") if s is None else
+              F.when((F.col(DAY) == F.lit(s.date())) & (F.col(TS) >= F.lit(s)), F.lit(1).cast("long")).alias(f"n{i}")
+              for i, (_, s) in enumerate(starts)]
+        parts = parts.unionByName(boundary.select("measure", "value", *at))
+    return parts.groupBy("measure", "value").agg(*[
+        F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(starts))])

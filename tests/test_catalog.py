@@ -54,8 +54,11 @@ def test_catalogue_leaves_nothing_persisted(spark):
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
 
 
+WRITES = ("period_profile", "clean", "daily_summary", "profile_from_day_counts")
+
+
 def test_most_queries_are_built_without_a_job(spark):
-    """Only the wide pivot (columns) and the incremental profile (starts) read data to build."""
+    """Only the wide pivot (columns) and what reads a profile (band, sorted counts) run jobs to build."""
     tracker = spark.sparkContext.statusTracker()
     for name, fn in QUERIES.items():
         fn(spark, SF)                                     # schemas are read once
@@ -64,10 +67,31 @@ def test_most_queries_are_built_without_a_job(spark):
         stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(f"build-{name}")
                   for s in tracker.getJobInfo(j).stageIds]
         data = [s for s in stages if s is not None and "parquet at" not in s.name]
-        assert not data or name in ("anomaly_pivot", "profile_from_day_counts"), (name, data)
+        assert not data or name == "anomaly_pivot" or name in WRITES, (name, data)
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+@pytest.mark.parametrize("name", WRITES)
+def test_profile_queries_read_the_source_a_few_times(spark, monkeypatch, name):
+    """Scans of ``events`` over all written steps and the query itself: the band, the anomalies,
+    the counted readings, and for what is built on the profile the cleaned readings."""
+    from anemoi import scratch
+    from anemoi.operators import order_stats
+    from anemoi.plans import catalog
+    plans = []
+
+    def written(df, name, folder=None):
+        plans.append(_plan(df))
+        return scratch.written(df, name, folder)
+
+    monkeypatch.setattr(order_stats, "written", written)
+    monkeypatch.setattr(catalog, "written", written)
+    plans.append(_plan(QUERIES[name](spark, SF)))
+    scans = 1 + sum(p.count("events.parquet") for p in plans)           # 1: the collected band
+    assert scans <= (3 if "profile" in name else 4), [p.count("events.parquet") for p in plans]
+    assert sum(p.count("Exchange ") for p in plans) <= 14
+
+
 def test_no_final_stage_in_one_task(spark):
     for name in ("anomaly_pivot", "distinct_ids"):
         assert "Coalesce 1" not in _plan(QUERIES[name](spark, SF))

@@ -52,6 +52,39 @@ def _raw(spark, n=200, seed=1):
     return spark.createDataFrame(rows, S)
 
 
+def test_ranks_over_many_partitions(spark):
+    """Values, ties and weights over many range partitions, a third of the weight on one value."""
+    rnd = random.Random(11)
+    rows = [("a", float(rnd.randrange(400)), rnd.randint(0, 3)) for _ in range(3000)] + [("a", 200.0, 3000)]
+    rows += [("b", rnd.random(), 1) for _ in range(501)] + [("b", None, 5)]
+    sizes = {}
+    for g, v, w in rows:
+        sizes.setdefault(g, []).extend([v] * w if v is not None else [])
+    targets = [(g, k) for g, vs in sizes.items() for k in (0, 1, len(vs) // 3, len(vs) // 2, len(vs) - 1, len(vs))]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.g, r.k): r.v for r in kth_smallest(spark.createDataFrame(rows, "g string, v double, w long"), ["g"], "v",
+                                                     spark.createDataFrame(targets, "g string, k long"), weight="w").collect()}
+        raw = _raw(spark, n=900)
+        anoms = raw.where(F.col("power_output") > 4)
+        a, b = ({r.period: r.asDict() for r in period_profile(raw, anoms, method=m).collect()} for m in ("distributed", "builtin"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {(g, k): sorted(sizes[g])[k] for g, k in targets if k < len(sizes[g])}
+    assert a.keys() == b.keys()
+    for p in a:
+        assert all(a[p][c] == b[p][c] or abs(a[p][c] - b[p][c]) < 1e-9 for c in a[p])
+
+
+def test_profile_of_nothing(spark):
+    raw = _raw(spark, n=5)
+    assert period_profile(raw.where(F.lit(False)), raw.where(F.lit(False))).count() == 0
+    assert period_profile(raw, raw).count() == 0
+
+
 def test_distributed_profile_equals_builtin(spark):
     raw = _raw(spark)
     anoms = raw.where(F.col("power_output") > 4)
