@@ -27,6 +27,7 @@ them apart); null ids stay null; extra columns are ignored; an empty table gives
 from __future__ import annotations
 
 import functools
+import re
 import struct
 from bisect import bisect_left, insort
 
@@ -45,7 +46,7 @@ END = 1                # the id after every document
 ROUNDS = 48
 RATES = (0.1, 0.1, 0.03)   # steps of the weights, a pass each
 SLACK = 1e-3           # a configuration this near the best price is as good
-CACHED = 600_000       # words a worker remembers
+CACHED = 400_000       # words a worker remembers
 BATCH_BYTES = 1 << 23  # bytes of text encoded at once
 
 PIECES = "uid long, doc_id long, piece int, start long, length int, ids binary"
@@ -55,28 +56,41 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# lower-case letters that the vocabulary's normaliser and splitter leave as one unchanged word
+_PLAIN = "a-zß-öø-ÿ"
+_plain = re.compile(f"[{_PLAIN}]{{1,64}}").fullmatch
+
+
 @functools.lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    """(tokenizer, its letters for plain ones, ids of known words)"""
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True     # their strings in a text are ordinary text
-    return t, {}
+    letters = [chr(c) for c in range(97, 256) if _plain(chr(c))]
+    return t, str.maketrans({c: t.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}), {}
 
 
 def _known(words: list[str], path: str) -> list[bytes]:
-    """The ids of distinct words, each encoded once while a worker remembers it."""
-    tokenizer, known = _tokenizer(path)
-    new = [w for w in words if w not in known]
-    long = []
-    for lo in range(0, len(new), 50_000):
-        some = new[lo:lo + 50_000]
+    """The ids of distinct words, each encoded once while a worker remembers it. A plain word
+    needs no normaliser or splitter and goes to the merges at once."""
+    tokenizer, letters, known = _tokenizer(path)
+    merge, slow = tokenizer.model.tokenize, []
+    for word in words:
+        if word not in known:
+            if _plain(word):
+                ids = [t.id for t in merge(word.translate(letters))]
+                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                slow.append(word)
+    for lo in range(0, len(slow), 50_000):
+        some = slow[lo:lo + 50_000]
         for word, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
             known[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-            if len(word) > 64:         # rare and large: not worth remembering
-                long.append(word)
     out = list(map(known.__getitem__, words))
-    for word in long:
-        del known[word]
+    for word in slow:
+        if len(word) > 64:             # rare and large: not worth remembering
+            del known[word]
     if len(known) > CACHED:            # the words met first are the common ones
         for word in list(known)[CACHED // 2:]:
             del known[word]
@@ -84,9 +98,13 @@ def _known(words: list[str], path: str) -> list[bytes]:
 
 
 def encode_all(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of a batch of texts and where each text's ids end. The vocabulary drops white space and
-    joins nothing across it, so a text is the ids of its words, split at ASCII white space."""
-    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    """Ids of a batch of texts and where each text's ids end.
+
+    The vocabulary drops white space, joins nothing across it, lower-cases, and parts letters
+    from punctuation; so a text is the ids of its words after A-Z are lowered and a space is put
+    between a letter and a sentence mark, split at ASCII white space."""
+    texts = pc.ascii_lower(texts.cast(pa.large_string()).fill_null(""))
+    lists = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, f"([{_PLAIN}])([.,;:!?])", r"\1 \2"))
     words = lists.flatten().dictionary_encode()
     if isinstance(words, pa.ChunkedArray):
         words = words.combine_chunks()
