@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 
 from anemoi.llm.common import row_key, saved, table
 
-MIN_LINES = 2
+MIN_LINES = 1          # shortest repeated run whose later copies are deleted
 KEY = ["k_id", "k_text"]
 PLACE = [*KEY, "p"]
 
@@ -152,24 +152,27 @@ def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc
 
 
 def op7_line_dedup(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    lines = saved(line_ids(docs), "lines")
-    # the longest runs are no part of this query
-    out = _without(docs, lines, saved(later_copies(lines), "late"), MIN_LINES, "doc_id", "text")
-    return out.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    """Every later copy of a line is deleted: a run of one line is a repeated run too."""
+    return deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_deleted", "longest_run", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 ORACLE = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, pos, line FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d)),
 s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS p FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-w AS (SELECT x.doc_id, x.p, x.line AS a, y.line AS b FROM s AS x JOIN s AS y ON y.doc_id = x.doc_id AND y.p = x.p + 1),
-r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, p) AS k FROM w) WHERE k > 1),
-g AS (SELECT DISTINCT s.doc_id, s.pos FROM s JOIN r ON s.doc_id = r.doc_id AND s.p IN (r.p, r.p + 1)),
+g AS (SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, p) AS k FROM s) WHERE k > 1),
 k AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.pos) AS t FROM l
       LEFT JOIN g ON g.doc_id = l.doc_id AND g.pos = l.pos WHERE g.pos IS NULL GROUP BY l.doc_id),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-c AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_lines, coalesce(c.n, 0) AS n_deleted, sha256(coalesce(k.t, '')) AS kept_sha256
-FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)
+c AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+-- equal lines at two places; places one line further on lie on one diagonal, and unbroken stretches of it are runs
+q AS (SELECT x.doc_id AS a, x.p AS i, y.doc_id AS b, y.p - x.p AS diagonal FROM s AS x JOIN s AS y ON y.line = x.line
+      WHERE x.doc_id <> y.doc_id OR x.p <> y.p),
+r AS (SELECT a, max(n) AS longest FROM (
+        SELECT a, count(*) AS n FROM (SELECT a, b, diagonal, i - row_number() OVER (PARTITION BY a, b, diagonal ORDER BY i) AS run FROM q)
+        GROUP BY a, b, diagonal, run) GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_lines, coalesce(c.n, 0) AS n_deleted, coalesce(r.longest, 0) AS longest_run,
+       sha256(coalesce(k.t, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id) LEFT JOIN r ON r.a = d.doc_id
 """

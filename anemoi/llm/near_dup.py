@@ -24,6 +24,8 @@ Defined results: null or wordless texts have an empty set and are linked with no
 texts shorter than a shingle are one shingle; rows of one id count as one document; rows
 without an id are linked with nothing, have a null component and are kept; extra columns
 are ignored by ``near_duplicates`` and kept by ``deduplicated``; an empty table gives no rows.
+``deduplicated`` decides by id and text: of rows that share both one stays, whichever, and where
+one id stands on several texts each text stays or goes by its own component. Ids are integers.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anemoi.llm.common import saved, ship, table
+from anemoi.llm.common import row_key, saved, ship, table
 from anemoi.llm.components import components
 from anemoi.llm.wordhash import mixed, word_hashes
 
@@ -109,8 +111,8 @@ def most_differing(threshold: float) -> int:
 
 
 def signatures(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, c1, c2 (the set's hashes), bands, sketch."""
-    schema = "doc_id long, n_shingles long, c1 long, c2 long, bands array<long>, sketch binary"
+    """doc_id, k_text (the text's hash), n_shingles, c1, c2 (the set's hashes), bands, sketch."""
+    schema = "doc_id long, k_text long, n_shingles long, c1 long, c2 long, bands array<long>, sketch binary"
 
     def sign(batches):
         for batch in batches:
@@ -133,11 +135,12 @@ def signatures(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: st
                 c = [np.array([mixed(s, 20 + f).sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
                      for f in (1, 2)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(c[0]), pa.array(c[1]),
+                    [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(c[0]), pa.array(c[1]),
                      pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                    names=["doc_id", "n_shingles", "c1", "c2", "bands", "sketch"])
+                    names=["doc_id", "k_text", "n_shingles", "c1", "c2", "bands", "sketch"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(sign, schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       row_key(id_col, text_col)[1]).mapInArrow(sign, schema)
 
 
 def _screened(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -292,6 +295,11 @@ def _and_none(batches):
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
+    return _judged(docs, width, percent, id_col, text_col).drop("k_text")
+
+
+def _judged(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``near_duplicates`` with the hash of each row's text."""
     ship(docs.sparkSession)
     sig = saved(signatures(docs, width, id_col, text_col), "signatures")
     full = sig.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -340,16 +348,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
     node = (sig.join(classes, ["c1", "c2"], "left").join(labels, "node", "left"))
     comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "node", "doc_id"))
     return (node.withColumn("component_id", comp)
-            .select("doc_id", "n_shingles", "component_id",
+            .select("doc_id", "k_text", "n_shingles", "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, all their columns."""
-    gone = near_duplicates(docs, width, percent, id_col, text_col).where("NOT kept")
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"))
-    return rows.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select("row.*")
+    """One row of ``docs``, with all its columns, for each text with the smallest id of its component."""
+    key = ["k_id", "k_text"]
+    judged = _judged(docs, width, percent, id_col, text_col).select(
+        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k_id"), "k_text", "kept")
+    judged = saved(judged.groupBy(key).agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("NOT kept OR n > 1"),
+                   "judged")
+    rows = docs.select(F.struct("*").alias("row"), *row_key(id_col, text_col))
+    once = rows.join(judged.select(key), key, "left_anti")
+    repeated = rows.join(judged.where("kept").select(key), key, "left_semi").dropDuplicates(key)
+    return once.unionByName(repeated).select("row.*")
 
 
 def op8_near_dup(spark, sf_dir):

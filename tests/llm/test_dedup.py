@@ -73,7 +73,14 @@ def test_components_of_near_duplicates(docs, width):
     assert Counter(tuple(r) for r in got) == want
     out = near_dup.deduplicated(docs, width)
     assert out.columns == docs.columns
-    assert out.count() == sum(d is None or comp[d] == d for d, _ in sets)
+    assert out.count() == len({(r[0], r[1] or "") for r in corpus() if r[0] is None or comp[r[0]] == r[0]})
+
+
+def test_each_text_of_a_repeated_id_goes_by_its_own_component(spark):
+    t, u, v = (prose(random.Random(i), 60) for i in range(3))
+    rows = [(1, t, "a"), (2, t, "b"), (2, u, "c"), (3, u, "d"), (3, u, "e"), (None, v, "f"), (None, v, "g"), (None, None, "h"), (9, "", "i")]
+    left = [(r.doc_id, r.text) for r in near_dup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string, k_text string")).collect()]
+    assert sorted(left, key=repr) == sorted([(1, t), (2, u), (None, v), (None, None), (9, "")], key=repr)
 
 
 def test_group_without_a_hub(spark, monkeypatch):
