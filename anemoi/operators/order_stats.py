@@ -21,13 +21,13 @@ from anemoi.scratch import written
 PART = "_part"
 
 
-def sorted_values(values: DataFrame, groups: Sequence[str], value: str, folder: str | None = None) -> DataFrame:
+def sorted_values(values: DataFrame, groups: Sequence[str], value: str, path: str | None = None) -> DataFrame:
     """``values`` with a non-NULL value, written in order of (groups, value); ``_part`` numbers
     the partitions in that order."""
     order = [*groups, value]
     rows = (values.where(F.col(value).isNotNull()).repartitionByRange(*order).sortWithinPartitions(*order)
             .withColumn(PART, F.spark_partition_id()))
-    return written(rows, "sorted", folder)
+    return written(rows, "sorted", path)
 
 
 def weights_before(parts: DataFrame, groups: Sequence[str], weight: str) -> DataFrame:
@@ -41,13 +41,13 @@ def weights_before(parts: DataFrame, groups: Sequence[str], weight: str) -> Data
 
 
 def kth_smallest(values: DataFrame, groups: Sequence[str], value: str, targets: DataFrame,
-                 weight: str | None = None, out: str | None = None, folder: str | None = None) -> DataFrame:
+                 weight: str | None = None, out: str | None = None) -> DataFrame:
     """For each row ``(groups..., k)`` of ``targets`` (0-based rank, counting ``weight`` copies
     per row when given), the value of rank ``k`` within its group. Targets with ``k`` outside
     ``[0, N)`` produce no row. NULL values are ignored; NaN must have been removed."""
     groups, out = list(groups), out or value
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    rows = sorted_values(values.select(*groups, F.col(value).alias("_v"), w.alias("_w")), groups, "_v", folder)
+    rows = sorted_values(values.select(*groups, F.col(value).alias("_v"), w.alias("_w")), groups, "_v")
     parts = weights_before(rows.groupBy(*groups, PART).agg(F.sum("_w").alias("_s")), groups, "_s")
     wanted = targets.select(*groups, F.col("k").cast("long").alias("k")).distinct()
     hits = (parts.join(wanted, groups).where((F.col("_before") <= F.col("k")) & (F.col("k") < F.col("_before") + F.col("_s")))

@@ -29,8 +29,7 @@ def _wide(stats: DataFrame) -> DataFrame:
 
 
 def period_profile(raw: DataFrame, anomalies: DataFrame, periods=PERIODS,
-                   method: str = "distributed", anchor: Column | None = None,
-                   folder: str | None = None) -> DataFrame:
+                   method: str = "distributed", anchor: Column | None = None) -> DataFrame:
     """One row per non-empty period: mean, exact median (middle pair averaged)
     and mode (smallest value among ties) of each measure over the eligible rows
     with ``timestamp >= anchor - look_back``.
@@ -48,7 +47,7 @@ def period_profile(raw: DataFrame, anomalies: DataFrame, periods=PERIODS,
         return _builtin(elig, starts)
     if method != "distributed":
         raise ValueError(f"unknown profile method {method!r}")
-    return profile_from_counts(period_value_counts(elig, starts), [name for name, _ in starts], folder)
+    return profile_from_counts(period_value_counts(elig, starts), [name for name, _ in starts])
 
 
 def period_value_counts(elig: DataFrame, starts) -> DataFrame:
@@ -61,16 +60,20 @@ def period_value_counts(elig: DataFrame, starts) -> DataFrame:
     return long.groupBy("measure", "value").agg(*[F.count_if(c).alias(f"n{i}") for i, c in enumerate(inside)])
 
 
-def profile_from_counts(counts: DataFrame, periods: list[str], folder: str | None = None) -> DataFrame:
-    """Mean, exact median and mode per period and measure from (measure, value, n0, n1, ...),
-    spread to one row per non-empty period.
+def profile_from_counts(counts: DataFrame, periods: list[str]) -> DataFrame:
+    """:func:`profile_from_sorted` of (measure, value, n0, n1, ...), sorted and written once."""
+    return profile_from_sorted(sorted_values(counts, ["measure"], "value"), periods)
 
-    The counts are sorted and written once. One aggregate per partition of them gives weights,
-    sums and top counts; these name the partitions that hold the middle ranks and, as values
-    ascend, the first partition with the top count, which holds the mode. One more read of the
-    named partitions yields both. Partition rows are few: three measures a partition at most.
+
+def profile_from_sorted(rows: DataFrame, periods: list[str]) -> DataFrame:
+    """Mean, exact median and mode per period and measure, one row per non-empty period, from
+    (measure, value, n0, n1, ...) in written order with partition numbers.
+
+    One aggregate per partition gives weights, sums and top counts; these name the partitions
+    that hold the middle ranks and, as values ascend, the first partition with the top count,
+    which holds the mode. One more read of the named partitions yields both. Partition rows are
+    few: three measures a partition at most.
     """
-    rows = sorted_values(counts, ["measure"], "value", folder)
     per = rows.groupBy("measure", PART).agg(*[f(i) for i in range(len(periods)) for f in (
         lambda i: F.sum(f"n{i}").alias(f"s{i}"), lambda i: F.sum(F.col("value") * F.col(f"n{i}")).alias(f"v{i}"),
         lambda i: F.max(f"n{i}").alias(f"m{i}"))])

@@ -181,7 +181,8 @@ def q_anomaly_counts_long(spark, sf_dir):
 
 def q_anomaly_pivot(spark, sf_dir):
     """The wide pivot, all its cells as rows (zeros included)."""
-    return day_text(pivot_cells(anomaly_pivot(FirstRun(spark, sf_dir).anomalies)))
+    long = written(anomaly_counts_long(FirstRun(spark, sf_dir).anomalies), "anomaly-counts")
+    return day_text(pivot_cells(anomaly_pivot(None, counts=long)))
 
 
 def q_bounds_from_stats(spark, sf_dir):
@@ -204,7 +205,7 @@ def q_profile_from_day_counts(spark, sf_dir):
               .agg(F.count(F.lit(1)).alias("n")))
     counts = written(counts, "day-counts")
     at_start = counts.where(F.col(TS).isNotNull())
-    p = profile_from_counts(counts_by_period(counts, at_start, starts), [name for name, _ in starts])
+    p = profile_from_counts(counts_by_period(counts, counts, at_start, starts), [name for name, _ in starts])
     return rounded(p.select("period", *[f"{m}_{s}" for m in MEASURES for s in STATS]))
 
 

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import json
 import time
+import zlib
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -42,13 +43,15 @@ from anemoi.operators import (
     anomaly_counts_long, anomaly_pivot, bounds, clean_rows, daily_summary, eligible_rows,
     flag_outliers, insert_ignore, upsert,
 )
-from anemoi.operators.profile import period_profile, profile_from_counts
+from anemoi.operators.order_stats import sorted_values
+from anemoi.operators.profile import period_profile, profile_from_sorted
 from anemoi.plans.day_stats import (
-    bounds_from_stats, clean_stats, counts_by_period, elig_counts, long_values,
+    bounds_from_stats, clean_stats, counts_by_period, elig_counts, long_values, signed,
 )
 from anemoi.plans.ledger import Ledger, day_facts
 from anemoi.plans.store import TableStore
 from anemoi.schema import DAY, DEVICE, INSERTED, KEY, MEASURES, RUNS, TS, Options
+from anemoi.scratch import written
 from anemoi.sources.archive import archive_files
 from anemoi.sources.csv_feed import parse_readings, scan_feed, split_valid
 from anemoi.sources.feed_state import feed_state, latest_offsets, tail_rows
@@ -192,7 +195,7 @@ def repair(spark: SparkSession, root: str) -> int:
     """Forget all per-day state: the next run recounts every day from the readings.
     Returns the number of days."""
     store = TableStore(spark, root)
-    for name in ("clean_stats", "elig_counts", "ledger"):
+    for name in ("clean_stats", "elig_counts", "all_counts", "ledger"):
         store.drop(name)
     led = Ledger(store)
     _ensure_day_stats(store, led)
@@ -283,32 +286,76 @@ def _profile(store: TableStore, led: Ledger, raw: DataFrame, anomalies: DataFram
     """Step 5: refresh stale per-day value counts, then append one profile row
     per non-empty look-back period. Returns the refreshed days (their "counted"
     marker is written with the clean step's marker)."""
+    starts = [(name, None if lb is None else anchor - lb) for name, lb in opt.periods]
+    tag = f"{zlib.crc32(repr(opt.periods).encode()):08x}"
+    last = (store.generations("all_counts") or [None])[-1]
+    # a run that died while counting leaves all-time counts of unknown state
+    whole = last is None or bool(led.unfinished)
+    changed = None
     with timed(report, "clean.value_counts"):
         refresh = led.stale("counted", "changed", "anom_changed")
         if refresh:
-            store.overwrite_days("elig_counts", elig_counts(
-                raw.where(F.col(DAY).isin(refresh)), anomalies.where(F.col(DAY).isin(refresh)),
-                refresh, run))
-    starts = [(name, None if lb is None else anchor - lb) for name, lb in opt.periods]
-    scratch = store.path("_scratch")
+            new = elig_counts(raw.where(F.col(DAY).isin(refresh)), anomalies.where(F.col(DAY).isin(refresh)),
+                              refresh, run).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                if not whole:          # against the old counts, before they are replaced
+                    store.drop("_signed")
+                    changed = written(signed(new, store.read_days("elig_counts", refresh)), "signed", store.path("_signed"))
+                store.overwrite_days("elig_counts", new)
+            finally:
+                new.unpersist()
     with timed(report, "clean.profile"):
-        if opt.profile_method == "incremental":
-            edge = sorted({s.date() for _, s in starts if s is not None} & set(led.days))
-            boundary = None
-            if edge:
-                boundary = long_values(eligible_rows(raw.where(F.col(DAY).isin(edge)),
-                                                     anomalies.where(F.col(DAY).isin(edge)))
-                                       .withColumn(DAY, F.to_date(TS)))
-            prof = profile_from_counts(counts_by_period(store.read("elig_counts"), boundary, starts),
-                                       [name for name, _ in starts], scratch)
+        if opt.profile_method != "incremental":
+            prof = period_profile(raw, anomalies, opt.periods, method=opt.profile_method, anchor=ts_literal(anchor))
+            store.drop("all_counts")           # not moved by this run
+        elif not refresh and not whole and last.endswith(tag) and _profiled(store, last):
+            # the same readings over the same look-backs: the last rows again
+            prof = store.read("profile").where(F.col("run_seq") == _profiled(store, last)).drop(
+                "calculation_timestamp", "run_seq").coalesce(1)
         else:
-            prof = period_profile(raw, anomalies, opt.periods, method=opt.profile_method,
-                                  anchor=ts_literal(anchor), folder=scratch)
+            prof = profile_from_sorted(_all_counts(store, led, raw, anomalies, starts, tag, last, whole, changed),
+                                       [name for name, _ in starts])
         store.append("profile", prof.withColumn("calculation_timestamp", run).withColumn("run_seq", F.lit(led.seq)))
-        store.drop("_scratch")
+        if changed is not None:
+            store.drop("_signed")
     return refresh
 
 
+def _profiled(store: TableStore, generation: str) -> int | None:
+    """The newest run in the profile, if it came no earlier than these all-time counts."""
+    seq = store.read("profile").agg(F.max("run_seq")).first()[0]
+    return seq if seq is not None and seq >= int(generation.split("-")[0]) else None
+
+
+def _all_counts(store: TableStore, led: Ledger, raw: DataFrame, anomalies: DataFrame, starts: list, tag: str,
+                last: str | None, whole: bool, changed: DataFrame | None) -> DataFrame:
+    """The next version of the all-time counts, with the look-backs' counts beside them, in value order.
+
+    The version before, moved by the signed counts of the refreshed days (``changed``); or, in a first
+    run and after one that died while counting, the sum over all days. Look-backs read the days after
+    the earliest start, and the readings of each start's own day.
+    """
+    days = store.read("elig_counts")
+    if whole:
+        full = days.where(F.col("n") > 0)
+    else:
+        full = store.spark.read.parquet(store.path(f"all_counts/{last}")).select("measure", "value", "n")
+        if changed is not None:
+            full = full.unionByName(changed)
+    edge = sorted({s.date() for _, s in starts if s is not None})
+    boundary = None
+    if at := sorted(set(edge) & set(led.days)):
+        boundary = long_values(eligible_rows(raw.where(F.col(DAY).isin(at)), anomalies.where(F.col(DAY).isin(at)))
+                               .withColumn(DAY, F.to_date(TS)))
+    if edge:
+        days = days.where(F.col(DAY) > F.lit(edge[0]))
+    now = f"{led.seq:012d}-{time.time_ns():020d}-{tag}"
+    rows = sorted_values(counts_by_period(full, days, boundary, starts), ["measure"], "value", store.path(f"all_counts/{now}"))
+    if last is not None:
+        store.keep_generation("all_counts", now)
+    return rows
+
+
 def _insert_clean(store: TableStore, led: Ledger, raw: DataFrame, anomalies: DataFrame, run: Column,
                   opt: Options, report: RunReport, counted: list) -> list:
     """Step 6: impute and insert-ignore the rows of days whose raw changed since

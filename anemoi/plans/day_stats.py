@@ -5,7 +5,8 @@ the previous clean table's band, cutoff and high-water mark (``clean_stats``,
 per day and device: power moments merged exactly with Chan's formula) and the
 profile's value counts (``elig_counts``: eligible readings counted per day,
 measure and value). Each is rebuilt only for the days that changed, and
-bootstrapped from the full table when absent.
+bootstrapped from the full table when absent. ``all_counts`` sums the value counts
+over all days; it moves by the signed counts of refreshed days.
 """
 
 from __future__ import annotations
@@ -90,21 +91,36 @@ def elig_counts(raw: DataFrame, anomalies: DataFrame, days: list, run: Column) -
     return counts.unionByName(marks).withColumn("refreshed", run)
 
 
-def counts_by_period(counts: DataFrame, boundary: DataFrame | None, starts: list) -> DataFrame:
-    """(measure, value, n0, n1, ...) from per-day value counts.
+def signed(new: DataFrame, old: DataFrame) -> DataFrame:
+    """(measure, value, n): what the counts of refreshed days add to the all-time counts, or take."""
+    side = lambda d, sign: d.where(F.col("n") > 0).select("measure", "value", (F.col("n") * sign).alias("n"))
+    return (side(new, 1).unionByName(side(old, -1)).groupBy("measure", "value").agg(F.sum("n").alias("n"))
+            .where(F.col("n") != 0))
 
-    ``starts`` holds (period, start datetime or None). A day after the start's
-    day lies wholly inside the look-back; the start's own day is counted from
-    its eligible rows (``boundary``: day, timestamp, measure, value) with
-    ``timestamp >= start``.
+
+def counts_by_period(full: DataFrame, days: DataFrame, boundary: DataFrame | None, starts: list) -> DataFrame:
+    """(measure, value, n, n0, n1, ...): the all-time count and one count per period.
+
+    ``full`` holds all-time counts (measure, value, n), in as many signed parts as there are;
+    ``days`` counts per day, of the days after the earliest start at least. ``starts`` holds
+    (period, start datetime or None for all time). A day after the start's day lies wholly inside
+    the look-back; the start's own day is counted from its eligible rows (``boundary``: day,
+    timestamp, measure, value) with ``timestamp >= start``. Values whose counts cancel are gone.
     """
-    per = [F.when(F.lit(True) if s is None else F.col(DAY) > F.lit(s.date()), F.col("n")).alias(f"n{i}")
-           for i, (_, s) in enumerate(starts)]
-    parts = counts.where(F.col("n") > 0).select("measure", "value", *per)
-    if boundary is not None and any(s is not None for _, s in starts):
-        at = [F.lit(None).cast("long").alias(f"n{i}") if s is None else
-              F.when((F.col(DAY) == F.lit(s.date())) & (F.col(TS) >= F.lit(s)), F.lit(1).cast("long")).alias(f"n{i}")
-              for i, (_, s) in enumerate(starts)]
-        parts = parts.unionByName(boundary.select("measure", "value", *at))
+    none = F.lit(None).cast("long")
+
+    def part(df, n, per):
+        return df.select("measure", "value", n.alias("n"), *[
+            (none if c is None else c).alias(f"n{i}") for i, c in enumerate(per)])
+
+    n = F.col("n")
+    parts = part(full, n, [n if s is None else None for _, s in starts])
+    if any(s is not None for _, s in starts):
+        parts = parts.unionByName(part(days.where(n > 0), none, [
+            None if s is None else F.when(F.col(DAY) > F.lit(s.date()), n) for _, s in starts]))
+        if boundary is not None:
+            parts = parts.unionByName(part(boundary, none, [
+                None if s is None else F.when((F.col(DAY) == F.lit(s.date())) & (F.col(TS) >= F.lit(s)), F.lit(1).cast("long"))
+                for _, s in starts]))
     return parts.groupBy("measure", "value").agg(*[
-        F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(starts))])
+        F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", *[f"n{i}" for i in range(len(starts))])]).where(n > 0)

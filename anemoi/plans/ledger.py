@@ -51,6 +51,8 @@ class Ledger:
             both = tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
             seen.append(both.agg(F.max("run_seq")).first()[0] or 0)
         self.seq = 1 + max(seen, default=0)
+        # days that a former run changed without living to count them
+        self.unfinished = self.stale("counted", "changed", "anom_changed")
 
     def put(self, facts: DataFrame) -> None:
         """Facts of days whose readings this run changed."""

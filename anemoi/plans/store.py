@@ -122,6 +122,20 @@ class TableStore:
         p, fs = self._fs(self.path(name))
         fs.delete(p, True)
 
+    def generations(self, name: str) -> list[str]:
+        """Complete versions of a table that is written whole each time, oldest first."""
+        p, fs = self._fs(self.path(name))
+        if not fs.exists(p):
+            return []
+        return sorted(f.getPath().getName() for f in fs.listStatus(p) if self.exists(f"{name}/{f.getPath().getName()}"))
+
+    def keep_generation(self, name: str, kept: str) -> None:
+        """Delete all other versions."""
+        p, fs = self._fs(self.path(name))
+        for f in fs.listStatus(p):
+            if f.getPath().getName() != kept:
+                fs.delete(f.getPath(), True)
+
     def replace(self, name: str, df: DataFrame) -> None:
         """Drop and recreate (the pivot, whose columns follow the data)."""
         df.write.mode("overwrite").option("compression", CODEC).parquet(self.path(name))

@@ -26,10 +26,10 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._anemoi_scratch
 
 
-def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """``df`` as a Parquet table of its own, reread."""
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` as a Parquet table of its own (``path``, else a new one), reread."""
     spark = df.sparkSession
-    path = f"{folder or shared_folder(spark) + '/anemoi'}/{uuid.uuid4().hex}-{name}"
+    path = path or f"{shared_folder(spark)}/anemoi/{uuid.uuid4().hex}-{name}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

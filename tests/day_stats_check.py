@@ -20,6 +20,11 @@ def assert_day_stats_match(spark, st):
     kept = st.read("elig_counts").where("n > 0").select("day", "measure", "value", "n")
     assert sorted(map(tuple, full.collect())) == sorted(map(tuple, kept.collect()))
 
+    gens = st.generations("all_counts")
+    assert len(gens) == 1
+    ever = st.spark.read.parquet(st.path(f"all_counts/{gens[0]}")).select("measure", "value", "n")
+    assert sorted(map(tuple, ever.collect())) == sorted(map(tuple, full.groupBy("measure", "value").agg(F.sum("n")).collect()))
+
     b1, b2 = bounds_from_stats(st.read("clean_stats")).first(), bounds(clean).first()
     assert (b1 is None) == (b2 is None)
     if b1 is not None:

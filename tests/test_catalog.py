@@ -80,9 +80,9 @@ def test_profile_queries_read_the_source_a_few_times(spark, monkeypatch, name):
     from anemoi.plans import catalog
     plans = []
 
-    def written(df, name, folder=None):
+    def written(df, name, path=None):
         plans.append(_plan(df))
-        return scratch.written(df, name, folder)
+        return scratch.written(df, name, path)
 
     monkeypatch.setattr(order_stats, "written", written)
     monkeypatch.setattr(catalog, "written", written)

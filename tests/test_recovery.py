@@ -37,7 +37,7 @@ def _check(spark, st):
     assert keys.where(F.col("count") > 1).count() == 0
 
 
-@pytest.mark.parametrize("crash", ["summaries", "clean_marker", "clean_stats"])
+@pytest.mark.parametrize("crash", ["summaries", "clean_marker", "clean_stats", "all_counts", "profile"])
 def test_next_run_repairs_a_crashed_run(spark, tmpdir_run, monkeypatch, crash):
     feed = os.path.join(tmpdir_run, "feed")
     os.makedirs(feed)
@@ -54,6 +54,12 @@ def test_next_run_repairs_a_crashed_run(spark, tmpdir_run, monkeypatch, crash):
         raise RuntimeError("driver lost")
     if crash == "summaries":
         monkeypatch.setattr(dr, "summary_step", boom)
+    elif crash == "all_counts":
+        # the day counts are new, the all-time counts are not moved
+        monkeypatch.setattr(dr, "_all_counts", boom)
+    elif crash == "profile":
+        # the all-time counts are moved, the marker that says so is not written
+        monkeypatch.setattr(dr, "profile_from_sorted", boom)
     elif crash == "clean_stats":
         # clean has the new rows, its stats don't: the next band must count them
         monkeypatch.setattr(dr, "_refresh_clean_stats", boom)
@@ -79,6 +85,38 @@ def test_next_run_repairs_a_crashed_run(spark, tmpdir_run, monkeypatch, crash):
     _check(spark, st)
 
 
+def test_all_time_counts_move_by_differences(spark, tmpdir_run, monkeypatch):
+    """Later rows, corrected rows and readings that become anomalies; a run without changes adds nothing to read."""
+    feed = os.path.join(tmpdir_run, "feed")
+    os.makedirs(feed)
+    root, arch = os.path.join(tmpdir_run, "tables"), os.path.join(tmpdir_run, "archive")
+    f = os.path.join(feed, "data_group_1.csv")
+    lines, st = [], TableStore(spark, root)
+    whole, read = [], []
+    real = dr._all_counts
+    monkeypatch.setattr(dr, "_all_counts", lambda *a: whole.append(a[-2]) or real(*a))
+    real_read = TableStore.read_days
+    monkeypatch.setattr(TableStore, "read_days", lambda s, n, d: read.append((n, list(d))) or real_read(s, n, d))
+    for day in range(1, 5):
+        lines += _day(day, {(4, 1): 9.0, (6, 2): 0.2})
+        if day == 3:           # day 1 corrected: other values, one of them an outlier now
+            lines += ["2022-03-01 01:00:00,1,7,2,3.05\n", "2022-03-01 02:00:00,2,5,3,9.5\n"]
+        with open(f, "w") as fh:
+            fh.write(HEADER + "".join(lines))
+        dr.run_daily(spark, feed, root, datetime(2022, 3, day + 1), archive_dir=arch)
+        _check(spark, st)
+    assert whole == [True, False, False, False]
+    counted = [sorted(d.day for d in days) for name, days in read if name == "elig_counts"]
+    assert all(len(c) <= 2 for c in counted) and [1, 3] in counted
+    before = {r.period: r.asDict() for r in st.read("profile").where("run_seq = 4").collect()}
+    dr.run_daily(spark, feed, root, datetime(2022, 3, 9), archive_dir=arch)
+    assert len(whole) == 4
+    after = {r.period: r.asDict() for r in st.read("profile").where("run_seq = 5").collect()}
+    same = lambda rows: {p: {k: v for k, v in r.items() if k not in ("run_seq", "calculation_timestamp")} for p, r in rows.items()}
+    assert same(after) == same(before) and after["full_dataset"]["calculation_timestamp"] == datetime(2022, 3, 9)
+    _check(spark, st)
+
+
 def test_folder_of_a_failed_first_write_is_no_table(spark, tmpdir_run):
     st = TableStore(spark, os.path.join(tmpdir_run, "tables"))
     for left in ("_temporary/0", ".spark-staging-1"):
