@@ -122,24 +122,31 @@ def later_copies(lines: DataFrame, min_lines: int = MIN_LINES, array: DataFrame
     flag = _summed(flag, ["rank"], "head", "heads").withColumn("interval", F.col("heads") + F.col("head"))
     flag = saved(flag, "intervals")
     best = flag.groupBy("interval").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return flag.join(best, "interval").where(F.struct(*PLACE) != F.col("first")).select(*KEY, F.col("p").alias("a"))
+    best = saved(best.select("interval", "first.*"), "first")
+    # all places of such intervals but the earliest: rows are told apart by their place, never by their
+    # interval, so a hot line's interval meets in no task
+    heads = flag.where("head = 1").join(best.select("interval"), "interval", "left_semi")
+    late = flag.where("head = 0").select(PLACE).unionAll(heads.select(PLACE)).join(best.select(PLACE), PLACE, "left_anti")
+    return late.select(*KEY, F.col("p").alias("a"))
 
 
-def _without(docs: DataFrame, lines: DataFrame, late: DataFrame, min_lines: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, KEY, n_lines, n_deleted and ``text`` without the lines that the later copies ``late`` cover."""
+def _without(docs: DataFrame, lines: DataFrame, late: DataFrame, runs: DataFrame, min_lines: int, id_col: str,
+             text_col: str) -> DataFrame:
+    """doc_id, n_lines, n_deleted, longest_run and ``text`` without the lines that the later copies ``late`` cover."""
     gone = late.select(*KEY, F.explode(F.sequence("a", F.col("a") + (min_lines - 1))).alias("p")).distinct()
     gone = (gone.join(lines.select(*PLACE, "at"), PLACE).groupBy(*KEY)
             .agg(F.sort_array(F.collect_list("at")).alias("gone")))
     d = docs.select(F.col(id_col).alias("doc_id"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
     n_lines = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    d = d.withColumn("n_lines", n_lines.cast("long")).join(gone, KEY, "left")
+    d = d.withColumn("n_lines", n_lines.cast("long")).join(gone.join(runs, KEY, "full"), KEY, "left")
     d = d.withColumn("ls", F.when(F.col("gone").isNotNull(), F.split("text", "\n", -1)))
     # array_except is hashed: linear in the lines
     stay = F.array_except(F.sequence(F.lit(0), F.size("ls") - 1), "gone")
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get("ls", i)), "\n"))
     n_deleted = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long")
-    return d.select("doc_id", *KEY, "n_lines", n_deleted.alias("n_deleted"), kept.alias("text"))
+    longest = F.coalesce("longest_run", F.lit(0)).cast("long")
+    return d.select("doc_id", "n_lines", n_deleted.alias("n_deleted"), longest.alias("longest_run"), kept.alias("text"))
 
 
 def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -147,8 +154,7 @@ def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc
     lines = saved(line_ids(docs, id_col, text_col), "lines")
     array = saved(common_prefixes(*suffix_ranks(lines)), "array")
     late = saved(later_copies(lines, min_lines, array), "late")
-    d = _without(docs, lines, late, min_lines, id_col, text_col).join(longest_runs(array, min_lines), KEY, "left")
-    return d.select("doc_id", "n_lines", "n_deleted", F.coalesce("longest_run", F.lit(0)).cast("long").alias("longest_run"), "text")
+    return _without(docs, lines, late, longest_runs(array, min_lines), min_lines, id_col, text_col)
 
 
 def op7_line_dedup(spark, sf_dir):
