@@ -1,32 +1,27 @@
 """Keyed merges over DataFrames (Spark has no unique key).
 
-All are a single ``groupBy(key)`` with ``max_by``/``min_by``, so rows of a hot key
-combine before the shuffle, and NULLs of the winning row survive (a later row with
-NULL measures does overwrite). With one numeric order column and fixed-width values
-(readings) each column has buffers of its own and Spark hashes; over a struct of
-columns (rows with strings, several order columns) it sorts before and after the
-shuffle, which a ``row_number`` window would do once but without combining hot keys.
+Readings (fixed-width values, one numeric order column) merge by a single ``groupBy(key)``
+with ``max_by``/``min_by`` per column: a hash aggregate, so rows of a hot key combine before
+the shuffle. Rows with strings or several order columns would make Spark sort before and
+after such an aggregate; they are ranked in a window instead. Where one row per key is
+asked for, Spark keeps only the best row of a key per task before the shuffle. NULLs of the
+winning row survive either way (a later row with NULL measures does overwrite).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SRC = "__src"
+_SRC, _RANK = "__src", "__rank"
 _FIXED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
           T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _order(seq: Sequence[str] | None):
-    cols = [F.col(_SRC)] + [F.col(c) for c in (seq or ())]
-    return F.struct(*cols)
-
-
 def upsert(existing: DataFrame, updates: DataFrame, key: Sequence[str],
            seq: Sequence[str] | None = None, keep_first: Sequence[str] = ()) -> DataFrame:
     """``INSERT ... ON DUPLICATE KEY UPDATE``: per key the latest row wins.
@@ -52,21 +47,17 @@ def upsert(existing: DataFrame, updates: DataFrame, key: Sequence[str],
     ex = existing.select(*key, *cols, F.lit(0).alias(_SRC), *[F.lit(None).cast(updates.schema[c].dataType).alias(c + "__seq") for c in seq])
     up = updates.select(*key, *cols, F.lit(1).alias(_SRC), *[F.col(c).alias(c + "__seq") for c in seq])
     both = ex.unionByName(up)
-    order = _order([c + "__seq" for c in seq])
-    aggs = [F.max_by(F.struct(*take), order).alias("__win")] if take else []
-    aggs += [F.min_by(F.col(c), order).alias(c) for c in keep]
-    out = both.groupBy(*key).agg(*aggs)
-    sel = [F.col(c) for c in key] + [F.col(f"__win.{c}").alias(c) if c in take else F.col(c) for c in cols]
-    return out.select(*sel)
+    latest = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_last() for c in (_SRC, *[c + "__seq" for c in seq])])
+    every = latest.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    both = both.withColumns({c: F.last(c).over(every) for c in keep})
+    return both.withColumn(_RANK, F.row_number().over(latest)).where(F.col(_RANK) == 1).select(*key, *cols)
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], seq: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the smallest ``seq`` (all other columns when ``seq`` is None)."""
-    key = list(key)
-    cols = [c for c in df.columns if c not in key]
-    order = F.struct(*[F.col(c) for c in (seq or cols)])
-    return (df.groupBy(*key).agg(F.min_by(F.struct(*cols), order).alias("__win"))
-              .select(*key, *[F.col(f"__win.{c}").alias(c) for c in cols]))
+    order = seq or [c for c in df.columns if c not in key]
+    first = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.withColumn(_RANK, F.row_number().over(first)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
 def insert_ignore(existing: DataFrame, new: DataFrame, key: Sequence[str],
@@ -84,6 +75,6 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str],
     """``ORDER BY order DESC LIMIT 1`` per key, for all keys at once."""
     key = list(key)
     cols = list(cols or [c for c in df.columns if c not in key])
-    o = F.struct(*[F.col(c) for c in order])
-    return (df.groupBy(*key).agg(F.max_by(F.struct(*cols), o).alias("__win"))
-              .select(*key, *[F.col(f"__win.{c}").alias(c) for c in cols]))
+    latest = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return (df.select(*dict.fromkeys([*key, *cols, *order])).withColumn(_RANK, F.row_number().over(latest))
+            .where(F.col(_RANK) == 1).select(*key, *cols))

@@ -2,9 +2,9 @@
 
 Each entry takes ``(spark, sf_dir)``, reads whole tables and returns a lazy
 DataFrame; nothing is persisted and no job runs while it is built, but for the ones
-whose plan depends on data: the wide pivot (its columns are the devices) and what reads a
-profile (the band, the look-back starts, and the sorted value counts, written once). The chain
-adapter -> bounds -> anomalies -> profile -> clean -> summaries is a first daily run on the
+whose plan depends on data: the wide pivot (its columns are the devices), row numbers (the
+sorted rows, written once) and what reads a profile (the band, the look-back starts, and the
+sorted value counts, written once). The chain adapter -> bounds -> anomalies -> profile -> clean -> summaries is a first daily run on the
 ``telemetry`` adapter of ``events``.
 Computed doubles are rounded to 6 places for comparison with other engines.
 """

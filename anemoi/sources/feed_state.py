@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from anemoi.operators.keyed import latest_per_key
 from anemoi.schema import TS
+from anemoi.scratch import written
 
 
 def latest_offsets(tracker: DataFrame) -> DataFrame:
@@ -30,29 +31,27 @@ def tail_rows(rows: DataFrame, offsets: DataFrame, file_col: str = "file_name",
                 .drop("_off"))
 
 
-ROWS_PER_BUCKET = 100_000
+def number_rows(rows: DataFrame, group: str, order: str, out: str = "row_no") -> DataFrame:
+    """1-based row numbers by ``order`` inside each ``group``, NULLs first; a NULL group is a group.
 
-
-def number_rows(rows: DataFrame, group: str, order: str, out: str = "row_no",
-                rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """1-based row numbers by a numeric ``order`` column inside each ``group``, NULLs first.
-
-    Rows are ranked inside equal slices of the group's value range, about
-    ``rows_per_bucket`` rows each, and slices are offset by the row counts before
-    them, so no task ranks a whole group. Ties all get a number of their own.
+    A range shuffle over (group, order, place in the input) sorts all rows into partitions of
+    about equal size, whatever the values: outliers, ties and a group of most of the rows spread
+    like any others. The sorted rows are written, so that the borders hold for every reader. A
+    row's number is its place in its partition, less the place where its group begins there,
+    plus the group's rows in earlier partitions: a sum over one row per partition and group.
     """
-    size = rows.groupBy(group).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"),
-                                   F.ceil(F.count(F.lit(1)) / rows_per_bucket).alias("_nb"))
-    width = (F.col("_hi") - F.col("_lo")).cast("double") + 1
-    slot = F.floor((F.col(order) - F.col("_lo")) * F.col("_nb") / width)
-    b = rows.join(size, [group]).withColumn("_b", F.coalesce(slot, F.lit(-1).cast("long")))
-    before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    start = (b.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
-             .select(group, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
-    rank = F.row_number().over(Window.partitionBy(group, "_b").orderBy(order))
-    return (b.withColumn("_rank", rank).join(start, [group, "_b"])
-            .withColumn(out, F.col("_start") + F.col("_rank"))
-            .drop("_b", "_lo", "_hi", "_nb", "_rank", "_start"))
+    keys = [F.col(group).asc_nulls_first(), F.col(order).asc_nulls_first(), F.col("_tie")]
+    rows = rows.withColumn("_tie", F.monotonically_increasing_id())
+    rows = written(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
+                   .withColumns({"_part": F.spark_partition_id(),
+                                 "_at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "numbered")
+    parts = rows.groupBy(F.col(group).alias("_group"), F.col("_part").alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("_group").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_group", "_p", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_add"))
+    same = (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_group"))
+    return (rows.join(parts, same).withColumn(out, F.col("_at") + F.col("_add"))
+            .drop("_part", "_at", "_p", "_group", "_add"))
 
 
 def feed_state(rows: DataFrame, run_ts: Column, prior: DataFrame | None = None,

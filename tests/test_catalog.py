@@ -54,11 +54,12 @@ def test_catalogue_leaves_nothing_persisted(spark):
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
 
 
-WRITES = ("period_profile", "clean", "daily_summary", "profile_from_day_counts")
+PROFILED = ("period_profile", "clean", "daily_summary", "profile_from_day_counts")
 
 
 def test_most_queries_are_built_without_a_job(spark):
-    """Only the wide pivot (columns) and what reads a profile (band, sorted counts) run jobs to build."""
+    """Only the wide pivot (columns), row numbers (sorted rows) and what reads a profile (band, sorted
+    counts) run jobs to build."""
     tracker = spark.sparkContext.statusTracker()
     for name, fn in QUERIES.items():
         fn(spark, SF)                                     # schemas are read once
@@ -67,11 +68,11 @@ def test_most_queries_are_built_without_a_job(spark):
         stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(f"build-{name}")
                   for s in tracker.getJobInfo(j).stageIds]
         data = [s for s in stages if s is not None and "parquet at" not in s.name]
-        assert not data or name == "anomaly_pivot" or name in WRITES, (name, data)
+        assert not data or name in ("anomaly_pivot", "tail_scan", *PROFILED), (name, data)
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-@pytest.mark.parametrize("name", WRITES)
+@pytest.mark.parametrize("name", PROFILED)
 def test_profile_queries_read_the_source_a_few_times(spark, monkeypatch, name):
     """Scans of ``events`` over all written steps and the query itself: the band, the anomalies,
     the counted readings, and for what is built on the profile the cleaned readings."""
@@ -92,6 +93,12 @@ def test_profile_queries_read_the_source_a_few_times(spark, monkeypatch, name):
     assert sum(p.count("Exchange ") for p in plans) <= 14
 
 
+def test_keyed_queries_do_not_aggregate_by_sorting(spark):
+    for name, sorts in (("latest_per_key", 2), ("latest_profile", 2), ("upsert", 4), ("insert_ignore", 9)):
+        plan = _plan(QUERIES[name](spark, SF))
+        assert "SortAggregate" not in plan and plan.count(" Sort [") + plan.count("- Sort [") <= 2 * sorts, name
+
+
 def test_no_final_stage_in_one_task(spark):
     for name in ("anomaly_pivot", "distinct_ids"):
         assert "Coalesce 1" not in _plan(QUERIES[name](spark, SF))

@@ -1,4 +1,5 @@
 import os
+import sys
 
 from pyspark.sql import functions as F
 
@@ -83,8 +84,9 @@ def test_tail_by_rank_keeps_ties_and_nulls(spark):
     rows = spark.createDataFrame([(g, o, i) for g, os_ in orders.items() for i, o in enumerate(os_)], "g string, o long, v long")
     cuts = {"a": 10, "b": 0, "c": 75, "t": 2, "n": 2, "z": 7, "o": 1}
     offs = spark.createDataFrame(list(cuts.items()), "file_name string, last_record_csv_row_number long")
-    for size in (4, 100_000):
-        numbered = number_rows(rows, "g", "o", rows_per_bucket=size)
+    for coalesced in ("false", "true"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+        numbered = number_rows(rows, "g", "o")
         got = {}
         for r in tail_rows(numbered, offs, file_col="g").collect():
             got.setdefault(r.g, []).append(r.o)
@@ -97,6 +99,34 @@ def test_tail_by_rank_keeps_ties_and_nulls(spark):
         assert all(sorted(v) == list(range(1, len(v) + 1)) for v in nos.values())
 
 
+def test_row_numbers_of_null_groups_wide_ranges_and_ties(spark, monkeypatch):
+    """A NULL group is a group; a range as wide as the type does not overflow; an outlier, or nothing
+    but ties, leaves no group in one task."""
+    fs = sys.modules["anemoi.sources.feed_state"]      # the package exports a function of that name
+    sorted_rows = []
+    monkeypatch.setattr(fs, "written", lambda df, name, real=fs.written: sorted_rows.append(real(df, name)) or sorted_rows[0])
+    lo, hi = -2 ** 63, 2 ** 63 - 1
+    rows = [(None, 3, 0), (None, 1, 1), (None, None, 2), ("w", hi, 3), ("w", lo, 4), ("w", 0, 5)]
+    rows += [("t", 5, i) for i in range(4000)] + [("x", i if i < 3999 else hi, i) for i in range(4000)]
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = fs.number_rows(spark.createDataFrame(rows, "g string, o long, v long").repartition(5), "g", "o").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(got) == len(rows) and {(r.g, r.o, r.v) for r in got} == set(rows)
+    groups = {}
+    for r in got:
+        groups.setdefault(r.g, []).append(r)
+    for g, rs in groups.items():
+        rs.sort(key=lambda r: r.row_no)
+        assert [r.row_no for r in rs] == list(range(1, len(rs) + 1))
+        order = [(r.o is not None, r.o or 0) for r in rs]
+        assert order == sorted(order)
+    tasks = {(r.g, r._part): r["count"] for r in sorted_rows[0].groupBy("g", "_part").count().collect()}
+    assert all(n < 3200 for n in tasks.values()), tasks
+
+
 def test_row_numbers_are_the_same_when_recomputed(spark, tmpdir_run):
     """A lost executor makes Spark recompute scan partitions: the split-local
     ids, hence the row numbers, must come out identical each time."""
