@@ -49,6 +49,7 @@ from anemoi.plans.day_stats import (
     bounds_from_stats, clean_stats, counts_by_period, elig_counts, long_values, signed,
 )
 from anemoi.plans.ledger import Ledger, day_facts
+from anemoi.plans.reflag import FLAG, LowTail
 from anemoi.plans.store import TableStore
 from anemoi.schema import DAY, DEVICE, INSERTED, KEY, MEASURES, RUNS, TS, Options
 from anemoi.scratch import written
@@ -247,18 +248,22 @@ def _flag(store: TableStore, raw: DataFrame, led: Ledger, band, cutoff_ts, anoma
                                     opt.outlier_scope)
         else:
             cand = led.outlier_days(band[0], float("inf"))    # NULL cutoff: no high tail (D12)
-        last = _last_band(store) if not opt.refresh_reflagged else None
-        if last is not None and band[0] <= last[1]:
-            # Every row below the last recorded run's lower bound is already an
-            # anomaly, and the bound did not rise: only days changed since then
-            # can yield new keys (and re-flagged rows are not rewritten).
+        if opt.outlier_scope == "parity":
+            # every day was tested against the bounds of all runs since it changed: a day below them
+            # all has no new low outlier, and the dates of the old ones are derived on read
+            low = LowTail(store)
+            high = set(led.outlier_days(float("-inf"), band[1], None if anomalies_empty else cutoff_ts)
+                       if anomalies_empty or cutoff_ts is not None else [])
+            cand = [d for d in cand if d in high or band[0] > low.tested(led.days[d]["changed"])]
+        elif not opt.refresh_reflagged and (last := _last_band(store)) is not None and band[0] <= last[1]:
+            # only days changed since the last run can yield new keys
             cand = sorted(set(cand) & set(led.since(last[0])))
         report.flag_days = len(cand)
         if not cand:
             return
         scan = raw.where(F.col(DAY).isin(cand))
     flagged = flag_outliers(scan, band, cutoff, opt.outlier_scope, groups=opt.bound_groups) \
-        .select(*KEY, *MEASURES, run.alias(INSERTED), DAY) \
+        .select(*KEY, *MEASURES, run.alias(INSERTED), DAY, F.lit(led.seq).cast("long").alias(FLAG)) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         a_days = _days(flagged)
@@ -419,7 +424,7 @@ def clean_step(spark: SparkSession, store: TableStore, led: Ledger, run_ts: date
     finally:
         if isinstance(band, DataFrame):
             band.unpersist()
-    anomalies = store.read("anomalies")
+    anomalies = store.stored("anomalies")
     counted = _profile(store, led, raw, anomalies, anchor, run, opt, report)
     days = _insert_clean(store, led, raw, anomalies, run, opt, report, counted)
     report.cleaning = "done"
@@ -443,7 +448,7 @@ def summary_step(spark: SparkSession, store: TableStore, led: Ledger, run_ts: da
             store.overwrite_days("daily_summary", upsert(prev, fresh, [DAY, DEVICE], keep_first=[INSERTED]))
             if opt.retract:
                 store.drop_days("daily_summary", [d for d in sdays if not store.has_day("clean", d)])
-    anomalies = store.read("anomalies")
+    anomalies = store.stored("anomalies")
     changed = False
     with timed(report, "summaries.anomaly_counts"):
         # counts depend on the anomaly keys only: recount the days that gained keys
@@ -485,14 +490,15 @@ def derive(spark: SparkSession, store: TableStore, led: Ledger, run_ts: datetime
         days = clean_step(spark, store, led, run_ts, opt, report)
     with timed(report, "summaries"):
         summary_step(spark, store, led, run_ts, days, report, opt)
-    record_run(spark, store, led, report)
+    record_run(spark, store, led, report, opt)
 
 
-def record_run(spark: SparkSession, store: TableStore, led: Ledger, report: RunReport) -> None:
+def record_run(spark: SparkSession, store: TableStore, led: Ledger, report: RunReport, opt: Options) -> None:
     """One row per run: the band actually applied (so a flag can be reproduced
     exactly later), batch sizes and step timings."""
     b = report.band or {}
+    tested = opt.outlier_scope == "parity" and not opt.bound_groups
     row = (report.run_ts, len(report.files), report.new_rows, report.rejected, report.baseline_source,
            b.get("mean_power"), b.get("std_power"), b.get("lower_bound"), b.get("upper_bound"),
-           report.cleaning, json.dumps(report.timings), led.seq)
+           report.cleaning, json.dumps(report.timings), led.seq, tested, tested and opt.refresh_reflagged)
     store.append("runs", spark.createDataFrame([row], RUNS).coalesce(1))

@@ -56,7 +56,15 @@ class TableStore:
         return "_SUCCESS" in names or any(not n.startswith(("_", ".")) for n in names)
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        """The table, or an empty frame of its schema when it was never written."""
+        """The table, or an empty frame of its schema when it was never written; anomalies
+        with the insertion dates of the last run that flagged them."""
+        if name == "anomalies" and schema is None:
+            from anemoi.plans.reflag import LowTail
+            return LowTail(self).refreshed(self.stored(name))
+        return self.stored(name, schema)
+
+    def stored(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+        """The table as written."""
         schema = schema or _schema(name)
         if not self.exists(name):
             if schema is None:
@@ -69,11 +77,11 @@ class TableStore:
 
     def read_days(self, name: str, days: list) -> DataFrame:
         """Rows of the given days only (partition pruning on ``day``)."""
-        df = self.read(name)
+        df = self.stored(name)
         return df.where(F.col(DAY).isin(days)) if days else df.where(F.lit(False))
 
     def is_empty(self, name: str) -> bool:
-        return (not self.exists(name)) or self.read(name).isEmpty()
+        return (not self.exists(name)) or self.stored(name).isEmpty()
 
     def _order(self, name: str, df: DataFrame) -> DataFrame:
         schema = _schema(name)

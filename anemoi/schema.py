@@ -45,6 +45,9 @@ READINGS = T.StructType(TELEMETRY.fields + [
     T.StructField(DAY, T.DateType(), True),
 ])
 
+# As stored: the run that wrote the row; readers get READINGS (see plans/reflag.py).
+ANOMALIES = T.StructType(READINGS.fields + [T.StructField("flag_seq", T.LongType(), True)])
+
 TRACKER = T.StructType([
     T.StructField("data_insertion_date", T.TimestampNTZType(), True),
     T.StructField("file_name", T.StringType(), False),
@@ -94,12 +97,15 @@ RUNS = T.StructType([
     T.StructField("cleaning", T.StringType(), True),
     T.StructField("timings", T.StringType(), True),
     T.StructField("run_seq", T.LongType(), True),
+    # the lower bound was tested over all history, and refreshed insertion dates
+    T.StructField("low_tested", T.BooleanType(), True),
+    T.StructField("low_refreshed", T.BooleanType(), True),
 ])
 
 TABLES = {
     "raw": READINGS,
     "clean": READINGS,
-    "anomalies": READINGS,
+    "anomalies": ANOMALIES,
     "tracker": TRACKER,
     "profile": PROFILE,
     "daily_summary": DAILY_SUMMARY,
@@ -120,9 +126,8 @@ class Options:
     bound_groups: tuple = ()
     # Also drop already-clean rows that are flagged later.
     retract: bool = False
-    # Re-flagged anomalies get a fresh insertion date (reference behaviour), which
-    # rewrites every day holding one. False rewrites only days that gained keys or
-    # took new readings.
+    # Re-flagged anomalies get a fresh insertion date (reference behaviour); for low
+    # outliers it is derived on read. False keeps the date of the run that wrote them.
     refresh_reflagged: bool = True
     zero_is_missing: bool = True
     day_first: bool = False
