@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from anemoi.scratch import shared_folder
+
 # white space of every word contract: space and \t \n \v \f \r
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,15 +22,8 @@ BATCH_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    Only a session that names none (local tests) gets a scratch folder of its own.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="anemoi-llm-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d.rstrip("/")
+    """The folder all executors share, from ``spark.checkpoint.dir``; only a local session may name none."""
+    return shared_folder(spark)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

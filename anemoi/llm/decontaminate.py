@@ -136,7 +136,7 @@ def op6_decontamination(spark, sf_dir):
 
 ORACLE = r"""
 WITH i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS l, array_to_string(list_slice(w, s, s + 9), ' ') AS g
        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
 d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -147,7 +147,7 @@ dw AS (SELECT doc_id, l, s, array_to_string(list_slice(w, s, s + l - 1), ' ') AS
 o AS (SELECT doc_id, s, dw.l, item_id FROM dw JOIN iw ON dw.g = iw.g AND dw.l = iw.l),
 h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + l)) AS p FROM o) GROUP BY doc_id),
 t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
-             array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids FROM o GROUP BY doc_id)
+             array_to_string(list_sort(list(DISTINCT item_id::VARCHAR) FILTER (WHERE item_id IS NOT NULL)), ',') AS ids FROM o GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
