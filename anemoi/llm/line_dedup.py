@@ -71,7 +71,8 @@ def suffix_ranks(lines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     settled = None
     while not live.isEmpty():
         rounds.append(live)
-        other = done.unionAll(live).select(*KEY, (F.col("p") - k).alias("p"), F.col("rank").alias("next"))
+        # suffixes among a document's first k lines follow no other one k lines on
+        other = done.unionAll(live).where(F.col("p") >= k).select(*KEY, (F.col("p") - k).alias("p"), F.col("rank").alias("next"))
         # beyond the end stands a symbol of the document's own, below every rank
         end = -F.lit(1).cast("long") - F.pmod(F.xxhash64(*KEY), F.lit((1 << 62)))
         pair = saved(live.join(other, PLACE, "left").withColumn("next", F.coalesce("next", end)), "pairs")
