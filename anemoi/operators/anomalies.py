@@ -10,6 +10,7 @@ from anemoi.operators.baseline import band
 from anemoi.schema import DAY, DEVICE, KEY, MEASURES, PIVOT_PREFIX, POWER, TS
 
 READING_COLS = KEY + MEASURES
+PIVOT_WIDTH = 1000      # devices of a block of the wide pivot
 
 
 def outlier_predicate(lo: Column, hi: Column, cutoff: Column | None = None,
@@ -66,34 +67,69 @@ def distinct_ids(anomalies: DataFrame) -> DataFrame:
     return anomalies.select(DEVICE).distinct().orderBy(DEVICE)
 
 
+def wide_rows(counts: DataFrame, days: DataFrame, devices: DataFrame, width: int) -> DataFrame:
+    """``days`` x ``devices`` in rows of about ``width`` devices: (day, block, cells), cells
+    as (column, n) by device, 0 where a device had no anomaly.
+
+    A device's block is a hash of its id modulo as many blocks as the devices need, found
+    by a scalar subquery. Only counted cells are shuffled singly; zeros are added where
+    a day's block is put together, in a fixed number of tasks, as the few bytes of a block
+    do not tell its cells. The days, one small row each, are broadcast. As in an equi-join,
+    a NULL day or device matches no count.
+    """
+    number = devices.agg(F.greatest(F.ceil(F.count(F.lit(1)) / width), F.lit(1))).scalar()
+    block = F.pmod(F.xxhash64(DEVICE), number).alias("block")
+    ids = F.transform(F.collect_list(F.struct(DEVICE)), lambda s: s[DEVICE])     # keeps a NULL
+    cell = F.struct(F.col(DEVICE), F.col("anomaly_count").cast("long").alias("n"))
+    counted = (counts.where(F.col(DEVICE).isNotNull()).groupBy(DAY, block)
+               .agg(F.collect_list(cell).alias("counted")))
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (devices.groupBy(block).agg(ids.alias("ids")).crossJoin(F.broadcast(days))
+            .repartition(tasks, DAY, "block").join(counted, [DAY, "block"], "left"))
+    rest = F.array_except("ids", F.coalesce(F.transform("counted", lambda c: c[DEVICE]), F.array()))
+    zeros = F.transform(rest, lambda i: F.struct(i.alias(DEVICE), F.lit(0).cast("long").alias("n")))
+    cells = F.sort_array(F.concat(F.coalesce("counted", F.array()), zeros))
+    name = lambda c: F.concat(F.lit(PIVOT_PREFIX), c[DEVICE].cast("string"))     # noqa: E731
+    return rows.select(DAY, "block", F.transform(
+        cells, lambda c: F.struct(name(c).alias("column"), c["n"].alias("n"))).alias("cells"))
+
+
 def anomaly_pivot(anomalies: DataFrame | None, ids: list | None = None,
-                  counts: DataFrame | None = None) -> DataFrame:
+                  counts: DataFrame | None = None, width: int | None = None) -> DataFrame:
     """Days x devices, 0 where a device had no anomaly.
 
-    The column list is the device dimension; as the schema depends on it, it is
-    read with one distinct query unless given. ``counts`` (the long form, e.g. as
-    just written) saves re-aggregating the anomalies. The cells of a day are gathered
-    as one JSON object and read with the wide schema: a plan of a few expressions,
-    where one conditional aggregate per device takes seconds to compile. Order by day
-    where it is shown.
+    With ``width`` the columns come in blocks of about that many devices, one row per day
+    and block (:func:`wide_rows`): schema and plan stay the same for any number of devices,
+    and nothing is collected. Without it every device is a column of the schema, which is
+    read with one distinct query unless ``ids`` is given; such a plan grows with the devices
+    and suits some thousands of them. A day's blocks are then joined to one JSON object and
+    read with the wide schema: a plan of a few expressions, where one conditional aggregate
+    per device takes seconds to compile. Order by day where it is shown.
+    ``counts`` (the long form, e.g. as just written) saves re-aggregating the anomalies.
     """
     long = counts if counts is not None else anomaly_counts_long(anomalies)
+    days, devices = long.select(DAY).distinct(), long.select(DEVICE).distinct()
+    if ids is not None:
+        field = T.StructField(DEVICE, long.schema[DEVICE].dataType)
+        devices = long.sparkSession.createDataFrame([(i,) for i in ids], T.StructType([field]))
+        long = long.join(devices, DEVICE, "left_semi")
+    rows = wide_rows(long, days, devices, width or PIVOT_WIDTH)
+    if width:
+        return rows
     if ids is None:
-        ids = [r[0] for r in long.select(DEVICE).distinct().orderBy(DEVICE).collect()]
+        ids = [r[0] for r in devices.orderBy(DEVICE).collect()]
     if not ids:
-        return long.select(DAY).where(F.lit(False))
-    names = [f"{PIVOT_PREFIX}{i}" for i in ids]
-    cells = (long.select(DAY).distinct().select(DAY, F.explode(F.lit(list(ids))).alias(DEVICE))
-             .join(long.select(DAY, DEVICE, "anomaly_count"), [DAY, DEVICE], "left"))
-    cell = F.struct(F.concat(F.lit(PIVOT_PREFIX), F.col(DEVICE).cast("string")),
-                    F.coalesce("anomaly_count", F.lit(0)).cast("long"))
-    wide = T.StructType([T.StructField(n, T.LongType()) for n in names])
-    row = F.from_json(F.to_json(F.map_from_entries(F.collect_list(cell))), wide)
-    return cells.groupBy(DAY).agg(row.alias("row")).select(DAY, "row.*")
+        return days.where(F.lit(False))
+    wide = T.StructType([T.StructField(f"{PIVOT_PREFIX}{i}", T.LongType()) for i in ids])
+    cells = F.flatten(F.collect_list("cells"))
+    row = F.from_json(F.to_json(F.map_from_entries(cells)), wide)
+    return rows.groupBy(DAY).agg(row.alias("row")).select(DAY, "row.*")
 
 
 def pivot_cells(wide: DataFrame) -> DataFrame:
-    """All cells of the wide form, zeros included: (day, column, n)."""
+    """All cells of either wide form, zeros included: (day, column, n)."""
+    if "cells" in wide.columns:
+        return wide.select(DAY, F.inline("cells"))
     names = [c for c in wide.columns if c != DAY]
     if not names:
         return wide.select(DAY, F.lit("").alias("column"), F.lit(0).cast("long").alias("n")).where(F.lit(False))

@@ -2,7 +2,7 @@
 
 Each entry takes ``(spark, sf_dir)``, reads whole tables and returns a lazy
 DataFrame; nothing is persisted and no job runs while it is built, but for the ones
-whose plan depends on data: the wide pivot (its columns are the devices), row numbers (the
+that write steps of their own: the wide pivot (its counts, written once), row numbers (the
 sorted rows, written once) and what reads a profile (the band, the look-back starts, and the
 sorted value counts, written once). The chain adapter -> bounds -> anomalies -> profile -> clean -> summaries is a first daily run on the
 ``telemetry`` adapter of ``events``.
@@ -25,6 +25,7 @@ from anemoi.operators import (
     eligible_rows, flag_outliers, high_water_mark, insert_ignore, latest_per_key,
     period_profile, pivot_cells, upsert,
 )
+from anemoi.operators.anomalies import PIVOT_WIDTH
 from anemoi.operators.baseline import band_of
 from anemoi.operators.profile import profile_from_counts
 from anemoi.plans.day_stats import bounds_from_stats, clean_stats, counts_by_period, long_values
@@ -180,9 +181,9 @@ def q_anomaly_counts_long(spark, sf_dir):
 
 
 def q_anomaly_pivot(spark, sf_dir):
-    """The wide pivot, all its cells as rows (zeros included)."""
+    """The wide pivot in blocks of columns, all its cells as rows (zeros included)."""
     long = written(anomaly_counts_long(FirstRun(spark, sf_dir).anomalies), "anomaly-counts")
-    return day_text(pivot_cells(anomaly_pivot(None, counts=long)))
+    return day_text(pivot_cells(anomaly_pivot(None, counts=long, width=PIVOT_WIDTH)))
 
 
 def q_bounds_from_stats(spark, sf_dir):

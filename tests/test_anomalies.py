@@ -3,7 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from anemoi.functions.expressions import ts_literal
-from anemoi.operators.anomalies import anomaly_counts_long, anomaly_pivot, flag_outliers
+from anemoi.operators.anomalies import anomaly_counts_long, anomaly_pivot, flag_outliers, pivot_cells
 from anemoi.operators.baseline import bounds, high_water_mark
 
 S = "timestamp timestamp_ntz, turbine_id long, wind_speed double, wind_direction double, power_output double"
@@ -63,6 +63,51 @@ def test_counts_and_pivot(spark):
     assert high_water_mark(df).first()[0] == datetime(2022, 3, 3, 0)
 
 
+def _dense(rows):
+    """All cells of (day, device, count) rows by hand: a NULL day or device matches nothing."""
+    n = {(d, i): c for d, i, c in rows if d is not None and i is not None}
+    return {(d, None if i is None else f"Turbine_ID_{i}", n.get((d, i), 0))
+            for d in {r[0] for r in rows} for i in {r[1] for r in rows}}
+
+
+def _counts(spark, rows):
+    return spark.createDataFrame(rows, "day date, turbine_id long, anomaly_count long")
+
+
+def test_pivot_in_blocks_of_columns(spark):
+    """Schema and plan do not grow with the devices; blocks stay small; all cells are there."""
+    day = [datetime(2022, 3, d).date() for d in (1, 2, 5)]
+    sizes = []
+    for devices in (40, 4000):
+        rows = [(day[i % 3], i * 7, 1 + i % 5) for i in range(devices)] + [(day[0], 1, 9)]
+        wide = anomaly_pivot(None, counts=_counts(spark, rows), width=100)
+        assert wide.columns == ["day", "block", "cells"]
+        sizes.append(len(wide._jdf.queryExecution().analyzed().toString()))
+        got = wide.collect()
+        assert max(len(r.cells) for r in got) < 200 and len({(r.day, r.block) for r in got}) == len(got)
+        cells = [tuple(c) for c in pivot_cells(wide).collect()]
+        assert len(cells) == 3 * (devices + 1) and set(cells) == _dense(rows)
+    assert sizes[1] < 1.1 * sizes[0]
+
+
+def test_pivot_of_null_days_and_devices(spark):
+    d1, d2 = datetime(2022, 3, 1).date(), datetime(2022, 3, 2).date()
+    rows = [(d1, 1, 2), (d1, None, 3), (None, 1, 4), (d2, 7, 5), (None, None, 6)]
+    for width in (1, 2, 1000):
+        cells = [tuple(c) for c in pivot_cells(anomaly_pivot(None, counts=_counts(spark, rows), width=width)).collect()]
+        assert len(cells) == 9 and set(cells) == _dense(rows)
+    assert pivot_cells(anomaly_pivot(None, counts=_counts(spark, []), width=10)).count() == 0
+
+
+def test_both_pivots_take_a_list_of_devices(spark):
+    d1, d2 = datetime(2022, 3, 1).date(), datetime(2022, 3, 2).date()
+    counts = _counts(spark, [(d1, 1, 2), (d1, 3, 4), (d2, 3, 5)])
+    want = {(d1, "Turbine_ID_1", 2), (d1, "Turbine_ID_8", 0), (d2, "Turbine_ID_1", 0), (d2, "Turbine_ID_8", 0)}
+    for width in (None, 1, 50):
+        cells = [tuple(c) for c in pivot_cells(anomaly_pivot(None, [1, 8], counts, width)).collect()]
+        assert len(cells) == 4 and set(cells) == want, width
+
+
 def test_band_arithmetic_reproduces_logged_bounds(spark):
     """Fixed values: (mean, sigma, lower, upper) logged by three reference runs."""
     from anemoi.operators.baseline import with_band

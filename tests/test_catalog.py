@@ -54,6 +54,25 @@ def test_catalogue_leaves_nothing_persisted(spark):
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
 
 
+def test_wide_pivot_of_readings_without_device_or_time(spark, tmp_path):
+    """NULL devices and times are columns and days like others, as in the SQL."""
+    con = duckdb.connect()
+    con.execute(f"""COPY (SELECT * REPLACE (CASE WHEN event_id % 5 = 0 THEN NULL ELSE user_id END AS user_id,
+                                            CASE WHEN event_id % 7 = 0 THEN NULL ELSE ts END AS ts)
+                          FROM '{SF}/events.parquet') TO '{tmp_path}/events.parquet' (FORMAT parquet)""")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    want = con.sql(ORACLE_SQL["anomaly_pivot"]).fetchall()
+    got = [tuple(r) for r in QUERIES["anomaly_pivot"](spark, str(tmp_path)).collect()]
+    assert any(c is None for _, c, _ in want) and any(d is None for d, _, _ in want)
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_wide_pivot_collects_no_devices(spark):
+    """No expression per device: neither a wide schema nor a list of ids is in the plan."""
+    plan = QUERIES["anomaly_pivot"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Turbine_ID_1" not in plan and "from_json" not in plan.lower()
+
+
 PROFILED = ("period_profile", "clean", "daily_summary", "profile_from_day_counts")
 
 
